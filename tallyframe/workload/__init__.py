@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["q_charts"]
+_MODULES = ["q_charts", "q_text"]
 
 
 def catalogue():
