@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["q_charts", "q_text"]
+_MODULES = ["q_charts", "q_text", "q_frames"]
 
 
 def catalogue():
