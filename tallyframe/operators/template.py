@@ -101,12 +101,13 @@ def include_files(stmts: DataFrame, library: DataFrame, keys: Sequence[str]) ->
         F.collect_list(F.struct(F.col("d.key").alias("key"), F.col("d.value").alias("value"),
                                 F.col("__body").isNotNull().alias("found"))).alias("__m"))
     base = stmts.select(*keys, "stmt_no", "sql").join(marks, [*keys, "stmt_no"], "left")
-    fixed = F.aggregate(F.coalesce(F.col("__m"), F.array().cast(
-        "array<struct<key:string,value:string,found:boolean>>")), F.col("sql"),
+    marks_or_none = F.coalesce(F.col("__m"), F.array().cast(
+        "array<struct<key:string,value:string,found:boolean>>"))
+    fixed = F.aggregate(marks_or_none, F.col("sql"),
         lambda acc, m: F.when(m["found"], F.replace(
             acc, F.concat(F.lit("{{replaceMe:"), m["key"], F.lit("}}")),
             F.format_string(FILE_END, m["value"]))).otherwise(acc))
-    status = F.when(F.exists(F.coalesce(F.col("__m"), F.array()), lambda m: ~m["found"]),
+    status = F.when(F.exists(marks_or_none, lambda m: ~m["found"]),
                     F.lit("warning: file missing")).otherwise(F.lit("ok"))
     main = base.select(*keys, "stmt_no", F.lit(1).alias("sub_no"), fixed.alias("sql"),
                        status.alias("status"))
@@ -117,7 +118,7 @@ def include_files(stmts: DataFrame, library: DataFrame, keys: Sequence[str]) ->
 def param_rows(params: DataFrame, file: str, order: Sequence[str]) -> DataFrame:
     """Parameter CSV rows → ``(file, row_no, n_rows, pairs)`` with ``pairs`` the row's
     ``{column}`` → stripped cell list in column order."""
-    cols = [c for c in params.columns if c != file and c not in order]
+    cols = [c for c in params.columns if c != file]
     pairs = F.array(*[F.struct(F.lit(c.strip()).alias("k"),
                                strip_ws(F.col(f"`{c}`").cast("string")).alias("v")) for c in cols])
     ranked = grouped_row_number(params, [file], list(order), out="row_no")

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["q_charts", "q_text", "q_frames", "q_registry"]
+_MODULES = ["q_charts", "q_text", "q_frames", "q_registry", "q_template"]
 
 
 def catalogue():
