@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["q_charts", "q_text", "q_frames", "q_registry", "q_template", "q_report"]
+_MODULES = ["q_charts", "q_text", "q_frames", "q_registry", "q_template", "q_report", "q_io"]
 
 
 def catalogue():
