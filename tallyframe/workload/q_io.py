@@ -308,3 +308,16 @@ def q_return_data(spark, sf):
     sep = seps[0]["delimiter"] if len(seps) == 1 else S.DEFAULT_DELIMITER
     out = S.delimited_normalise(spark, d + "/in", d + "/out", sep=sep)
     return r6(H.report_frame(out, lambda df: P.drop_unnamed(df)))
+
+
+@reg("drop_folder_stream", """
+SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_mktsegment, 'sys1' AS system, lower(c_mktsegment) AS fileset,
+       'customers.csv' AS name FROM customer
+WHERE c_mktsegment IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'HOUSEHOLD', 'MACHINERY')""")
+def q_drop_folder_stream(spark, sf):
+    from ..streaming.dropfolder import drop_folder_stream
+    src = _drop_folder(spark, sf)
+    d = scratch_dir(spark, "drop-stream")
+    drop_folder_stream(spark, src, d + "/out", d + "/ckpt", "c_custkey int, c_name string, c_mktsegment string")
+    drop_folder_stream(spark, src, d + "/out", d + "/ckpt", "c_custkey int, c_name string, c_mktsegment string")
+    return spark.read.parquet(d + "/out").select("c_custkey", "c_name", "c_mktsegment", "system", "fileset", "name")
