@@ -151,7 +151,7 @@ def stacked_histogram(df: DataFrame, group: str, value: str, bins: int = 50) ->
     hi = F.when(mn == mx, mx + 0.5).otherwise(mx)
     width = (hi - lo) / F.lit(float(bins))
     b = F.least(F.lit(bins - 1), F.floor((F.col("__v") - lo) / width).cast("int"))
-    counts = base.groupBy(F.col(group), b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counts = base.withColumn("bin", b).groupBy(F.col(group), "bin").agg(F.count(F.lit(1)).alias("n"))
     return counts.withColumns({"bin_lo": lo + F.col("bin") * width,
                                "bin_hi": lo + (F.col("bin") + 1) * width})
 

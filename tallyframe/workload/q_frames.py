@@ -182,14 +182,15 @@ def q_nan_to_null(spark, sf):
     return r6(P.nan_to_null(e))
 
 
-_SYS_ACTIVE = F.when(F.col("s_acctbal") >= 0, "True").when(F.col("s_acctbal") < -500, None).otherwise("false")
+def _sys_active():
+    return F.when(F.col("s_acctbal") >= 0, "True").when(F.col("s_acctbal") < -500, None).otherwise("false")
 
 
 @reg("active_only", """
 SELECT s_name AS system FROM supplier
 WHERE lower(coalesce(CASE WHEN s_acctbal >= 0 THEN 'True' WHEN s_acctbal < -500 THEN NULL ELSE 'false' END, 'True')) = 'true'""")
 def q_active_only(spark, sf):
-    s = table(spark, sf, "supplier").select(F.col("s_name").alias("system"), _SYS_ACTIVE.alias("active"))
+    s = table(spark, sf, "supplier").select(F.col("s_name").alias("system"), _sys_active().alias("active"))
     return FL.active_only(s).select("system")
 
 
