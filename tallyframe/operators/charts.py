@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import classify_change, millions_label
 from .filters import both_over_threshold, group_value_filter
+from ..session import BROADCAST_ROW_LIMIT
 from .ranking import grouped_cumulative
 
 Z95 = 1.959963984540054  # two-sided 95% normal quantile
@@ -206,57 +207,72 @@ def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
     hold a wanted rank survive.  No group is ever gathered into one task.
     """
     keys = list(keys)
-    names = list(names) if names else [f"q{int(round(q * 100))}" for q in qs]
     base = df.select(*keys, _num(value).alias("__v")).filter(F.col("__v").isNotNull())
-    base = _drop_null_keys(base, keys)
-    cv = base.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
-    sizes = cv.groupBy(*keys).agg(F.sum("__c").alias("__n"))
-    cum = grouped_cumulative(cv, keys, ["__v"], "__c", before="__b")
-    # 0-based ranks whose values the interpolation needs.
-    ranks = []
+    cv = _drop_null_keys(base, keys).groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    return quantiles_from_counts(cv, keys, "__v", "__c", qs, names)
+
+
+def quantiles_from_counts(cv: DataFrame, keys: Sequence[str], value: str, count: str,
+                          qs: Sequence[float] = (0.25, 0.5, 0.75),
+                          names: Sequence[str] | None = None) -> DataFrame:
+    """Exact quantiles from a (keys, value, count) table of distinct values."""
+    keys = list(keys)
+    names = list(names) if names else [f"q{int(round(q * 100))}" for q in qs]
+    cum = grouped_cumulative(cv, keys, [value], count, before="__b", total="__n")
+    # A distinct value covers the 0-based ranks [b, b + c); keep only rows covering a rank
+    # the interpolation needs (plain codegen'd predicates, no per-row lambdas).
+    def covers(r):
+        return (r >= F.col("__b")) & (r < F.col("__b") + F.col(count))
+
+    bounds = []
     for q in qs:
         pos = (F.col("__n") - 1) * F.lit(float(q))
-        ranks += [F.floor(pos).cast("long"), F.ceil(pos).cast("long")]
-    hit = (cum.join(sizes, keys, "inner")
-           .withColumn("__t", F.array_distinct(F.array(*ranks)))
-           .withColumn("__t", F.explode(F.filter(
-               "__t", lambda t: (t >= F.col("__b")) & (t < F.col("__b") + F.col("__c")))))
-           .select(*keys, "__n", "__t", "__v"))
+        bounds.append((pos, F.floor(pos), F.ceil(pos)))
+    wanted = None
+    for _, lo_r, hi_r in bounds:
+        c = covers(lo_r) | covers(hi_r)
+        wanted = c if wanted is None else wanted | c
+    hit = cum.filter(wanted)
     aggs = []
-    for q, nm in zip(qs, names):
-        pos = (F.col("__n") - 1) * F.lit(float(q))
-        lo_r, hi_r = F.floor(pos), F.ceil(pos)
-        lo_v = F.max(F.when(F.col("__t") == lo_r, F.col("__v")))
-        hi_v = F.max(F.when(F.col("__t") == hi_r, F.col("__v")))
+    for (pos, lo_r, hi_r), nm in zip(bounds, names):
+        lo_v = F.max(F.when(covers(lo_r), F.col(value)))
+        hi_v = F.max(F.when(covers(hi_r), F.col(value)))
         frac = F.first(pos - lo_r)
         aggs.append((lo_v + (hi_v - lo_v) * frac).alias(nm))
     return hit.groupBy(*keys).agg(F.first("__n").alias("n"), *aggs)
 
 
 def box_stats(df: DataFrame, group: str, measures: Sequence[str] | str,
-              whis: float = 1.5) -> DataFrame:
+              whis: float = 1.5, max_boxes: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Per group and measure: q1, median, q3, whisker ends and the number of outliers.
 
     Whiskers reach the farthest data point within ``whis``·IQR of the box; points beyond
     them are outliers.  Several measures are unpivoted into one long frame first.
+
+    Two jobs: the quartiles (one row per box) are computed once and checkpointed to the
+    shared checkpoint folder, which both cuts the long lineage and gives their exact
+    size; when at most ``max_boxes`` they are broadcast to the whisker pass, so the
+    distinct-value table is never shuffled by box (a hot box would be one task).
     """
     measures = [measures] if isinstance(measures, str) else list(measures)
     long = df.select(F.col(group), F.explode(F.array(*[
         F.struct(F.lit(m).alias("measure"), _num(m).alias("v")) for m in measures])).alias("__m")
     ).select(group, "__m.measure", "__m.v")
     keys = [group, "measure"]
-    q = exact_quantiles(long, keys, "v", (0.25, 0.5, 0.75), ["q1", "median", "q3"])
-    iqr = F.col("q3") - F.col("q1")
-    fences = q.withColumns({"__lo": F.col("q1") - whis * iqr, "__hi": F.col("q3") + whis * iqr})
-    # whiskers and outliers from distinct values with counts (smaller than the raw rows)
+    # distinct values with counts (map-side combined) feed both passes
     cv = (_drop_null_keys(long.filter(F.col("v").isNotNull()), keys)
           .groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("__c")))
-    w = cv.join(fences.select(*keys, "__lo", "__hi"), keys, "inner").groupBy(*keys).agg(
+    q = quantiles_from_counts(cv, keys, "v", "__c", (0.25, 0.5, 0.75), ["q1", "median", "q3"])
+    q = q.checkpoint(eager=True)
+    iqr = F.col("q3") - F.col("q1")
+    fences = q.withColumns({"__lo": F.col("q1") - whis * iqr, "__hi": F.col("q3") + whis * iqr})
+    if q.count() <= max_boxes:
+        fences = F.broadcast(fences)
+    return cv.join(fences, keys, "inner").groupBy(*keys, "n", "q1", "median", "q3").agg(
         F.min(F.when(F.col("v") >= F.col("__lo"), F.col("v"))).alias("whisker_lo"),
         F.max(F.when(F.col("v") <= F.col("__hi"), F.col("v"))).alias("whisker_hi"),
         F.coalesce(F.sum(F.when((F.col("v") < F.col("__lo")) | (F.col("v") > F.col("__hi")),
                                 F.col("__c"))), F.lit(0)).alias("n_outliers"))
-    return q.join(w, keys, "inner")
 
 
 # A10 -----------------------------------------------------------------------------------

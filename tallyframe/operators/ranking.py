@@ -71,24 +71,35 @@ def grouped_row_number(df: DataFrame, group_cols, order_cols, out: str = "rn",
 
 
 def grouped_cumulative(df: DataFrame, group_cols, order_cols, weight: str,
-                       before: str = "cum_before", num_partitions: int | None = None) -> DataFrame:
-    """Add ``before`` = sum of ``weight`` over the earlier rows of the same group.
+                       before: str = "cum_before", total: str | None = None,
+                       num_partitions: int | None = None) -> DataFrame:
+    """Add ``before`` = sum of ``weight`` over the earlier rows of the same group (and,
+    with ``total``, the group's whole weight).
 
     Used on pre-aggregated ``(group, value, count)`` tables (exact quantiles), so the
     frame is already reduced to distinct values.  Range partitioning splits a hot
-    group; a window partitioned by (partition id, group) then only ever sees one
-    range slice.
+    group; a window partitioned by (partition id, group) then only ever sees one range
+    slice; the offsets table has one row per slice.
     """
     group = _cols(group_cols)
     order = _cols(order_cols)
     n = _num_partitions(df, num_partitions)
     keys = group + order
     placed = df.repartitionByRange(n, *keys).withColumn(_PID, F.spark_partition_id())
-    wl = Window.partitionBy(_PID, *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    placed = placed.withColumn(_LOCALW, F.coalesce(F.sum(weight).over(wl), F.lit(0)))
+    # slice totals straight from the range partitions: partial aggregation leaves one row
+    # per (partition, group) before the (tiny) exchange
     blocks = placed.groupBy(_PID, *group).agg(F.sum(weight).alias("__tf_bw"))
-    wb = (Window.partitionBy(*group).orderBy(_PID) if group else Window.orderBy(_PID)
-          ).rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn(_OFF, F.coalesce(F.sum("__tf_bw").over(wb), F.lit(0))).drop("__tf_bw")
+    # running sum up to the current row, minus the row itself (the "1 preceding" frame is
+    # markedly slower in the window operator than the current-row frame)
+    wl = Window.partitionBy(_PID, *group).orderBy(*order).rowsBetween(Window.unboundedPreceding,
+                                                                      Window.currentRow)
+    placed = placed.withColumn(_LOCALW, F.sum(weight).over(wl) - F.col(weight))
+    wb = Window.partitionBy(*group).orderBy(_PID) if group else Window.orderBy(_PID)
+    blocks = blocks.withColumn(_OFF, F.coalesce(
+        F.sum("__tf_bw").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    if total:
+        wt = Window.partitionBy(*group) if group else Window.partitionBy()
+        blocks = blocks.withColumn(total, F.sum("__tf_bw").over(wt))
+    blocks = blocks.drop("__tf_bw")
     joined = placed.join(blocks, on=[_PID, *group], how="inner")
     return joined.withColumn(before, F.col(_OFF) + F.col(_LOCALW)).drop(_PID, _LOCALW, _OFF)
