@@ -277,13 +277,16 @@ def box_stats(df: DataFrame, group: str, measures: Sequence[str] | str,
 
 # A10 -----------------------------------------------------------------------------------
 def violin_density(df: DataFrame, group: str, value: str, gridsize: int = 100,
-                   cut: float = 2.0, prebin: int | None = None) -> DataFrame:
+                   cut: float = 2.0, prebin: int | None = None,
+                   max_groups: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Gaussian kernel density per group on ``gridsize`` points, plus quartiles.
 
     Bandwidth follows Scott's rule (sample sd · n^(-1/5)); the grid spans
     min - cut·h … max + cut·h; ``width`` is the density scaled to the group's peak.
     Work is linear in the number of distinct values (× gridsize) and fully
-    partial-aggregated.  ``prebin`` (optional) snaps values onto that many bins per
+    partial-aggregated.  The per-group statistics (one row per group) are checkpointed,
+    counted and — when at most ``max_groups`` — broadcast, so the distinct values are
+    never shuffled by group.  ``prebin`` (optional) snaps values onto that many bins per
     group first — an approximation for very wide value sets, off by default.
     """
     base = _drop_null_keys(df.select(F.col(group), _num(value).alias("__v")), [group]).filter(
@@ -296,15 +299,18 @@ def violin_density(df: DataFrame, group: str, value: str, gridsize: int = 100,
         "__glo": F.col("__min") - cut * F.col("bandwidth"),
         "__step": ((F.col("__max") + cut * F.col("bandwidth"))
                    - (F.col("__min") - cut * F.col("bandwidth"))) / F.lit(float(gridsize - 1))})
+    stats = stats.checkpoint(eager=True)
+    small = stats.count() <= max_groups
+    bstats = F.broadcast(stats) if small else stats
     pts = base
     if prebin:
         pw = (F.col("__max") - F.col("__min")) / F.lit(float(prebin))
-        pts = (base.join(stats.select(group, "__min", "__max"), group)
+        pts = (base.join(bstats.select(group, "__min", "__max"), group)
                .withColumn("__v", F.when(pw > 0, F.col("__min") + (F.floor((F.col("__v") - F.col("__min")) / pw) + 0.5) * pw)
                            .otherwise(F.col("__v"))).select(group, "__v"))
     cv = pts.groupBy(group, "__v").agg(F.count(F.lit(1)).alias("__c"))
     grid = F.sequence(F.lit(0), F.lit(gridsize - 1))
-    kern = (cv.join(stats.select(group, "n", "bandwidth", "__glo", "__step"), group, "inner")
+    kern = (cv.join(bstats.select(group, "n", "bandwidth", "__glo", "__step"), group, "inner")
             .filter(F.col("bandwidth") > 0)
             .withColumn("grid_idx", F.explode(grid))
             .withColumn("grid_x", F.col("__glo") + F.col("grid_idx") * F.col("__step"))
@@ -315,7 +321,9 @@ def violin_density(df: DataFrame, group: str, value: str, gridsize: int = 100,
         (F.sum("__k") / (F.first("n") * F.first("bandwidth") * math.sqrt(2 * math.pi))).alias("density"))
     # at most gridsize rows per group: a per-group window here is bounded
     dens = dens.withColumn("width", F.col("density") / F.max("density").over(Window.partitionBy(group)))
-    quart = exact_quantiles(base, [group], "__v", (0.25, 0.5, 0.75), ["q1", "median", "q3"]).drop("n")
+    quart = quantiles_from_counts(
+        base.groupBy(group, "__v").agg(F.count(F.lit(1)).alias("__c")), [group], "__v", "__c",
+        (0.25, 0.5, 0.75), ["q1", "median", "q3"]).drop("n")
     return (dens.join(quart, group, "left")
             .join(stats.select(group, "n", "bandwidth"), group, "left"))
 
