@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import (EXACT_KINDS, directive_kind, directive_matches, format_statement,
                               strip_ws, substitute)
-from ..session import bounded_broadcast
 from .ranking import grouped_row_number
 
 # Marker left where a directive stood, and the texts that replace it.
@@ -51,7 +50,8 @@ def with_directives(stmts: DataFrame, sql: str = "sql",
     rewrites the text: directives in ``keep`` stay verbatim (they act at run time), the
     others become ``/* {{replaceMe:key}} */`` markers for the expansion steps.
     """
-    m = directive_matches(F.col(sql))
+    stmts = stmts.withColumn("__dm", directive_matches(F.col(sql)))  # parsed once per row
+    m = F.col("__dm")
     active = F.filter(m, lambda d: ~d["key"].isin(list(keep)))
     # last value per key wins: keep an entry only if no later entry has the same key
     last = F.filter(
@@ -71,7 +71,7 @@ def with_directives(stmts: DataFrame, sql: str = "sql",
                                          lambda k: k == d["k"])),
             lambda d: F.struct(d["k"], d["v"]))),
         sql: rewritten,
-    })
+    }).drop("__dm")
 
 
 def directive_rows(stmts: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -131,11 +131,12 @@ def param_fanout(templates: DataFrame, rows: DataFrame, loop_file: str = "loop_f
                  sql: str = "sql", marker_key: str = "loop") -> DataFrame:
     """One rendered statement per (template, row of the template's loop file).
 
-    An equi-join on the file name (templates are few; they are broadcast when a count
-    proves it); the ``{{replaceMe:loop}}`` marker becomes ``csv row i out of n``.
+    An equi-join on the file name; the ``{{replaceMe:loop}}`` marker becomes
+    ``csv row i out of n``.  No eager size probe: AQE broadcasts the template side at
+    run time when its materialized size is below the adaptive threshold, and otherwise
+    keeps a sort-merge join whose hot file key its skew-join handling splits.
     """
-    t = bounded_broadcast(templates)
-    j = t.join(rows, F.col(loop_file) == rows["file"], "inner")
+    j = templates.join(rows, F.col(loop_file) == rows["file"], "inner")
     text = substitute(F.col(sql), F.col("pairs"))
     text = F.replace(text, F.lit(MARKER % marker_key),
                      F.format_string(LOOP_NOTE, F.col("row_no"), F.col("n_rows")))
