@@ -46,7 +46,12 @@ def grouped_row_number(df: DataFrame, group_cols, order_cols, out: str = "rn",
     group = _cols(group_cols)
     order = _cols(order_cols)
     n = _num_partitions(df, num_partitions)
-    keys = group + order
+    # A deterministic tiebreaker (hash of the whole row) lets the range partitioner cut a
+    # run of equal order keys too; only fully identical rows can still share a slice,
+    # and those are interchangeable.
+    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("__tf_tie")
+    df = df.withColumn("__tf_tie", tie)
+    keys = group + order + ["__tf_tie"]
     placed = (
         df.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
@@ -67,7 +72,7 @@ def grouped_row_number(df: DataFrame, group_cols, order_cols, out: str = "rn",
                          F.lit(0))).drop("__tf_cnt")
     joined = placed.join(blocks, on=[_PID, *gnames], how="inner")
     return joined.withColumn(out, F.col(_OFF) + F.col(_POS) - F.col(_FIRST) + 1).drop(
-        _PID, _POS, _FIRST, _OFF)
+        _PID, _POS, _FIRST, _OFF, "__tf_tie")
 
 
 def grouped_cumulative(df: DataFrame, group_cols, order_cols, weight: str,
