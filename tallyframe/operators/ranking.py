@@ -49,30 +49,30 @@ def grouped_row_number(df: DataFrame, group_cols, order_cols, out: str = "rn",
     # A deterministic tiebreaker (hash of the whole row) lets the range partitioner cut a
     # run of equal order keys too; only fully identical rows can still share a slice,
     # and those are interchangeable.
-    tie = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).alias("__tf_tie")
-    df = df.withColumn("__tf_tie", tie)
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    gnames = [c if isinstance(c, str) else None for c in group]
+    if any(g is None for g in gnames):
+        raise ValueError("group columns must be given by name")
+    df = df.select(*cols, F.xxhash64(*cols).alias("__tf_tie"))
     keys = group + order + ["__tf_tie"]
+    pid = F.spark_partition_id()
     placed = (
         df.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
-        .withColumn(_PID, F.spark_partition_id())
         # monotonically_increasing_id = (partition << 33) + position inside the partition
-        .withColumn(_POS, F.monotonically_increasing_id()
-                    - F.shiftleft(F.col(_PID).cast("long"), 33))
+        .select("*", pid.alias(_PID),
+                (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias(_POS))
     )
-    gnames = [c if isinstance(c, str) else None for c in group]
-    if any(g is None for g in gnames):
-        raise ValueError("group columns must be given by name")
-    # One row per (partition, group) that meet: first position and count.
+    # One row per (partition, group) that meet: first position and count; offsets are
+    # the counts of the same group in earlier partitions.
+    w = (Window.partitionBy(*gnames).orderBy(_PID) if gnames else Window.orderBy(_PID)).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
     blocks = placed.groupBy(_PID, *gnames).agg(
-        F.min(_POS).alias(_FIRST), F.count(F.lit(1)).alias("__tf_cnt"))
-    w = Window.partitionBy(*gnames).orderBy(_PID) if gnames else Window.orderBy(_PID)
-    blocks = blocks.withColumn(
-        _OFF, F.coalesce(F.sum("__tf_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)),
-                         F.lit(0))).drop("__tf_cnt")
+        F.min(_POS).alias(_FIRST), F.count(F.lit(1)).alias("__tf_cnt")).select(
+        _PID, *gnames, _FIRST, (F.sum("__tf_cnt").over(w) - F.col("__tf_cnt")).alias(_OFF))
     joined = placed.join(blocks, on=[_PID, *gnames], how="inner")
-    return joined.withColumn(out, F.col(_OFF) + F.col(_POS) - F.col(_FIRST) + 1).drop(
-        _PID, _POS, _FIRST, _OFF, "__tf_tie")
+    keep = [F.col(f"`{c}`") for c in df.columns if c != "__tf_tie"]
+    return joined.select(*keep, (F.col(_OFF) + F.col(_POS) - F.col(_FIRST) + 1).alias(out))
 
 
 def grouped_cumulative(df: DataFrame, group_cols, order_cols, weight: str,
