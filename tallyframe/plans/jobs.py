@@ -52,7 +52,12 @@ def prepare_scripts(scripts: DataFrame, keys: Sequence[str], substitutions: Data
     rows = TP.param_rows(loop_params, "file", list(loop_order))
     loops = inc.filter(F.col("loop_file").isNotNull() & (F.col("sub_no") == 1))
     fanned = TP.param_fanout(loops, rows)
-    return plain.unionByName(fanned.select(*plain.columns)).drop("loop_file")
+    # a loop whose parameter file is missing keeps its template statement, with a warning
+    known = loop_params.select(F.col("file").alias("loop_file")).distinct()
+    orphans = loops.join(known, "loop_file", "left_anti").withColumns({
+        "row_no": F.lit(0).cast("long"), "status": F.lit("warning: loop file missing")})
+    return (plain.unionByName(fanned.select(*plain.columns))
+            .unionByName(orphans.select(*plain.columns)).drop("loop_file"))
 
 
 # export_results ------------------------------------------------------------------------

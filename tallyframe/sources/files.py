@@ -21,14 +21,15 @@ DELIMITER_CANDIDATES = [",,", ",", "::", ":", ";;", ";", "||", "|"]
 
 # S1 ------------------------------------------------------------------------------------
 def csv_scan(spark: SparkSession, path: str, infer: bool = True, dates_as_text: bool = True,
-             sep: str = ",") -> DataFrame:
+             sep: str = ",", sampling_ratio: float = 1.0) -> DataFrame:
     """Header CSV with inferred types.  Dates and timestamps stay text (as a pandas reader
-    leaves them), so ``1974-12-17`` is not reformatted.  Inference reads the data once;
-    pass ``infer=False`` (all strings) for very large inputs."""
+    leaves them), so ``1974-12-17`` is not reformatted.  Inference is one extra pass over
+    the data; on very large inputs lower ``sampling_ratio`` (inference then looks at a
+    sample) or pass ``infer=False`` (all strings)."""
     rd = spark.read.option("header", True).option("escape", '"').option("sep", sep)
     if not infer:
         return rd.csv(path)
-    df = rd.option("inferSchema", True).csv(path)
+    df = rd.option("inferSchema", True).option("samplingRatio", sampling_ratio).csv(path)
     if not dates_as_text:
         return df
     temporal = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -40,16 +41,18 @@ def csv_scan(spark: SparkSession, path: str, infer: bool = True, dates_as_text:
 
 
 # S2 ------------------------------------------------------------------------------------
-def csv_cells(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+def csv_cells(spark: SparkSession, path: str, sep: str = ",", multiline: bool = False) -> DataFrame:
     """Every cell of every CSV file as text: (file, row_no, col_no, cell).
 
     Row 0 is the header line, columns count from 1.  Row numbers are exact and
     distributed: each row remembers its split (``_metadata.file_block_start``) and its
     position inside the split, and ``grouped_row_number`` numbers them per file without
-    gathering a file into one task.  Quoted cells with line breaks need ``multiLine``
-    CSV, which Spark reads one file per task; use this reader for files without them.
+    gathering a file into one task.  Quoted cells with line breaks need ``multiline=True``:
+    Spark then reads each file whole in one task (files cannot be split there), which is
+    meant for report-sized files; the numbering is the same.
     """
-    raw = (spark.read.option("header", False).option("escape", '"').option("sep", sep).csv(path)
+    raw = (spark.read.option("header", False).option("escape", '"').option("sep", sep)
+           .option("multiLine", multiline).csv(path)
            .select("*", F.col("_metadata.file_name").alias("__file"),
                    F.col("_metadata.file_block_start").alias("__blk"),
                    F.monotonically_increasing_id().alias("__mid")))

@@ -57,3 +57,21 @@ def test_staged_load_failure_reports(spark, tmp_path):
     assert status == {"ok.csv": "ok", "missing.csv": "failed"}
     assert calls == ["tf_test_load"]
     assert [tuple(r) for r in spark.table("tf_test_load").collect()] == [(1, "a", "d")]
+
+
+def test_csv_cells_multiline(spark, tmp_path):
+    (tmp_path / "m.csv").write_text('a,b\n"line1\nline2",x\n3,y\n')
+    got = {(r["row_no"], r["col_no"]): r["cell"] for r in S.csv_cells(spark, str(tmp_path), multiline=True).collect()}
+    assert got[(1, 1)] == "line1\nline2" and got[(2, 2)] == "y" and got[(0, 1)] == "a"
+
+
+def test_prepare_keeps_orphan_loops(spark):
+    from tallyframe.plans.jobs import prepare_scripts
+    scripts = spark.createDataFrame([("s", "SELECT '{v}' /*{{loop:p.csv}}*/; SELECT 2 /*{{loop:gone.csv}}*/;")],
+                                    "system string, text string")
+    params = spark.createDataFrame([("p.csv", "a", 1), ("p.csv", "b", 2)], "file string, v string, o int")
+    out = {(r["stmt_no"], r["row_no"]): (r["sql"], r["status"]) for r in prepare_scripts(
+        scripts, ["system"], loop_params=params, loop_order=["o"]).collect()}
+    assert out[(1, 1)][0].startswith("SELECT 'a' /*  csv row 1 out of 2  */")
+    assert out[(1, 2)][0].startswith("SELECT 'b' /*  csv row 2 out of 2  */")
+    assert out[(2, 0)] == ("SELECT 2 /* {{replaceMe:loop}} */\n;\n\n", "warning: loop file missing")
