@@ -114,6 +114,30 @@ def include_files(stmts: DataFrame, library: DataFrame, keys: Sequence[str]) ->
     return inserts.unionByName(main)
 
 
+def resolve_temp_tables(stmts: DataFrame, available: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``temp`` directives name a CSV exposed as a session view (``csv_temp_view``).
+
+    Statements whose CSV is among ``available`` (a ``name`` column) get the marker
+    ``above volatile table create script for <name>``; a missing CSV is an error status
+    (the statement is kept so the error is reported, not silently dropped).
+    ``stmts`` needs ``directives``, ``sql`` and ``status``.
+    """
+    t = stmts.select(*keys, "stmt_no", "sub_no", F.explode(F.filter(
+        "directives", lambda d: d["kind"] == "temp")).alias("d"))
+    found = t.join(available.select(F.col("name").alias("__n")), F.col("d.value") == F.col("__n"), "left")
+    marks = found.groupBy(*keys, "stmt_no", "sub_no").agg(F.collect_list(F.struct(
+        F.col("d.key").alias("key"), F.col("d.value").alias("value"),
+        F.col("__n").isNotNull().alias("found"))).alias("__t"))
+    j = stmts.join(marks, [*keys, "stmt_no", "sub_no"], "left")
+    none = F.array().cast("array<struct<key:string,value:string,found:boolean>>")
+    ms = F.coalesce(F.col("__t"), none)
+    sql = F.aggregate(ms, F.col("sql"), lambda acc, m: F.when(m["found"], F.replace(
+        acc, F.concat(F.lit("{{replaceMe:"), m["key"], F.lit("}}")), F.format_string(TEMP_NOTE, m["value"])))
+        .otherwise(acc))
+    status = F.when(F.exists(ms, lambda m: ~m["found"]), F.lit("error: temp file missing")).otherwise(F.col("status"))
+    return j.withColumns({"sql": sql, "status": status}).drop("__t")
+
+
 # J4 ------------------------------------------------------------------------------------
 def param_rows(params: DataFrame, file: str, order: Sequence[str]) -> DataFrame:
     """Parameter CSV rows → ``(file, row_no, n_rows, pairs)`` with ``pairs`` the row's

@@ -18,14 +18,16 @@ from ..operators import template as TP
 # prepare_scripts -----------------------------------------------------------------------
 def prepare_scripts(scripts: DataFrame, keys: Sequence[str], substitutions: DataFrame | None = None,
                     library: DataFrame | None = None, loop_params: DataFrame | None = None,
-                    loop_order: Sequence[str] = ()) -> DataFrame:
+                    loop_order: Sequence[str] = (), temp_files: DataFrame | None = None) -> DataFrame:
     """Scripts → prepared statements.
 
     1. optional layered substitution (``substitutions``: keys…, pairs array) on the script text;
     2. split on ``;``, format, number the non-empty statements;
     3. directives out (run-time ones stay), markers in;
-    4. ``file`` includes resolved against ``library`` (name, body);
-    5. ``loop`` statements fanned out over the rows of their parameter file.
+    4. ``file`` includes resolved against ``library`` (name, body); ``temp`` directives
+       checked against ``temp_files`` (name) — the CSVs the caller exposes as views;
+    5. ``loop`` statements fanned out over the rows of their parameter file (a loop whose
+       file is missing keeps its template with a warning).
 
     Output: (keys…, stmt_no, sub_no, row_no, sql, status, runtime) — ``row_no`` is 0 for
     statements that are not loops.
@@ -43,8 +45,11 @@ def prepare_scripts(scripts: DataFrame, keys: Sequence[str], substitutions: Data
         inc = TP.include_files(st, library, list(keys))
     else:
         inc = st.select(*keys, "stmt_no", F.lit(1).alias("sub_no"), "sql", F.lit("ok").alias("status"))
-    meta = st.select(*keys, "stmt_no", "loop_file", "runtime")
+    meta = st.select(*keys, "stmt_no", "loop_file", "runtime", "directives")
     inc = inc.join(meta, [*keys, "stmt_no"], "left")
+    if temp_files is not None:
+        inc = TP.resolve_temp_tables(inc, temp_files, list(keys))
+    inc = inc.drop("directives")
     plain = inc.filter(F.col("loop_file").isNull() | (F.col("sub_no") == 0)).withColumn(
         "row_no", F.lit(0).cast("long"))
     if loop_params is None:

@@ -75,3 +75,13 @@ def test_prepare_keeps_orphan_loops(spark):
     assert out[(1, 1)][0].startswith("SELECT 'a' /*  csv row 1 out of 2  */")
     assert out[(1, 2)][0].startswith("SELECT 'b' /*  csv row 2 out of 2  */")
     assert out[(2, 0)] == ("SELECT 2 /* {{replaceMe:loop}} */\n;\n\n", "warning: loop file missing")
+
+
+def test_prepare_temp_directives(spark):
+    from tallyframe.plans.jobs import prepare_scripts
+    scripts = spark.createDataFrame([("s", "SELECT * FROM t1 /*{{temp:t1.csv}}*/; SELECT 1 /*{{temp:nope.csv}}*/;")],
+                                    "system string, text string")
+    temps = spark.createDataFrame([("t1.csv",)], "name string")
+    out = {r["stmt_no"]: (r["sql"], r["status"]) for r in prepare_scripts(scripts, ["system"], temp_files=temps).collect()}
+    assert out[1] == ("SELECT * FROM t1 /* above volatile table create script for t1.csv */\n;\n\n", "ok")
+    assert out[2][1] == "error: temp file missing"
