@@ -120,3 +120,40 @@ def fill_report(items: DataFrame, cells: DataFrame) -> DataFrame:
 
 def load_hooks(hooks: Mapping[str, Callable[[SparkSession, str], None]] | None):
     return dict(hooks or {})
+
+
+# return_data -----------------------------------------------------------------------------
+def return_data(spark: SparkSession, in_dir: str, out_dir: str,
+                on_result: Callable[[str, DataFrame], None] | None = None) -> DataFrame:
+    """Returned result files → separator sniffed per file → stripped comma CSV per file.
+
+    The sniffing is one distributed aggregation over all files; the loop runs over the
+    (few) returned files, and every conversion is a Spark read and write.  Non-empty
+    results are handed to ``on_result`` (chart/report code).  Returns (file, delimiter,
+    output) for every converted file.
+    """
+    from ..sources.files import delimited_normalise, delimiter_sniff
+    from .hooks import report_frame
+
+    plan = delimiter_sniff(spark, in_dir).orderBy("file").collect()
+    log = []
+    for r in plan:
+        stem = r["file"].rsplit(".", 1)[0] if "." in r["file"] else r["file"]
+        out = f"{out_dir.rstrip('/')}/{stem}.csv"
+        df = delimited_normalise(spark, f"{in_dir.rstrip('/')}/{r['file']}", out, sep=r["delimiter"])
+        if on_result is not None:
+            report_frame(df, lambda d, name=out: on_result(name, d))
+        log.append((r["file"], r["delimiter"], out))
+    return spark.createDataFrame(log, "file string, delimiter string, output string")
+
+
+# load_manifest ---------------------------------------------------------------------------
+def load_manifest(spark: SparkSession, manifest_path: str, base_dir: str,
+                  hooks: Mapping[str, Callable[[SparkSession, str], None]] | None = None,
+                  default_schema: str = "", snapshot: bool = False) -> DataFrame:
+    """Read a load manifest and load every entry (S9 → S14); returns the status rows."""
+    from ..sources.files import manifest_read
+    from ..sources.sinks import staged_load
+
+    entries = manifest_read(spark, manifest_path, default_schema=default_schema)
+    return staged_load(spark, entries, base_dir, hooks=hooks, snapshot=snapshot)

@@ -251,8 +251,10 @@ def q_load_manifest(spark, sf):
 
 
 def jobs_load(spark, d, tname, hooks):
-    m = S.manifest_read(spark, d + "/manifest", default_schema="")
-    K.staged_load(spark, m, d + "/files", hooks=hooks)
+    status = jobs.load_manifest(spark, d + "/manifest", d + "/files", hooks=hooks)
+    bad = status.filter(F.col("status") != "ok").collect()
+    if bad:
+        raise RuntimeError(str(bad))
     return spark.table(tname)
 
 
@@ -304,19 +306,8 @@ def q_return_data(spark, sf):
     c = table(spark, sf, "customer").select(
         "c_custkey", F.concat(F.lit(" "), "c_name").alias("c_name"), "c_nationkey", "c_acctbal", "c_mktsegment")
     _csv(c, d + "/in", sep="|~|", single=True)
-    seps = S.delimiter_sniff(spark, d + "/in").select("delimiter").distinct().collect()
-    sep = seps[0]["delimiter"] if len(seps) == 1 else S.DEFAULT_DELIMITER
-    out = S.delimited_normalise(spark, d + "/in", d + "/out", sep=sep)
-    return r6(H.report_frame(out, lambda df: P.drop_unnamed(df)))
-
-
-@reg("drop_folder_stream", """
-SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_mktsegment, 'sys1' AS system, lower(c_mktsegment) AS fileset,
-       'customers.csv' AS name FROM customer""")
-def q_drop_folder_stream(spark, sf):
-    from ..streaming.dropfolder import drop_folder_stream
-    src = _drop_folder(spark, sf)
-    d = scratch_dir(spark, "drop-stream")
-    drop_folder_stream(spark, src, d + "/out", d + "/ckpt", "c_custkey int, c_name string, c_mktsegment string")
-    drop_folder_stream(spark, src, d + "/out", d + "/ckpt", "c_custkey int, c_name string, c_mktsegment string")
-    return spark.read.parquet(d + "/out").select("c_custkey", "c_name", "c_mktsegment", "system", "fileset", "name")
+    seen = []
+    jobs.return_data(spark, d + "/in", d + "/out", on_result=lambda name, df: seen.append(name))
+    if len(seen) != 1:
+        raise RuntimeError(f"expected one converted result, got {seen}")
+    return r6(S.csv_scan(spark, seen[0]))
