@@ -338,9 +338,13 @@ def month_pivot(df: DataFrame, category: str, value: str, month_1: str, month_2:
     """
     m1, m2 = str(month_1).upper(), str(month_2).upper()
     src = _drop_null_keys(df, [category, month])
-    piv = (src.groupBy(category).pivot(month, [m1, m2]).agg(F.avg(_num(value))).na.fill(0, [m1, m2]))
-    present = src.filter(F.col(month).isin(m1, m2)).select(
-        F.countDistinct(F.col(month))).scalar()
+    both = src.filter(F.col(month).isin(m1, m2))
+    # With a positive threshold a category without either month (0 and 0 after filling)
+    # can never pass, so the aggregation only needs the two months' rows.
+    piv_src = both if threshold > 0 else src
+    piv = (piv_src.groupBy(category).pivot(month, [m1, m2]).agg(F.avg(_num(value)))
+           .na.fill(0, [m1, m2]))
+    present = both.select(F.countDistinct(F.col(month))).scalar()
     piv = piv.filter(present == 2)
     piv = both_over_threshold(piv, m1, m2, threshold)
     return piv.withColumns({

@@ -125,7 +125,7 @@ def csv_temp_view(spark: SparkSession, path: str, name: str | None = None,
 
 
 # S7 ------------------------------------------------------------------------------------
-def script_scan(spark: SparkSession, root: str, pattern: str = "*.coa.sql") -> DataFrame:
+def script_scan(spark: SparkSession, root: str, pattern: str = "*.sql") -> DataFrame:
     """Folder of scripts ``root/<system>/<fileset>/<file>`` → (system, fileset, file, text).
 
     Hidden files are skipped by Spark's file index; ``key=value`` folder names (as written by

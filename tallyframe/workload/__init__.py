@@ -14,4 +14,5 @@ def catalogue():
         mod = importlib.import_module(f"{__name__}.{m}")
         queries.update(mod.Q)
         oracles.update(mod.SQL)
-    return queries, oracles
+    from .tables import with_sig_rounding
+    return queries, {k: with_sig_rounding(v) for k, v in oracles.items()}

@@ -116,10 +116,10 @@ def q_row_chunks(spark, sf):
 
 
 @reg("script_order", """
-SELECT 'p' || lpad(CAST(p_partkey AS VARCHAR), 6, '0') || '.coa.sql' AS file FROM part ORDER BY 1""")
+SELECT 'p' || lpad(CAST(p_partkey AS VARCHAR), 6, '0') || '.q.sql' AS file FROM part ORDER BY 1""")
 def q_script_order(spark, sf):
     p = table(spark, sf, "part").select(F.concat(F.lit("p"), F.lpad(F.col("p_partkey").cast("string"), 6, "0"),
-                                                 F.lit(".coa.sql")).alias("file"))
+                                                 F.lit(".q.sql")).alias("file"))
     return p.orderBy("file")
 
 

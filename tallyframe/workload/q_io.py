@@ -292,7 +292,7 @@ def q_export_results(spark, sf):
         table(spark, sf, t).createOrReplaceTempView(t)
     n = table(spark, sf, "region")
     scripts = n.select(F.lit("sys").alias("system"), F.lower("r_name").alias("fileset"),
-                       F.lit("q.coa.sql").alias("file"), F.concat(
+                       F.lit("q.q.sql").alias("file"), F.concat(
         F.lit("SELECT n_name FROM nation WHERE n_regionkey = "), F.col("r_regionkey").cast("string"),
         F.lit(" /*{{load:stage.nations}}*/; SELECT * FROM region WHERE r_regionkey < 0;")).alias("text"))
     prepared = jobs.prepare_scripts(scripts, ["system", "fileset", "file"])
@@ -311,3 +311,17 @@ def q_return_data(spark, sf):
     if len(seen) != 1:
         raise RuntimeError(f"expected one converted result, got {seen}")
     return r6(S.csv_scan(spark, seen[0]))
+
+
+@reg("drop_folder_stream", """
+SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_mktsegment, 'sys1' AS system, lower(c_mktsegment) AS fileset,
+       'customers.csv' AS name FROM customer""")
+def q_drop_folder_stream(spark, sf):
+    from ..streaming.dropfolder import drop_folder_stream
+    src = _drop_folder(spark, sf)
+    d = scratch_dir(spark, "drop-stream")
+    schema = "c_custkey int, c_name string, c_mktsegment string"
+    drop_folder_stream(spark, src, d + "/out", d + "/ckpt", schema)
+    # a second run over the same folder loads nothing twice
+    drop_folder_stream(spark, src, d + "/out", d + "/ckpt", schema)
+    return spark.read.parquet(d + "/out").select("c_custkey", "c_name", "c_mktsegment", "system", "fileset", "name")

@@ -30,7 +30,7 @@ def systems(spark, sf):
         F.col("s_name").alias("system"),
         F.when(F.col("s_acctbal") >= 0, "True").otherwise("False").alias("active"),
         F.when(F.col("s_nationkey") < 12, "16.20").otherwise("17.10").alias("dbsversion"),
-        F.when(F.col("s_acctbal") > 5000, "pdcr").otherwise("dbc").alias("collection"))
+        F.when(F.col("s_acctbal") > 5000, "daily").otherwise("hourly").alias("collection"))
 
 
 def pairs(spark, sf):
@@ -48,9 +48,9 @@ def filesets(spark, sf):
     n, p = table(spark, sf, "nation"), table(spark, sf, "part")
     files = p.select((F.col("p_size") % 25).alias("k"), F.struct(
         F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("file_key"),
-        F.concat(F.lit("sql/p"), F.col("p_partkey").cast("string"), F.lit(".coa.sql")).alias("gitfile"),
+        F.concat(F.lit("sql/p"), F.col("p_partkey").cast("string"), F.lit(".q.sql")).alias("gitfile"),
         F.when(F.col("p_size") < 10, None).otherwise(F.array(F.lit("16.20"), F.lit("15.10"))).alias("dbsversion"),
-        F.when(F.col("p_size") > 40, F.array(F.lit("pdcr"))).otherwise(None).alias("collection"),
+        F.when(F.col("p_size") > 40, F.array(F.lit("daily"))).otherwise(None).alias("collection"),
         F.create_map(F.lit("brand"), F.col("p_brand")).alias("params")).alias("f"))
     per = files.groupBy("k").agg(F.collect_list("f").alias("files"))
     return n.join(per, n.n_nationkey == per.k, "left").select(
@@ -64,7 +64,7 @@ _REG_SQL = """
 WITH systems AS (
   SELECT s_name AS system, CASE WHEN s_acctbal >= 0 THEN 'True' ELSE 'False' END AS active,
          CASE WHEN s_nationkey < 12 THEN '16.20' ELSE '17.10' END AS dbsversion,
-         CASE WHEN s_acctbal > 5000 THEN 'pdcr' ELSE 'dbc' END AS collection FROM supplier),
+         CASE WHEN s_acctbal > 5000 THEN 'daily' ELSE 'hourly' END AS collection FROM supplier),
 pairs AS (
   SELECT s_name AS system, lower(n_name) AS fileset,
          CASE WHEN s_suppkey % 7 = 0 THEN 'False' ELSE 'True' END AS pair_active
@@ -77,9 +77,9 @@ filesets AS (
          n_nationkey FROM nation),
 files AS (
   SELECT p_size % 25 AS k, 'p' || CAST(p_partkey AS VARCHAR) AS file_key,
-         'sql/p' || CAST(p_partkey AS VARCHAR) || '.coa.sql' AS gitfile,
+         'sql/p' || CAST(p_partkey AS VARCHAR) || '.q.sql' AS gitfile,
          CASE WHEN p_size < 10 THEN NULL ELSE ['16.20', '15.10'] END AS versions,
-         CASE WHEN p_size > 40 THEN ['pdcr'] ELSE NULL END AS collections FROM part)
+         CASE WHEN p_size > 40 THEN ['daily'] ELSE NULL END AS collections FROM part)
 """
 
 
@@ -132,22 +132,22 @@ def q_runnable_sets_unknown(spark, sf):
 
 @reg("file_params", """
 WITH params AS (
-  SELECT 'params/' || lower(p_type) || '/p' || CAST(p_partkey AS VARCHAR) || '.coa.sql' AS path, p_size AS pos,
+  SELECT 'params/' || lower(p_type) || '/p' || CAST(p_partkey AS VARCHAR) || '.q.sql' AS path, p_size AS pos,
          p_brand AS brand FROM part
   UNION ALL
-  SELECT 'other/p' || CAST(p_partkey AS VARCHAR) || '.coa.sql', p_size + 100, 'dup' FROM part),
+  SELECT 'other/p' || CAST(p_partkey AS VARCHAR) || '.q.sql', p_size + 100, 'dup' FROM part),
 firsts AS (SELECT string_split(path, '/')[-1] AS base, arg_min(brand, pos) AS brand FROM params GROUP BY 1)
 SELECT 'p' || CAST(p_partkey AS VARCHAR) AS file_key, f.brand
-FROM part LEFT JOIN firsts f ON f.base = 'p' || CAST(p_partkey AS VARCHAR) || '.coa.sql'""")
+FROM part LEFT JOIN firsts f ON f.base = 'p' || CAST(p_partkey AS VARCHAR) || '.q.sql'""")
 def q_file_params(spark, sf):
     p = table(spark, sf, "part")
     params = p.select(F.concat(F.lit("params/"), F.lower("p_type"), F.lit("/p"), F.col("p_partkey").cast("string"),
-                               F.lit(".coa.sql")).alias("path"), F.col("p_size").alias("pos"),
+                               F.lit(".q.sql")).alias("path"), F.col("p_size").alias("pos"),
                       F.create_map(F.lit("brand"), F.col("p_brand")).alias("params")).unionByName(
-        p.select(F.concat(F.lit("other/p"), F.col("p_partkey").cast("string"), F.lit(".coa.sql")).alias("path"),
+        p.select(F.concat(F.lit("other/p"), F.col("p_partkey").cast("string"), F.lit(".q.sql")).alias("path"),
                  (F.col("p_size") + 100).alias("pos"), F.create_map(F.lit("brand"), F.lit("dup")).alias("params")))
     files = p.select(F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("file_key"),
-                     F.concat(F.lit("sql/p"), F.col("p_partkey").cast("string"), F.lit(".coa.sql")).alias("gitfile"))
+                     F.concat(F.lit("sql/p"), F.col("p_partkey").cast("string"), F.lit(".q.sql")).alias("gitfile"))
     return R.file_params(files, params).select("file_key", F.col("file_params")["brand"].alias("brand"))
 
 

@@ -7,7 +7,7 @@ from tallyframe.operators.clean import drop_unnamed
 from tallyframe.sources import files as S
 from tallyframe.sources import sinks as K
 
-MULTISET = ',Site_ID,SetTableCount,TotalObjectCount,SetTablePct\r\n0,TDCLOUD14TD03,"55,236","69,958",79\r\n'
+MULTISET = ',Site_ID,SetTableCount,TotalObjectCount,SetTablePct\r\n0,SITE01,"55,236","69,958",79\r\n'
 BIRTHDAY = ",cal_date\n0,1974-12-17\n"
 
 
