@@ -79,19 +79,19 @@ def q_delimited_normalise(spark, sf):
 
 
 _S5_SQL = """
-SELECT n.n_name, c.c_mktsegment, count(*) AS n_orders, round(sum(o.o_totalprice), 6) AS revenue,
+SELECT n.n_name, c.c_mktsegment, count(*) AS n_orders, {rev} AS revenue,
        CAST(rank() OVER (PARTITION BY n.n_name ORDER BY sum(o.o_totalprice) DESC) AS INTEGER) AS seg_rank
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
 WHERE o.o_totalprice > {p}
 GROUP BY n.n_name, c.c_mktsegment"""
 
 
-@reg("sql_query", _S5_SQL.format(p="1000"))
+@reg("sql_query", _S5_SQL.format(p="1000", rev="round(sum(o.o_totalprice), 6)"))
 def q_sql_query(spark, sf):
     from ..sources.sql import sql_query
     for t in ("orders", "customer", "nation"):
         table(spark, sf, t).createOrReplaceTempView(t)
-    return sql_query(spark, _S5_SQL.format(p=":min_price"), {"min_price": 1000})
+    return r6(sql_query(spark, _S5_SQL.format(p=":min_price", rev="sum(o.o_totalprice)"), {"min_price": 1000}))
 
 
 @reg("csv_temp_view", """
