@@ -181,7 +181,10 @@ def hour_heatmap(df: DataFrame, measure: str, date: str = "LogDate", hour: str =
         dup = df.groupBy(date, hour).count().filter(F.col("count") > 1)
         if not dup.isEmpty():
             raise ValueError("duplicate (date, hour) cells in heat-map input")
-    return df.groupBy(date).pivot(hour, list(hours)).agg(F.max(F.col(measure)))
+    # explicit pivot as conditional aggregation: one aggregation (one exchange) instead of
+    # pivot's aggregate-then-pivot pair
+    return df.groupBy(date).agg(*[F.max(F.when(F.col(hour) == h, F.col(measure))).alias(h)
+                                  for h in hours])
 
 
 # W2 ------------------------------------------------------------------------------------
@@ -342,7 +345,8 @@ def month_pivot(df: DataFrame, category: str, value: str, month_1: str, month_2:
     # With a positive threshold a category without either month (0 and 0 after filling)
     # can never pass, so the aggregation only needs the two months' rows.
     piv_src = both if threshold > 0 else src
-    piv = (piv_src.groupBy(category).pivot(month, [m1, m2]).agg(F.avg(_num(value)))
+    piv = (piv_src.groupBy(category)
+           .agg(*[F.avg(F.when(F.col(month) == m, _num(value))).alias(m) for m in (m1, m2)])
            .na.fill(0, [m1, m2]))
     present = both.select(F.countDistinct(F.col(month))).scalar()
     piv = piv.filter(present == 2)
