@@ -53,6 +53,18 @@ def _with_interval(df: DataFrame, mean: str, sd: str, n: str, z: float) -> DataF
     return df.withColumns({"ci_lo": F.col(mean) - half, "ci_hi": F.col(mean) + half})
 
 
+def _bind_stats(df: DataFrame, source: DataFrame, name: str, **aggs: Column) -> DataFrame:
+    """Attach one-row statistics of ``source`` to ``df`` as the struct column ``name``.
+
+    The statistics form one struct-valued scalar subquery bound to a column once.  A
+    subquery Column referenced in several expressions is planned once per reference (and
+    Catalyst neither merges nor reuses the copies), so each reference would re-scan
+    ``source``; binding it first keeps it to a single pass.
+    """
+    stats = source.select(F.struct(*[c.alias(k) for k, c in aggs.items()])).scalar()
+    return df.withColumn(name, stats)
+
+
 # A1 + W1 -------------------------------------------------------------------------------
 def group_mean_rounded(df: DataFrame, group: str, value: str, out: str = "mean_value") -> DataFrame:
     """Mean per group rounded half-to-even to an integer, flagged against the mean of means.
@@ -68,11 +80,12 @@ def group_mean_rounded(df: DataFrame, group: str, value: str, out: str = "mean_v
 def vs_overall_mean(agg: DataFrame, value: str, flag: str = "flag",
                     diff: str | None = None) -> DataFrame:
     """Compare each (already aggregated) row with the mean over all rows."""
-    overall = agg.select(F.avg(F.col(value).cast("double"))).scalar()
-    out = agg.withColumn(flag, F.when(F.col(value) < overall, F.lit("red")).otherwise(F.lit("green")))
+    out = _bind_stats(agg, agg, "__s", overall=F.avg(F.col(value).cast("double")))
+    overall = F.col("__s.overall")
+    out = out.withColumn(flag, F.when(F.col(value) < overall, F.lit("red")).otherwise(F.lit("green")))
     if diff:
         out = out.withColumn(diff, F.col(value) - overall)
-    return out
+    return out.drop("__s")
 
 
 # A2 ------------------------------------------------------------------------------------
@@ -146,15 +159,19 @@ def stacked_histogram(df: DataFrame, group: str, value: str, bins: int = 50) ->
     v = _num(value)
     base = _drop_null_keys(df.select(F.col(group), v.alias("__v")), [group]).filter(
         F.col("__v").isNotNull())
-    mn = base.select(F.min("__v")).scalar()
-    mx = base.select(F.max("__v")).scalar()
+    base = _bind_stats(base, base, "__s", mn=F.min("__v"), mx=F.max("__v"))
+    mn, mx = F.col("__s.mn"), F.col("__s.mx")
     lo = F.when(mn == mx, mn - 0.5).otherwise(mn)
     hi = F.when(mn == mx, mx + 0.5).otherwise(mx)
-    width = (hi - lo) / F.lit(float(bins))
-    b = F.least(F.lit(bins - 1), F.floor((F.col("__v") - lo) / width).cast("int"))
-    counts = base.withColumn("bin", b).groupBy(F.col(group), "bin").agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumns({"bin_lo": lo + F.col("bin") * width,
-                               "bin_hi": lo + (F.col("bin") + 1) * width})
+    base = base.withColumns({"__lo": lo, "__w": (hi - lo) / F.lit(float(bins))})
+    b = F.least(F.lit(bins - 1), F.floor((F.col("__v") - F.col("__lo")) / F.col("__w")).cast("int"))
+    # the range travels through the aggregation as a constant (max of a constant), so the
+    # statistics pass runs once rather than once per reference
+    counts = base.withColumn("bin", b).groupBy(F.col(group), "bin").agg(
+        F.count(F.lit(1)).alias("n"), F.max("__lo").alias("__lo"), F.max("__w").alias("__w"))
+    return counts.withColumns({"bin_lo": F.col("__lo") + F.col("bin") * F.col("__w"),
+                               "bin_hi": F.col("__lo") + (F.col("bin") + 1) * F.col("__w")}) \
+        .drop("__lo", "__w")
 
 
 # A8 ------------------------------------------------------------------------------------
@@ -191,11 +208,12 @@ def hour_heatmap(df: DataFrame, measure: str, date: str = "LogDate", hour: str =
 def heat_contrast(df: DataFrame, measure: str, threshold: float | None = None,
                   out: str = "dark") -> DataFrame:
     """``dark`` when the min-max normalised cell exceeds the (normalised) threshold."""
-    mn = df.select(F.min(F.col(measure).cast("double"))).scalar()
-    mx = df.select(F.max(F.col(measure).cast("double"))).scalar()
-    norm = (F.col(measure).cast("double") - mn) / (mx - mn)
+    v = F.col(measure).cast("double")
+    bound = _bind_stats(df, df, "__s", mn=F.min(v), mx=F.max(v))
+    mn, mx = F.col("__s.mn"), F.col("__s.mx")
+    norm = (v - mn) / (mx - mn)
     thr = F.lit(0.5) if threshold is None else (F.lit(float(threshold)) - mn) / (mx - mn)
-    return df.withColumns({"norm": norm, out: norm > thr})
+    return bound.withColumn("norm", norm).withColumn(out, F.col("norm") > thr).drop("__s")
 
 
 # A9 ------------------------------------------------------------------------------------

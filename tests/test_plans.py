@@ -43,3 +43,15 @@ def test_numbering_is_range_partitioned(spark):
     # numbering stays dense
     got = sorted(r["rn"] for r in grouped_row_number(df, ["g"], ["o"], num_partitions=8).filter("g = 0").collect())
     assert got == list(range(1, 335))
+
+
+@pytest.mark.parametrize("key", ["stacked_histogram", "heat_contrast", "vs_overall_mean"])
+def test_global_statistics_run_once(spark, key):
+    # min/max/mean of the whole input form one bound scalar subquery, not one per reference
+    import re
+    q, _ = catalogue()
+    df = q[key](spark, SF_SMALL)
+    df.write.format("noop").mode("overwrite").save()
+    plan = plan_of(df)
+    assert plan.count("Subquery:") == 1
+    assert len(re.findall(r"^\(\d+\) Scan parquet", plan, re.M)) <= 2
