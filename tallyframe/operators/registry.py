@@ -42,15 +42,27 @@ def fill_registry(pairs: DataFrame, filesets: DataFrame, systems: DataFrame | No
 
 
 # J2 ------------------------------------------------------------------------------------
-def eligible_files(pairs: DataFrame, systems: DataFrame, filesets: DataFrame) -> DataFrame:
+def eligible_files(pairs: DataFrame, systems: DataFrame, filesets: DataFrame,
+                   files: DataFrame | None = None) -> DataFrame:
     """Active systems → their active filesets → active master fileset → its files,
-    kept when the file's version and collection lists admit the system's values."""
+    kept when the file's version and collection lists admit the system's values.
+
+    The files come either nested in ``filesets.files`` (a configuration-sized registry) or
+    as a flat table ``files`` (fileset, file_key, gitfile, dbsversion, collection, params),
+    which is the form for file lists that grow with the data: no per-fileset array is
+    ever built and the join stays an ordinary shuffle join on ``fileset``.
+    """
     s = systems.filter(is_active("active")).select("system", "dbsversion", "collection")
     p = pairs.filter(is_active("pair_active")).select("system", "fileset")
-    f = filesets.filter(is_active("active")).select(
-        "fileset", F.explode("files").alias("f")).select(
-        "fileset", "f.file_key", "f.gitfile", F.col("f.dbsversion").alias("file_versions"),
-        F.col("f.collection").alias("file_collections"), "f.params")
+    active = filesets.filter(is_active("active"))
+    if files is None:
+        f = active.select("fileset", F.explode("files").alias("f")).select(
+            "fileset", "f.file_key", "f.gitfile", F.col("f.dbsversion").alias("file_versions"),
+            F.col("f.collection").alias("file_collections"), "f.params")
+    else:
+        f = files.join(active.select("fileset"), "fileset", "left_semi").select(
+            "fileset", "file_key", "gitfile", F.col("dbsversion").alias("file_versions"),
+            F.col("collection").alias("file_collections"), "params")
     j = p.join(s, "system").join(f, "fileset")
     return j.filter(version_ok("file_versions", "dbsversion")
                     & version_ok("file_collections", "collection"))

@@ -36,27 +36,46 @@ def systems(spark, sf):
 def pairs(spark, sf):
     s, n, r = table(spark, sf, "supplier"), table(spark, sf, "nation"), table(spark, sf, "region")
     j = s.join(n, s.s_nationkey == n.n_nationkey).join(r, F.col("n_regionkey") == r.r_regionkey)
-    own = j.select(F.col("s_name").alias("system"), F.lower("n_name").alias("fileset"),
+    # each supplier owns its nation's fileset plus an (unknown) region fileset: both rows
+    # come from one pass over the join
+    own = F.struct(F.lower("n_name").alias("fileset"),
                    F.when(F.col("s_suppkey") % 7 == 0, "False").otherwise("True").alias("pair_active"))
-    unknown = j.select(F.col("s_name").alias("system"),
-                       F.concat(F.lit("region_"), F.lower("r_name")).alias("fileset"),
+    unknown = F.struct(F.concat(F.lit("region_"), F.lower("r_name")).alias("fileset"),
                        F.lit("True").alias("pair_active"))
-    return own.unionByName(unknown)
+    return j.select(F.col("s_name").alias("system"), F.explode(F.array(own, unknown)).alias("__p")) \
+        .select("system", "__p.fileset", "__p.pair_active")
 
 
 def filesets(spark, sf):
-    n, p = table(spark, sf, "nation"), table(spark, sf, "part")
-    files = p.select((F.col("p_size") % 25).alias("k"), F.struct(
+    n = table(spark, sf, "nation")
+    return n.select(F.lower("n_name").alias("fileset"),
+                    F.when(F.col("n_regionkey") == 4, "False").otherwise("True").alias("active"))
+
+
+# J2 registries: one fileset per supplier ("fs<suppkey>") whose files are the parts that
+# supplier sells in lineitem.  Every fileset has its own systems, so eligible files grow
+# linearly with lineitem instead of as (systems × files) per shared fileset.
+def _fs_name(key: str):
+    return F.concat(F.lit("fs"), F.col(key).cast("string"))
+
+
+def j2_registry(spark, sf):
+    s, n = table(spark, sf, "supplier"), table(spark, sf, "nation")
+    li, p = table(spark, sf, "lineitem"), table(spark, sf, "part")
+    pairs2 = s.select(F.col("s_name").alias("system"), _fs_name("s_suppkey").alias("fileset"),
+                      F.when(F.col("s_suppkey") % 7 == 0, "False").otherwise("True").alias("pair_active"))
+    filesets2 = s.join(n, s.s_nationkey == n.n_nationkey).select(
+        _fs_name("s_suppkey").alias("fileset"),
+        F.when(F.col("n_regionkey") == 4, "False").otherwise("True").alias("active"))
+    sold = li.select("l_suppkey", "l_partkey").distinct()
+    files2 = sold.join(p, sold.l_partkey == p.p_partkey).select(
+        _fs_name("l_suppkey").alias("fileset"),
         F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("file_key"),
         F.concat(F.lit("sql/p"), F.col("p_partkey").cast("string"), F.lit(".q.sql")).alias("gitfile"),
         F.when(F.col("p_size") < 10, None).otherwise(F.array(F.lit("16.20"), F.lit("15.10"))).alias("dbsversion"),
         F.when(F.col("p_size") > 40, F.array(F.lit("daily"))).otherwise(None).alias("collection"),
-        F.create_map(F.lit("brand"), F.col("p_brand")).alias("params")).alias("f"))
-    per = files.groupBy("k").agg(F.collect_list("f").alias("files"))
-    return n.join(per, n.n_nationkey == per.k, "left").select(
-        F.lower("n_name").alias("fileset"),
-        F.when(F.col("n_regionkey") == 4, "False").otherwise("True").alias("active"),
-        F.coalesce("files", F.array().cast(per.schema["files"].dataType)).alias("files"))
+        F.create_map(F.lit("brand"), F.col("p_brand")).alias("params"))
+    return pairs2, filesets2, files2
 
 
 # --- derived registries (DuckDB) -------------------------------------------------------
@@ -73,13 +92,28 @@ pairs AS (
   SELECT s_name, 'region_' || lower(r_name), 'True'
   FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
 filesets AS (
-  SELECT lower(n_name) AS fileset, CASE WHEN n_regionkey = 4 THEN 'False' ELSE 'True' END AS active,
-         n_nationkey FROM nation),
+  SELECT lower(n_name) AS fileset, CASE WHEN n_regionkey = 4 THEN 'False' ELSE 'True' END AS active
+  FROM nation)
+"""
+
+_J2_SQL = """
+WITH systems AS (
+  SELECT s_name AS system, CASE WHEN s_acctbal >= 0 THEN 'True' ELSE 'False' END AS active,
+         CASE WHEN s_nationkey < 12 THEN '16.20' ELSE '17.10' END AS dbsversion,
+         CASE WHEN s_acctbal > 5000 THEN 'daily' ELSE 'hourly' END AS collection FROM supplier),
+pairs AS (
+  SELECT s_name AS system, 'fs' || CAST(s_suppkey AS VARCHAR) AS fileset,
+         CASE WHEN s_suppkey % 7 = 0 THEN 'False' ELSE 'True' END AS pair_active FROM supplier),
+filesets AS (
+  SELECT 'fs' || CAST(s_suppkey AS VARCHAR) AS fileset,
+         CASE WHEN n_regionkey = 4 THEN 'False' ELSE 'True' END AS active
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey),
 files AS (
-  SELECT p_size % 25 AS k, 'p' || CAST(p_partkey AS VARCHAR) AS file_key,
+  SELECT 'fs' || CAST(sp.l_suppkey AS VARCHAR) AS fileset, 'p' || CAST(p_partkey AS VARCHAR) AS file_key,
          'sql/p' || CAST(p_partkey AS VARCHAR) || '.q.sql' AS gitfile,
          CASE WHEN p_size < 10 THEN NULL ELSE ['16.20', '15.10'] END AS versions,
-         CASE WHEN p_size > 40 THEN ['daily'] ELSE NULL END AS collections FROM part)
+         CASE WHEN p_size > 40 THEN ['daily'] ELSE NULL END AS collections
+  FROM (SELECT DISTINCT l_suppkey, l_partkey FROM lineitem) sp JOIN part ON sp.l_partkey = p_partkey)
 """
 
 
@@ -96,15 +130,16 @@ def q_fill_registry(spark, sf):
     return R.fill_registry(pairs(spark, sf), filesets(spark, sf))
 
 
-@reg("eligible_files", _REG_SQL + """
+@reg("eligible_files", _J2_SQL + """
 SELECT p.system, p.fileset, f.file_key, f.gitfile
 FROM pairs p JOIN systems s ON p.system = s.system
-JOIN filesets fs ON p.fileset = fs.fileset JOIN files f ON f.k = fs.n_nationkey
+JOIN filesets fs ON p.fileset = fs.fileset JOIN files f ON f.fileset = fs.fileset
 WHERE lower(s.active) = 'true' AND lower(p.pair_active) = 'true' AND lower(fs.active) = 'true'
   AND coalesce(list_contains(f.versions, s.dbsversion), true)
   AND coalesce(list_contains(f.collections, s.collection), true)""")
 def q_eligible_files(spark, sf):
-    out = R.eligible_files(pairs(spark, sf), systems(spark, sf), filesets(spark, sf))
+    pairs2, filesets2, files2 = j2_registry(spark, sf)
+    out = R.eligible_files(pairs2, systems(spark, sf), filesets2, files=files2)
     return out.select("system", "fileset", "file_key", "gitfile")
 
 
