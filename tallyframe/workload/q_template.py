@@ -1,5 +1,6 @@
 """Script preparation (T2, T6, W6, J4 and the prepare composite) on scripts built from
-nation rows, includes from region rows and loop parameters from nation rows."""
+supplier rows (one script per supplier), includes from region rows and loop parameters from
+nation rows: the fan-out is five parameter rows per script, so the work grows with supplier."""
 
 from __future__ import annotations
 
@@ -23,13 +24,13 @@ def reg(name, sql=None):
 
 
 def scripts(spark, sf):
-    n = table(spark, sf, "nation")
-    k = F.col("n_regionkey").cast("string")
+    s = table(spark, sf, "supplier")
+    k = (F.col("s_nationkey") % 5).cast("string")
     text = F.concat(
-        F.lit("SELECT 1 AS a /*{{save:"), F.lower("n_name"), F.lit(".csv}}*/;\n ; "),
+        F.lit("SELECT 1 AS a /*{{save:"), F.lower("s_name"), F.lit(".csv}}*/;\n ; "),
         F.lit("SELECT '{x}' AS b /*{{file:inc_"), k, F.lit(".sql}}*/;"),
         F.lit("SELECT '{n_name}' AS c, {n_nationkey} AS k /*{{loop:nation_r"), k, F.lit("}}*/ ; "))
-    return n.select(F.col("n_name").alias("system"), text.alias("text"))
+    return s.select(F.col("s_name").alias("system"), text.alias("text"))
 
 
 def library(spark, sf):
@@ -47,11 +48,11 @@ def loop_params(spark, sf):
 
 _SCRIPTS_SQL = """
 WITH scripts AS (
-  SELECT n_name AS system,
-    'SELECT 1 AS a /*{{save:' || lower(n_name) || '.csv}}*/;' || chr(10) || ' ; ' ||
-    'SELECT ''{x}'' AS b /*{{file:inc_' || CAST(n_regionkey AS VARCHAR) || '.sql}}*/;' ||
-    'SELECT ''{n_name}'' AS c, {n_nationkey} AS k /*{{loop:nation_r' || CAST(n_regionkey AS VARCHAR) || '}}*/ ; ' AS text
-  FROM nation),
+  SELECT s_name AS system,
+    'SELECT 1 AS a /*{{save:' || lower(s_name) || '.csv}}*/;' || chr(10) || ' ; ' ||
+    'SELECT ''{x}'' AS b /*{{file:inc_' || CAST(s_nationkey % 5 AS VARCHAR) || '.sql}}*/;' ||
+    'SELECT ''{n_name}'' AS c, {n_nationkey} AS k /*{{loop:nation_r' || CAST(s_nationkey % 5 AS VARCHAR) || '}}*/ ; ' AS text
+  FROM supplier),
 fmt AS (
   SELECT system, list_filter(list_transform(string_split(text, ';'), lambda p:
       CASE WHEN regexp_replace(regexp_replace(p, '^\\s+|\\s+$', '', 'g'), '\\n\\n+', chr(10), 'g') = '' THEN ''
@@ -83,11 +84,11 @@ included AS (
 
 @reg("split_statements", """
 WITH scripts AS (
-  SELECT n_name AS system,
-    'SELECT 1 AS a /*{{save:' || lower(n_name) || '.csv}}*/;' || chr(10) || ' ; ' ||
-    'SELECT ''{x}'' AS b /*{{file:inc_' || CAST(n_regionkey AS VARCHAR) || '.sql}}*/;' ||
-    'SELECT ''{n_name}'' AS c, {n_nationkey} AS k /*{{loop:nation_r' || CAST(n_regionkey AS VARCHAR) || '}}*/ ; ' AS text
-  FROM nation)
+  SELECT s_name AS system,
+    'SELECT 1 AS a /*{{save:' || lower(s_name) || '.csv}}*/;' || chr(10) || ' ; ' ||
+    'SELECT ''{x}'' AS b /*{{file:inc_' || CAST(s_nationkey % 5 AS VARCHAR) || '.sql}}*/;' ||
+    'SELECT ''{n_name}'' AS c, {n_nationkey} AS k /*{{loop:nation_r' || CAST(s_nationkey % 5 AS VARCHAR) || '}}*/ ; ' AS text
+  FROM supplier)
 SELECT system, CAST(generate_subscripts(string_split(text, ';'), 1) AS INTEGER) AS stmt_no,
        unnest(string_split(text, ';')) AS raw FROM scripts""")
 def q_split_statements(spark, sf):
