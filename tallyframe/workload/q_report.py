@@ -1,5 +1,6 @@
-"""Report binding (T7, J6, J7, fill_report): template items built from nation rows, data
-cells from the region table rendered as its CSV cell grid."""
+"""Report binding (T7, J6, J7, fill_report): template items built from supplier rows (one
+text item and two table cells per supplier), data cells from the region table rendered as its
+CSV cell grid (the lookup side)."""
 
 from __future__ import annotations
 
@@ -23,26 +24,27 @@ def reg(name, sql=None):
 
 
 def items(spark, sf):
-    n = table(spark, sf, "nation")
-    r1 = (F.col("n_regionkey") + 1).cast("string")
-    extra = (F.when(F.col("n_nationkey") == 0, F.lit(" {{val:missing.csv[1:1]}}"))
-              .when(F.col("n_nationkey") == 1, F.lit(" {{val:region.csv[9:9]}}"))
-              .when(F.col("n_nationkey") == 2, F.lit(" {{pic:map.png}} {{foo:bar}} {{val:region.csv[x]}}"))
+    s = table(spark, sf, "supplier")
+    r1 = (F.col("s_nationkey") % 5 + 1).cast("string")
+    extra = (F.when(F.col("s_suppkey") == 1, F.lit(" {{val:missing.csv[1:1]}}"))
+              .when(F.col("s_suppkey") == 2, F.lit(" {{val:region.csv[9:9]}}"))
+              .when(F.col("s_suppkey") == 3, F.lit(" {{pic:map.png}} {{foo:bar}} {{val:region.csv[x]}}"))
               .otherwise(F.lit("")))
-    text = F.concat(F.lit("Nation "), F.col("n_name"), F.lit(" lies in {{val:region.csv["), r1,
+    text = F.concat(F.lit("Supplier "), F.col("s_name"), F.lit(" lies in {{val:region.csv["), r1,
                     F.lit(":2]}} (#{{val:region.csv["), r1, F.lit(":1]}})"), extra)
-    texts = n.select(F.lit("nations").alias("template"), F.col("n_nationkey").alias("item_no"),
+    key = F.col("s_suppkey").cast("long")
+    texts = s.select(F.lit("suppliers").alias("template"), key.alias("item_no"),
                      F.lit("text").alias("kind"), F.lit(0).cast("long").alias("row_no"),
                      F.lit(0).cast("long").alias("col_no"), text.alias("text"))
-    c0 = n.select(F.lit("nations").alias("template"), F.lit(100).cast("long").alias("item_no"),
-                  F.lit("cell").alias("kind"), F.col("n_nationkey").alias("row_no"),
+    c0 = s.select(F.lit("suppliers").alias("template"), F.lit(0).cast("long").alias("item_no"),
+                  F.lit("cell").alias("kind"), key.alias("row_no"),
                   F.lit(0).cast("long").alias("col_no"),
-                  F.when(F.col("n_nationkey") == 0, F.lit("{{col:region.csv[2]}}  "))
-                   .otherwise(F.col("n_name")).alias("text"))
-    c1 = n.select(F.lit("nations").alias("template"), F.lit(100).cast("long").alias("item_no"),
-                  F.lit("cell").alias("kind"), F.col("n_nationkey").alias("row_no"),
+                  F.when(F.col("s_suppkey") == 1, F.lit("{{col:region.csv[2]}}  "))
+                   .otherwise(F.col("s_name")).alias("text"))
+    c1 = s.select(F.lit("suppliers").alias("template"), F.lit(0).cast("long").alias("item_no"),
+                  F.lit("cell").alias("kind"), key.alias("row_no"),
                   F.lit(1).cast("long").alias("col_no"),
-                  F.when(F.col("n_nationkey") == 0, F.lit("{{col:region.csv[1]}}"))
+                  F.when(F.col("s_suppkey") == 1, F.lit("{{col:region.csv[1]}}"))
                    .otherwise(F.lit("")).alias("text"))
     return texts.unionByName(c0).unionByName(c1)
 
@@ -53,16 +55,17 @@ def cells(spark, sf):
 
 _ITEMS_SQL = """
 WITH items AS (
-  SELECT 'nations' AS template, n_nationkey AS item_no, 'text' AS kind, 0::BIGINT AS row_no, 0::BIGINT AS col_no,
-    'Nation ' || n_name || ' lies in {{val:region.csv[' || CAST(n_regionkey + 1 AS VARCHAR) || ':2]}} (#{{val:region.csv['
-      || CAST(n_regionkey + 1 AS VARCHAR) || ':1]}})' ||
-    CASE WHEN n_nationkey = 0 THEN ' {{val:missing.csv[1:1]}}' WHEN n_nationkey = 1 THEN ' {{val:region.csv[9:9]}}'
-         WHEN n_nationkey = 2 THEN ' {{pic:map.png}} {{foo:bar}} {{val:region.csv[x]}}' ELSE '' END AS text
-  FROM nation
-  UNION ALL SELECT 'nations', 100, 'cell', n_nationkey, 0,
-    CASE WHEN n_nationkey = 0 THEN '{{col:region.csv[2]}}  ' ELSE n_name END FROM nation
-  UNION ALL SELECT 'nations', 100, 'cell', n_nationkey, 1,
-    CASE WHEN n_nationkey = 0 THEN '{{col:region.csv[1]}}' ELSE '' END FROM nation),
+  SELECT 'suppliers' AS template, CAST(s_suppkey AS BIGINT) AS item_no, 'text' AS kind, 0::BIGINT AS row_no,
+    0::BIGINT AS col_no,
+    'Supplier ' || s_name || ' lies in {{val:region.csv[' || CAST(s_nationkey % 5 + 1 AS VARCHAR) || ':2]}} (#{{val:region.csv['
+      || CAST(s_nationkey % 5 + 1 AS VARCHAR) || ':1]}})' ||
+    CASE WHEN s_suppkey = 1 THEN ' {{val:missing.csv[1:1]}}' WHEN s_suppkey = 2 THEN ' {{val:region.csv[9:9]}}'
+         WHEN s_suppkey = 3 THEN ' {{pic:map.png}} {{foo:bar}} {{val:region.csv[x]}}' ELSE '' END AS text
+  FROM supplier
+  UNION ALL SELECT 'suppliers', 0, 'cell', CAST(s_suppkey AS BIGINT), 0,
+    CASE WHEN s_suppkey = 1 THEN '{{col:region.csv[2]}}  ' ELSE s_name END FROM supplier
+  UNION ALL SELECT 'suppliers', 0, 'cell', CAST(s_suppkey AS BIGINT), 1,
+    CASE WHEN s_suppkey = 1 THEN '{{col:region.csv[1]}}' ELSE '' END FROM supplier),
 cells AS (
   SELECT 'region.csv' AS file, 0::BIGINT AS row_no, 1::BIGINT AS col_no, 'r_regionkey' AS cell
   UNION ALL SELECT 'region.csv', 0, 2, 'r_name'
