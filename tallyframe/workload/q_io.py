@@ -268,14 +268,14 @@ def q_report_frame(spark, sf):
 
 
 @reg("apply_per_statement", """
-WITH s AS (SELECT lower(n_name) AS system, n_nationkey FROM nation)
+WITH s AS (SELECT lower(s_name) AS system, s_suppkey FROM supplier)
 SELECT system, 1 AS stmt_no, 'save' AS handler, system || '.csv' AS value FROM s
-UNION ALL SELECT system, 1, 'all_len', CAST(length('SELECT ' || CAST(n_nationkey AS VARCHAR) || ' AS k /*{{save:' || system || '.csv}}*/' || chr(10) || ';' || chr(10) || chr(10)) AS VARCHAR) FROM s
+UNION ALL SELECT system, 1, 'all_len', CAST(length('SELECT ' || CAST(s_suppkey AS VARCHAR) || ' AS k /*{{save:' || system || '.csv}}*/' || chr(10) || ';' || chr(10) || chr(10)) AS VARCHAR) FROM s
 UNION ALL SELECT system, 2, 'all_len', CAST(length('SELECT 2 AS b' || chr(10) || ';' || chr(10) || chr(10)) AS VARCHAR) FROM s""")
 def q_apply_per_statement(spark, sf):
-    n = table(spark, sf, "nation")
-    scripts = n.select(F.lower("n_name").alias("system"), F.concat(
-        F.lit("SELECT "), F.col("n_nationkey").cast("string"), F.lit(" AS k /*{{save:"), F.lower("n_name"),
+    sp = table(spark, sf, "supplier")
+    scripts = sp.select(F.lower("s_name").alias("system"), F.concat(
+        F.lit("SELECT "), F.col("s_suppkey").cast("string"), F.lit(" AS k /*{{save:"), F.lower("s_name"),
         F.lit(".csv}}*/; SELECT 2 AS b;")).alias("text"))
     st = TP.with_directives(TP.formatted_statements(scripts, ["system"]))
     handlers = {
@@ -288,13 +288,15 @@ def q_apply_per_statement(spark, sf):
 @reg("export_results")
 def q_export_results(spark, sf):
     d = scratch_dir(spark, "export-results")
-    for t in ("nation", "region"):
+    for t in ("supplier", "nation", "region"):
         table(spark, sf, t).createOrReplaceTempView(t)
     n = table(spark, sf, "region")
+    # one script per region (the control table); each statement's result grows with supplier
     scripts = n.select(F.lit("sys").alias("system"), F.lower("r_name").alias("fileset"),
                        F.lit("q.q.sql").alias("file"), F.concat(
-        F.lit("SELECT n_name FROM nation WHERE n_regionkey = "), F.col("r_regionkey").cast("string"),
-        F.lit(" /*{{load:stage.nations}}*/; SELECT * FROM region WHERE r_regionkey < 0;")).alias("text"))
+        F.lit("SELECT s_name, s_acctbal FROM supplier JOIN nation ON s_nationkey = n_nationkey "
+              "WHERE n_regionkey = "), F.col("r_regionkey").cast("string"),
+        F.lit(" /*{{load:stage.suppliers}}*/; SELECT * FROM region WHERE r_regionkey < 0;")).alias("text"))
     prepared = jobs.prepare_scripts(scripts, ["system", "fileset", "file"])
     log = jobs.export_results(spark, prepared, d)
     return log.select("fileset", "stmt_no", "output", "written", "load")

@@ -220,13 +220,15 @@ def q_layered_overlay(spark, sf):
 
 
 @reg("resolve_layers", """
-WITH subs AS (
-  SELECT n_nationkey AS target, 1 AS priority, 1 AS pos, 'name' AS key, n_name AS value FROM nation
-  UNION ALL SELECT n_nationkey, 1, 2, 'id', CAST(n_nationkey AS VARCHAR) FROM nation
-  UNION ALL SELECT n_nationkey, 2, 1, 'name', r_name FROM nation JOIN region ON n_regionkey = r_regionkey
-  UNION ALL SELECT n_nationkey, 2, 2, 'region', r_name FROM nation JOIN region ON n_regionkey = r_regionkey
-  UNION ALL SELECT n_nationkey, 3, 1, 'greeting', 'Hi {name} from {region}' FROM nation
-  UNION ALL SELECT n_nationkey, 3, 2, 'name', 'app' FROM nation)
+WITH sn AS (SELECT s_suppkey, n_name, r_name
+            FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+subs AS (
+  SELECT s_suppkey AS target, 1 AS priority, 1 AS pos, 'name' AS key, s_name AS value FROM supplier
+  UNION ALL SELECT s_suppkey, 1, 2, 'id', CAST(s_suppkey AS VARCHAR) FROM supplier
+  UNION ALL SELECT s_suppkey, 2, 1, 'name', n_name FROM sn
+  UNION ALL SELECT s_suppkey, 2, 2, 'region', r_name FROM sn
+  UNION ALL SELECT s_suppkey, 3, 1, 'greeting', 'Hi {name} from {region}' FROM supplier
+  UNION ALL SELECT s_suppkey, 3, 2, 'name', 'app' FROM supplier)
 SELECT target,
   replace(replace(replace(replace('{greeting} #{id} ({name}, {region})',
     '{name}', max(value) FILTER (WHERE priority = 1 AND key = 'name')),
@@ -236,35 +238,36 @@ SELECT target,
   CAST(4 AS INTEGER) AS n_pairs
 FROM subs GROUP BY target""")
 def q_resolve_layers(spark, sf):
-    n, r = table(spark, sf, "nation"), table(spark, sf, "region")
-    nr = n.join(r, n.n_regionkey == r.r_regionkey)
-    t = F.col("n_nationkey").alias("target")
-    subs = (n.select(t, F.lit(1).alias("priority"), F.lit(1).alias("pos"), F.lit("name").alias("key"),
-                     F.col("n_name").alias("value"))
-            .unionByName(n.select(t, F.lit(1).alias("priority"), F.lit(2).alias("pos"), F.lit("id").alias("key"),
-                                  F.col("n_nationkey").cast("string").alias("value")))
-            .unionByName(nr.select(t, F.lit(2).alias("priority"), F.lit(1).alias("pos"), F.lit("name").alias("key"),
-                                   F.col("r_name").alias("value")))
-            .unionByName(nr.select(t, F.lit(2).alias("priority"), F.lit(2).alias("pos"),
-                                   F.lit("region").alias("key"), F.col("r_name").alias("value")))
-            .unionByName(n.select(t, F.lit(3).alias("priority"), F.lit(1).alias("pos"),
-                                  F.lit("greeting").alias("key"), F.lit("Hi {name} from {region}").alias("value")))
-            .unionByName(n.select(t, F.lit(3).alias("priority"), F.lit(2).alias("pos"), F.lit("name").alias("key"),
-                                  F.lit("app").alias("value"))))
+    sp, n, r = table(spark, sf, "supplier"), table(spark, sf, "nation"), table(spark, sf, "region")
+    sn = sp.join(n, sp.s_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+    t = F.col("s_suppkey").alias("target")
+
+    def layer(src, priority, pos, key, value):
+        return src.select(t, F.lit(priority).alias("priority"), F.lit(pos).alias("pos"),
+                          F.lit(key).alias("key"), value.alias("value"))
+
+    subs = (layer(sp, 1, 1, "name", F.col("s_name"))
+            .unionByName(layer(sp, 1, 2, "id", F.col("s_suppkey").cast("string")))
+            .unionByName(layer(sn, 2, 1, "name", F.col("n_name")))
+            .unionByName(layer(sn, 2, 2, "region", F.col("r_name")))
+            .unionByName(layer(sp, 3, 1, "greeting", F.lit("Hi {name} from {region}")))
+            .unionByName(layer(sp, 3, 2, "name", F.lit("app"))))
     res = R.resolve_layers(subs, "target")
     return res.select("target", substitute(F.lit("{greeting} #{id} ({name}, {region})"), F.col("pairs")).alias("text"),
                       F.size("pairs").alias("n_pairs"))
 
 
 @reg("fill_defaults", """
-WITH settings AS (SELECT lower(r_name) AS key, CAST(r_regionkey AS VARCHAR) AS value FROM region WHERE r_regionkey < 3),
-required AS (SELECT lower(r_name) AS key, CASE WHEN r_regionkey = 4 THEN NULL ELSE 'dflt' END AS "default" FROM region)
+WITH settings AS (SELECT lower(s_name) AS key, CAST(s_nationkey AS VARCHAR) AS value FROM supplier
+                  WHERE s_acctbal >= 0),
+required AS (SELECT lower(s_name) AS key, CASE WHEN s_nationkey = 4 THEN NULL ELSE 'dflt' END AS "default"
+             FROM supplier)
 SELECT r.key, coalesce(s.value, r."default", '') AS value, s.value IS NULL AS was_missing
 FROM required r LEFT JOIN settings s ON r.key = s.key""")
 def q_fill_defaults(spark, sf):
-    r = table(spark, sf, "region")
-    settings = r.filter(F.col("r_regionkey") < 3).select(F.lower("r_name").alias("key"),
-                                                          F.col("r_regionkey").cast("string").alias("value"))
-    required = r.select(F.lower("r_name").alias("key"),
-                        F.when(F.col("r_regionkey") == 4, None).otherwise("dflt").alias("default"))
+    sp = table(spark, sf, "supplier")
+    settings = sp.filter(F.col("s_acctbal") >= 0).select(F.lower("s_name").alias("key"),
+                                                        F.col("s_nationkey").cast("string").alias("value"))
+    required = sp.select(F.lower("s_name").alias("key"),
+                         F.when(F.col("s_nationkey") == 4, None).otherwise("dflt").alias("default"))
     return R.fill_defaults(settings, required)

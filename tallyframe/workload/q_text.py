@@ -29,17 +29,17 @@ _TEMPLATE = "SELECT '{greeting}' AS g, {key} AS k, '{region}' AS r"
 
 
 @reg("substitute", """
-SELECT n_nationkey,
+SELECT s_suppkey,
   replace(replace(replace(replace('SELECT ''{greeting}'' AS g, {key} AS k, ''{region}'' AS r',
-    '{greeting}', 'Hello {name} of {region}'), '{name}', n_name), '{region}', r_name),
-    '{key}', CAST(n_nationkey AS VARCHAR)) AS sql
-FROM nation JOIN region ON n_regionkey = r_regionkey""")
+    '{greeting}', 'Hello {name} of {region}'), '{name}', s_name), '{region}', r_name),
+    '{key}', CAST(s_suppkey AS VARCHAR)) AS sql
+FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
 def q_substitute(spark, sf):
-    n, r = table(spark, sf, "nation"), table(spark, sf, "region")
-    j = n.join(r, n.n_regionkey == r.r_regionkey)
-    pairs = [("greeting", "Hello {name} of {region}"), ("name", F.col("n_name")),
-             ("region", F.col("r_name")), ("key", F.col("n_nationkey"))]
-    return j.select("n_nationkey", X.substitute(F.lit(_TEMPLATE), pairs).alias("sql"))
+    s, n, r = table(spark, sf, "supplier"), table(spark, sf, "nation"), table(spark, sf, "region")
+    j = s.join(n, s.s_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+    pairs = [("greeting", "Hello {name} of {region}"), ("name", F.col("s_name")),
+             ("region", F.col("r_name")), ("key", F.col("s_suppkey"))]
+    return j.select("s_suppkey", X.substitute(F.lit(_TEMPLATE), pairs).alias("sql"))
 
 
 def _stmt_text_spark():
@@ -256,20 +256,20 @@ def q_bool_text(spark, sf):
 
 
 @reg("split_table_ref", """
-WITH r AS (SELECT n_nationkey, CASE WHEN n_regionkey < 2 THEN lower(n_name)
-                                     ELSE 'sch' || CAST(n_regionkey AS VARCHAR) || '.' || lower(n_name) END AS ref
-           FROM nation)
-SELECT n_nationkey, ref,
+WITH r AS (SELECT s_suppkey, CASE WHEN s_nationkey < 10 THEN lower(s_name)
+                                  ELSE 'sch' || CAST(s_nationkey AS VARCHAR) || '.' || lower(s_name) END AS ref
+           FROM supplier)
+SELECT s_suppkey, ref,
        CASE WHEN len(string_split(ref, '.')) >= 2 THEN string_split(ref, '.')[1] ELSE 'dflt' END AS schema_name,
        CASE WHEN len(string_split(ref, '.')) >= 2 THEN string_split(ref, '.')[2] ELSE ref END AS table_name
 FROM r""")
 def q_split_table_ref(spark, sf):
-    n = table(spark, sf, "nation")
-    ref = F.when(F.col("n_regionkey") < 2, F.lower("n_name")).otherwise(
-        F.concat(F.lit("sch"), F.col("n_regionkey").cast("string"), F.lit("."), F.lower("n_name")))
-    s = n.select("n_nationkey", ref.alias("ref"))
+    sp = table(spark, sf, "supplier")
+    ref = F.when(F.col("s_nationkey") < 10, F.lower("s_name")).otherwise(
+        F.concat(F.lit("sch"), F.col("s_nationkey").cast("string"), F.lit("."), F.lower("s_name")))
+    s = sp.select("s_suppkey", ref.alias("ref"))
     t = X.split_table_ref("ref", "dflt")
-    return s.select("n_nationkey", "ref", t["schema"].alias("schema_name"), t["table"].alias("table_name"))
+    return s.select("s_suppkey", "ref", t["schema"].alias("schema_name"), t["table"].alias("table_name"))
 
 
 @reg("pad_array", """
