@@ -41,9 +41,13 @@ def csv_scan(spark: SparkSession, path: str, infer: bool = True, dates_as_text:
 
 
 # S2 ------------------------------------------------------------------------------------
-def csv_cells(spark: SparkSession, path: str, sep: str = ",", multiline: bool = False) -> DataFrame:
+def csv_cells(spark: SparkSession, path: str, sep: str = ",", multiline: bool = False,
+              with_path: bool = False) -> DataFrame:
     """Every cell of every CSV file as text: (file, row_no, col_no, cell).
 
+    Files are told apart by their full path (same-named files in different folders stay
+    separate); ``with_path`` adds that path as a ``path`` column.
+
     Row 0 is the header line, columns count from 1.  Row numbers are exact and
     distributed: each row remembers its split (``_metadata.file_block_start``) and its
     position inside the split, and ``grouped_row_number`` numbers them per file without
@@ -52,15 +56,17 @@ def csv_cells(spark: SparkSession, path: str, sep: str = ",", multiline: bool =
     meant for report-sized files; the numbering is the same.
     """
     raw = (spark.read.option("header", False).option("escape", '"').option("sep", sep)
-           .option("multiLine", multiline).csv(path)
-           .select("*", F.col("_metadata.file_name").alias("__file"),
+           .option("multiLine", multiline).option("recursiveFileLookup", True).csv(path)
+           .select("*", F.col("_metadata.file_path").alias("__path"),
                    F.col("_metadata.file_block_start").alias("__blk"),
                    F.monotonically_increasing_id().alias("__mid")))
     data_cols = [c for c in raw.columns if not c.startswith("__")]
-    ranked = grouped_row_number(raw, ["__file"], ["__blk", "__mid"], out="__rn")
-    return ranked.select(F.col("__file").alias("file"), (F.col("__rn") - 1).alias("row_no"),
-                         F.posexplode(F.array(*[F.col(c) for c in data_cols])).alias("__p", "cell")) \
-        .select("file", "row_no", (F.col("__p") + 1).alias("col_no"), "cell")
+    ranked = grouped_row_number(raw, ["__path"], ["__blk", "__mid"], out="__rn")
+    out = ranked.select(F.element_at(F.split("__path", "/"), -1).alias("file"), F.col("__path").alias("path"),
+                        (F.col("__rn") - 1).alias("row_no"),
+                        F.posexplode(F.array(*[F.col(c) for c in data_cols])).alias("__p", "cell"))
+    cols = ["file"] + (["path"] if with_path else [])
+    return out.select(*cols, "row_no", (F.col("__p") + 1).alias("col_no"), "cell")
 
 
 # S3 ------------------------------------------------------------------------------------

@@ -50,13 +50,21 @@ def q_csv_scan(spark, sf):
 
 
 @reg("csv_cells", """
-SELECT 0::BIGINT AS row_no, 1 AS col_no, 'r_regionkey' AS cell UNION ALL SELECT 0, 2, 'r_name'
-UNION ALL SELECT row_number() OVER (ORDER BY r_regionkey), 1, CAST(r_regionkey AS VARCHAR) FROM region
-UNION ALL SELECT row_number() OVER (ORDER BY r_regionkey), 2, r_name FROM region""")
+WITH s AS (SELECT CAST(s_nationkey AS INTEGER) AS s_nationkey, s_suppkey, s_name FROM supplier)
+SELECT DISTINCT s_nationkey, 0::BIGINT AS row_no, 1 AS col_no, 's_suppkey' AS cell FROM s
+UNION ALL SELECT DISTINCT s_nationkey, 0, 2, 's_name' FROM s
+UNION ALL SELECT s_nationkey, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey), 1,
+                 CAST(s_suppkey AS VARCHAR) FROM s
+UNION ALL SELECT s_nationkey, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey), 2, s_name FROM s""")
 def q_csv_cells(spark, sf):
     d = scratch_dir(spark, "csv-cells")
-    _csv(table(spark, sf, "region").orderBy("r_regionkey"), d, single=True)
-    return S.csv_cells(spark, d).select("row_no", "col_no", "cell")
+    # one CSV per nation, rows in supplier-key order inside each file
+    s = table(spark, sf, "supplier").select("s_nationkey", "s_suppkey", "s_name")
+    (s.repartition("s_nationkey").sortWithinPartitions("s_nationkey", "s_suppkey").write.mode("overwrite")
+       .partitionBy("s_nationkey").option("header", True).option("escape", '"').csv(d))
+    cells = S.csv_cells(spark, d, with_path=True)
+    nation = F.regexp_extract("path", r"s_nationkey=(\d+)", 1).cast("int")
+    return cells.select(nation.alias("s_nationkey"), "row_no", "col_no", "cell")
 
 
 @reg("delimiter_sniff")
