@@ -137,8 +137,10 @@ def script_scan(spark: SparkSession, root: str, pattern: str = "*.sql") -> DataF
     Hidden files are skipped by Spark's file index; ``key=value`` folder names (as written by
     ``partitionBy``) are read as their value.
     """
-    df = (spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-          .option("pathGlobFilter", pattern).text(root))
+    # wholetext goes through text()'s own keyword: text() sets it explicitly, so an earlier
+    # .option("wholetext", True) would be overridden
+    df = (spark.read.option("recursiveFileLookup", True)
+          .option("pathGlobFilter", pattern).text(root, wholetext=True))
     parts = F.split(F.col("_metadata.file_path"), "/")
     n = F.size(parts)
 

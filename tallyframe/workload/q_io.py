@@ -103,23 +103,28 @@ def q_sql_query(spark, sf):
 
 
 @reg("csv_temp_view", """
-SELECT CAST(n_nationkey AS BIGINT) AS n_nationkey, n_name, CAST(n_regionkey AS BIGINT) AS n_regionkey FROM nation""")
+SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey FROM supplier""")
 def q_csv_temp_view(spark, sf):
-    d = scratch_dir(spark, "tempview") + "/nation_csv.csv"
-    _csv(table(spark, sf, "nation"), d)
+    d = scratch_dir(spark, "tempview") + "/supplier_csv.csv"
+    _csv(table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey"), d)
     view = S.csv_temp_view(spark, d)
     return spark.sql(f"SELECT * FROM {view}")
 
 
 @reg("script_scan", """
-SELECT lower(n_name) AS system, 'r' || CAST(n_regionkey AS VARCHAR) AS fileset,
-       'SELECT ' || CAST(n_nationkey AS VARCHAR) AS text FROM nation""")
+SELECT 'n' || CAST(s_nationkey AS VARCHAR) AS system, 'b' || CAST(s_suppkey // 1000 AS VARCHAR) AS fileset,
+       string_agg('SELECT ' || CAST(s_suppkey AS VARCHAR), chr(10) ORDER BY s_suppkey) || chr(10) AS text
+FROM supplier GROUP BY 1, 2""")
 def q_script_scan(spark, sf):
     d = scratch_dir(spark, "scripts")
-    n = table(spark, sf, "nation").select(
-        F.lower("n_name").alias("system"), F.concat(F.lit("r"), F.col("n_regionkey").cast("string")).alias("fileset"),
-        F.concat(F.lit("SELECT "), F.col("n_nationkey").cast("string")).alias("value"))
-    n.repartition("system", "fileset").write.partitionBy("system", "fileset").text(d)
+    # one script per (nation, block of 1000 supplier keys): the number of files grows with
+    # supplier while each file stays bounded
+    sp = table(spark, sf, "supplier").select(
+        F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("system"),
+        F.concat(F.lit("b"), F.floor(F.col("s_suppkey") / 1000).cast("string")).alias("fileset"),
+        "s_suppkey", F.concat(F.lit("SELECT "), F.col("s_suppkey").cast("string")).alias("value"))
+    (sp.repartition("system", "fileset").sortWithinPartitions("system", "fileset", "s_suppkey")
+       .drop("s_suppkey").write.partitionBy("system", "fileset").text(d))
     return S.script_scan(spark, d, pattern="*.txt").select("system", "fileset", "text")
 
 
@@ -143,7 +148,10 @@ def q_drop_folder_scan(spark, sf):
 
 
 def _manifest_entries(spark, sf):
-    n = table(spark, sf, "nation")
+    # one entry per nation that has suppliers: the export log of per-nation result files
+    # (the manifest is one document, so its entries stay bounded while the work grows)
+    n = table(spark, sf, "nation").join(table(spark, sf, "supplier"),
+                                        F.col("n_nationkey") == F.col("s_nationkey"), "left_semi")
     return n.select(
         F.concat(F.lower("n_name"), F.lit(".csv")).alias("file"),
         F.when(F.col("n_regionkey") < 2, F.concat(F.lit("stage."), F.lower("n_name")))
@@ -157,7 +165,8 @@ _MANIFEST_SQL = """
 WITH e AS (
   SELECT lower(n_name) || '.csv' AS file,
          CASE WHEN n_regionkey < 2 THEN 'stage.' || lower(n_name) WHEN n_regionkey = 2 THEN '' ELSE lower(n_name) END AS tbl,
-         CASE WHEN n_regionkey = 1 THEN NULL ELSE 'merge_proc' END AS call, n_nationkey <> 7 AS written FROM nation)
+         CASE WHEN n_regionkey = 1 THEN NULL ELSE 'merge_proc' END AS call, n_nationkey <> 7 AS written FROM nation
+  WHERE n_nationkey IN (SELECT s_nationkey FROM supplier))
 """
 
 
@@ -179,29 +188,34 @@ def q_manifest_read(spark, sf):
     return S.manifest_read(spark, d, default_schema="dflt")
 
 
-@reg("result_export", "SELECT CAST(n_nationkey AS INTEGER) AS n_nationkey, n_name, CAST(n_regionkey AS INTEGER) AS n_regionkey FROM nation")
+@reg("result_export", "SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name, CAST(s_nationkey AS INTEGER) AS s_nationkey FROM supplier")
 def q_result_export(spark, sf):
     d = scratch_dir(spark, "export")
-    n = table(spark, sf, "nation")
-    assert K.result_export(n, d, "nation.csv")
-    assert not K.result_export(n.filter(F.col("n_nationkey") < 0), d, "empty.csv")
-    return S.csv_scan(spark, f"{d}/nation.csv")
+    sp = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    assert K.result_export(sp, d, "supplier.csv")
+    assert not K.result_export(sp.filter(F.col("s_suppkey") < 0), d, "empty.csv")
+    return S.csv_scan(spark, f"{d}/supplier.csv")
 
 
 def _target(spark, sf, name, loc):
-    spark.sql(f"CREATE TABLE {name} (n_nationkey BIGINT, n_name STRING, note STRING DEFAULT 'loaded', "
-              f"n_regionkey INT) USING parquet LOCATION '{loc}'")
+    spark.sql(f"CREATE TABLE {name} (s_suppkey BIGINT, s_name STRING, note STRING DEFAULT 'loaded', "
+              f"s_nationkey INT) USING parquet LOCATION '{loc}'")
     return name
 
 
-_TARGET_SQL = "SELECT n_nationkey, n_name, 'loaded' AS note, n_regionkey FROM nation"
+_TARGET_SQL = ("SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, s_name, 'loaded' AS note, "
+               "CAST(s_nationkey AS INTEGER) AS s_nationkey FROM supplier")
+
+
+def _suppliers(spark, sf):
+    return table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
 
 
 @reg("table_append", _TARGET_SQL)
 def q_table_append(spark, sf):
     d = scratch_dir(spark, "append")
     t = _target(spark, sf, f"tf_target_{uuid.uuid4().hex[:8]}", d)
-    K.table_append(spark, table(spark, sf, "nation"), t)
+    K.table_append(spark, _suppliers(spark, sf), t)
     return spark.table(t)
 
 
@@ -209,7 +223,7 @@ def q_table_append(spark, sf):
 def q_table_snapshot(spark, sf):
     d = scratch_dir(spark, "snap")
     t = _target(spark, sf, f"tf_target_{uuid.uuid4().hex[:8]}", d + "/t")
-    K.table_append(spark, table(spark, sf, "nation"), t)
+    K.table_append(spark, _suppliers(spark, sf), t)
     snap = K.table_snapshot(spark, t, "s1")
     K.table_snapshot(spark, t, "s1")  # second time: cleared and refilled, not doubled
     return spark.table(snap)
@@ -217,13 +231,13 @@ def q_table_snapshot(spark, sf):
 
 def _load_setup(spark, sf):
     d = scratch_dir(spark, "load")
-    n = table(spark, sf, "nation")
-    K.result_export(n, d + "/files", "nation.csv", single_file=True)
+    # the delivered result is a partitioned CSV directory (no single-writer file)
+    K.result_export(_suppliers(spark, sf), d + "/files", "supplier.csv")
     tname = f"tf_load_{uuid.uuid4().hex[:8]}"
     _target(spark, sf, tname, d + "/t")
     audit = f"tf_audit_{uuid.uuid4().hex[:8]}"
     spark.sql(f"CREATE TABLE {audit} (target STRING, n BIGINT) USING parquet LOCATION '{d}/audit'")
-    manifest = spark.createDataFrame([("nation.csv", "", tname, "merge_proc")],
+    manifest = spark.createDataFrame([("supplier.csv", "", tname, "merge_proc")],
                                      "file string, schema string, table string, call string")
 
     def merge_proc(s, target):
@@ -242,7 +256,7 @@ def q_staged_load(spark, sf):
     return spark.table(tname)
 
 
-@reg("after_load", "SELECT count(*) AS n FROM nation")
+@reg("after_load", "SELECT count(*) AS n FROM supplier")
 def q_after_load(spark, sf):
     d, tname, audit, manifest, hooks = _load_setup(spark, sf)
     K.staged_load(spark, manifest, d + "/files", hooks=hooks)
@@ -252,7 +266,7 @@ def q_after_load(spark, sf):
 @reg("load_manifest", _TARGET_SQL)
 def q_load_manifest(spark, sf):
     d, tname, _, _, hooks = _load_setup(spark, sf)
-    ent = spark.createDataFrame([("nation.csv", tname, "merge_proc", True)],
+    ent = spark.createDataFrame([("supplier.csv", tname, "merge_proc", True)],
                                 "file string, table string, call string, written boolean")
     K.manifest_write(ent, d + "/manifest")
     return jobs_load(spark, d, tname, hooks)

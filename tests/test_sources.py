@@ -85,3 +85,14 @@ def test_prepare_temp_directives(spark):
     out = {r["stmt_no"]: (r["sql"], r["status"]) for r in prepare_scripts(scripts, ["system"], temp_files=temps).collect()}
     assert out[1] == ("SELECT * FROM t1 /* above volatile table create script for t1.csv */\n;\n\n", "ok")
     assert out[2][1] == "error: temp file missing"
+
+
+def test_script_scan_reads_whole_multiline_scripts(spark, tmp_path):
+    d = tmp_path / "sysA" / "setB"
+    d.mkdir(parents=True)
+    body = "SELECT 1\n;\n\nSELECT 2 /*{{save:x.csv}}*/\n;\n"
+    (d / "a.q.sql").write_text(body)
+    (d / ".hidden.q.sql").write_text("SELECT 3;")
+    (d / "notes.txt").write_text("ignored")
+    rows = S.script_scan(spark, str(tmp_path), pattern="*.q.sql").collect()
+    assert [(r["system"], r["fileset"], r["file"], r["text"]) for r in rows] == [("sysA", "setB", "a.q.sql", body)]
