@@ -57,9 +57,9 @@ def _bind_stats(df: DataFrame, source: DataFrame, name: str, **aggs: Column) ->
     """Attach one-row statistics of ``source`` to ``df`` as the struct column ``name``.
 
     The statistics form one struct-valued scalar subquery bound to a column once.  A
-    subquery Column referenced in several expressions is planned once per reference (and
-    Catalyst neither merges nor reuses the copies), so each reference would re-scan
-    ``source``; binding it first keeps it to a single pass.
+    subquery Column referenced in several expressions is copied into the plan once per
+    reference; AQE deduplicates the copies at run time, but the plan (and its planning
+    work) grows with every reference.  Binding it first keeps the plan to one subquery.
     """
     stats = source.select(F.struct(*[c.alias(k) for k, c in aggs.items()])).scalar()
     return df.withColumn(name, stats)
@@ -342,9 +342,11 @@ def violin_density(df: DataFrame, group: str, value: str, gridsize: int = 100,
         (F.sum("__k") / (F.first("n") * F.first("bandwidth") * math.sqrt(2 * math.pi))).alias("density"))
     # at most gridsize rows per group: a per-group window here is bounded
     dens = dens.withColumn("width", F.col("density") / F.max("density").over(Window.partitionBy(group)))
-    quart = quantiles_from_counts(
-        base.groupBy(group, "__v").agg(F.count(F.lit(1)).alias("__c")), [group], "__v", "__c",
-        (0.25, 0.5, 0.75), ["q1", "median", "q3"]).drop("n")
+    # without prebinning the kernel's distinct-value table is the quartiles' input too: one
+    # frame, so its shuffle is planned once and reused
+    raw_cv = cv if not prebin else base.groupBy(group, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    quart = quantiles_from_counts(raw_cv, [group], "__v", "__c",
+                                  (0.25, 0.5, 0.75), ["q1", "median", "q3"]).drop("n")
     return (dens.join(quart, group, "left")
             .join(stats.select(group, "n", "bandwidth"), group, "left"))
 
