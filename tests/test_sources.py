@@ -96,3 +96,18 @@ def test_script_scan_reads_whole_multiline_scripts(spark, tmp_path):
     (d / "notes.txt").write_text("ignored")
     rows = S.script_scan(spark, str(tmp_path), pattern="*.q.sql").collect()
     assert [(r["system"], r["fileset"], r["file"], r["text"]) for r in rows] == [("sysA", "setB", "a.q.sql", body)]
+
+
+def test_csv_cells_keeps_same_named_files_apart(spark, tmp_path):
+    for k, rows in (("1", "a,b\n1,x\n2,y\n"), ("2", "a,b\n3,z\n")):
+        d = tmp_path / f"part={k}"
+        d.mkdir()
+        (d / "data.csv").write_text(rows)
+    got = S.csv_cells(spark, str(tmp_path), with_path=True).collect()
+    by_path = {}
+    for r in got:
+        assert r["file"] == "data.csv"
+        by_path.setdefault(r["path"].split("/")[-2], {})[(r["row_no"], r["col_no"])] = r["cell"]
+    # folder names are not read as a partition column, and each file is numbered on its own
+    assert by_path["part=1"] == {(0, 1): "a", (0, 2): "b", (1, 1): "1", (1, 2): "x", (2, 1): "2", (2, 2): "y"}
+    assert by_path["part=2"] == {(0, 1): "a", (0, 2): "b", (1, 1): "3", (1, 2): "z"}
