@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .filters import is_active, version_ok
@@ -37,8 +37,11 @@ def fill_registry(pairs: DataFrame, filesets: DataFrame, systems: DataFrame | No
     missing = wanted.join(pairs.select("system", "fileset"), ["system", "fileset"], "left_anti") \
         .withColumn("pair_active", F.lit("False")).withColumn("added", F.lit(True))
     filled = pairs.withColumn("added", F.lit(False)).unionByName(missing, allowMissingColumns=True)
-    # per-system row count: rows per system are bounded by the fileset registry
-    return filled.withColumn("n_filesets", F.count(F.lit(1)).over(Window.partitionBy("system")))
+    # per-system row count as a partial-aggregated count joined back, so no system's rows
+    # are gathered for a window; the counts (one row per system) are a materialized stage
+    # that AQE broadcasts when small, and a hot system is split by its skew-join handling
+    counts = filled.groupBy("system").agg(F.count(F.lit(1)).alias("n_filesets"))
+    return filled.join(counts, "system", "left")
 
 
 # J2 ------------------------------------------------------------------------------------
