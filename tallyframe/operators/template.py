@@ -80,14 +80,18 @@ def directive_rows(stmts: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 # T6 ------------------------------------------------------------------------------------
-def include_files(stmts: DataFrame, library: DataFrame, keys: Sequence[str]) -> DataFrame:
+def include_files(stmts: DataFrame, library: DataFrame, keys: Sequence[str],
+                  carry: Sequence[str] = ()) -> DataFrame:
     """Resolve ``file`` directives: the named text is inserted as its own statement before
     the one that names it, and the marker reads ``END file insert: <name>``.
 
     ``library`` holds ``(name, body)``.  A missing file leaves a warning status and the
-    statement unchanged.  Output rows: ``(keys..., stmt_no, sub_no, sql, status)``.
+    statement unchanged.  Output rows: ``(keys..., stmt_no, sub_no, sql, status, carry...)``;
+    the ``carry`` columns of a statement go onto its inserts too, so callers need no join
+    to bring statement metadata back.
     """
-    d = stmts.select(*keys, "stmt_no", "sql", F.explode_outer(F.filter(
+    carry = list(carry)
+    d = stmts.select(*keys, "stmt_no", "sql", *carry, F.explode_outer(F.filter(
         "directives", lambda x: x["kind"] == "file")).alias("d"))
     lib = library.select(F.col("name").alias("__name"), F.col("body").alias("__body"))
     j = d.join(lib, F.col("d.value") == F.col("__name"), "left")
@@ -95,12 +99,12 @@ def include_files(stmts: DataFrame, library: DataFrame, keys: Sequence[str]) ->
     inserts = files.filter(F.col("__body").isNotNull()).select(
         *keys, "stmt_no", F.lit(0).alias("sub_no"),
         F.concat(F.format_string(FILE_BEGIN, F.col("d.value")), F.col("__body")).alias("sql"),
-        F.lit("ok").alias("status"))
+        F.lit("ok").alias("status"), *carry)
     # apply every found include's marker rewrite to its statement
     marks = files.groupBy(*keys, "stmt_no").agg(
         F.collect_list(F.struct(F.col("d.key").alias("key"), F.col("d.value").alias("value"),
                                 F.col("__body").isNotNull().alias("found"))).alias("__m"))
-    base = stmts.select(*keys, "stmt_no", "sql").join(marks, [*keys, "stmt_no"], "left")
+    base = stmts.select(*keys, "stmt_no", "sql", *carry).join(marks, [*keys, "stmt_no"], "left")
     marks_or_none = F.coalesce(F.col("__m"), F.array().cast(
         "array<struct<key:string,value:string,found:boolean>>"))
     fixed = F.aggregate(marks_or_none, F.col("sql"),
@@ -110,7 +114,7 @@ def include_files(stmts: DataFrame, library: DataFrame, keys: Sequence[str]) ->
     status = F.when(F.exists(marks_or_none, lambda m: ~m["found"]),
                     F.lit("warning: file missing")).otherwise(F.lit("ok"))
     main = base.select(*keys, "stmt_no", F.lit(1).alias("sub_no"), fixed.alias("sql"),
-                       status.alias("status"))
+                       status.alias("status"), *carry)
     return inserts.unionByName(main)
 
 

@@ -41,12 +41,13 @@ def prepare_scripts(scripts: DataFrame, keys: Sequence[str], substitutions: Data
                 "array<struct<priority:int,pos:int,k:string,v:string>>")))).drop("pairs")
     st = TP.with_directives(TP.formatted_statements(src, list(keys)))
     st = st.withColumn("loop_file", F.get(F.filter("directives", lambda d: d["kind"] == "loop"), 0)["value"])
+    # statement metadata rides along through the include step (no join back)
+    carry = ["loop_file", "runtime", "directives"]
     if library is not None:
-        inc = TP.include_files(st, library, list(keys))
+        inc = TP.include_files(st, library, list(keys), carry=carry)
     else:
-        inc = st.select(*keys, "stmt_no", F.lit(1).alias("sub_no"), "sql", F.lit("ok").alias("status"))
-    meta = st.select(*keys, "stmt_no", "loop_file", "runtime", "directives")
-    inc = inc.join(meta, [*keys, "stmt_no"], "left")
+        inc = st.select(*keys, "stmt_no", F.lit(1).alias("sub_no"), "sql", F.lit("ok").alias("status"),
+                        *carry)
     if temp_files is not None:
         inc = TP.resolve_temp_tables(inc, temp_files, list(keys))
     inc = inc.drop("directives")
