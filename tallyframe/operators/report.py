@@ -37,11 +37,12 @@ def frame_cells(df: DataFrame, file: str, order: Sequence[str]) -> DataFrame:
 
 
 # T7 ------------------------------------------------------------------------------------
-def extract_placeholders(items: DataFrame) -> DataFrame:
+def extract_placeholders(items: DataFrame, carry: Sequence[str] = (), outer: bool = False) -> DataFrame:
     """Every ``{{tag:data}}``: searched in texts, whole-cell (right-trimmed) in table cells.
 
-    Output: item keys, ``ph_no``, ``pat``, ``tag``, ``file``, ``ref_row``, ``ref_col`` and
-    ``status`` (``ok`` or an error; errors do not stop the others).
+    Output: item keys, ``carry`` columns, ``ph_no``, ``pat``, ``tag``, ``file``, ``ref_row``,
+    ``ref_col`` and ``status`` (``ok`` or an error; errors do not stop the others).  With
+    ``outer`` an item without placeholders keeps one row whose ``pat`` and ``tag`` are null.
     """
     keys = ["template", "item_no", "kind", "row_no", "col_no"]
     rt = F.regexp_replace("text", r"\s+$", "")
@@ -49,14 +50,16 @@ def extract_placeholders(items: DataFrame) -> DataFrame:
                    F.when(rt.rlike("^" + PLACEHOLDER_PATTERN + "$"), F.array(rt))
                     .otherwise(F.array().cast("array<string>"))) \
              .otherwise(F.regexp_extract_all("text", F.lit(PLACEHOLDER_PATTERN), 0))
-    ph = items.select(*keys, F.posexplode(found).alias("ph_no", "pat"))
+    carry = list(carry)
+    explode = F.posexplode_outer if outer else F.posexplode
+    ph = items.select(*keys, *carry, explode(found).alias("ph_no", "pat"))
     tag = F.regexp_extract("pat", PLACEHOLDER_PATTERN, 1)
     data = F.regexp_extract("pat", PLACEHOLDER_PATTERN, 2)
     ph = ph.withColumns({"tag": tag, "data": data})
     col_ok = F.col("data").rlike(COL_SPEC)
     val_ok = F.col("data").rlike(VAL_SPEC)
     return ph.select(
-        *keys, "ph_no", "pat", "tag",
+        *keys, *carry, "ph_no", "pat", "tag",
         F.when(F.col("tag") == "pic", F.col("data"))
          .when(F.col("tag") == "col", F.nullif(F.regexp_extract("data", COL_SPEC, 1), F.lit("")))
          .when(F.col("tag") == "val", F.nullif(F.regexp_extract("data", VAL_SPEC, 1), F.lit("")))
@@ -80,19 +83,24 @@ def bind_values(items: DataFrame, cells: DataFrame) -> DataFrame:
     ``bad_cell`` (the text keeps that placeholder).  Output: one row per item with the
     bound ``text`` and the worst ``status``.
     """
-    ph = extract_placeholders(items).filter((F.col("tag") == "val") & (F.col("status") == "ok"))
+    # every item keeps one row (outer) and its text rides along, so the per-item result
+    # needs no join back to ``items``
+    ph = extract_placeholders(items, carry=["text"], outer=True).withColumn(
+        "__val", F.coalesce((F.col("tag") == "val") & (F.col("status") == "ok"), F.lit(False)))
     files = cells.select(F.col("file").alias("__f")).distinct().withColumn("__has", F.lit(True))
     c = cells.select(F.col("file").alias("__cf"), F.col("row_no").alias("__r"),
                      F.col("col_no").alias("__c"), "cell")
-    j = (ph.join(files, ph.file == files.__f, "left")
-           .join(c, (ph.file == c.__cf) & (ph.ref_row == c.__r) & (ph.ref_col == c.__c), "left"))
+    j = (ph.join(files, F.col("__val") & (ph.file == files.__f), "left")
+           .join(c, F.col("__val") & (ph.file == c.__cf) & (ph.ref_row == c.__r) & (ph.ref_col == c.__c),
+                 "left"))
     st = (F.when(F.col("__has").isNull(), F.lit("missing_file"))
            .when(F.col("cell").isNull(), F.lit("bad_cell")).otherwise(F.lit("ok")))
     keys = ["template", "item_no", "kind", "row_no", "col_no"]
-    reps = j.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("ph_no", "pat", "cell"))).alias("__reps"),
-        F.max(F.when(st == "bad_cell", 2).when(st == "missing_file", 1).otherwise(0)).alias("__worst"))
-    out = items.join(reps, keys, "left")
+    out = j.groupBy(*keys).agg(
+        F.first("text").alias("text"),
+        F.array_sort(F.collect_list(F.when(F.col("__val"), F.struct("ph_no", "pat", "cell")))).alias("__reps"),
+        F.max(F.when(F.col("__val"), F.when(st == "bad_cell", 2).when(st == "missing_file", 1)
+                     .otherwise(0))).alias("__worst"))
     bound = F.aggregate(F.coalesce("__reps", F.array().cast(
         "array<struct<ph_no:int,pat:string,cell:string>>")), F.col("text"),
         lambda acc, r: F.when(r["cell"].isNotNull(), F.replace(acc, r["pat"], r["cell"])).otherwise(acc))
