@@ -109,3 +109,21 @@ def test_mask_secrets_property(spark):
             # a lone secret of 3+ characters that cannot overlap itself never survives
             if len(s) >= 3 and all(s[:k] != s[-k:] for k in range(1, len(s))):
                 assert s not in m
+
+
+def test_resolve_layers_one_value_per_key(spark):
+    rnd = random.Random(11)
+    rows = [(rnd.randint(1, 4), rnd.randint(1, 3), pos, rnd.choice("abcd"), f"v{i}")
+            for i, pos in enumerate(rnd.randint(1, 5) for _ in range(400))]
+    subs = spark.createDataFrame(rows, "target int, priority int, pos int, key string, value string")
+    got = {r["target"]: r["pairs"] for r in R.resolve_layers(subs, "target").collect()}
+    for t in {r[0] for r in rows}:
+        keys = [p["k"] for p in got[t]]
+        assert len(keys) == len(set(keys))  # one value per key
+        for p in got[t]:
+            cands = [r for r in rows if r[0] == t and r[3] == p["k"]]
+            best = min((r[1], r[2]) for r in cands)
+            assert (p["priority"], p["pos"]) == best  # the strongest layer wins
+            assert p["v"] in {r[4] for r in cands if (r[1], r[2]) == best}
+        # pairs come ordered by (priority, pos)
+        assert [(p["priority"], p["pos"]) for p in got[t]] == sorted((p["priority"], p["pos"]) for p in got[t])
