@@ -166,7 +166,7 @@ def stacked_histogram(df: DataFrame, group: str, value: str, bins: int = 50) ->
     base = base.withColumns({"__lo": lo, "__w": (hi - lo) / F.lit(float(bins))})
     b = F.least(F.lit(bins - 1), F.floor((F.col("__v") - F.col("__lo")) / F.col("__w")).cast("int"))
     # the range travels through the aggregation as a constant (max of a constant), so the
-    # statistics pass runs once rather than once per reference
+    # plan keeps a single statistics subquery instead of one copy per reference
     counts = base.withColumn("bin", b).groupBy(F.col(group), "bin").agg(
         F.count(F.lit(1)).alias("n"), F.max("__lo").alias("__lo"), F.max("__w").alias("__w"))
     return counts.withColumns({"bin_lo": F.col("__lo") + F.col("bin") * F.col("__w"),
