@@ -2,23 +2,30 @@
 
 A window ``row_number() over (partition by g order by o)`` sends a whole group to one
 task.  When one group may hold a third of the table that task is the job.  Here the
-frame is range-partitioned on ``(g, o)`` instead, so a hot group is cut into many
-partitions; each partition numbers its own rows and a tiny table of per-partition
-offsets (one row per partition and group that meet) stitches the numbers together.
+ordered table is cut into slices at split points taken from a bounded random sample.  The
+split points are literals, so a row's slice is a plain column of that row: every scan, every
+retry and every plan sees the same slice, whichever exchange Spark reuses.
+
+A group that lies inside one slice needs no correction.  Only the groups that a split point
+cuts do, and there are at most as many as split points, so their per-slice sums are a small
+table of proven size (two rows a slice at most) that becomes literals as well: no join.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_PID = "__tf_pid"
-_POS = "__tf_pos"
-_FIRST = "__tf_first"
-_OFF = "__tf_off"
-_LOCALW = "__tf_localw"
+#: Sampled rows per slice; the sample is the only thing gathered (slices × this many keys).
+SAMPLE_PER_SLICE = 40
+
+_B = "__tf_slice"
+_TIE = "__tf_tie"
+_G = "__tf_g"
+_O = "__tf_o"
 
 
 def _cols(cs: Sequence[str | Column] | str | Column | None) -> list:
@@ -35,76 +42,115 @@ def _num_partitions(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+class _Sliced:
+    """A frame with its key columns and slice number, and the literals that go with them."""
+
+    def __init__(self, df: DataFrame, group: list, order: list, n: int):
+        self.columns = df.columns
+        cols = [F.col(f"`{c}`") for c in df.columns]
+        self.g = [f"{_G}{i}" for i in range(len(group))]
+        self.o = [f"{_O}{i}" for i in range(len(order))]
+        # the row's hash breaks ties, so a run of equal order keys can be cut too; only fully
+        # identical rows stay together, and those are interchangeable
+        keyed = df.select(*cols, *[F.expr(f"`{c}`").alias(a) if isinstance(c, str) else c.alias(a)
+                                   for c, a in zip(group + order, self.g + self.o)],
+                          F.xxhash64(*cols).alias(_TIE))
+        self.keys = [*self.g, *self.o, _TIE]
+        picked = (keyed.select(*self.keys).orderBy(F.rand(17)).limit(SAMPLE_PER_SLICE * n)
+                  .orderBy(*self.keys).collect()) if n > 1 else []
+        step = max(1, len(picked) // n)
+        splits = list(dict.fromkeys(tuple(r) for r in picked[step::step]))[:n - 1]
+        self.splits = splits
+        types = {f.name: f.dataType for f in keyed.schema.fields}
+
+        def literal(row, names):
+            return F.struct(*[F.lit(v).cast(types[c]).alias(c) for v, c in zip(row, names)])
+
+        bounds = F.array(*[literal(s, self.keys) for s in splits]) if splits else None
+        # binary search for the number of split points <= the row's key, as one expression
+        jumps = [1 << i for i in reversed(range(len(splits).bit_length()))]
+        at = F.lit(0)
+        if splits:
+            key = F.struct(*self.keys)
+            at = F.aggregate(F.array(*[F.lit(j) for j in jumps]), at, lambda b, j: F.when(
+                F.get(bounds, b + j - 1) <= key, b + j).otherwise(b))
+        self.df = keyed.withColumn(_B, at)
+        ng = len(self.g)
+        self.edges = [s[:ng] for s in splits]
+        self._edge_groups = [literal(e, self.g) for e in dict.fromkeys(self.edges)]
+        self._edge_array = F.array(*[literal(e, self.g) for e in self.edges]) if ng and splits else None
+
+    def at_edge(self, below: bool) -> Column:
+        """Whether the row's group is the one cut by the split point below (above) its slice."""
+        if not self.splits:
+            return F.lit(False)
+        if self._edge_array is None:
+            return (F.col(_B) > 0) if below else (F.col(_B) < len(self.splits))
+        here = F.get(self._edge_array, F.col(_B) - (1 if below else 0))
+        return F.coalesce(F.struct(*self.g).eqNullSafe(here) & here.isNotNull(), F.lit(False))
+
+    def carried(self, weight: Column, zero) -> tuple[Column, Column, Column]:
+        """(sum of the row's group in earlier slices, group total from below, from above).
+
+        One scan with partial aggregation; it keeps at most two groups a slice.
+        """
+        if not self.splits:
+            return F.lit(zero), F.lit(zero), F.lit(zero)
+        rows = self.df
+        if self._edge_array is not None:  # tested on the group alone, before any slice is computed
+            rows = rows.filter(F.struct(*self.g).isin(*self._edge_groups))
+        rows = rows.groupBy(_B, *self.g).agg(F.sum(weight).alias("__w")).collect()
+        part, total = defaultdict(dict), defaultdict(lambda: zero)
+        for r in rows:
+            g = repr(tuple(r[c] for c in self.g))
+            w = r["__w"] if r["__w"] is not None else zero
+            part[g][r[_B]] = w
+            total[g] += w
+        before, tot = [zero], []
+        for b, edge in enumerate(self.edges, start=1):
+            g = repr(tuple(edge))
+            before.append(sum((w for s, w in part[g].items() if s < b), zero))
+            tot.append(total[g])
+        at = lambda vals, i: F.get(F.array(*[F.lit(v) for v in vals]), i)
+        return (F.when(self.at_edge(True), at(before, F.col(_B))).otherwise(F.lit(zero)),
+                at(tot, F.col(_B) - 1), at(tot, F.col(_B)))
+
+    def restore(self, df: DataFrame, *more: Column) -> DataFrame:
+        return df.select(*[F.col(f"`{c}`") for c in self.columns], *more)
+
+
 def grouped_row_number(df: DataFrame, group_cols, order_cols, out: str = "rn",
                        num_partitions: int | None = None) -> DataFrame:
     """Add ``out`` = 1-based position of each row inside its group in ``order_cols`` order.
 
-    Equal to ``row_number() over (partition by group order by order)`` (ties broken
-    arbitrarily but consistently), without ever putting one group into one task.
-    With no group columns this is a global, gap-free row number.
+    Equal to ``row_number() over (partition by group order by order)`` (order ascending,
+    nulls first, ties broken by a hash of the row), without ever putting one group into one
+    task.  With no group columns this is a global, gap-free row number.  The input is read
+    three times (sample, counts at the cuts, numbering) and shuffled once.
     """
-    group = _cols(group_cols)
-    order = _cols(order_cols)
-    n = _num_partitions(df, num_partitions)
-    # A deterministic tiebreaker (hash of the whole row) lets the range partitioner cut a
-    # run of equal order keys too; only fully identical rows can still share a slice,
-    # and those are interchangeable.
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    gnames = [c if isinstance(c, str) else None for c in group]
-    if any(g is None for g in gnames):
-        raise ValueError("group columns must be given by name")
-    df = df.select(*cols, F.xxhash64(*cols).alias("__tf_tie"))
-    keys = group + order + ["__tf_tie"]
-    pid = F.spark_partition_id()
-    placed = (
-        df.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
-        # monotonically_increasing_id = (partition << 33) + position inside the partition
-        .select("*", pid.alias(_PID),
-                (F.monotonically_increasing_id() - F.shiftleft(pid.cast("long"), 33)).alias(_POS))
-    )
-    # One row per (partition, group) that meet: first position and count; offsets are
-    # the counts of the same group in earlier partitions.
-    w = (Window.partitionBy(*gnames).orderBy(_PID) if gnames else Window.orderBy(_PID)).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    blocks = placed.groupBy(_PID, *gnames).agg(
-        F.min(_POS).alias(_FIRST), F.count(F.lit(1)).alias("__tf_cnt")).select(
-        _PID, *gnames, _FIRST, (F.sum("__tf_cnt").over(w) - F.col("__tf_cnt")).alias(_OFF))
-    joined = placed.join(blocks, on=[_PID, *gnames], how="inner")
-    keep = [F.col(f"`{c}`") for c in df.columns if c != "__tf_tie"]
-    return joined.select(*keep, (F.col(_OFF) + F.col(_POS) - F.col(_FIRST) + 1).alias(out))
+    s = _Sliced(df, _cols(group_cols), _cols(order_cols), _num_partitions(df, num_partitions))
+    before, _, _ = s.carried(F.lit(1), 0)
+    w = Window.partitionBy(_B, *s.g).orderBy(*s.o, _TIE)
+    numbered = s.df.withColumn("__tf_rn", F.row_number().over(w))
+    return s.restore(numbered, (F.col("__tf_rn") + before).cast("long").alias(out))
 
 
 def grouped_cumulative(df: DataFrame, group_cols, order_cols, weight: str,
                        before: str = "cum_before", total: str | None = None,
                        num_partitions: int | None = None) -> DataFrame:
     """Add ``before`` = sum of ``weight`` over the earlier rows of the same group (and,
-    with ``total``, the group's whole weight).
-
-    Used on pre-aggregated ``(group, value, count)`` tables (exact quantiles), so the
-    frame is already reduced to distinct values.  Range partitioning splits a hot
-    group; a window partitioned by (partition id, group) then only ever sees one range
-    slice; the offsets table has one row per slice.
-    """
-    group = _cols(group_cols)
-    order = _cols(order_cols)
-    n = _num_partitions(df, num_partitions)
-    keys = group + order
-    placed = df.repartitionByRange(n, *keys).withColumn(_PID, F.spark_partition_id())
-    # slice totals straight from the range partitions: partial aggregation leaves one row
-    # per (partition, group) before the (tiny) exchange
-    blocks = placed.groupBy(_PID, *group).agg(F.sum(weight).alias("__tf_bw"))
-    # running sum up to the current row, minus the row itself (the "1 preceding" frame is
-    # markedly slower in the window operator than the current-row frame)
-    wl = Window.partitionBy(_PID, *group).orderBy(*order).rowsBetween(Window.unboundedPreceding,
-                                                                      Window.currentRow)
-    placed = placed.withColumn(_LOCALW, F.sum(weight).over(wl) - F.col(weight))
-    wb = Window.partitionBy(*group).orderBy(_PID) if group else Window.orderBy(_PID)
-    blocks = blocks.withColumn(_OFF, F.coalesce(
-        F.sum("__tf_bw").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    with ``total``, the group's whole weight).  Same slices as ``grouped_row_number``."""
+    s = _Sliced(df, _cols(group_cols), _cols(order_cols), _num_partitions(df, num_partitions))
+    zero = 0.0 if dict(df.dtypes)[weight] in ("double", "float") else 0
+    w_col = F.col(f"`{weight}`")
+    earlier, tot_below, tot_above = s.carried(w_col, zero)
+    part = Window.partitionBy(_B, *s.g)
+    running = part.orderBy(*s.o, _TIE).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    numbered = s.df.withColumn("__tf_run", F.sum(w_col).over(running) - w_col)
+    if total:
+        numbered = numbered.withColumn("__tf_all", F.sum(w_col).over(part))
+    more = [(earlier + F.col("__tf_run")).alias(before)]
     if total:
-        wt = Window.partitionBy(*group) if group else Window.partitionBy()
-        blocks = blocks.withColumn(total, F.sum("__tf_bw").over(wt))
-    blocks = blocks.drop("__tf_bw")
-    joined = placed.join(blocks, on=[_PID, *group], how="inner")
-    return joined.withColumn(before, F.col(_OFF) + F.col(_LOCALW)).drop(_PID, _LOCALW, _OFF)
+        more.append(F.when(s.at_edge(True), tot_below).when(s.at_edge(False), tot_above)
+                    .otherwise(F.col("__tf_all")).alias(total))
+    return s.restore(numbered, *more)
