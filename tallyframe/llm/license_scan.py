@@ -65,18 +65,18 @@ def _align(template: np.ndarray, text: np.ndarray, shift: int) -> tuple[int, int
     """Best local alignment within BAND of the diagonal text = template + shift: matched template
     words and the first and last matched word of the text.  A match scores 2, a mismatch or a gap
     -1; the band is advanced one template word at a time."""
-    best = (0, 0, -1, -1)  # score, matches, first, last
+    best = none = (0, 0, -1, -1)  # score, matches, first, last
     row: dict[int, tuple] = {}
     for i, t in enumerate(template.tolist()):
         now: dict[int, tuple] = {}
         for j in range(max(0, i + shift - BAND), min(len(text), i + shift + BAND + 1)):
-            cell = (0, 0, -1, -1)
-            score, n, first, last = row.get(j - 1, cell)
+            cell = none
+            score, n, first, last = row.get(j - 1, none)
             if int(text[j]) == t:
                 cell = (score + 2, n + 1, j if first < 0 or not score else first, j)
             elif score > 1:
                 cell = (score - 1, n, first, last)
-            for score, n, first, last in (row.get(j, (0,)), now.get(j - 1, (0,))):
+            for score, n, first, last in (row.get(j, none), now.get(j - 1, none)):
                 if score - 1 > cell[0]:
                     cell = (score - 1, n, first, last)
             if cell[0]:

@@ -50,7 +50,7 @@ def features(column: pa.Array) -> list[np.ndarray]:
     words = Words(*texts(column), byte_table("space"))
     out = [[] for _ in range(len(column))]
     if len(words.start):
-        ends = np.concatenate([[0], np.cumsum(_SHAPES[words.data])])
+        ends = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_SHAPES[words.data])])
         shapes = mix64(ends[words.end] - ends[words.start] + _U(1))
         grams = [(words.hash, 1)]
         for hashes, most in ((words.hash, 2), (shapes, 3)):
