@@ -1,7 +1,7 @@
 """Quality classifier: a linear support vector machine on naive Bayes features (operator 9).
 
 A document's features are hashed n-gram indicators: its words and word pairs, and runs of one to
-three word shapes (which symbols and digits a word carries).  Each indicator is scaled by the log
+three word shapes (which symbols and digits a word carries, whether it repeats the word before).  Each indicator is scaled by the log
 ratio of its smoothed frequencies in the two classes, and a linear hinge-loss model is fitted to
 the scaled indicators by dual coordinate descent.  A logistic curve fitted to the margins of
 sample rows that the model did not see turns margins into scores.
@@ -51,7 +51,10 @@ def features(column: pa.Array) -> list[np.ndarray]:
     out = [[] for _ in range(len(column))]
     if len(words.start):
         ends = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_SHAPES[words.data])])
-        shapes = mix64(ends[words.end] - ends[words.start] + _U(1))
+        same = np.zeros(len(words.hash), np.uint64)  # the word repeats the one before it
+        same[1:] = words.hash[1:] == words.hash[:-1]
+        same[words.first[:-1][np.diff(words.first) > 0]] = 0
+        shapes = mix64(ends[words.end] - ends[words.start] + same + _U(1))
         grams = [(words.hash, 1)]
         for hashes, most in ((words.hash, 2), (shapes, 3)):
             run = hashes
@@ -83,10 +86,10 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.shift, -60, 60)))
 
 
-def _descend(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, rng) -> tuple[np.ndarray, float]:
-    """Dual coordinate descent for min |w|^2 / 2 + sum cost_i * hinge(y_i (w x_i + bias))."""
-    share = np.where(y > 0, (y > 0).mean(), (y < 0).mean())
-    cost = COST * 0.5 / share  # both classes weigh the same
+def _descend(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, share: float, rng) -> tuple[np.ndarray, float]:
+    """Dual coordinate descent for min |w|^2 / 2 + sum cost_i * hinge(y_i (w x_i + bias)); the
+    classes weigh what they do among all labelled rows."""
+    cost = COST * np.where(y > 0, share / (y > 0).mean(), (1 - share) / (y < 0).mean())
     values = [ratio[x] / max(1.0, np.sqrt(len(x))) for x in rows]
     norm = np.array([float(v @ v) + 1 for v in values])
     w, bias, dual = np.zeros(DIMS, np.float64), 0.0, np.zeros(len(rows))
@@ -102,11 +105,12 @@ def _descend(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, rng) -> t
     return w, bias
 
 
-def _logistic(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of the score curve, by Newton steps on smoothed targets."""
+def _logistic(margin: np.ndarray, y: np.ndarray, share: float) -> tuple[float, float]:
+    """Slope and shift of the score curve, by Newton steps on smoothed targets; the classes weigh
+    what they do among all labelled rows (``share`` of 1s), not in the sample."""
     good, bad = (y > 0).sum(), (y < 0).sum()
     want = np.where(y > 0, (good + 1) / (good + 2), 1 / (bad + 2))
-    weight = np.where(y > 0, 0.5 / max(good, 1), 0.5 / max(bad, 1)) * len(y)
+    weight = np.where(y > 0, share / max(good, 1), (1 - share) / max(bad, 1)) * len(y)
     x, theta = np.stack([margin, np.ones_like(margin)], axis=1), np.array([1.0, 0.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ theta, -60, 60)))
@@ -116,11 +120,14 @@ def _logistic(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(max(theta[0], 1e-3)), float(theta[1])
 
 
-def fit(texts_: list[str], labels: list[int], seed: int = 7) -> Model:
-    """Model of texts labelled 1 or 0; without rows of both classes every score is the share of 1s."""
+def fit(texts_: list[str], labels: list[int], share: float | None = None, seed: int = 7) -> Model:
+    """Model of texts labelled 1 or 0, of which ``share`` are 1 in general (default: as given);
+    without texts of both classes every score is the share of 1s."""
     y = np.where(np.array(labels, int) == 1, 1.0, -1.0)
+    if share is None:
+        share = float((y > 0).mean()) if len(y) else 0.5
+    share = min(max(share, 0.001), 0.999)
     if not len(y) or len(set(y)) < 2:
-        share = min(max(float((y > 0).mean()) if len(y) else 0.5, 0.001), 0.999)
         return Model(np.zeros(DIMS, np.float32), 0.0, 1.0, float(np.log(share / (1 - share))))
     rng = np.random.default_rng(seed)
     rows = features(pa.array(texts_, pa.large_string()))
@@ -133,9 +140,9 @@ def fit(texts_: list[str], labels: list[int], seed: int = 7) -> Model:
         counts[int(y[i] > 0), rows[i]] += 1
     ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
     ratio[(counts == SMOOTH).all(axis=0)] = 0  # never seen
-    w, bias = _descend([rows[i] for i in learn], y[learn], ratio, rng)
+    w, bias = _descend([rows[i] for i in learn], y[learn], ratio, share, rng)
     model = Model((w * ratio).astype(np.float32), bias, 1.0, 0.0)
-    model.slope, model.shift = _logistic(np.array([model.margin(rows[i]) for i in kept]), y[kept])
+    model.slope, model.shift = _logistic(np.array([model.margin(rows[i]) for i in kept]), y[kept], share)
     return model
 
 
@@ -157,7 +164,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     chosen = sample(marks, "id", "label", FIT_DOCS, 2)
     rows = known.select("id", F.substring("text", 1, FIT_CHARS).alias("text")).join(
         F.broadcast(chosen), "id").orderBy("id", "text").select("text", "label").limit(2 * FIT_DOCS).collect()
-    return fit([r[0] for r in rows], [r[1] for r in rows])
+    return fit([r[0] for r in rows], [r[1] for r in rows], marks.agg(F.avg("label")).first()[0])
 
 
 def score_quality(docs: DataFrame, labels: DataFrame | None = None, model: Model | None = None,
