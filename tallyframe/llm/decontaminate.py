@@ -118,11 +118,13 @@ class _Items:
                 yield item, int(run[w]), min(size, width + self.k - 1), int(distance[w, m]), min(1.0, similarity)
 
 
-def _scan(batches, items: Sequence[tuple], k: int, threshold: float):
+def _found(batches, items: Sequence[tuple], k: int, threshold: float, text_col: str):
+    """(part of a batch, [(row, item, start, words, distance, similarity)]) with the best window of
+    each item in each text."""
     index, table = _Items(items, k), byte_table("space")
     for whole in batches:
-        for batch in slices(whole, "text"):
-            words = Words(*texts(batch.column("text")), table)
+        for batch in slices(whole, text_col):
+            words = Words(*texts(batch.column(text_col)), table)
             grams, _ = words.grams(k)
             at = np.searchsorted(index.known, grams)
             at[at == len(index.known)] = 0
@@ -137,12 +139,33 @@ def _scan(batches, items: Sequence[tuple], k: int, threshold: float):
                 for m in index.matches(grams[lo:hi - k + 1], at[lo:hi - k + 1], int(hi - lo), threshold):
                     if m[0] not in best or m[4] > best[m[0]][4]:
                         best[m[0]] = m
-                rows += [(batch.column("id")[int(d)].as_py(), index.ids[m[0]], *m[1:]) for m in best.values()]
-            cols = list(zip(*rows)) if rows else [()] * 6
-            yield pa.RecordBatch.from_arrays([
-                pa.array(cols[0], batch.schema.field("id").type), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()),
-                pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int32()), pa.array(cols[5], pa.float64())],
-                ["id", "item", "start_word", "n_words", "distance", "similarity"])
+                rows += [(int(d), index.ids[m[0]], *m[1:]) for m in best.values()]
+            yield batch, rows
+
+
+def _matches(batches, items, k, threshold):
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.float64()]
+    for batch, rows in _found(batches, items, k, threshold, "text"):
+        at, *cols = list(zip(*rows)) if rows else [()] * 6
+        yield pa.RecordBatch.from_arrays([
+            batch.column("id").take(pa.array(at, pa.int64())), *[pa.array(c, kind) for c, kind in zip(cols, kinds)]],
+            ["id", "item", "start_word", "n_words", "distance", "similarity"])
+
+
+def _clean(batches, items, k, threshold, text_col):
+    for batch, rows in _found(batches, items, k, threshold, text_col):
+        keep = np.ones(batch.num_rows, bool)
+        keep[[r[0] for r in rows]] = False
+        yield batch.filter(pa.array(keep))
+
+
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple]]:
+    """The benchmark's items, ITEM_BLOCK at a time; one empty block if there are none."""
+    rows = (tuple(r) for r in benchmark.select(F.col(item_col).cast("bigint"), text_col).filter(
+        F.col(text_col).isNotNull()).toLocalIterator())
+    yield list(islice(rows, ITEM_BLOCK))
+    while block := list(islice(rows, ITEM_BLOCK)):
+        yield block
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -164,11 +187,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     id_type = narrow.schema["id"].dataType.simpleString()
     schema = f"id {id_type}, item bigint, start_word bigint, n_words bigint, distance int, similarity double"
     found = None
-    rows = (tuple(r) for r in benchmark.select(F.col(item_col).cast("bigint"), item_text_col).filter(
-        F.col(item_text_col).isNotNull()).toLocalIterator())
-    while (block := list(islice(rows, ITEM_BLOCK))) or found is None:
-        one = narrow.mapInArrow(lambda it, b=block: _scan(it, b, words, threshold), schema)
+    for block in _blocks(benchmark, item_col, item_text_col):
+        one = narrow.mapInArrow(lambda it, b=block: _matches(it, b, words, threshold), schema)
         found = one if found is None else found.unionByName(one)
-        if len(block) < ITEM_BLOCK:
-            break
     return found.withColumnsRenamed({"id": id_col, "item": item_col})
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                  item_text_col: str = "text", words: int = 5, threshold: float = 0.8) -> DataFrame:
+    """``docs`` without the documents in which ``contaminated`` finds an item; no shuffle."""
+    for block in _blocks(benchmark, item_col, item_text_col):
+        docs = docs.mapInArrow(lambda it, b=block: _clean(it, b, words, threshold, text_col), docs.schema)
+    return docs

@@ -98,3 +98,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     return queued.withColumn("copies", copies_taken.cast("int")).select(
         F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "copies",
         (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def mix_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                  **options) -> DataFrame:
+    """The rows that the mix takes, each as often as it takes them, with the columns of ``docs``.
+
+    Rows are told apart by id, source and size; rows equal in all three are taken equally often,
+    as often as the one taken least.
+    """
+    plan = mix(docs, id_col, text_col, source_col, **options).filter("copies > 0").groupBy(
+        F.col(id_col).alias("__id"), F.col(source_col).alias("__source"), F.col("size").alias("__size")).agg(
+        F.min("copies").alias("__copies"))
+    here = (F.col(id_col).eqNullSafe(F.col("__id")) & F.col(source_col).eqNullSafe(F.col("__source"))
+            & (word_count(F.col(text_col)) == F.col("__size")))
+    taken = docs.join(plan, here).withColumn("__copy", F.explode(F.sequence(F.lit(1), "__copies")))
+    return taken.select(*[F.col(f"`{c}`") for c in docs.columns])

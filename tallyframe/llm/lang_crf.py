@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .hashing import Words, byte_table, mix64, slices, texts
 from .labels import held_out, sample
@@ -33,6 +34,8 @@ DIMS = 1 << 18
 BLOCK = 128
 
 UNKNOWN = "und"
+#: Columns that labelling adds.
+FOUND = {"lang_pred": T.StringType(), "score": T.DoubleType(), "n_letter_words": T.LongType(), "n_switched": T.LongType()}
 
 
 def _word_table() -> np.ndarray:
@@ -274,12 +277,12 @@ class Labeller:
         return marginals(self.e[index[keep]], first, self.model.transitions), first
 
 
-def _predict(batches, model: Model):
+def _predict(batches, model: Model, text_col: str):
     labeller = Labeller(model)
     names = np.array([*model.langs, UNKNOWN], object)
     for whole in batches:
-        for batch in slices(whole, "text"):
-            p, first = labeller.label(batch.column("text"))
+        for batch in slices(whole, text_col):
+            p, first = labeller.label(batch.column(text_col))
             n = np.diff(first)
             mean = np.zeros((len(n), max(1, len(model.langs))))
             if len(p):
@@ -293,8 +296,8 @@ def _predict(batches, model: Model):
                 other = own != np.repeat(best, n)
                 switched = np.diff(np.concatenate([[0], np.cumsum(other)])[first])
             yield pa.RecordBatch.from_arrays([
-                batch.column("id"), pa.array(names[best], pa.string()), pa.array(score), pa.array(n),
-                pa.array(switched)], ["id", "lang_pred", "score", "n_letter_words", "n_switched"])
+                *batch.columns, pa.array(names[best], pa.string()), pa.array(score), pa.array(n), pa.array(switched)],
+                [*batch.schema.names, *(f"crf_{c}" for c in FOUND)])
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
@@ -307,6 +310,12 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return fit([tuple(r) for r in rows.limit(FIT_DOCS * FIT_LANGS).collect()])
 
 
+def label_documents(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """``docs`` with the columns of FOUND, each name after a ``crf_``; one pass, no shuffle."""
+    fields = [T.StructField(f"crf_{c}", kind) for c, kind in FOUND.items()]
+    return docs.mapInArrow(lambda it: _predict(it, model, text_col), T.StructType(docs.schema.fields + fields))
+
+
 def identify(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text",
              lang_col: str = "lang") -> DataFrame:
     """One row per document: ``id_col, held_out, lang_pred, score, n_letter_words, n_switched``.
@@ -321,8 +330,15 @@ def identify(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id"
     """
     model = model or train(docs, id_col, text_col, lang_col)
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    id_type = narrow.schema["id"].dataType.simpleString()
-    found = narrow.mapInArrow(lambda it: _predict(it, model), (
-        f"id {id_type}, lang_pred string, score double, n_letter_words bigint, n_switched bigint"))
-    return found.select(F.col("id").alias(id_col), held_out("id").alias("held_out"), "lang_pred", "score",
-                        "n_letter_words", "n_switched")
+    found = label_documents(narrow, model)
+    return found.select(F.col("id").alias(id_col), held_out("id").alias("held_out"),
+                        *[F.col(f"crf_{c}").alias(c) for c in FOUND])
+
+
+def reject_unidentified(docs: DataFrame, least: float = 0.3, model: Model | None = None,
+                        id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``docs`` without the documents that are ``und`` or whose language scores below ``least``."""
+    model = model or train(docs, id_col, text_col, lang_col)
+    found = label_documents(docs, model, text_col)
+    return found.filter((F.col("crf_lang_pred") != UNKNOWN) & (F.col("crf_score") >= least)).select(
+        *[F.col(f"`{c}`") for c in docs.columns])
