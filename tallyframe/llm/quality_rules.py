@@ -31,7 +31,7 @@ RULES = (
     Rule("too_few_words", "n_words < 50"),
     Rule("repeated_windows", "100 * n_repeat_words > 50 * n_words"),
     Rule("symbols", "100 * n_symbols > 25 * n_words"),
-    Rule("duplicate_lines", "100 * n_dup_lines > 30 * n_lines"),
+    Rule("duplicate_lines", "100 * n_dup_lines > 50 * n_lines"),
     Rule("word_length", "word_chars < 2 * n_words or word_chars > 20 * n_words"),
 )
 
