@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 from ..session import scratch_dir
 from . import (chat_format, decontaminate, fair_mix, lang_crf, license_scan, near_dedup, quality_nbsvm,
                quality_rules, token_codes, warc)
+from .sql import SQL
+
+__all__ = ["QUERIES", "SQL"]
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -87,6 +90,3 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_chat_format, op2_token_codes, op3_license_scan, op4_decontaminate, op5_fair_mix, op6_lang_crf,
     op7_warc, op8_near_dedup, op9_quality_nbsvm, op10_quality_rules)}
-
-#: DuckDB SQL for the queries that SQL can express.
-SQL: dict[str, str] = {}
