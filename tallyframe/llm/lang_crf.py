@@ -117,12 +117,15 @@ def _softmax(x: np.ndarray, axis: int = -1) -> np.ndarray:
 def fit(rows: list[tuple[str, str]], seed: int = 7) -> Model:
     """Fit on (language, text) rows by minibatch gradient steps on the chains' log-likelihood."""
     langs = sorted({lang for lang, _ in rows})
+    if not langs:
+        nothing = np.zeros((0, 0), np.float32)
+        return Model([], nothing, np.zeros(0, np.uint64), np.zeros(0, np.int64), nothing, nothing)
     rng, label = np.random.default_rng(seed), {x: i for i, x in enumerate(langs)}
     words = Words(*texts(pa.array([t for _, t in rows], pa.large_string())), _word_table())
     distinct, sample_, which = np.unique(words.hash, return_index=True, return_inverse=True)
     plain = _letters(words, sample_)
     lettered = np.array([bool(p) for p in plain], bool)
-    of_row = np.repeat(np.array([label[x] for x, _ in rows]), np.diff(words.first))
+    of_row = np.repeat([label[x] for x, _ in rows], np.diff(words.first))
     halves = [[] for _ in langs]  # runs of CHAIN / 2 words of one document
     for (lang, _), lo, hi in zip(rows, words.first[:-1], words.first[1:]):
         own = which[lo:hi][lettered[which[lo:hi]]]
@@ -282,7 +285,10 @@ def _predict(batches, model: Model, text_col: str):
     names = np.array([*model.langs, UNKNOWN], object)
     for whole in batches:
         for batch in slices(whole, text_col):
-            p, first = labeller.label(batch.column(text_col))
+            if model.langs:
+                p, first = labeller.label(batch.column(text_col))
+            else:
+                p, first = np.zeros((0, 1)), np.zeros(batch.num_rows + 1, np.int64)
             n = np.diff(first)
             mean = np.zeros((len(n), max(1, len(model.langs))))
             if len(p):

@@ -101,7 +101,7 @@ class _Index:
         self.places = [r[1:] for r in rows]
 
     def matches(self, words: np.ndarray, grams: np.ndarray, least: float) -> Iterator[tuple]:
-        """(template, matched, first, last) of one text; the best of those that overlap."""
+        """(template, matched, first, last) of one text, not overlapping for one template."""
         at = _winnowed(grams)
         lo, hi = (np.searchsorted(self.grams, grams[at], side=s) for s in ("left", "right"))
         diagonals: dict[int, list[int]] = {}
@@ -109,20 +109,16 @@ class _Index:
             for template, place in self.places[lo[k]:hi[k]]:
                 diagonals.setdefault(template, []).append(int(at[k]) - place)
         for template, shifts in diagonals.items():
-            own, found, done = self.words[template], [], None
+            own, done, end = self.words[template], -BAND, -1
             for shift in sorted(shifts):
-                if done is not None and shift - done <= BAND // 2:
-                    continue  # the band about the last one covers this diagonal
-                done = shift
-                a = max(0, shift - BAND)
+                # the last alignment's band covers close diagonals, but for a repeat after its end
+                if shift - done <= BAND // 2 and not -1 < end < shift:
+                    continue
+                done, a = shift, max(0, shift - BAND, end + 1)
                 n, first, last = _align(own, words[a:shift + len(own) + BAND], shift - a)
                 if n >= least * len(own):
-                    found.append((n, first + a, last + a))
-            end = -1
-            for n, first, last in sorted(found, key=lambda f: (f[1], -f[0])):
-                if first > end:
-                    yield template, n, first, last
-                    end = last
+                    yield template, n, first + a, last + a
+                    end = last + a
 
 
 def _scan(batches, templates: Mapping[str, str], least: float):
