@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,8 @@ from .tables import written
 #: misses every bucket with probability (1 - 0.85 ** 8) ** 32 = 4e-5.
 BANDS, ROWS = 32, 8
 BINS = BANDS * ROWS
-#: Bins of the check bits, which discard most pairs without reading their sets.
-CHECK_BINS = 1024
+#: Bins and bits a bin of the check words, which discard most pairs without reading their sets.
+CHECK_BINS, CHECK_BITS = 1024, 4
 #: Star rounds with different centres before what is left is settled exactly.
 STAR_ROUNDS = 2
 
@@ -67,33 +68,38 @@ def _densify(registers: np.ndarray, full: np.ndarray) -> None:
 
 
 def _check_bits(s: np.ndarray) -> np.ndarray:
-    """Two bits of the smallest hash of each of CHECK_BINS bins, 64 bins to a word, by plane."""
+    """The low CHECK_BITS bits of the smallest hash of each bin, 64 bins to a word, by bit."""
     bins = (s >> np.uint64(32)) * np.uint64(CHECK_BINS) >> np.uint64(32)
     least = np.flatnonzero(np.diff(bins.astype(np.int64), prepend=-1))
-    planes = np.zeros((2, CHECK_BINS), np.uint8)
-    for plane in (0, 1):
+    planes = np.zeros((CHECK_BITS, CHECK_BINS), np.uint8)
+    for plane in range(CHECK_BITS):
         planes[plane, bins[least].astype(int)] = (s[least] >> np.uint64(plane)) & np.uint64(1)
     return np.packbits(planes).view(np.int64)
 
 
-def _could_link(percent: int, na: Column, nb: Column, a: Column, b: Column) -> Column:
-    """False only if the sets cannot reach the similarity.  A bin whose smallest hashes differ
-    holds a shingle that only one set has; if d shingles are not shared, both sets together
-    share at most (na + nb - d) / 2."""
+def _could_link(percent: int, a: str, b: str) -> Column:
+    """Whether the sets of the columns prefixed ``a`` and ``b`` may reach the similarity.  A bin
+    whose smallest hashes differ holds a shingle that only one set has; if d shingles are not
+    shared, both sets together share at most (na + nb - d) / 2."""
     words = CHECK_BINS // 64
-    differ = sum((F.bit_count(F.get(a, i).bitwiseXOR(F.get(b, i)).bitwiseOR(
-        F.get(a, i + words).bitwiseXOR(F.get(b, i + words)))) for i in range(words)), F.lit(0))
+    na, nb = F.col(f"{a}_n"), F.col(f"{b}_n")
+
+    def word(i: int) -> Column:
+        planes = [F.col(f"{a}_{i + words * p}").bitwiseXOR(F.col(f"{b}_{i + words * p}")) for p in range(CHECK_BITS)]
+        return F.bit_count(reduce(lambda x, y: x.bitwiseOR(y), planes))
+
+    differ = sum((word(i) for i in range(1, words)), word(0))
     return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & (
         (100 - percent) * (na + nb) >= (100 + percent) * differ)
 
 
-def _sketch_batches(batches, id_col: str, text_col: str, k: int):
+def _sketch_batches(batches, k: int):
     for whole in batches:
-        for batch in slices(whole, text_col):
+        for batch in slices(whole, "text"):
             n = batch.num_rows
             registers, full = np.zeros((n, BINS), np.uint64), np.zeros((n, BINS), bool)
             sizes, keys, checks = np.zeros(n, np.int64), [], []
-            for i, s in enumerate(_sets(batch.column(text_col), k)):
+            for i, s in enumerate(_sets(batch.column("text"), k)):
                 sizes[i] = len(s)
                 keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 bins = (s >> np.uint64(56)).astype(int) * BINS >> 8
@@ -107,9 +113,9 @@ def _sketch_batches(batches, id_col: str, text_col: str, k: int):
                 bands = bands * np.uint64(0xD6E8FEB86659FD93) + registers[:, j::ROWS]
             bands = mix64(bands * np.uint64(BANDS) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
             yield pa.RecordBatch.from_arrays([
-                batch.column(id_col), pa.array(sizes), pa.array(keys, pa.binary()), pa.array(checks, pa.list_(pa.int64())),
+                batch.column("id"), batch.column("hash"), pa.array(sizes), pa.array(keys, pa.binary()), pa.array(checks, pa.list_(pa.int64())),
                 pa.array([list(b) if size else None for b, size in zip(bands, sizes)], pa.list_(pa.int64()))],
-                ["id", "n", "key", "checks", "bands"])
+                ["id", "hash", "n", "key", "checks", "bands"])
 
 
 def _set_batches(batches, text_col: str, k: int):
@@ -127,9 +133,9 @@ class _Graph:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, k: int, percent: int):
         self.percent, narrow = percent, docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         id_type = narrow.schema["id"].dataType.simpleString()
-        self.rows = written(narrow.mapInArrow(
-            lambda it: _sketch_batches(it, "id", "text", k),
-            f"id {id_type}, n bigint, key binary, checks array<bigint>, bands array<bigint>"), "sketches")
+        self.rows = written(narrow.withColumn("hash", F.xxhash64("text")).mapInArrow(
+            lambda it: _sketch_batches(it, k),
+            f"id {id_type}, hash bigint, n bigint, key binary, checks array<bigint>, bands array<bigint>"), "sketches")
         classes = self.rows.filter("n > 0").groupBy("key").agg(
             F.min("id").alias("low"), F.first("n").alias("n"), F.first("checks").alias("checks"),
             F.first("bands").alias("bands"))
@@ -154,12 +160,13 @@ class _Graph:
         return written(m.join(several.select("bucket"), "bucket", "left_semi"), "open")
 
     def could_link(self) -> Column:
-        c = F.col
-        return _could_link(self.percent, c("a_n"), c("b_n"), c("a_checks"), c("b_checks"))
+        return _could_link(self.percent, "a", "b")
 
     def checks_of(self, side: str) -> DataFrame:
-        return self.checks.select(F.col("node").alias(side), F.col("n").alias(f"{side}_n"),
-                                  F.col("checks").alias(f"{side}_checks"))
+        """Set size and check words by node, as plain columns: cheap in a join condition."""
+        words = [F.coalesce(F.get("checks", i), F.lit(0).cast("long")).alias(f"{side}_{i}")
+                 for i in range(CHECK_BINS // 64 * CHECK_BITS)]
+        return self.checks.select(F.col("node").alias(side), F.coalesce("n", F.lit(0).cast("long")).alias(f"{side}_n"), *words)
 
     def link(self, pairs: DataFrame) -> None:
         """Confirm pairs ``(a, b, a_n, b_n)`` on the full sets; merge the components they join."""
@@ -205,6 +212,23 @@ class _Graph:
         self.link(a.join(b, here).select(*keep))
 
 
+def _components(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
+    """``(id, hash, n, component_id)`` of every row, hash that of its text."""
+    g = _Graph(docs, id_col, text_col, words, percent)
+    for number in range(STAR_ROUNDS):
+        if not g.star_round(number):
+            break
+    else:
+        g.settle()
+    # smallest document id of each component of classes, then back to the rows by set key
+    node_comp = g.nodes.select("node", "key", "low").join(g.comp, "node", "left").withColumn(
+        "comp", F.coalesce("comp", "node"))
+    lowest = node_comp.groupBy("comp").agg(F.min("low").alias("component_id"))
+    of_key = node_comp.join(lowest, "comp").select("key", "component_id")
+    return g.rows.select("id", "hash", "n", "key").join(of_key, "key", "left").select(
+        "id", "hash", "n", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     words: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: ``id_col``, ``n_shingles``, ``component_id``, ``kept``.
@@ -219,18 +243,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of one id with different texts are nodes of their own.  A null id sorts after all others; a
     component of null ids only has a null component id and is kept.  Other columns are ignored.
     """
-    g = _Graph(docs, id_col, text_col, words, percent)
-    for number in range(STAR_ROUNDS):
-        if not g.star_round(number):
-            break
-    else:
-        g.settle()
-    # smallest document id of each component of classes, then back to the rows by set key
-    node_comp = g.nodes.select("node", "key", "low").join(g.comp, "node", "left").withColumn(
-        "comp", F.coalesce("comp", "node"))
-    lowest = node_comp.groupBy("comp").agg(F.min("low").alias("component_id"))
-    of_key = node_comp.join(lowest, "comp").select("key", "component_id")
-    joined = g.rows.select("id", "n", "key").join(of_key, "key", "left")
-    comp_id = F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id"))
-    return joined.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), comp_id.alias("component_id"),
-                         F.col("id").eqNullSafe(comp_id).alias("kept"))
+    found = _components(docs, id_col, text_col, words, percent)
+    return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
+                        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                         words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with the one document kept of each component.  Rows are told apart by id and text."""
+    found = _components(docs, id_col, text_col, words, percent)
+    gone = found.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select("id", "hash").distinct()
+    here = F.col(id_col).eqNullSafe(F.col("__gone.id")) & (F.xxhash64(text_col) == F.col("__gone.hash"))
+    return docs.join(gone.alias("__gone"), here, "left_anti")
