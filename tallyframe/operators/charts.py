@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import classify_change, millions_label
 from .filters import both_over_threshold, group_value_filter
-from ..session import BROADCAST_ROW_LIMIT
+from ..session import materialise
 from .ranking import grouped_cumulative
 
 Z95 = 1.959963984540054  # two-sided 95% normal quantile
@@ -143,11 +143,11 @@ def daily_max(df: DataFrame, ts: str, series: str, value: str, grain: str = "hou
 
 # A6 ------------------------------------------------------------------------------------
 def share_by_group(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Sum per group and its share of the grand total (pie / donut)."""
+    """Sum per group and its share of the grand total (pie / donut); null if that is 0."""
     agg = _drop_null_keys(df, [group]).groupBy(group).agg(
         F.coalesce(F.sum(_num(value)), F.lit(0.0)).alias("total"))
     grand = agg.select(F.sum("total")).scalar()
-    return agg.withColumn("share", F.col("total") / grand)
+    return agg.withColumn("share", F.try_divide("total", grand))
 
 
 # A7 ------------------------------------------------------------------------------------
@@ -207,13 +207,15 @@ def hour_heatmap(df: DataFrame, measure: str, date: str = "LogDate", hour: str =
 # W2 ------------------------------------------------------------------------------------
 def heat_contrast(df: DataFrame, measure: str, threshold: float | None = None,
                   out: str = "dark") -> DataFrame:
-    """``dark`` when the min-max normalised cell exceeds the (normalised) threshold."""
+    """``dark`` when the min-max normalised cell exceeds the (normalised) threshold.  A constant
+    measure has no normalised value and no dark cell."""
     v = F.col(measure).cast("double")
     bound = _bind_stats(df, df, "__s", mn=F.min(v), mx=F.max(v))
     mn, mx = F.col("__s.mn"), F.col("__s.mx")
-    norm = (v - mn) / (mx - mn)
-    thr = F.lit(0.5) if threshold is None else (F.lit(float(threshold)) - mn) / (mx - mn)
-    return bound.withColumn("norm", norm).withColumn(out, F.col("norm") > thr).drop("__s")
+    norm = F.try_divide(v - mn, mx - mn)
+    thr = F.lit(0.5) if threshold is None else F.try_divide(F.lit(float(threshold)) - mn, mx - mn)
+    dark = F.when(mn == mx, F.lit(False)).otherwise(F.col("norm") > thr)
+    return bound.withColumn("norm", norm).withColumn(out, dark).drop("__s")
 
 
 # A9 ------------------------------------------------------------------------------------
@@ -263,52 +265,49 @@ def quantiles_from_counts(cv: DataFrame, keys: Sequence[str], value: str, count:
     return hit.groupBy(*keys).agg(F.first("__n").alias("n"), *aggs)
 
 
-def box_stats(df: DataFrame, group: str, measures: Sequence[str] | str,
-              whis: float = 1.5, max_boxes: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+def box_stats(df: DataFrame, group: str, measures: Sequence[str] | str, whis: float = 1.5) -> DataFrame:
     """Per group and measure: q1, median, q3, whisker ends and the number of outliers.
 
-    Whiskers reach the farthest data point within ``whis``·IQR of the box; points beyond
-    them are outliers.  Several measures are unpivoted into one long frame first.
+    Whiskers reach the farthest data point within ``whis``·IQR of the box, but never end
+    inside it; points beyond them are outliers.  Several measures are unpivoted into one long
+    frame first.
 
-    Two jobs: the quartiles (one row per box) are computed once and checkpointed to the
-    shared checkpoint folder, which both cuts the long lineage and gives their exact
-    size; when at most ``max_boxes`` they are broadcast to the whisker pass, so the
-    distinct-value table is never shuffled by box (a hot box would be one task).
+    The quartiles (one row per box) are written once.  The whisker pass joins the scan with
+    them, so its minima, maxima and counts combine before the shuffle and the table of values
+    is not shuffled again.
     """
     measures = [measures] if isinstance(measures, str) else list(measures)
     long = df.select(F.col(group), F.explode(F.array(*[
         F.struct(F.lit(m).alias("measure"), _num(m).alias("v")) for m in measures])).alias("__m")
     ).select(group, "__m.measure", "__m.v")
     keys = [group, "measure"]
-    # distinct values with counts (map-side combined) feed both passes
-    cv = (_drop_null_keys(long.filter(F.col("v").isNotNull()), keys)
-          .groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("__c")))
-    q = quantiles_from_counts(cv, keys, "v", "__c", (0.25, 0.5, 0.75), ["q1", "median", "q3"])
-    q = q.checkpoint(eager=True)
+    long = _drop_null_keys(long.filter(F.col("v").isNotNull()), keys)
+    cv = long.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("__c"))
+    q = materialise(quantiles_from_counts(cv, keys, "v", "__c", (0.25, 0.5, 0.75), ["q1", "median", "q3"]), "boxes")
     iqr = F.col("q3") - F.col("q1")
     fences = q.withColumns({"__lo": F.col("q1") - whis * iqr, "__hi": F.col("q3") + whis * iqr})
-    if q.count() <= max_boxes:
-        fences = F.broadcast(fences)
-    return cv.join(fences, keys, "inner").groupBy(*keys, "n", "q1", "median", "q3").agg(
-        F.min(F.when(F.col("v") >= F.col("__lo"), F.col("v"))).alias("whisker_lo"),
-        F.max(F.when(F.col("v") <= F.col("__hi"), F.col("v"))).alias("whisker_hi"),
-        F.coalesce(F.sum(F.when((F.col("v") < F.col("__lo")) | (F.col("v") > F.col("__hi")),
-                                F.col("__c"))), F.lit(0)).alias("n_outliers"))
+    return long.join(fences, keys, "inner").groupBy(*keys, "n", "q1", "median", "q3").agg(
+        F.min(F.when(F.col("v") >= F.col("__lo"), F.col("v"))).alias("__least"),
+        F.max(F.when(F.col("v") <= F.col("__hi"), F.col("v"))).alias("__most"),
+        F.count(F.when((F.col("v") < F.col("__lo")) | (F.col("v") > F.col("__hi")), 1)).alias("n_outliers")
+    ).select(*keys, "n", "q1", "median", "q3", F.least("q1", "__least").alias("whisker_lo"),
+             F.greatest("q3", "__most").alias("whisker_hi"), "n_outliers")
 
 
 # A10 -----------------------------------------------------------------------------------
 def violin_density(df: DataFrame, group: str, value: str, gridsize: int = 100,
-                   cut: float = 2.0, prebin: int | None = None,
-                   max_groups: int = BROADCAST_ROW_LIMIT) -> DataFrame:
+                   cut: float = 2.0, prebin: int | None = None) -> DataFrame:
     """Gaussian kernel density per group on ``gridsize`` points, plus quartiles.
 
     Bandwidth follows Scott's rule (sample sd · n^(-1/5)); the grid spans
-    min - cut·h … max + cut·h; ``width`` is the density scaled to the group's peak.
-    Work is linear in the number of distinct values (× gridsize) and fully
-    partial-aggregated.  The per-group statistics (one row per group) are checkpointed,
-    counted and — when at most ``max_groups`` — broadcast, so the distinct values are
-    never shuffled by group.  ``prebin`` (optional) snaps values onto that many bins per
-    group first — an approximation for very wide value sets, off by default.
+    min - cut·h … max + cut·h; ``width`` is the density scaled to the group's peak.  A group
+    without spread (one row, or all values equal) is one point of full width at its value,
+    with no density.
+
+    The grid is a set of sums per group, so rows are never multiplied and all of it combines
+    before the shuffle.  The per-group statistics are written once; the join with them
+    broadcasts if their bytes allow it.  ``prebin`` (optional) snaps values onto that many bins
+    per group first, an approximation for very wide value sets, off by default.
     """
     base = _drop_null_keys(df.select(F.col(group), _num(value).alias("__v")), [group]).filter(
         F.col("__v").isNotNull())
@@ -316,38 +315,30 @@ def violin_density(df: DataFrame, group: str, value: str, gridsize: int = 100,
         F.count(F.lit(1)).alias("n"), F.stddev_samp("__v").alias("__sd"),
         F.min("__v").alias("__min"), F.max("__v").alias("__max"))
     stats = stats.withColumn("bandwidth", F.col("__sd") * F.pow(F.col("n").cast("double"), -0.2))
-    stats = stats.withColumns({
-        "__glo": F.col("__min") - cut * F.col("bandwidth"),
-        "__step": ((F.col("__max") + cut * F.col("bandwidth"))
-                   - (F.col("__min") - cut * F.col("bandwidth"))) / F.lit(float(gridsize - 1))})
-    stats = stats.checkpoint(eager=True)
-    small = stats.count() <= max_groups
-    bstats = F.broadcast(stats) if small else stats
+    lo, hi = F.col("__min") - cut * F.col("bandwidth"), F.col("__max") + cut * F.col("bandwidth")
+    stats = materialise(stats.withColumns({"__glo": lo, "__step": (hi - lo) / F.lit(float(gridsize - 1))}), "violin")
     pts = base
     if prebin:
         pw = (F.col("__max") - F.col("__min")) / F.lit(float(prebin))
-        pts = (base.join(bstats.select(group, "__min", "__max"), group)
+        pts = (base.join(stats.select(group, "__min", "__max"), group)
                .withColumn("__v", F.when(pw > 0, F.col("__min") + (F.floor((F.col("__v") - F.col("__min")) / pw) + 0.5) * pw)
                            .otherwise(F.col("__v"))).select(group, "__v"))
-    cv = pts.groupBy(group, "__v").agg(F.count(F.lit(1)).alias("__c"))
-    grid = F.sequence(F.lit(0), F.lit(gridsize - 1))
-    kern = (cv.join(bstats.select(group, "n", "bandwidth", "__glo", "__step"), group, "inner")
-            .filter(F.col("bandwidth") > 0)
-            .withColumn("grid_idx", F.explode(grid))
-            .withColumn("grid_x", F.col("__glo") + F.col("grid_idx") * F.col("__step"))
-            .withColumn("__k", F.col("__c") * F.exp(
-                -0.5 * F.pow((F.col("grid_x") - F.col("__v")) / F.col("bandwidth"), 2))))
-    dens = kern.groupBy(group, "grid_idx").agg(
-        F.first("grid_x").alias("grid_x"),
-        (F.sum("__k") / (F.first("n") * F.first("bandwidth") * math.sqrt(2 * math.pi))).alias("density"))
-    # at most gridsize rows per group: a per-group window here is bounded
-    dens = dens.withColumn("width", F.col("density") / F.max("density").over(Window.partitionBy(group)))
-    # without prebinning the kernel's distinct-value table is the quartiles' input too: one
-    # frame, so its shuffle is planned once and reused
-    raw_cv = cv if not prebin else base.groupBy(group, "__v").agg(F.count(F.lit(1)).alias("__c"))
-    quart = quantiles_from_counts(raw_cv, [group], "__v", "__c",
-                                  (0.25, 0.5, 0.75), ["q1", "median", "q3"]).drop("n")
-    return (dens.join(quart, group, "left")
+    spread = stats.filter("bandwidth > 0").select(group, F.col("n").alias("__n"), "bandwidth", "__glo", "__step")
+    at = [F.col("__glo") + i * F.col("__step") for i in range(gridsize)]
+    sums = pts.join(spread, group).groupBy(group).agg(
+        F.array(*[F.sum(F.exp(-0.5 * F.pow((x - F.col("__v")) / F.col("bandwidth"), 2))) for x in at]).alias("__k"))
+    norm = F.col("__n") * F.col("bandwidth") * math.sqrt(2 * math.pi)
+    dens = sums.join(spread, group).select(group, F.posexplode("__k").alias("grid_idx", "__d"), (
+        F.array_max("__k") / norm).alias("__peak"), "__glo", "__step", norm.alias("__norm")).select(
+        group, "grid_idx", (F.col("__glo") + F.col("grid_idx") * F.col("__step")).alias("grid_x"),
+        (F.col("__d") / F.col("__norm")).alias("density"),
+        (F.col("__d") / F.col("__norm") / F.col("__peak")).alias("width"))
+    flat = stats.filter("bandwidth is null or not bandwidth > 0").select(
+        group, F.lit(0).alias("grid_idx"), F.col("__min").alias("grid_x"),
+        F.lit(None).cast("double").alias("density"), F.lit(1.0).alias("width"))
+    cv = base.groupBy(group, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    quart = quantiles_from_counts(cv, [group], "__v", "__c", (0.25, 0.5, 0.75), ["q1", "median", "q3"]).drop("n")
+    return (dens.unionByName(flat).join(quart, group, "left")
             .join(stats.select(group, "n", "bandwidth"), group, "left"))
 
 
@@ -373,7 +364,7 @@ def month_pivot(df: DataFrame, category: str, value: str, month_1: str, month_2:
     piv = both_over_threshold(piv, m1, m2, threshold)
     return piv.withColumns({
         "color": classify_change(m1, m2),
-        "ratio": F.col(m2) / F.col(m1),
+        "ratio": F.try_divide(F.col(m2), F.col(m1)),
         "label_1": millions_label(F.col(category), F.col(m1)),
         "label_2": millions_label(F.col(category), F.col(m2)),
     })

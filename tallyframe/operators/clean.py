@@ -151,8 +151,3 @@ def scatter_points(df: DataFrame, x: str, y: str, hue: str, style: str) -> DataF
     for c in dict.fromkeys([x, y, hue, style]):
         cols.append(F.col(_q(c)).alias(humanise_name_py(c)))
     return df.select(*cols)
-
-
-def scatter_styles(df: DataFrame, style: str) -> DataFrame:
-    """Distinct style buckets for the legend."""
-    return df.select(F.col(_q(style)).alias(humanise_name_py(style))).distinct()

@@ -82,14 +82,14 @@ def nest_groups(long: DataFrame, key: str = "group_key") -> DataFrame:
 
 
 def split_children(parents: DataFrame, parent: str, children: str, key: str,
-                   order: str | None = None) -> DataFrame:
+                   order: str) -> DataFrame:
     """Nested variant: children (a ``map<name, map<string,string>>``) grouped by their
     ``key`` value; children without the key are skipped; a repeated child name keeps
     the last one (by ``order``)."""
-    ex = parents.select(F.col(parent), *( [F.col(order)] if order else []),
+    ex = parents.select(F.col(parent), F.col(order),
                         F.explode(F.col(children)).alias("child", "attrs"))
     ex = ex.filter(F.col("attrs")[key].isNotNull())
-    ordcol = F.col(order) if order else F.monotonically_increasing_id()
+    ordcol = F.col(order)
     return (ex.groupBy(F.col("attrs")[key].alias("group_key"), "child")
             .agg(F.max_by(F.struct(F.col(parent), F.col("attrs")), ordcol).alias("last"))
             .select("group_key", "child", "last.*"))
@@ -100,11 +100,6 @@ def row_count(df: DataFrame, out: str = "n_rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(out))
 
 
-def non_empty(df: DataFrame) -> bool:
-    """The export gate: one short job that stops at the first row."""
-    return not df.isEmpty()
-
-
 # O4 ------------------------------------------------------------------------------------
 def preview(df: DataFrame, order: Sequence[str | Column], n: int = 10) -> DataFrame:
     """First ``n`` rows in a defined order (top-k: a sort with a limit, no full sort)."""
@@ -177,6 +172,7 @@ def combine_scripts(scripts: DataFrame, prefix: str | None = None) -> DataFrame:
 
 
 # W3 ------------------------------------------------------------------------------------
+# Fixed values below: a repeat's counter (``.%03d`` before the extension) and the combined name.
 def dedupe_names(df: DataFrame, name: str, seq: Sequence[str] | str, out: str = "file_name") -> DataFrame:
     """The n-th repeat (n ≥ 1, in ``seq`` order) of a name gets ``.%03d`` before its extension."""
     seq = [seq] if isinstance(seq, str) else list(seq)
@@ -188,9 +184,12 @@ def dedupe_names(df: DataFrame, name: str, seq: Sequence[str] | str, out: str =
     return ranked.withColumn(out, F.when(n == 0, nm).otherwise(dup)).drop("__rn")
 
 
-def default_output_name(system, fileset, script, stmt_no) -> Column:
-    """``<system>.<fileset>--<script><stmt:04d>.csv``."""
-    return F.format_string("%s.%s--%s%04d.csv", system, fileset, script, stmt_no)
+# Fixed value: the name of a result that no directive names.
+OUTPUT_NAME = "%s.%s--%s%04d.csv"
+
+
+def default_output_name_py(system: str, fileset: str, script: str, number: int) -> str:
+    return OUTPUT_NAME % (system, fileset, script, number)
 
 
 # W7 ------------------------------------------------------------------------------------
@@ -198,8 +197,8 @@ def row_chunks(df: DataFrame, order: Sequence[str], size: int = 100,
                group: Sequence[str] = (), out: str = "chunk") -> DataFrame:
     """Chunk number ``floor((row_number-1)/size)+1`` in ``order`` (per ``group``).
 
-    Numbering is two-pass and range-partitioned (``grouped_row_number``): no window
-    over an unpartitioned or hot group.
+    Numbering is by slices (``grouped_row_number``): no window over an unpartitioned or
+    hot group.
     """
     ranked = grouped_row_number(df, list(group), list(order), out="row_no")
     return ranked.withColumn(out, F.floor((F.col("row_no") - 1) / size).cast("long") + 1)

@@ -1,8 +1,7 @@
 """Registries as DataFrames: systems, filesets, files, parameter layers.
 
 Registries are configuration-sized, but nothing here assumes it: joins are equi-joins on
-names, "first wins" is ``min_by`` (an aggregate with map-side combine, not a window), and
-the one place that needs every fileset name per system reads it as a scalar subquery.
+names and "first wins" is ``min_by`` (an aggregate with map-side combine, not a window).
 """
 
 from __future__ import annotations
@@ -21,19 +20,25 @@ def system_pairs(systems: DataFrame) -> DataFrame:
         "system", "fileset", F.col("__fs.active").alias("pair_active"))
 
 
+#: Buckets that the filesets are dealt into when every system is paired with every fileset.
+SPREAD = 32
+
+
 # J1 ------------------------------------------------------------------------------------
 def fill_registry(pairs: DataFrame, filesets: DataFrame, systems: DataFrame | None = None) -> DataFrame:
     """Every system gets every known fileset; pairs it lacked are added as inactive.
 
     Existing pairs are kept as they are.  ``n_filesets`` counts the pairs per system.
-    The fileset names arrive as one array from a scalar subquery, so no join multiplies
-    rows: each system row simply expands over that array.
+    The result is systems × filesets by definition.  It is built as an equality join: each
+    system stands once in every one of SPREAD buckets and each fileset in one, so neither side
+    is gathered or sent everywhere and the work is spread over system and bucket.
     """
-    names = filesets.select(F.array_sort(F.collect_set("fileset"))).scalar()
+    names = filesets.select("fileset").distinct().withColumn("__b", F.pmod(F.xxhash64("fileset"), F.lit(SPREAD)).cast("int"))
     sys_names = pairs.select("system")
     if systems is not None:
         sys_names = sys_names.unionByName(systems.select("system"))
-    wanted = sys_names.distinct().select("system", F.explode(names).alias("fileset"))
+    spread = sys_names.distinct().withColumn("__b", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+    wanted = spread.join(names, "__b").select("system", "fileset")
     missing = wanted.join(pairs.select("system", "fileset"), ["system", "fileset"], "left_anti") \
         .withColumn("pair_active", F.lit("False")).withColumn("added", F.lit(True))
     filled = pairs.withColumn("added", F.lit(False)).unionByName(missing, allowMissingColumns=True)

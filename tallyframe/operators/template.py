@@ -17,8 +17,7 @@ from ..functions.text import (EXACT_KINDS, directive_kind, directive_matches, fo
                               strip_ws, substitute)
 from .ranking import grouped_row_number
 
-# Marker left where a directive stood, and the texts that replace it.
-MARKER = "{{replaceMe:%s}}"
+# The texts that replace a directive's marker.
 FILE_BEGIN = "/* BEGIN file insert: %s */ \n"
 FILE_END = "END file insert: %s"
 TEMP_NOTE = "above volatile table create script for %s"
@@ -57,7 +56,7 @@ def with_directives(stmts: DataFrame, sql: str = "sql",
     last = F.filter(
         F.transform(active, lambda d, i: F.struct(d["key"].alias("key"), d["value"].alias("value"),
                                                   d["find"].alias("find"), i.alias("i"))),
-        lambda d: ~F.exists(F.slice(F.transform(active, lambda x: x["key"]), d["i"] + 2, 1 << 20),
+        lambda d: ~F.exists(F.slice(F.transform(active, lambda x: x["key"]), d["i"] + 2, F.size(active)),
                             lambda k: k == d["key"]))
     rewritten = F.aggregate(active, F.col(sql), lambda acc, d: F.replace(
         acc, d["find"], F.concat(F.lit("/* {{replaceMe:"), d["key"], F.lit("}} */"))))
@@ -67,7 +66,7 @@ def with_directives(stmts: DataFrame, sql: str = "sql",
             d["key"].alias("key"), d["value"].alias("value"), directive_kind(d["key"]).alias("kind"))),
         "runtime": F.map_from_entries(F.transform(
             F.filter(F.transform(runtime, lambda d, i: F.struct(d["key"].alias("k"), d["value"].alias("v"), i.alias("i"))),
-                     lambda d: ~F.exists(F.slice(F.transform(runtime, lambda x: x["key"]), d["i"] + 2, 1 << 20),
+                     lambda d: ~F.exists(F.slice(F.transform(runtime, lambda x: x["key"]), d["i"] + 2, F.size(runtime)),
                                          lambda k: k == d["k"])),
             lambda d: F.struct(d["k"], d["v"]))),
         sql: rewritten,
@@ -85,19 +84,21 @@ def include_files(stmts: DataFrame, library: DataFrame, keys: Sequence[str],
     """Resolve ``file`` directives: the named text is inserted as its own statement before
     the one that names it, and the marker reads ``END file insert: <name>``.
 
+    Several includes of a statement stand in the order of their directives: ``sub_no`` counts
+    them from 0, and the statement itself comes after them (at least 1).
     ``library`` holds ``(name, body)``.  A missing file leaves a warning status and the
     statement unchanged.  Output rows: ``(keys..., stmt_no, sub_no, sql, status, carry...)``;
     the ``carry`` columns of a statement go onto its inserts too, so callers need no join
     to bring statement metadata back.
     """
     carry = list(carry)
-    d = stmts.select(*keys, "stmt_no", "sql", *carry, F.explode_outer(F.filter(
-        "directives", lambda x: x["kind"] == "file")).alias("d"))
+    d = stmts.select(*keys, "stmt_no", "sql", *carry, F.posexplode(F.filter(
+        "directives", lambda x: x["kind"] == "file")).alias("place", "d"))
     lib = library.select(F.col("name").alias("__name"), F.col("body").alias("__body"))
     j = d.join(lib, F.col("d.value") == F.col("__name"), "left")
-    files = j.filter(F.col("d").isNotNull())
+    files = j
     inserts = files.filter(F.col("__body").isNotNull()).select(
-        *keys, "stmt_no", F.lit(0).alias("sub_no"),
+        *keys, "stmt_no", F.col("place").alias("sub_no"),
         F.concat(F.format_string(FILE_BEGIN, F.col("d.value")), F.col("__body")).alias("sql"),
         F.lit("ok").alias("status"), *carry)
     # apply every found include's marker rewrite to its statement
@@ -113,7 +114,7 @@ def include_files(stmts: DataFrame, library: DataFrame, keys: Sequence[str],
             F.format_string(FILE_END, m["value"]))).otherwise(acc))
     status = F.when(F.exists(marks_or_none, lambda m: ~m["found"]),
                     F.lit("warning: file missing")).otherwise(F.lit("ok"))
-    main = base.select(*keys, "stmt_no", F.lit(1).alias("sub_no"), fixed.alias("sql"),
+    main = base.select(*keys, "stmt_no", F.greatest(F.lit(1), F.size(marks_or_none)).alias("sub_no"), fixed.alias("sql"),
                        status.alias("status"), *carry)
     return inserts.unionByName(main)
 
@@ -155,17 +156,25 @@ def param_rows(params: DataFrame, file: str, order: Sequence[str]) -> DataFrame:
         sizes.withColumnRenamed(file, "file"), "file")
 
 
+def first_loop(directives: str = "directives"):
+    """The statement's loop directive (struct of key and value) or null.  A statement is looped
+    over the file of its first one; its other loops would only repeat an empty text."""
+    return F.get(F.filter(directives, lambda d: d["kind"] == "loop"), 0)
+
+
 def param_fanout(templates: DataFrame, rows: DataFrame, loop_file: str = "loop_file",
-                 sql: str = "sql", marker_key: str = "loop") -> DataFrame:
+                 sql: str = "sql", loop_key: str | None = None) -> DataFrame:
     """One rendered statement per (template, row of the template's loop file).
 
-    An equi-join on the file name; the ``{{replaceMe:loop}}`` marker becomes
-    ``csv row i out of n``.  No eager size probe: AQE broadcasts the template side at
+    An equi-join on the file name; the marker of the loop's directive (its key is in the
+    column ``loop_key``, default ``loop``) becomes ``csv row i out of n``.  No eager size probe: AQE broadcasts the template side at
     run time when its materialized size is below the adaptive threshold, and otherwise
     keeps a sort-merge join whose hot file key its skew-join handling splits.
     """
-    j = templates.join(rows, F.col(loop_file) == rows["file"], "inner")
+    rows = rows.withColumnRenamed("file", "__loop_file")  # a key of the templates may be called file
+    j = templates.join(rows, F.col(loop_file) == F.col("__loop_file"), "inner")
+    marker = F.concat(F.lit("{{replaceMe:"), F.col(loop_key) if loop_key else F.lit("loop"), F.lit("}}"))
     text = substitute(F.col(sql), F.col("pairs"))
-    text = F.replace(text, F.lit(MARKER % marker_key),
+    text = F.replace(text, marker,
                      F.format_string(LOOP_NOTE, F.col("row_no"), F.col("n_rows")))
-    return j.withColumn(sql, text).drop("pairs", "file")
+    return j.withColumn(sql, text).drop("pairs", "__loop_file")

@@ -34,9 +34,14 @@ def apply_per_statement(stmts: DataFrame, handlers: Mapping[str, Callable[[DataF
     return out
 
 
-def post_work(results: DataFrame, group: Sequence[str], fn, schema: str) -> DataFrame:
-    """Per-script post-work as a grouped pandas function (user code, one script per call)."""
-    return results.groupBy(*group).applyInPandas(fn, schema=schema)
+def post_work(results: DataFrame, handlers: Mapping[str, Callable[[DataFrame], DataFrame]],
+              script: str = "script") -> DataFrame:
+    """Per-script post-work: each handler gets its script's results as a DataFrame, the others
+    pass unchanged; everything comes back in one frame.  Handlers keep the columns."""
+    out = results.filter(~F.coalesce(F.col(script).isin(list(handlers)), F.lit(False)))
+    for name, fn in handlers.items():
+        out = out.unionByName(results.filter(F.col(script) == name).transform(fn))
+    return out
 
 
 # X3 ------------------------------------------------------------------------------------

@@ -1,18 +1,22 @@
 """User-level jobs composed from the operators: prepare, export, return data, load, report.
 
-Each job is a short chain of DataFrame steps; the only actions are the writes (and the
-``isEmpty`` gate that decides whether a result is exported at all).
+Each job is a short chain of DataFrame steps; the actions are the writes, the ``isEmpty``
+gate that decides whether a result is exported at all, and the walk over statements or folders.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.text import directives, strip_directives, strip_ws
+from ..operators import registry as RG
 from ..operators import report as RP
 from ..operators import template as TP
+from ..operators.frames import default_output_name_py
 
 
 # prepare_scripts -----------------------------------------------------------------------
@@ -26,8 +30,9 @@ def prepare_scripts(scripts: DataFrame, keys: Sequence[str], substitutions: Data
     3. directives out (run-time ones stay), markers in;
     4. ``file`` includes resolved against ``library`` (name, body); ``temp`` directives
        checked against ``temp_files`` (name) — the CSVs the caller exposes as views;
-    5. ``loop`` statements fanned out over the rows of their parameter file (a loop whose
-       file is missing keeps its template with a warning).
+    5. statements with a ``loop…`` directive fanned out over the rows of their parameter file
+       (a loop whose file is missing, or given no ``loop_params`` at all, keeps its template
+       with a warning).
 
     Output: (keys…, stmt_no, sub_no, row_no, sql, status, runtime) — ``row_no`` is 0 for
     statements that are not loops.
@@ -40,9 +45,9 @@ def prepare_scripts(scripts: DataFrame, keys: Sequence[str], substitutions: Data
             "text", substitute(F.col("text"), F.coalesce(F.col("pairs"), F.array().cast(
                 "array<struct<priority:int,pos:int,k:string,v:string>>")))).drop("pairs")
     st = TP.with_directives(TP.formatted_statements(src, list(keys)))
-    st = st.withColumn("loop_file", F.get(F.filter("directives", lambda d: d["kind"] == "loop"), 0)["value"])
+    st = st.withColumns({"loop_file": TP.first_loop()["value"], "loop_key": TP.first_loop()["key"]})
     # statement metadata rides along through the include step (no join back)
-    carry = ["loop_file", "runtime", "directives"]
+    carry = ["loop_file", "loop_key", "runtime", "directives"]
     if library is not None:
         inc = TP.include_files(st, library, list(keys), carry=carry)
     else:
@@ -50,58 +55,110 @@ def prepare_scripts(scripts: DataFrame, keys: Sequence[str], substitutions: Data
                         *carry)
     if temp_files is not None:
         inc = TP.resolve_temp_tables(inc, temp_files, list(keys))
-    inc = inc.drop("directives")
-    plain = inc.filter(F.col("loop_file").isNull() | (F.col("sub_no") == 0)).withColumn(
-        "row_no", F.lit(0).cast("long"))
+    # inserted texts come before their statement and are never looped themselves
+    n_files = F.size(F.filter("directives", lambda d: d["kind"] == "file"))
+    itself = F.col("sub_no") == F.greatest(F.lit(1), n_files) if library is not None else F.lit(True)
+    inc = inc.withColumn("__loop", F.col("loop_file").isNotNull() & itself)
+    zero = F.lit(0).cast("long")
+    plain = inc.filter(~F.col("__loop")).withColumn("row_no", zero)
+    loops = inc.filter("__loop")
+    out = [*keys, "stmt_no", "sub_no", "row_no", "sql", "status", "runtime"]
+    missing = {"row_no": zero, "status": F.lit("warning: loop file missing")}
     if loop_params is None:
-        return plain.drop("loop_file")
+        return plain.select(*out).unionByName(loops.withColumns(missing).select(*out))
     rows = TP.param_rows(loop_params, "file", list(loop_order))
-    loops = inc.filter(F.col("loop_file").isNotNull() & (F.col("sub_no") == 1))
-    fanned = TP.param_fanout(loops, rows)
+    fanned = TP.param_fanout(loops, rows, loop_key="loop_key")
     # a loop whose parameter file is missing keeps its template statement, with a warning
     known = loop_params.select(F.col("file").alias("loop_file")).distinct()
-    orphans = loops.join(known, "loop_file", "left_anti").withColumns({
-        "row_no": F.lit(0).cast("long"), "status": F.lit("warning: loop file missing")})
-    return (plain.unionByName(fanned.select(*plain.columns))
-            .unionByName(orphans.select(*plain.columns)).drop("loop_file"))
+    orphans = loops.join(known, "loop_file", "left_anti").withColumns(missing)
+    return plain.select(*out).unionByName(fanned.select(*out)).unionByName(orphans.select(*out))
+
+
+# prepare_runs ----------------------------------------------------------------------------
+def prepare_runs(pairs: DataFrame, systems: DataFrame, filesets: DataFrame, files: DataFrame,
+                 scripts: DataFrame, overrides: DataFrame, params: DataFrame,
+                 layers: DataFrame, **options) -> DataFrame:
+    """The whole prepare chain, from registries to prepared statements.
+
+    Runnable sets and their eligible files (F6, J2) → each file's text, overlaid by overrides
+    (J5) → the file's own parameters (J3) → one ordered list of substitutions per run, strongest
+    layer first (W4) → substituted and prepared statements (T1, ``prepare_scripts`` with
+    ``options``), keyed by (system, fileset, file).
+
+    ``files``: flat file table of J2; ``scripts``, ``overrides``: (folder, name, body) with the
+    fileset as folder; ``params``: (path, pos, params map) of J3; ``layers``: (system, priority,
+    pos, key, value), whose priorities rank against 1 for the file's own parameters.
+    """
+    keys = ["system", "fileset", "file"]
+    runs = RG.eligible_files(pairs, systems, filesets, files=files)
+    runs = runs.withColumn("file", RG.basename("gitfile"))
+    texts = RG.layered_overlay(scripts, overrides).select(
+        F.col("folder").alias("fileset"), F.col("name").alias("file"), F.col("body").alias("text"))
+    runs = runs.select(*keys, "gitfile").join(texts, ["fileset", "file"])
+    own = RG.file_params(runs.select(*keys, "gitfile"), params).select(
+        *keys, F.explode("file_params").alias("key", "value"), F.lit(1).alias("priority"), F.lit(0).alias("pos"))
+    shared = runs.select(*keys).join(layers, "system").select(*keys, "key", "value", "priority", "pos")
+    pairs_of = RG.resolve_layers(own.unionByName(shared), keys)
+    return prepare_scripts(runs.select(*keys, "text"), keys, substitutions=pairs_of, **options)
 
 
 # export_results ------------------------------------------------------------------------
+def execution_parts(prepared: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Prepared texts split into the statements that run: ``(keys…, stmt_no, sub_no, row_no, part,
+    runtime, sql)``.  An included file may hold several; parts that are empty but for directives
+    and comments are left out."""
+    text = strip_directives(F.col("raw"))
+    bare = strip_ws(F.regexp_replace(text, r"(?s)/\*.*?\*/", ""))
+    return prepared.select(*keys, "stmt_no", "sub_no", "row_no", F.posexplode(F.split("sql", ";")).alias("part", "raw")) \
+        .filter(bare != "").select(*keys, "stmt_no", "sub_no", "row_no", "part",
+                                   directives(F.col("raw")).alias("runtime"), strip_ws(text).alias("sql"))
+
+
 def export_results(spark: SparkSession, prepared: DataFrame, out_dir: str,
                    keys: Sequence[str] = ("system", "fileset", "file"),
                    run: Callable[[SparkSession, str], DataFrame] | None = None,
-                   on_result: Callable[[str, DataFrame], None] | None = None) -> DataFrame:
+                   on_result: Callable[[str, DataFrame], None] | None = None,
+                   manifest: str | None = None) -> DataFrame:
     """Run every prepared statement with Spark SQL and export the non-empty results.
 
-    The statement table is small (one row per statement) and is iterated on the driver;
-    each statement's *result* stays a distributed DataFrame written by the executors.
-    Returns the export log (statement, file, rows written flag, load flag).
+    Statements run in execution order and are streamed to the driver one by one; each
+    statement's *result* stays a distributed DataFrame written by the executors.  Results are
+    named by their ``save`` directive or by their number in execution order, a repeated name
+    gets a counter.  A failing statement is logged and the run goes on.  ``manifest`` writes
+    the load manifest of the exported results there.
+    Returns the log: keys, ``stmt_no`` (execution order), output, written, load, call, status.
     """
-    from ..sources.sinks import result_export
-
-    run = run or (lambda s, q: s.sql(q))
-    log = []
-    plan = prepared.orderBy(*keys, "stmt_no", "sub_no", "row_no").collect()
-    used: dict[str, int] = {}
-    for r in plan:
-        sql = r["sql"].strip().rstrip(";").strip()
-        if not sql or sql.startswith("/*") and sql.endswith("*/"):
-            continue
-        df = run(spark, sql)
+    from ..sources.sinks import manifest_write, result_export
+    from ..sources.sql import sql_query
+
+    keys = list(keys)
+    run = run or sql_query
+    log, used, numbers = [], Counter(), Counter()
+    parts = execution_parts(prepared, keys).orderBy(*keys, "stmt_no", "sub_no", "row_no", "part")
+    for r in parts.toLocalIterator():
+        own = tuple(r[k] for k in keys)
+        numbers[own] += 1
         rt = r["runtime"] or {}
-        name = rt.get("save") or "%s.%s--%s%04d.csv" % (r[keys[0]], r[keys[1]], r[keys[2]], r["stmt_no"])
-        n = used.get(name, 0)
-        used[name] = n + 1
-        if n:
-            name = name[:-4] + ".%03d" % n + name[-4:]
-        written = result_export(df, out_dir, name)
-        if written and on_result is not None:
-            on_result(name, df)
-        log.append((r[keys[0]], r[keys[1]], r[keys[2]], int(r["stmt_no"]), name, bool(written),
-                    rt.get("load", ""), rt.get("call", "")))
-    schema = ("system string, fileset string, file string, stmt_no int, output string, written boolean, "
-              "load string, call string")
-    return spark.createDataFrame(log, schema)
+        name = rt.get("save") or default_output_name_py(*own[:3], numbers[own])
+        written, status = False, "ok"
+        try:
+            df = run(spark, r["sql"])
+            target = name[:-4] + ".%03d" % used[name] + name[-4:] if used[name] else name
+            written = result_export(df, out_dir, target)
+            if written:
+                used[name] += 1
+                name = target
+                if on_result is not None:
+                    on_result(name, df)
+        except Exception as exc:  # noqa: BLE001 - logged per statement, the run continues
+            status = f"failed: {type(exc).__name__}: {str(exc)[:500]}"
+        log.append((*map(str, own), numbers[own], name, written, rt.get("load", ""), rt.get("call", ""), status))
+    schema = ", ".join(f"{k} string" for k in keys) + (
+        ", stmt_no int, output string, written boolean, load string, call string, status string")
+    done = spark.createDataFrame(log, schema)
+    if manifest is not None:
+        manifest_write(done.select(F.col("output").alias("file"), F.col("load").alias("table"), "call", "written"), manifest)
+    return done
 
 
 # fill_report ---------------------------------------------------------------------------
@@ -119,33 +176,40 @@ def fill_report(items: DataFrame, cells: DataFrame) -> DataFrame:
     return out.select(*keys, "kind", F.coalesce("__col_text", "text").alias("text"), "status")
 
 
-def load_hooks(hooks: Mapping[str, Callable[[SparkSession, str], None]] | None):
-    return dict(hooks or {})
-
-
 # return_data -----------------------------------------------------------------------------
 def return_data(spark: SparkSession, in_dir: str, out_dir: str,
-                on_result: Callable[[str, DataFrame], None] | None = None) -> DataFrame:
-    """Returned result files → separator sniffed per file → stripped comma CSV per file.
-
-    The sniffing is one distributed aggregation over all files; the loop runs over the
-    (few) returned files, and every conversion is a Spark read and write.  Non-empty
-    results are handed to ``on_result`` (chart/report code).  Returns (file, delimiter,
-    output) for every converted file.
+                on_result: Callable[[str, DataFrame], None] | None = None,
+                handlers: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None,
+                manifest: str | None = None) -> DataFrame:
+    """Returned result files → separator sniffed per file → stripped comma CSV per folder and separator.
+
+    The sniffing is one distributed aggregation over all files.  Files of one folder with one
+    separator are one distributed read and write, so the driver walks folders, not files.
+    ``handlers`` run on non-empty results by folder name, ``on_result`` on every one;
+    ``manifest`` writes a manifest whose table is the folder's name.  Returns (folder,
+    delimiter, n_files, output, written).
     """
     from ..sources.files import delimited_normalise, delimiter_sniff
+    from ..sources.sinks import manifest_write
     from .hooks import report_frame
 
-    plan = delimiter_sniff(spark, in_dir).orderBy("file").collect()
-    log = []
-    for r in plan:
-        stem = r["file"].rsplit(".", 1)[0] if "." in r["file"] else r["file"]
-        out = f"{out_dir.rstrip('/')}/{stem}.csv"
-        df = delimited_normalise(spark, f"{in_dir.rstrip('/')}/{r['file']}", out, sep=r["delimiter"])
-        if on_result is not None:
-            report_frame(df, lambda d, name=out: on_result(name, d))
-        log.append((r["file"], r["delimiter"], out))
-    return spark.createDataFrame(log, "file string, delimiter string, output string")
+    sniffed = delimiter_sniff(spark, in_dir).withColumn("folder", F.regexp_replace("path", "/[^/]*$", ""))
+    groups = sniffed.groupBy("folder", "delimiter").agg(F.collect_list("path").alias("paths")).orderBy("folder", "delimiter")
+    log, used = [], Counter()
+    for r in groups.toLocalIterator():
+        name = r["folder"].rstrip("/").split("/")[-1]
+        used[name] += 1
+        out = f"{out_dir.rstrip('/')}/{name}" + (f".{used[name] - 1:03d}" if used[name] > 1 else "") + ".csv"
+        df = delimited_normalise(spark, r["paths"], out, sep=r["delimiter"])
+        done = [report_frame(df, fn) is not None for fn in (
+            *([(lambda d, o=out: on_result(o, d) or d)] if on_result else []),
+            *([handlers[name]] if handlers and name in handlers else []))]
+        log.append((r["folder"], name, r["delimiter"], len(r["paths"]), out, all(done) and not df.isEmpty()))
+    found = spark.createDataFrame(log, "folder string, name string, delimiter string, n_files int, output string, written boolean")
+    if manifest is not None:
+        manifest_write(found.select(F.element_at(F.split("output", "/"), -1).alias("file"), F.col("name").alias("table"),
+                                    F.lit("").alias("call"), "written"), manifest)
+    return found.drop("name")
 
 
 # load_manifest ---------------------------------------------------------------------------

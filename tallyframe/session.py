@@ -48,7 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; create a private one only when none is set.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is always honoured.
-    Only a bare local session (tests, bench) gets a fresh folder of its own.
+    Only a bare local session (tests, bench) gets a fresh folder of its own; on a cluster a
+    missing setting is an error, since a machine-local folder is invisible to the executors.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -56,6 +57,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
     path = tempfile.mkdtemp(prefix="tallyframe-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
@@ -67,6 +70,17 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialise(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as Parquet under the shared folder and read it back.
+
+    Cuts the lineage, and the files' size is what Catalyst goes by: a join broadcasts the
+    table only if its bytes are below ``spark.sql.autoBroadcastJoinThreshold``.
+    """
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
     """Broadcast ``df`` only when a count proves it small; otherwise leave it to a shuffle.
 

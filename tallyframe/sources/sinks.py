@@ -7,6 +7,8 @@ statements against the session catalog.
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -80,10 +82,12 @@ def manifest_write(entries: DataFrame, path: str) -> DataFrame:
 # S12 -----------------------------------------------------------------------------------
 def table_append(spark: SparkSession, df: DataFrame, table: str) -> None:
     """Insert by column name; target columns the frame lacks take their declared default."""
-    view = "__tf_append_src"
+    view = f"tf_append_{uuid.uuid4().hex}"
     df.createOrReplaceTempView(view)
-    spark.sql(f"INSERT INTO {table} BY NAME SELECT * FROM {view}")
-    spark.catalog.dropTempView(view)
+    try:
+        spark.sql(f"INSERT INTO {table} BY NAME SELECT * FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 # S13 -----------------------------------------------------------------------------------
@@ -106,25 +110,25 @@ def staged_load(spark: SparkSession, manifest: DataFrame, base_dir: str,
                 hooks: Mapping[str, Callable[[SparkSession, str], None]] | None = None,
                 snapshot: bool = False, suffix: str | None = None) -> DataFrame:
     """Load every manifest entry: read its CSV, NaN → null, drop index columns, append by
-    name, optionally snapshot the target first; run the entry's ``call`` hook only after
-    a successful append; drop the snapshot when all went well.
+    name, optionally snapshot the loaded target; run the entry's ``call`` hook only after
+    a successful append; drop the snapshot when all went well (a hook that fails leaves it).
 
-    The manifest is a handful of rows and is walked on the driver; every load itself is
+    The manifest is streamed to the driver entry by entry; every load itself is
     a distributed read and insert.  Returns a status row per entry; a failed entry
     reports the first rows of its file and the target's columns in order.
     """
     hooks = dict(hooks or {})
     suffix = suffix or snapshot_suffix()
     results = []
-    for e in manifest.collect():
+    for e in manifest.toLocalIterator():
         target = f"{e['schema']}.{e['table']}" if e["schema"] else e["table"]
         path = f"{base_dir.rstrip('/')}/{e['file']}"
         snap = None
         try:
             df = clean.drop_unnamed(clean.nan_to_null(csv_scan(spark, path)))
+            table_append(spark, df, target)
             if snapshot:
                 snap = table_snapshot(spark, target, suffix)
-            table_append(spark, df, target)
             if e["call"]:
                 hook = hooks.get(e["call"])
                 if hook is None:
@@ -135,10 +139,18 @@ def staged_load(spark: SparkSession, manifest: DataFrame, base_dir: str,
             results.append((e["file"], target, "ok", None))
         except Exception as exc:  # noqa: BLE001 - reported per entry, the run continues
             cols = [c.name for c in spark.catalog.listColumns(target)] if spark.catalog.tableExists(target) else []
-            results.append((e["file"], target, "failed", f"{type(exc).__name__}: {exc}; target columns: {cols}"))
+            results.append((e["file"], target, "failed", f"{type(exc).__name__}: {exc}; target columns: {cols}; "
+                            f"first rows: {_first_rows(spark, base_dir, e['file'])}"))
     return spark.createDataFrame(results, "file string, target string, status string, detail string")
 
 
+def _first_rows(spark: SparkSession, base_dir: str, file: str) -> str:
+    try:
+        return json.dumps([r.asDict() for r in failure_preview(spark, base_dir, file).collect()], default=str)
+    except Exception as exc:  # noqa: BLE001 - the file itself may be what is missing
+        return f"unreadable ({type(exc).__name__})"
+
+
 def failure_preview(spark: SparkSession, base_dir: str, file: str, n: int = 10) -> DataFrame:
     """First rows of a file that failed to load (for the report)."""
     return csv_scan(spark, f"{base_dir.rstrip('/')}/{file}").limit(n)

@@ -217,8 +217,8 @@ q AS (SELECT l_returnflag, measure, count(*) AS n,
 f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
 SELECT f.l_returnflag, f.measure, f.n, round(f.q1, 6) AS q1, round(f.median, 6) AS median,
        round(f.q3, 6) AS q3,
-       round(min(b.v) FILTER (WHERE b.v >= f.lo), 6) AS whisker_lo,
-       round(max(b.v) FILTER (WHERE b.v <= f.hi), 6) AS whisker_hi,
+       round(least(f.q1, min(b.v) FILTER (WHERE b.v >= f.lo)), 6) AS whisker_lo,
+       round(greatest(f.q3, max(b.v) FILTER (WHERE b.v <= f.hi)), 6) AS whisker_hi,
        count(*) FILTER (WHERE b.v < f.lo OR b.v > f.hi) AS n_outliers
 FROM f JOIN base b USING (l_returnflag, measure)
 GROUP BY f.l_returnflag, f.measure, f.n, f.q1, f.median, f.q3""")
@@ -288,9 +288,5 @@ def q_month_week_mean(spark, sf):
 SELECT round(l_quantity, 6) AS "l quantity", round(l_extendedprice, 6) AS "l extendedprice",
        l_returnflag AS "l returnflag", l_linestatus AS "l linestatus" FROM lineitem""")
 def q_scatter_points(spark, sf):
-    return C_scatter(spark, sf)
-
-
-def C_scatter(spark, sf):
     return r6(P.scatter_points(table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice",
                                "l_returnflag", "l_linestatus"))

@@ -89,30 +89,44 @@ def q_union_all(spark, sf):
 
 
 @reg("combine_scripts", """
-SELECT conv_id, string_agg(role || ': ' || text, chr(10) ORDER BY turn) AS text FROM conversations GROUP BY conv_id""")
+WITH s AS (
+  SELECT 'sys' || s_nationkey AS system, 'set' || s_suppkey // 1000 AS fileset, 'q' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') AS name,
+         CASE WHEN s_suppkey % 2 = 0 THEN 'sql' ELSE 'bteq' END AS ext, s_suppkey,
+         'SELECT ' || s_suppkey || ';' || chr(10) AS body FROM supplier)
+SELECT system, fileset, ext, '!_' || system || '_' || fileset || '.combined.' || ext AS file,
+       CASE WHEN max(CASE WHEN s_suppkey % 3 = 0 THEN 1 ELSE 0 END) = 1 THEN '/* prefix */' || chr(10) ELSE '' END
+       || string_agg(body, '' ORDER BY name) AS text FROM s GROUP BY system, fileset, ext""")
 def q_combine_scripts(spark, sf):
-    c = table(spark, sf, "conversations")
-    return FR.combine_texts(c, ["conv_id"], "turn", F.concat(F.col("role"), F.lit(": "), F.col("text")),
-                            sep="\n")
+    # a fileset is a block of 1000 supplier keys, so a combined text is bounded; two extensions,
+    # spelt differently, and a prefix that every third script carries
+    s = table(spark, sf, "supplier").select(
+        F.concat(F.lit("sys"), "s_nationkey").alias("system"),
+        F.concat(F.lit("set"), F.floor(F.col("s_suppkey") / 1000)).alias("fileset"),
+        F.concat(F.lit("q"), F.lpad(F.col("s_suppkey").cast("string"), 9, "0"), F.when(
+            F.col("s_suppkey") % 2 == 0, ".SQL").otherwise(".bteq ")).alias("file"),
+        F.concat(F.when(F.col("s_suppkey") % 3 == 0, "/* prefix */\n").otherwise(""), F.lit("SELECT "),
+                 "s_suppkey", F.lit(";\n")).alias("text"))
+    return FR.combine_scripts(s, prefix="/* prefix */\n").select("system", "fileset", "ext", "file", "text")
 
 
 @reg("dedupe_names", """
-WITH n AS (SELECT p_partkey, lower(p_type) || '.csv' AS name,
+WITH n AS (SELECT p_partkey, p_size, lower(p_type) || '.csv' AS name,
                   row_number() OVER (PARTITION BY lower(p_type) ORDER BY p_partkey) - 1 AS k FROM part)
-SELECT p_partkey, name, CASE WHEN k = 0 THEN name
+SELECT p_partkey, p_size, name, CASE WHEN k = 0 THEN name
        ELSE substr(name, 1, length(name) - 4) || printf('.%03d', k) || right(name, 4) END AS file_name FROM n""")
 def q_dedupe_names(spark, sf):
-    p = table(spark, sf, "part").select("p_partkey", F.concat(F.lower("p_type"), F.lit(".csv")).alias("name"))
+    p = table(spark, sf, "part").select("p_partkey", "p_size", F.concat(F.lower("p_type"), F.lit(".csv")).alias("name"))
     return FR.dedupe_names(p, "name", "p_partkey")
 
 
 @reg("row_chunks", """
-SELECT l_orderkey, l_linenumber, row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS row_no,
-       CAST(floor((row_number() OVER (ORDER BY l_orderkey, l_linenumber) - 1) / 100) + 1 AS BIGINT) AS chunk
+SELECT l_orderkey, l_linenumber, l_returnflag, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_no,
+       CAST(floor((row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) - 1) / 100) + 1 AS BIGINT) AS chunk
 FROM lineitem""")
 def q_row_chunks(spark, sf):
-    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
-    return FR.row_chunks(li, ["l_orderkey", "l_linenumber"], size=100)
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    return FR.row_chunks(li, order, size=100).drop("l_partkey", "l_suppkey")
 
 
 @reg("script_order", """

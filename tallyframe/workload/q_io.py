@@ -50,30 +50,44 @@ def q_csv_scan(spark, sf):
 
 
 @reg("csv_cells", """
-WITH s AS (SELECT CAST(s_nationkey AS INTEGER) AS s_nationkey, s_suppkey, s_name FROM supplier)
-SELECT DISTINCT s_nationkey, 0::BIGINT AS row_no, 1 AS col_no, 's_suppkey' AS cell FROM s
-UNION ALL SELECT DISTINCT s_nationkey, 0, 2, 's_name' FROM s
-UNION ALL SELECT s_nationkey, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey), 1,
-                 CAST(s_suppkey AS VARCHAR) FROM s
-UNION ALL SELECT s_nationkey, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey), 2, s_name FROM s""")
+WITH s AS (SELECT s_suppkey // 1000 AS block, s_suppkey % 2 = 1 AS wide, s_suppkey, s_name, s_nationkey,
+                  row_number() OVER (PARTITION BY s_suppkey // 1000, s_suppkey % 2 ORDER BY s_suppkey) AS row_no FROM supplier),
+c AS (SELECT block, wide, row_no, 1 AS col_no, CAST(s_suppkey AS VARCHAR) AS cell FROM s
+  UNION ALL SELECT block, wide, row_no, 2, s_name || ', "' || s_nationkey || '"' FROM s
+  UNION ALL SELECT block, wide, row_no, 3, CAST(s_nationkey AS VARCHAR) FROM s WHERE wide
+  UNION ALL SELECT DISTINCT block, wide, 0, 1, 's_suppkey' FROM s
+  UNION ALL SELECT DISTINCT block, wide, 0, 2, 's_name' FROM s
+  UNION ALL SELECT DISTINCT block, wide, 0, 3, 's_nationkey' FROM s WHERE wide)
+SELECT CAST(block AS INTEGER) AS block, wide, CAST(row_no AS BIGINT) AS row_no, CAST(col_no AS INTEGER) AS col_no, cell FROM c""")
 def q_csv_cells(spark, sf):
     d = scratch_dir(spark, "csv-cells")
-    # one CSV per nation, rows in supplier-key order inside each file
-    s = table(spark, sf, "supplier").select("s_nationkey", "s_suppkey", "s_name")
-    (s.repartition("s_nationkey").sortWithinPartitions("s_nationkey", "s_suppkey").write.mode("overwrite")
-       .partitionBy("s_nationkey").option("header", True).option("escape", '"').csv(d))
+    # a CSV per block of 1000 supplier keys and parity, of two widths, rows in key order; names
+    # hold separators and quotes
+    s = table(spark, sf, "supplier").select(
+        F.floor(F.col("s_suppkey") / 1000).alias("block"), "s_suppkey", F.concat(
+            "s_name", F.lit(', "'), "s_nationkey", F.lit('"')).alias("s_name"), "s_nationkey")
+    for name, odd, cols in (("narrow", 0, ["s_suppkey", "s_name"]), ("wide", 1, ["s_suppkey", "s_name", "s_nationkey"])):
+        (s.filter(F.col("s_suppkey") % 2 == odd).select("block", *cols).repartition("block")
+         .sortWithinPartitions("block", "s_suppkey").write.partitionBy("block").option("header", True)
+         .option("escape", '"').csv(f"{d}/{name}"))
     cells = S.csv_cells(spark, d, with_path=True)
-    nation = F.regexp_extract("path", r"s_nationkey=(\d+)", 1).cast("int")
-    return cells.select(nation.alias("s_nationkey"), "row_no", "col_no", "cell")
+    return cells.select(F.regexp_extract("path", r"block=(\d+)", 1).cast("int").alias("block"),
+                        F.contains("path", F.lit("/wide/")).alias("wide"), "row_no", "col_no", "cell")
 
 
-@reg("delimiter_sniff")
+_SEPARATORS = ["|", ";", "|~|", ","]
+
+
+@reg("delimiter_sniff", "SELECT delimiter, count(DISTINCT c_custkey // 1000) AS n_files FROM customer, "
+     "(VALUES " + ", ".join(f"('{s}')" for s in _SEPARATORS) + ") s(delimiter) GROUP BY delimiter")
 def q_delimiter_sniff(spark, sf):
     d = scratch_dir(spark, "sniff")
-    c = table(spark, sf, "customer")
-    for i, sep in enumerate(["|", ";", "|~|", ","]):
-        _csv(c, f"{d}/s{i}", sep=sep, single=True)
-    return S.delimiter_sniff(spark, d + "/*").groupBy("delimiter").agg(F.count(F.lit(1)).alias("n_files"))
+    # a file per block of 1000 customers and separator, same names in every folder
+    c = table(spark, sf, "customer").withColumn("block", F.floor(F.col("c_custkey") / 1000))
+    for i, sep in enumerate(_SEPARATORS):
+        c.repartition("block").write.partitionBy("block").option("header", True).option("escape", '"').option(
+            "sep", sep).csv(f"{d}/s{i}")
+    return S.delimiter_sniff(spark, d).groupBy("delimiter").agg(F.count(F.lit(1)).alias("n_files"))
 
 
 @reg("delimited_normalise", f"SELECT {_CUST_SQL} FROM customer")
@@ -128,23 +142,35 @@ def q_script_scan(spark, sf):
     return S.script_scan(spark, d, pattern="*.txt").select("system", "fileset", "text")
 
 
-def _drop_folder(spark, sf):
+#: Files per segment of the drop folder, written in parallel.
+DROP_FILES = 4
+
+
+def _drop_folder(spark, sf, layouts=True):
     d = scratch_dir(spark, "drop")
-    c = table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
-    # one delivered file per segment present in the table (a handful of names)
-    for seg in sorted(r[0] for r in c.select("c_mktsegment").distinct().collect()):
-        part = c.filter(F.col("c_mktsegment") == seg)
-        tmp = f"{d}/_tmp_{seg}"
-        part.coalesce(1).write.option("header", True).option("escape", '"').csv(tmp)
-        K.publish_single_file(spark, tmp, f"{d}/in/sys1.{seg.lower()}.customers.csv")
+    c = table(spark, sf, "customer").select(
+        "c_custkey", "c_name", "c_mktsegment", F.lower("c_mktsegment").alias("seg"),
+        (F.col("c_custkey") % DROP_FILES).alias("part"))
+    names = []
+    for odd, cols in ((0, ["c_custkey", "c_name", "c_mktsegment"]), (1, ["c_name", "c_custkey"] if layouts else [
+            "c_custkey", "c_name", "c_mktsegment"])):
+        own = c.filter(F.col("part") % 2 == odd)
+        (own.select(*cols, "seg", "part").repartition("seg", "part").write.partitionBy("seg", "part")
+         .option("header", True).option("escape", '"').csv(f"{d}/out{odd}"))
+        names += [(odd, r["seg"], r["part"]) for r in own.select("seg", "part").distinct().toLocalIterator()]
+    # renamed to their delivery names (a handful: segments x DROP_FILES)
+    for odd, seg, part in names:
+        K.publish_single_file(spark, f"{d}/out{odd}/seg={seg}/part={part}", f"{d}/in/sys1.{seg}.customers{part}.csv")
     return d + "/in"
 
 
 @reg("drop_folder_scan", """
-SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_mktsegment, 'sys1' AS system, lower(c_mktsegment) AS fileset,
-       'customers.csv' AS name FROM customer""")
+SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS c_mktsegment,
+       'sys1' AS system, lower(c_mktsegment) AS fileset, 'customers' || c_custkey % 4 || '.csv' AS name FROM customer""")
 def q_drop_folder_scan(spark, sf):
-    return S.drop_folder_scan(spark, _drop_folder(spark, sf))
+    # odd files have another header: fewer columns, in another order
+    out = S.drop_folder_scan(spark, _drop_folder(spark, sf))
+    return out.select("c_custkey", "c_name", "c_mktsegment", "system", "fileset", "name")
 
 
 def _manifest_entries(spark, sf):
@@ -307,45 +333,86 @@ def q_apply_per_statement(spark, sf):
     return H.apply_per_statement(st, handlers)
 
 
-@reg("export_results")
+@reg("export_results", """
+WITH r AS (SELECT lower(r_name) AS fileset, r_regionkey FROM region),
+e AS (
+  SELECT fileset, 1 AS stmt_no, 'inc.' || fileset || '.csv' AS output, 'count ' || (SELECT count(*) FROM supplier) AS content, 'ok' AS status FROM r
+  UNION ALL SELECT fileset, 2, 'sys.' || fileset || '--q.q.sql0002.csv', 'region ' || r_regionkey, 'ok' FROM r
+  UNION ALL SELECT fileset, 3, 'sys.' || fileset || '--q.q.sql0003.csv', s_name, 'ok'
+    FROM r JOIN nation ON n_regionkey = r_regionkey JOIN supplier ON s_nationkey = n_nationkey
+  UNION ALL SELECT fileset, 4, 'sys.' || fileset || '--q.q.sql0004.csv', NULL, 'ok' FROM r
+  UNION ALL SELECT fileset, 5, 'sys.' || fileset || '--q.q.sql0005.csv', NULL, 'failed' FROM r)
+SELECT fileset, CAST(e.stmt_no AS INTEGER) AS stmt_no, e.output, content, status,
+       e.stmt_no = 3 AND content IS NOT NULL AS in_manifest FROM e
+UNION ALL SELECT fileset, 3, 'sys.' || fileset || '--q.q.sql0003.csv', NULL, 'ok', false FROM r
+  WHERE r_regionkey NOT IN (SELECT n_regionkey FROM nation JOIN supplier ON s_nationkey = n_nationkey)""")
 def q_export_results(spark, sf):
     d = scratch_dir(spark, "export-results")
     for t in ("supplier", "nation", "region"):
         table(spark, sf, t).createOrReplaceTempView(t)
-    n = table(spark, sf, "region")
-    # one script per region (the control table); each statement's result grows with supplier
-    scripts = n.select(F.lit("sys").alias("system"), F.lower("r_name").alias("fileset"),
-                       F.lit("q.q.sql").alias("file"), F.concat(
-        F.lit("SELECT s_name, s_acctbal FROM supplier JOIN nation ON s_nationkey = n_nationkey "
-              "WHERE n_regionkey = "), F.col("r_regionkey").cast("string"),
-        F.lit(" /*{{load:stage.suppliers}}*/; SELECT * FROM region WHERE r_regionkey < 0;")).alias("text"))
-    prepared = jobs.prepare_scripts(scripts, ["system", "fileset", "file"])
-    log = jobs.export_results(spark, prepared, d)
-    return log.select("fileset", "stmt_no", "output", "written", "load")
-
-
-@reg("return_data", f"SELECT {_CUST_SQL} FROM customer")
+    # one script per region (the control table); each statement's result grows with supplier.  An
+    # include of two statements, a result for the manifest wrapped in directives, an empty result
+    # and a failing statement
+    r = table(spark, sf, "region").select(F.lower("r_name").alias("fileset"), F.col("r_regionkey").cast("string").alias("k"))
+    scripts = r.select(
+        F.lit("sys").alias("system"), "fileset", F.lit("q.q.sql").alias("file"), F.concat(
+            F.lit("/*{{file:"), "fileset", F.lit(".sql}}*/ SELECT s_name AS content FROM supplier JOIN nation "
+            "ON s_nationkey = n_nationkey WHERE n_regionkey = "), "k", F.lit(" /*{{load:stage.suppliers}}*/; "
+            "SELECT r_name AS content FROM region WHERE r_regionkey < 0; SELECT nothing FROM nowhere_at_all;")).alias("text"))
+    library = r.select(F.concat("fileset", F.lit(".sql")).alias("name"), F.concat(
+        F.lit("SELECT concat('count ', count(*)) AS content FROM supplier /*{{save:inc."), "fileset",
+        F.lit(".csv}}*/; SELECT 'region "), "k", F.lit("' AS content")).alias("body"))
+    prepared = jobs.prepare_scripts(scripts, ["system", "fileset", "file"], library=library)
+    log = jobs.export_results(spark, prepared, d, manifest=d + "/manifest")
+    loaded = spark.read.schema(S.MANIFEST_SCHEMA).json(d + "/manifest").select(F.inline("entries")).select(
+        F.col("file").alias("output"), F.lit(True).alias("__in"))
+    read = spark.read.option("header", True).option("escape", '"').csv(d + "/*.csv").select(
+        "content", F.url_decode(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)).alias("output"))
+    return (log.join(read, "output", "left").join(loaded, "output", "left").select(
+        "fileset", "stmt_no", "output", "content", F.substring_index("status", ":", 1).alias("status"),
+        F.coalesce("__in", F.lit(False)).alias("in_manifest")))
+
+
+@reg("return_data", f"SELECT {_CUST_SQL}, c_custkey % 2 AS part FROM customer")
 def q_return_data(spark, sf):
     d = scratch_dir(spark, "return")
     c = table(spark, sf, "customer").select(
         "c_custkey", F.concat(F.lit(" "), "c_name").alias("c_name"), "c_nationkey", "c_acctbal", "c_mktsegment")
-    _csv(c, d + "/in", sep="|~|", single=True)
+    for part, sep in ((0, "|~|"), (1, ";")):
+        _csv(c.filter(F.col("c_custkey") % 2 == part), f"{d}/in/part{part}", sep=sep)
     seen = []
-    jobs.return_data(spark, d + "/in", d + "/out", on_result=lambda name, df: seen.append(name))
-    if len(seen) != 1:
-        raise RuntimeError(f"expected one converted result, got {seen}")
-    return r6(S.csv_scan(spark, seen[0]))
+    jobs.return_data(spark, d + "/in", d + "/out", on_result=lambda name, df: seen.append(name),
+                     handlers={"part1": lambda df: df}, manifest=d + "/manifest")
+    listed = {r["file"] for r in S.manifest_read(spark, d + "/manifest").collect()}
+    if listed != {"part0.csv", "part1.csv"} or len(seen) != 2:
+        raise RuntimeError(f"expected two converted results, got {seen} and manifest {listed}")
+    both = [S.csv_scan(spark, x).withColumn("part", F.lit(i)) for i, x in enumerate(sorted(seen))]
+    return r6(both[0].unionByName(both[1]))
 
 
 @reg("drop_folder_stream", """
 SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_mktsegment, 'sys1' AS system, lower(c_mktsegment) AS fileset,
-       'customers.csv' AS name FROM customer""")
+       'customers' || c_custkey % 4 || '.csv' AS name FROM customer""")
 def q_drop_folder_stream(spark, sf):
     from ..streaming.dropfolder import drop_folder_stream
-    src = _drop_folder(spark, sf)
+    src = _drop_folder(spark, sf, layouts=False)
     d = scratch_dir(spark, "drop-stream")
     schema = "c_custkey int, c_name string, c_mktsegment string"
     drop_folder_stream(spark, src, d + "/out", d + "/ckpt", schema)
     # a second run over the same folder loads nothing twice
     drop_folder_stream(spark, src, d + "/out", d + "/ckpt", schema)
     return spark.read.parquet(d + "/out").select("c_custkey", "c_name", "c_mktsegment", "system", "fileset", "name")
+
+
+@reg("post_work", """
+SELECT s_name AS script, CAST(s_nationkey AS INTEGER) AS nation,
+       round(CASE WHEN s_nationkey = 1 THEN -s_acctbal ELSE s_acctbal END, 6) AS balance
+FROM supplier WHERE s_nationkey <> 2 OR s_acctbal > 0""")
+def q_post_work(spark, sf):
+    # results of the scripts of two nations go through post-work of their own, the others do not
+    results = table(spark, sf, "supplier").select(F.concat(F.lit("n"), "s_nationkey").alias("nation_script"),
+                                                  F.col("s_name").alias("script"), F.col("s_nationkey").alias("nation"),
+                                                  F.col("s_acctbal").alias("balance"))
+    out = H.post_work(results, {"n1": lambda df: df.withColumn("balance", -F.col("balance")),
+                                "n2": lambda df: df.filter("balance > 0")}, script="nation_script")
+    return r6(out.select("script", "nation", "balance"))

@@ -271,3 +271,40 @@ def q_fill_defaults(spark, sf):
     required = sp.select(F.lower("s_name").alias("key"),
                          F.when(F.col("s_nationkey") == 4, None).otherwise("dflt").alias("default"))
     return R.fill_defaults(settings, required)
+
+
+@reg("unknown_filesets", _REG_SQL + """
+SELECT system, fileset, pair_active FROM pairs WHERE fileset NOT IN (SELECT fileset FROM filesets)""")
+def q_unknown_filesets(spark, sf):
+    return R.unknown_filesets(pairs(spark, sf), filesets(spark, sf))
+
+
+# The whole prepare chain on the J2 registry: one script per file, overridden for every 50th
+# part, its own brand for parts of some size, else that of its system's layer.
+@reg("prepare_runs", _J2_SQL + """
+SELECT p.system, p.fileset, f.file_key || '.q.sql' AS file, CAST(1 AS INTEGER) AS stmt_no,
+  'SELECT ''' || CASE WHEN p_size >= 5 THEN p_brand ELSE 'shared' END || ''' AS b, ''' || p.system || ''' AS w'
+  || CASE WHEN p_partkey % 50 = 0 THEN ' /* override */' ELSE '' END || chr(10) || ';' || chr(10) || chr(10) AS sql, 'ok' AS status
+FROM pairs p JOIN systems s ON p.system = s.system JOIN filesets fs ON p.fileset = fs.fileset
+JOIN files f ON f.fileset = p.fileset JOIN part ON f.file_key = 'p' || p_partkey
+WHERE lower(s.active) = 'true' AND lower(p.pair_active) = 'true' AND lower(fs.active) = 'true'
+  AND (versions IS NULL OR list_contains(versions, dbsversion)) AND (collections IS NULL OR list_contains(collections, collection))""")
+def q_prepare_runs(spark, sf):
+    from ..plans import jobs
+
+    p2, fs2, files2 = j2_registry(spark, sf)
+    part = table(spark, sf, "part")
+    name = F.concat(F.lit("p"), F.col("p_partkey").cast("string"), F.lit(".q.sql"))
+    text = "SELECT '{brand}' AS b, '{who}' AS w"
+    scripts = files2.select(F.col("fileset").alias("folder"), R.basename("gitfile").alias("name"), F.lit(text + ";").alias("body"))
+    overrides = part.filter(F.col("p_partkey") % 50 == 0).select(
+        F.lit("").alias("folder"), name.alias("name"), F.lit(text + " /* override */;").alias("body"))
+    params = part.filter("p_size >= 5").select(F.concat(F.lit("params/"), name).alias("path"), F.lit(0).alias("pos"),
+                                               F.create_map(F.lit("brand"), "p_brand").alias("params"))
+    both = F.array(F.struct(F.lit(2).alias("priority"), F.lit(0).alias("pos"), F.lit("brand").alias("key"),
+                            F.lit("shared").alias("value")),
+                   F.struct(F.lit(3).alias("priority"), F.lit(0).alias("pos"), F.lit("who").alias("key"),
+                            F.col("system").alias("value")))
+    layers = systems(spark, sf).select("system", F.inline(both))
+    out = jobs.prepare_runs(p2, systems(spark, sf), fs2, files2, scripts, overrides, params, layers)
+    return out.select("system", "fileset", "file", "stmt_no", "sql", "status")

@@ -116,7 +116,7 @@ SELECT m.system, m.stmt_no, p.row_no,
 FROM marked m JOIN prm p ON m.loop_ref = p.file""")
 def q_param_fanout(spark, sf):
     st = TP.with_directives(TP.formatted_statements(scripts(spark, sf), ["system"]))
-    loops = st.withColumn("loop_file", F.get(F.filter("directives", lambda d: d["kind"] == "loop"), 0)["value"]) \
+    loops = st.withColumn("loop_file", TP.first_loop()["value"]) \
         .filter(F.col("loop_file").isNotNull()).select("system", "stmt_no", "sql", "loop_file")
     rows = TP.param_rows(loop_params(spark, sf), "file", ["n_nationkey"])
     return TP.param_fanout(loops, rows).select("system", "stmt_no", "row_no", "sql")
@@ -126,14 +126,19 @@ def q_param_fanout(spark, sf):
 , prm AS (SELECT 'nation_r' || CAST(n_regionkey AS VARCHAR) AS file, n_name, n_nationkey,
                  row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) AS row_no,
                  count(*) OVER (PARTITION BY n_regionkey) AS n_rows FROM nation)
-SELECT i.system, i.stmt_no, i.sub_no, CAST(0 AS BIGINT) AS row_no, i.sql, i.status FROM included i WHERE i.loop_ref = ''
+SELECT i.system, 'set' AS fileset, 'main.sql' AS file, i.stmt_no, i.sub_no, CAST(0 AS BIGINT) AS row_no,
+  replace(i.sql, '{x}', lower(i.system)) AS sql, i.status FROM included i WHERE i.loop_ref = ''
 UNION ALL
-SELECT i.system, i.stmt_no, i.sub_no, p.row_no,
+SELECT i.system, 'set', 'main.sql', i.stmt_no, i.sub_no, p.row_no,
   replace(replace(replace(i.sql, '{n_name}', p.n_name), '{n_nationkey}', CAST(p.n_nationkey AS VARCHAR)),
           '{{replaceMe:loop}}', ' csv row ' || CAST(p.row_no AS VARCHAR) || ' out of ' || CAST(p.n_rows AS VARCHAR) || ' '),
   i.status
 FROM included i JOIN prm p ON i.loop_ref = p.file""")
 def q_prepare_scripts(spark, sf):
-    out = jobs.prepare_scripts(scripts(spark, sf), ["system"], library=library(spark, sf),
+    keys = ["system", "fileset", "file"]
+    src = scripts(spark, sf).withColumns({"fileset": F.lit("set"), "file": F.lit("main.sql")})
+    values = src.select(*keys, F.array(F.struct(
+        F.lit(1).alias("priority"), F.lit(0).alias("pos"), F.lit("x").alias("k"), F.lower("system").alias("v"))).alias("pairs"))
+    out = jobs.prepare_scripts(src, keys, substitutions=values, library=library(spark, sf),
                                loop_params=loop_params(spark, sf), loop_order=["n_nationkey"])
-    return out.select("system", "stmt_no", "sub_no", "row_no", "sql", "status")
+    return out.select(*keys, "stmt_no", "sub_no", "row_no", "sql", "status")

@@ -97,7 +97,7 @@ FROM part""")
 def q_strip_directives(spark, sf):
     return table(spark, sf, "part").select(
         "p_partkey", X.strip_directives(_directive_text_spark(), skip=["save"],
-                                        replace_with="note").alias("sql"))
+                                        put=lambda key, value: F.lit("/* note */")).alias("sql"))
 
 
 @reg("last_directive_wins", f"""

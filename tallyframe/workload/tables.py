@@ -79,7 +79,3 @@ def r6(df: DataFrame) -> DataFrame:
             c = sig_round(c).alias(f.name)
         cols.append(c)
     return df.select(*cols)
-
-
-def lit_text(s: str) -> Column:
-    return F.lit(s)
