@@ -108,13 +108,14 @@ class WordEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[int, int] = {}
+        self.keys, self.slot = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # by ascending hash
         self.flat, self.at = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def _direct(self, word: str) -> list[int]:
         return [t.id for t in self.model.tokenize(word.translate(self.to_model))]
 
-    def _learn(self, hashes: list[int], words: list[str]) -> None:
+    def _learn(self, words: list[str]) -> None:
+        """Append the ids of words to the store."""
         parts = [(m[1], m[2]) if (m := self._TAIL.fullmatch(w)) else (w,) for w in words]
         stems = dict.fromkeys(x for p in parts for x in p)
         plain = [s for s in stems if self.direct and self._PLAIN.fullmatch(s)]
@@ -124,23 +125,27 @@ class WordEncoder:
         for s, e in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
             stems[s] = e.ids
         ids = [stems[p[0]] if len(p) == 1 else stems[p[0]] + stems[p[1]] for p in parts]
-        self.number.update(zip(hashes, range(len(self.number), len(self.number) + len(ids))))
         self.at = np.concatenate([self.at, self.at[-1] + np.cumsum([len(x) for x in ids])]).astype(np.int64)
         self.flat = np.concatenate([self.flat, np.array([i for x in ids for i in x], np.uint32)])
 
     def encode(self, column: pa.Array) -> list[np.ndarray]:
         """Ids of each text of a string column."""
-        if len(self.number) > CACHE_WORDS:
+        if len(self.keys) > CACHE_WORDS:
             self.clear()
         data, offsets = texts(column)
         words = Words(data, offsets, self.table)
         distinct, sample, which = np.unique(words.hash, return_index=True, return_inverse=True)
-        keys, number = distinct.tolist(), self.number
-        new = [i for i, h in enumerate(keys) if h not in number]
-        first = sample[new] if new else sample[:0]
-        self._learn([keys[i] for i in new], [data[a:b].tobytes().lower().decode() for a, b in zip(
-            words.start[first], words.end[first])])
-        index = np.fromiter((number[h] for h in keys), np.int64, len(keys))[which]
+        place = np.searchsorted(self.keys, distinct)
+        new = np.append(self.keys, np.uint64(0))[place] != distinct
+        new |= place == len(self.keys)
+        first = sample[new]
+        slot = np.empty(len(distinct), np.int64)
+        slot[~new] = self.slot[place[~new]]
+        slot[new] = np.arange(len(first)) + len(self.at) - 1
+        self._learn([data[a:b].tobytes().lower().decode() for a, b in zip(words.start[first], words.end[first])])
+        self.keys = np.insert(self.keys, place[new], distinct[new])
+        self.slot = np.insert(self.slot, place[new], slot[new])
+        index = slot[which]
         length = self.at[index + 1] - self.at[index]
         ends = np.concatenate([[0], np.cumsum(length)])
         ids = self.flat[np.repeat(self.at[index] - ends[:-1], length) + np.arange(ends[-1])]
