@@ -3,8 +3,8 @@
 Every aggregate is algebraic (partial aggregation before the shuffle), so a group holding
 a third of the table costs no more than any other.  Global constants (min/max, overall
 means, totals) are scalar subqueries, never a window over base rows.  The only
-order-statistics (quantiles) go through ``exact_quantiles``, which range-partitions
-instead of collecting a group.
+order-statistics (quantiles) go through ``exact_quantiles``, which brackets them instead
+of collecting a group.
 """
 
 from __future__ import annotations
@@ -219,20 +219,56 @@ def heat_contrast(df: DataFrame, measure: str, threshold: float | None = None,
 
 
 # A9 ------------------------------------------------------------------------------------
+#: Relative rank error of the approximate quantiles that bracket the exact ones, and the group
+#: size up to which a group is taken whole.
+RANK_ERROR = 1 / 1000
+SMALL_GROUP = 2000
+
+
 def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str,
                     qs: Sequence[float] = (0.25, 0.5, 0.75),
                     names: Sequence[str] | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles per key (= ``percentile`` / ``quantile_cont``).
 
-    Distributed and skew-safe: values are first counted per (key, value) with map-side
-    combine, the distinct values are range-partitioned so a hot key spreads over many
-    tasks, each value learns how many smaller values precede it, and only the rows that
-    hold a wanted rank survive.  No group is ever gathered into one task.
+    One scan brackets each quantile between two approximate ones, whose rank error is bounded.
+    A second counts the values below each bracket and keeps only those inside, about half a
+    percent; both combine before the shuffle, so a hot key costs no more than others.  The exact
+    ranks are then found among the values kept.  A rank that a bracket should miss is looked up
+    among all values instead.
     """
-    keys = list(keys)
-    base = df.select(*keys, _num(value).alias("__v")).filter(F.col("__v").isNotNull())
-    cv = _drop_null_keys(base, keys).groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
-    return quantiles_from_counts(cv, keys, "__v", "__c", qs, names)
+    keys, qs = list(keys), list(qs)
+    names = list(names) if names else [f"q{int(round(q * 100))}" for q in qs]
+    base = _drop_null_keys(df.select(*keys, _num(value).alias("__v")).filter(F.col("__v").isNotNull()), keys)
+    ends = [min(max(q + d, 0.0), 1.0) for q in qs for d in (-3 * RANK_ERROR, 3 * RANK_ERROR)]
+    stats = materialise(base.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.percentile_approx(
+        "__v", F.array(*[F.lit(e) for e in ends]), int(1 / RANK_ERROR)).alias("__e")), "brackets")
+    whole = F.col("__n") <= SMALL_GROUP
+    cells = F.array(*[F.struct(F.lit(i).alias("__q"),
+                               F.when(~whole & (F.col("__v") < F.get("__e", 2 * i)), F.lit(-1))
+                               .when(~whole & (F.col("__v") > F.get("__e", 2 * i + 1)), F.lit(1)).otherwise(F.lit(0)).alias("__side"))
+                      for i in range(len(qs))])
+    kept = base.join(stats, keys).select(*keys, "__v", F.explode(cells).alias("__c")).select(
+        *keys, "__c.__q", "__c.__side", F.when(F.col("__c.__side") == 0, F.col("__v")).alias("__v")).filter("__side < 1")
+    kept = materialise(kept.groupBy(*keys, "__q", "__side", "__v").agg(F.count(F.lit(1)).alias("__c")), "bracketed")
+    below = kept.filter("__side = -1").select(*keys, "__q", F.col("__c").alias("__below"))
+    cum = grouped_cumulative(kept.filter("__side = 0").drop("__side"), [*keys, "__q"], ["__v"], "__c", before="__b")
+    cum = cum.join(below, [*keys, "__q"], "left").join(stats.select(*keys, "__n"), keys).withColumn(
+        "__b", F.col("__b") + F.coalesce("__below", F.lit(0)))
+    pos = (F.col("__n") - 1) * F.get(F.array(*[F.lit(float(q)) for q in qs]), F.col("__q"))
+    covers = lambda r: (r >= F.col("__b")) & (r < F.col("__b") + F.col("__c"))
+    lo, hi = F.floor(pos), F.ceil(pos)
+    found = cum.filter(covers(lo) | covers(hi)).groupBy(*keys, "__n", "__q").agg(
+        F.max(F.when(covers(lo), F.col("__v"))).alias("__lo"), F.max(F.when(covers(hi), F.col("__v"))).alias("__hi"),
+        F.first(pos - lo).alias("__part"))
+    exact = F.col("__lo") + (F.col("__hi") - F.col("__lo")) * F.col("__part")
+    out = materialise(stats.select(*keys, F.col("__n").alias("n")).join(found.groupBy(*keys).agg(*[
+        F.max(F.when(F.col("__q") == i, exact)).alias(nm) for i, nm in enumerate(names)]), keys, "left"), "quantiles")
+    missed = out.filter(" or ".join(f"`{nm}` is null" for nm in names))
+    if missed.isEmpty():
+        return out
+    again = base.join(missed.select(*keys), keys, "left_semi").groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    return out.join(missed.select(*keys), keys, "left_anti").unionByName(
+        quantiles_from_counts(again, keys, "__v", "__c", qs, names))
 
 
 def quantiles_from_counts(cv: DataFrame, keys: Sequence[str], value: str, count: str,
@@ -241,7 +277,8 @@ def quantiles_from_counts(cv: DataFrame, keys: Sequence[str], value: str, count:
     """Exact quantiles from a (keys, value, count) table of distinct values."""
     keys = list(keys)
     names = list(names) if names else [f"q{int(round(q * 100))}" for q in qs]
-    cum = grouped_cumulative(cv, keys, [value], count, before="__b", total="__n")
+    # written once: the numbering reads its input three times
+    cum = grouped_cumulative(materialise(cv, "counts"), keys, [value], count, before="__b", total="__n")
     # A distinct value covers the 0-based ranks [b, b + c); keep only rows covering a rank
     # the interpolation needs (plain codegen'd predicates, no per-row lambdas).
     def covers(r):
@@ -272,7 +309,7 @@ def box_stats(df: DataFrame, group: str, measures: Sequence[str] | str, whis: fl
     inside it; points beyond them are outliers.  Several measures are unpivoted into one long
     frame first.
 
-    The quartiles (one row per box) are written once.  The whisker pass joins the scan with
+    The quartiles (one row per box) are a written table.  The whisker pass joins the scan with
     them, so its minima, maxima and counts combine before the shuffle and the table of values
     is not shuffled again.
     """
@@ -282,8 +319,7 @@ def box_stats(df: DataFrame, group: str, measures: Sequence[str] | str, whis: fl
     ).select(group, "__m.measure", "__m.v")
     keys = [group, "measure"]
     long = _drop_null_keys(long.filter(F.col("v").isNotNull()), keys)
-    cv = long.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("__c"))
-    q = materialise(quantiles_from_counts(cv, keys, "v", "__c", (0.25, 0.5, 0.75), ["q1", "median", "q3"]), "boxes")
+    q = exact_quantiles(long, keys, "v", (0.25, 0.5, 0.75), ["q1", "median", "q3"])
     iqr = F.col("q3") - F.col("q1")
     fences = q.withColumns({"__lo": F.col("q1") - whis * iqr, "__hi": F.col("q3") + whis * iqr})
     return long.join(fences, keys, "inner").groupBy(*keys, "n", "q1", "median", "q3").agg(
@@ -336,8 +372,7 @@ def violin_density(df: DataFrame, group: str, value: str, gridsize: int = 100,
     flat = stats.filter("bandwidth is null or not bandwidth > 0").select(
         group, F.lit(0).alias("grid_idx"), F.col("__min").alias("grid_x"),
         F.lit(None).cast("double").alias("density"), F.lit(1.0).alias("width"))
-    cv = base.groupBy(group, "__v").agg(F.count(F.lit(1)).alias("__c"))
-    quart = quantiles_from_counts(cv, [group], "__v", "__c", (0.25, 0.5, 0.75), ["q1", "median", "q3"]).drop("n")
+    quart = exact_quantiles(base, [group], "__v", (0.25, 0.5, 0.75), ["q1", "median", "q3"]).drop("n")
     return (dens.unionByName(flat).join(quart, group, "left")
             .join(stats.select(group, "n", "bandwidth"), group, "left"))
 

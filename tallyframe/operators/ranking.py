@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 #: Sampled rows per slice; the sample is the only thing gathered (slices × this many keys).
 SAMPLE_PER_SLICE = 40
+TREE_SLICES = 256
 
 _B = "__tf_slice"
 _TIE = "__tf_tie"
@@ -66,20 +67,29 @@ class _Sliced:
         def literal(row, names):
             return F.struct(*[F.lit(v).cast(types[c]).alias(c) for v, c in zip(row, names)])
 
-        bounds = F.array(*[literal(s, self.keys) for s in splits]) if splits else None
-        # binary search for the number of split points <= the row's key, as one expression
-        jumps = [1 << i for i in reversed(range(len(splits).bit_length()))]
-        at = F.lit(0)
-        if splits:
-            key = F.struct(*self.keys)
-            at = F.aggregate(F.array(*[F.lit(j) for j in jumps]), at, lambda b, j: F.when(
-                F.get(bounds, b + j - 1) <= key, b + j).otherwise(b))
-        self.df = keyed.withColumn(_B, at)
+        self.df = keyed.withColumn(_B, self._slice([literal(x, self.keys) for x in splits]))
         ng = len(self.g)
         self.edges = [s[:ng] for s in splits]
         self._edge_groups = [literal(e, self.g) for e in dict.fromkeys(self.edges)]
         self._edge_array = F.array(*[literal(e, self.g) for e in self.edges]) if ng and splits else None
 
+    def _slice(self, bounds: list[Column]) -> Column:
+        """The number of split points <= the row's key, by binary search: up to TREE_SLICES as
+        nested comparisons, which compile to plain code, beyond that over an array literal."""
+        key = F.struct(*self.keys)
+        if len(bounds) > TREE_SLICES:
+            table, jumps = F.array(*bounds), [1 << i for i in reversed(range(len(bounds).bit_length()))]
+            return F.aggregate(F.array(*[F.lit(j) for j in jumps]), F.lit(0), lambda b, j: F.when(
+                F.get(table, b + j - 1) <= key, b + j).otherwise(b))
+
+        def search(lo: int, hi: int) -> Column:
+            if lo == hi:
+                return F.lit(lo)
+            mid = (lo + hi) // 2
+            return F.when(bounds[mid] <= key, search(mid + 1, hi)).otherwise(search(lo, mid))
+
+        return search(0, len(bounds))
+
     def at_edge(self, below: bool) -> Column:
         """Whether the row's group is the one cut by the split point below (above) its slice."""
         if not self.splits:
