@@ -11,15 +11,23 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 4 == 2, F.lit(False))
 
 
+#: Rows of a label that are ranked, as a multiple of those wanted.
+SPARE = 4
+
+
 def sample(labelled: DataFrame, id_col: str, label_col: str, per_label: int, most_labels: int) -> DataFrame:
     """At most ``per_label`` rows of each of the ``most_labels`` most frequent labels.
 
-    Ranked by a hash of the id on narrow rows (Spark keeps ``per_label`` rows per label and task
-    before the shuffle), so at most per_label * most_labels rows are taken.
+    The rows with the smallest hashes of their id.  As the counts are known, a threshold on the hash
+    first cuts each label to about SPARE times the rows wanted, so what is ranked (narrow rows, a
+    task per label) does not follow the input.
     """
     frequent = labelled.groupBy(label_col).count().orderBy(F.desc("count"), label_col).limit(most_labels)
-    order = Window.partitionBy(label_col).orderBy(F.xxhash64(id_col), id_col)
-    chosen = (labelled.select(id_col, label_col).withColumn("__rank", F.row_number().over(order))
-              .filter(F.col("__rank") <= per_label).select(id_col, label_col)
-              .join(frequent.select(label_col), label_col, "left_semi"))
-    return chosen.dropDuplicates([id_col])
+    share = F.lit(float(SPARE * per_label)) / F.col("count")
+    place = F.pmod(F.xxhash64(id_col), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    order = Window.partitionBy(label_col).orderBy("__place", id_col)
+    # at most most_labels rows are broadcast
+    near = labelled.select(id_col, label_col, place.alias("__place")).join(F.broadcast(frequent), label_col).filter(
+        F.col("__place") < share)
+    chosen = near.withColumn("__rank", F.row_number().over(order)).filter(F.col("__rank") <= per_label)
+    return chosen.select(id_col, label_col).dropDuplicates([id_col])
