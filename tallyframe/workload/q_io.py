@@ -13,7 +13,7 @@ from ..operators import clean as P
 from ..operators import template as TP
 from ..plans import hooks as H
 from ..plans import jobs
-from ..session import scratch_dir
+from ..session import materialise, scratch_dir
 from ..sources import files as S
 from ..sources import sinks as K
 from .tables import r6, table
@@ -233,6 +233,14 @@ _TARGET_SQL = ("SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, s_name, 'loaded'
                "CAST(s_nationkey AS INTEGER) AS s_nationkey FROM supplier")
 
 
+def _read_and_drop(spark, *names):
+    """The first table's rows, kept as files; the query leaves no table behind."""
+    rows = materialise(spark.table(names[0]), "rows")
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return rows
+
+
 def _suppliers(spark, sf):
     return table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
 
@@ -242,7 +250,7 @@ def q_table_append(spark, sf):
     d = scratch_dir(spark, "append")
     t = _target(spark, sf, f"tf_target_{uuid.uuid4().hex[:8]}", d)
     K.table_append(spark, _suppliers(spark, sf), t)
-    return spark.table(t)
+    return _read_and_drop(spark, t)
 
 
 @reg("table_snapshot", _TARGET_SQL)
@@ -252,7 +260,7 @@ def q_table_snapshot(spark, sf):
     K.table_append(spark, _suppliers(spark, sf), t)
     snap = K.table_snapshot(spark, t, "s1")
     K.table_snapshot(spark, t, "s1")  # second time: cleared and refilled, not doubled
-    return spark.table(snap)
+    return _read_and_drop(spark, snap, t)
 
 
 def _load_setup(spark, sf):
@@ -274,36 +282,32 @@ def _load_setup(spark, sf):
 
 @reg("staged_load", _TARGET_SQL)
 def q_staged_load(spark, sf):
-    d, tname, _, manifest, hooks = _load_setup(spark, sf)
+    d, tname, audit, manifest, hooks = _load_setup(spark, sf)
     status = K.staged_load(spark, manifest, d + "/files", hooks=hooks, snapshot=True)
     bad = status.filter(F.col("status") != "ok").collect()
     if bad:
         raise RuntimeError(str(bad))
-    return spark.table(tname)
+    return _read_and_drop(spark, tname, audit)
 
 
 @reg("after_load", "SELECT count(*) AS n FROM supplier")
 def q_after_load(spark, sf):
     d, tname, audit, manifest, hooks = _load_setup(spark, sf)
     K.staged_load(spark, manifest, d + "/files", hooks=hooks)
-    return spark.table(audit).select("n")
+    return _read_and_drop(spark, audit, tname).select("n")
 
 
 @reg("load_manifest", _TARGET_SQL)
 def q_load_manifest(spark, sf):
-    d, tname, _, _, hooks = _load_setup(spark, sf)
+    d, tname, audit, _, hooks = _load_setup(spark, sf)
     ent = spark.createDataFrame([("supplier.csv", tname, "merge_proc", True)],
                                 "file string, table string, call string, written boolean")
     K.manifest_write(ent, d + "/manifest")
-    return jobs_load(spark, d, tname, hooks)
-
-
-def jobs_load(spark, d, tname, hooks):
     status = jobs.load_manifest(spark, d + "/manifest", d + "/files", hooks=hooks)
     bad = status.filter(F.col("status") != "ok").collect()
     if bad:
         raise RuntimeError(str(bad))
-    return spark.table(tname)
+    return _read_and_drop(spark, tname, audit)
 
 
 @reg("report_frame", """
