@@ -1,13 +1,14 @@
 """Benchmark decontamination with SimHash windows (operator 4).
 
-A window is as many words of a document as a benchmark item has.  Its fingerprint is the SimHash
-of its weighted word shingles.  Items are indexed by blocks of their fingerprint: within RADIUS
-bits of an item, at least one of BLOCKS blocks is within RADIUS // BLOCKS bits of the item's, so
-looking up every block finds all items within the radius.  Candidates are verified by the exact
-weighted similarity of the two bags of shingles.
-
-Only windows that hold a shingle of an item of their size are fingerprinted: any other window has
-similarity 0 to all of them, so nothing is lost.
+A window is as many words of a document as a benchmark item has.  An item is looked for in the
+documents whose shared shingles weigh enough, by exact bounds: a similarity of t needs shingles in
+common of t times the item's weight, and t / (1 + t) times the weights of window and item
+together.  What the bounds leave is decided by the exact weighted similarity of the two bags of
+shingles; no window that reaches the threshold is lost, however uneven the weights are.
+
+The SimHash of a window's weighted shingles is compared with the item's and their distance is
+reported.  It does not choose candidates: SimHash sums weights, so shared prompt wording of low
+weight moves the distance far from what the similarity implies, by different amounts per item.
 """
 
 from __future__ import annotations
@@ -22,17 +23,12 @@ from pyspark.sql import functions as F
 
 from .hashing import Words, byte_table, mix64, slices, texts
 
-BLOCKS = 8
-#: At similarity 0.8 about 15 % of 64 bits differ, 10 on average, more than 20 in 1 of 5,000.
-RADIUS = 20
 #: Items held by a task at once; a larger benchmark is gone through block by block.
 ITEM_BLOCK = 5000
-#: Window starts fingerprinted at a time.
-WINDOW_RUN = 1 << 13
 
 
 class _Items:
-    """One block of items: shingle weights, fingerprints and the block index by window size."""
+    """One block of items: shingle weights and the items that hold each shingle."""
 
     def __init__(self, items: Sequence[tuple], k: int):
         words = Words(*texts(pa.array([t for _, t in items], pa.large_string())), byte_table("space"))
@@ -45,77 +41,61 @@ class _Items:
                 bags.append(np.unique(grams[lo:hi - k + 1], return_counts=True))
         self.known, df = np.unique(np.concatenate([b[0] for b in bags]) if bags else np.zeros(0, np.uint64),
                                    return_counts=True)
-        self.rare = np.float32(np.log1p(len(bags)))  # weight of a shingle of no or one item
-        self.weight = np.log1p(len(bags) / df).astype(np.float32)
+        self.rare = float(np.log1p(len(bags)))  # weight of a shingle of no or one item
+        self.weight = np.log1p(len(bags) / df)
         self.bags = [(np.searchsorted(self.known, g), c) for g, c in bags]
-        self.total = [float((self.weight[g] * c).sum()) for g, c in self.bags]
-        prints = [(self.signs(self.known[g]) * (self.weight[g] * c)[:, None]).sum(axis=0) for g, c in self.bags]
-        prints = self.bits(np.array(prints).reshape(-1, 64))
-        self.by_size: dict[int, list[int]] = {}
-        for i, n in enumerate(self.size):
-            self.by_size.setdefault(n, []).append(i)
-        self.prints, self.index = prints, {n: self._table(prints[m]) for n, m in self.by_size.items()}
-        # sizes of the items that hold each known shingle
-        self.sizes: list[set[int]] = [set() for _ in self.known]
-        for (g, _), n in zip(self.bags, self.size):
-            for x in g.tolist():
-                self.sizes[x].add(n)
+        self.total = np.array([(self.weight[g] * c).sum() for g, c in self.bags])
+        # items that hold each known shingle and how often: places first[x] to first[x + 1]
+        held = np.concatenate([g for g, _ in self.bags]) if bags else np.zeros(0, np.int64)
+        order = np.argsort(held, kind="stable")
+        self.first = np.searchsorted(held[order], np.arange(len(self.known) + 1))
+        self.holder = np.repeat(np.arange(len(bags)), np.array([len(g) for g, _ in self.bags], np.int64))[order]
+        self.times = np.concatenate([c for _, c in self.bags])[order] if bags else held
 
     @staticmethod
     def signs(grams: np.ndarray) -> np.ndarray:
         bits = np.unpackbits(mix64(grams + np.uint64(1)).view(np.uint8).reshape(-1, 8), axis=1)
         return bits.astype(np.float32) * 2 - 1
 
-    @staticmethod
-    def bits(sums: np.ndarray) -> np.ndarray:
-        return np.packbits(sums > 0, axis=1).view(np.uint64).ravel()
-
-    @staticmethod
-    def _table(prints: np.ndarray) -> np.ndarray:
-        """[block, value, item]: whether the item's block is within the block radius of value."""
-        blocks = prints.view(np.uint8).reshape(-1, BLOCKS)
-        values = np.arange(256, dtype=np.uint8)
-        near = np.bitwise_count(values[:, None, None] ^ blocks[None]) <= RADIUS // BLOCKS
-        return near.transpose(2, 0, 1)
+    def print(self, grams: np.ndarray, weight: np.ndarray) -> np.uint64:
+        return np.packbits((self.signs(grams) * weight[:, None]).sum(axis=0) > 0).view(np.uint64)[0]
 
     def matches(self, grams: np.ndarray, at: np.ndarray, n_words: int, threshold: float) -> Iterator[tuple]:
-        """(item, start, words, distance, similarity) of one text's windows; at: known or -1."""
-        hits = np.flatnonzero(at >= 0)
-        sizes = [self.sizes[x] for x in at[hits].tolist()]
-        for size in sorted(set().union(*sizes)):
-            width = min(size, n_words) - self.k + 1  # shingles of a window
-            last = n_words - min(size, n_words)
-            own = hits[[size in s for s in sizes]]
-            wanted = np.zeros(last + 2, np.int32)
-            np.add.at(wanted, np.clip(own - width + 1, 0, last), 1)
-            np.add.at(wanted, np.clip(own, 0, last) + 1, -1)
-            starts = np.flatnonzero(np.cumsum(wanted)[:-1])
-            runs = np.split(starts, np.flatnonzero(np.diff(starts) > 1) + 1)
-            for run in (r[i:i + WINDOW_RUN] for r in runs for i in range(0, len(r), WINDOW_RUN)):
-                yield from self._run(grams, at, run, size, width, threshold)
-
-    def _run(self, grams, at, run, size, width, threshold):
-        a, b = run[0], run[-1] + width
-        weight = np.where(at[a:b] >= 0, self.weight[at[a:b]], self.rare)
-        sums = np.zeros((b - a + 1, 64), np.float64)
-        np.cumsum(self.signs(grams[a:b]) * weight[:, None], axis=0, out=sums[1:])
-        prints = self.bits(sums[width:] - sums[:-width])
-        table = self.index[size]
-        near = np.zeros((len(run), table.shape[2]), bool)
-        for block, values in enumerate(prints.view(np.uint8).reshape(-1, BLOCKS).T):
-            near |= table[block, values]
-        members = self.by_size[size]
-        distance = np.bitwise_count(prints[:, None] ^ self.prints[members][None])
-        for w, m in zip(*np.nonzero(near & (distance <= RADIUS))):
-            item, lo = members[m], run[w] - a
-            window = at[run[w]:run[w] + width]
-            found, counts = np.unique(window[window >= 0], return_counts=True)
-            own, n = self.bags[item]
-            _, x, y = np.intersect1d(own, found, assume_unique=True, return_indices=True)
-            both = float((self.weight[own[x]] * np.minimum(n[x], counts[y])).sum())
-            similarity = both / (self.total[item] + float(weight[lo:lo + width].sum()) - both)
-            if similarity >= threshold - 1e-6:
-                yield item, int(run[w]), min(size, width + self.k - 1), int(distance[w, m]), min(1.0, similarity)
+        """(item, start, words, distance, similarity) of the best window of each item in one text;
+        at: the shingles' places among the known ones, or -1."""
+        found, counts = np.unique(at[at >= 0], return_counts=True)
+        n = self.first[found + 1] - self.first[found]
+        place = np.arange(n.sum()) + np.repeat(self.first[found] - (np.cumsum(n) - n), n)
+        shared = np.bincount(
+            self.holder[place], np.minimum(self.times[place], np.repeat(counts, n)) * np.repeat(self.weight[found], n),
+            minlength=len(self.ids))
+        # bounds are taken a little below the threshold, as sums are rounded
+        least = threshold - 1e-5
+        likely = np.flatnonzero((shared > 0) & (shared >= least * self.total))
+        if not len(likely):
+            return
+        weight = np.where(at >= 0, self.weight[at], self.rare)
+        sums = np.concatenate([[0], np.cumsum(weight)])
+        for item in likely.tolist():
+            own, times = self.bags[item]
+            width = min(self.size[item], n_words) - self.k + 1  # shingles of a window
+            slot = np.minimum(np.searchsorted(own, at), len(own) - 1)
+            common = np.concatenate([[0], np.cumsum(np.where(own[slot] == at, weight, 0))])
+            common, whole = common[width:] - common[:-width], self.total[item] + sums[width:] - sums[:-width]
+            best = (threshold - 1e-6, -1)
+            for start in np.flatnonzero((common > 0) & (common >= least / (1 + least) * whole)).tolist():
+                window = at[start:start + width]
+                seen, counts = np.unique(window[window >= 0], return_counts=True)
+                _, x, y = np.intersect1d(own, seen, assume_unique=True, return_indices=True)
+                both = float((self.weight[own[x]] * np.minimum(times[x], counts[y])).sum())
+                similarity = min(1.0, both / (whole[start] - both))
+                if similarity > best[0] + 1e-9 or best[1] < 0 and similarity >= best[0]:
+                    best = (similarity, start)
+            if best[1] >= 0:
+                part = slice(best[1], best[1] + width)
+                distance = np.bitwise_count(self.print(grams[part], weight[part]) ^ self.print(
+                    self.known[own], self.weight[own] * times))
+                yield item, best[1], width + self.k - 1, int(distance), best[0]
 
 
 def _found(batches, items: Sequence[tuple], k: int, threshold: float, text_col: str):
@@ -135,11 +115,8 @@ def _found(batches, items: Sequence[tuple], k: int, threshold: float, text_col:
                 lo, hi = words.first[d], words.first[d + 1]
                 if hi - lo < k:
                     continue
-                best: dict[int, tuple] = {}
-                for m in index.matches(grams[lo:hi - k + 1], at[lo:hi - k + 1], int(hi - lo), threshold):
-                    if m[0] not in best or m[4] > best[m[0]][4]:
-                        best[m[0]] = m
-                rows += [(int(d), index.ids[m[0]], *m[1:]) for m in best.values()]
+                rows += [(int(d), index.ids[m[0]], *m[1:]) for m in index.matches(
+                    grams[lo:hi - k + 1], at[lo:hi - k + 1], int(hi - lo), threshold)]
             yield batch, rows
 
 

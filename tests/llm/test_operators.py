@@ -182,6 +182,22 @@ def test_decontamination_equals_brute_force(spark):
     assert all(abs(got[k][0] - want[k][0]) < 1e-4 and got[k][1] == want[k][1] for k in got)
 
 
+def test_decontamination_of_items_with_a_shared_prompt(spark):
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(3000)]
+    prompt, items, docs = rng.choices(words, k=200), [], []
+    for i in range(120):  # the prompt stays, and the end of what is the item's own is another
+        own = rng.choices(words, k=12)
+        items.append((i, " ".join(prompt + own)))
+        docs.append((i, " ".join(prompt + own[:-4] + rng.choices(words, k=4))))
+    got = {(r["doc_id"], r["item_id"]): (r["similarity"], r["start_word"]) for r in decontaminate.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(4),
+        spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got.keys() == {(i, i) for i in range(120)}
+    want = brute_matches(docs[::12], items)
+    assert len(want) == 10 and all(abs(got[k][0] - want[k][0]) < 1e-4 and got[k][1] == want[k][1] for k in want)
+
+
 def test_item_blocks_and_awkward_tables(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
