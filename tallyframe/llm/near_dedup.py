@@ -17,6 +17,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -29,9 +30,11 @@ from .components import components
 from .hashing import Words, byte_table, mix64, slices, texts
 from .tables import written
 
-#: Bins of the sketch, split into BANDS bands of ROWS registers each.  A pair at similarity 0.85
-#: misses every bucket with probability (1 - 0.85 ** 8) ** 32 = 4e-5.
-BANDS, ROWS = 32, 8
+#: A pair at the similarity asked for misses every bucket with at most this probability; ``_bands``
+#: derives the bands from it: 32 of 8 registers at 0.85 (3.8e-5), 56 of 8 at 0.80 (3.4e-5).
+MISS = 4e-5
+#: Least bands and most registers of a band; bands up to which more registers a band are preferred.
+BANDS, ROWS, MOST_BANDS = 32, 8, 64
 BINS = BANDS * ROWS
 #: Bins and bits a bin of the check words, which discard most pairs without reading their sets.
 CHECK_BINS, CHECK_BITS = 1024, 4
@@ -53,14 +56,27 @@ def _sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
             yield short
 
 
+def _bands(percent: int) -> tuple[int, int]:
+    """Bands and registers of each, so that a pair at ``percent`` is missed at most with MISS."""
+    if not 0 < percent <= 100:
+        raise ValueError("percent must be from 1 to 100")
+    for rows in range(ROWS, 0, -1):
+        alike = (percent / 100) ** rows
+        bands = max(BANDS, math.ceil(math.log(MISS) / math.log1p(-alike)) if alike < 1 else 1)
+        if bands <= MOST_BANDS:
+            break
+    return bands, rows
+
+
 def _densify(registers: np.ndarray, full: np.ndarray) -> None:
     """Fill empty bins from bins drawn by hash(bin, attempt) until a full one is met."""
+    n_bins = registers.shape[1]
     some = full.any(axis=1)
     row, empty = np.nonzero(~full & some[:, None])
     attempt = 0
     while len(row):
         attempt += 1
-        drawn = (mix64(np.arange(BINS, dtype=np.uint64) + np.uint64(attempt * BINS)) % np.uint64(BINS)).astype(int)
+        drawn = (mix64(np.arange(n_bins, dtype=np.uint64) + np.uint64(attempt * n_bins)) % np.uint64(n_bins)).astype(int)
         donor = drawn[empty]
         ok = full[row, donor]
         registers[row[ok], empty[ok]] = registers[row[ok], donor[ok]]
@@ -93,25 +109,26 @@ def _could_link(percent: int, a: str, b: str) -> Column:
         (100 - percent) * (na + nb) >= (100 + percent) * differ)
 
 
-def _sketch_batches(batches, k: int):
+def _sketch_batches(batches, k: int, n_bands: int, n_rows: int):
+    n_bins = n_bands * n_rows
     for whole in batches:
         for batch in slices(whole, "text"):
             n = batch.num_rows
-            registers, full = np.zeros((n, BINS), np.uint64), np.zeros((n, BINS), bool)
+            registers, full = np.zeros((n, n_bins), np.uint64), np.zeros((n, n_bins), bool)
             sizes, keys, checks = np.zeros(n, np.int64), [], []
             for i, s in enumerate(_sets(batch.column("text"), k)):
                 sizes[i] = len(s)
                 keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                bins = (s >> np.uint64(56)).astype(int) * BINS >> 8
+                bins = ((s >> np.uint64(32)) * np.uint64(n_bins) >> np.uint64(32)).astype(int)
                 least = np.flatnonzero(np.diff(bins, prepend=-1))
                 registers[i, bins[least]] = s[least]
                 full[i, bins[least]] = True
                 checks.append(_check_bits(s) if len(s) else None)
             _densify(registers, full)
-            bands = np.zeros((n, BANDS), np.uint64)
-            for j in range(ROWS):
-                bands = bands * np.uint64(0xD6E8FEB86659FD93) + registers[:, j::ROWS]
-            bands = mix64(bands * np.uint64(BANDS) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+            bands = np.zeros((n, n_bands), np.uint64)
+            for j in range(n_rows):
+                bands = bands * np.uint64(0xD6E8FEB86659FD93) + registers[:, j::n_rows]
+            bands = mix64(bands * np.uint64(n_bands) + np.arange(n_bands, dtype=np.uint64)).view(np.int64)
             yield pa.RecordBatch.from_arrays([
                 batch.column("id"), batch.column("hash"), pa.array(sizes), pa.array(keys, pa.binary()), pa.array(checks, pa.list_(pa.int64())),
                 pa.array([list(b) if size else None for b, size in zip(bands, sizes)], pa.list_(pa.int64()))],
@@ -133,8 +150,9 @@ class _Graph:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, k: int, percent: int):
         self.percent, narrow = percent, docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         id_type = narrow.schema["id"].dataType.simpleString()
+        bands = _bands(percent)
         self.rows = written(narrow.withColumn("hash", F.xxhash64("text")).mapInArrow(
-            lambda it: _sketch_batches(it, k),
+            lambda it: _sketch_batches(it, k, *bands),
             f"id {id_type}, hash bigint, n bigint, key binary, checks array<bigint>, bands array<bigint>"), "sketches")
         classes = self.rows.filter("n > 0").groupBy("key").agg(
             F.min("id").alias("low"), F.first("n").alias("n"), F.first("checks").alias("checks"),

@@ -416,6 +416,17 @@ def test_densified_registers_keep_similarity():
     assert abs(np.mean(same) - 18 / 20) < 0.05
 
 
+def test_bands_hold_the_miss_rate():
+    assert near_dedup._bands(85) == (32, 8)
+    for percent in range(1, 101):
+        bands, rows = near_dedup._bands(percent)
+        assert (1 - (percent / 100) ** rows) ** bands <= 4e-5
+    text = " ".join(f"w{i}" for i in range(300))
+    sketch = next(near_dedup._sketch_batches([pa.record_batch(
+        [pa.array([1]), pa.array([1]), pa.array([text])], ["id", "hash", "text"])], 5, *near_dedup._bands(80)))
+    assert (1 - 0.8 ** 8) ** len(set(sketch.column("bands")[0].as_py())) <= 4e-5
+
+
 def test_components_of_paths_and_stars(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 180)] + [(200, 200), (301, 300), (300, 301)]
