@@ -75,13 +75,31 @@ def _spans(data: np.ndarray, table: np.ndarray, offsets: np.ndarray) -> tuple[np
     return np.flatnonzero(starts), np.flatnonzero(ends) + 1
 
 
+def _pieces(data: np.ndarray, start: np.ndarray, end: np.ndarray, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words of more than ``longest`` bytes as pieces of about that size, cut between characters."""
+    n = -(-(end - start) // longest)
+    if not len(n) or n.max() == 1:
+        return start, end
+    word = np.repeat(np.arange(len(n)), n)
+    part = np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n)
+    begin, limit = start[word] + part * longest, end[word]
+    for _ in range(3):  # a character's bytes after the first
+        begin += (part > 0) & (begin < limit) & (data[np.minimum(begin, len(data) - 1)] & 0xC0 == 0x80)
+    word, begin, limit = (x[begin < limit] for x in (word, begin, limit))
+    last = np.append(word[1:] != word[:-1], True)
+    return begin, np.where(last, limit, np.append(begin[1:], 0))
+
+
 class Words:
     """The words of a run of texts: ``hash``, ``start`` and ``end`` (bytes in ``data``) by word;
-    text i has words ``first[i]`` to ``first[i + 1]`` and begins at byte ``offsets[i]``."""
+    text i has words ``first[i]`` to ``first[i + 1]`` and begins at byte ``offsets[i]``.
+    ``longest``: longer words are cut into pieces of about so many bytes, each a word."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, table: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, table: np.ndarray, longest: int | None = None):
         self.data, self.offsets = data, offsets
         self.start, self.end = _spans(data, table, offsets) if len(data) else (np.zeros(0, np.int64),) * 2
+        if longest:
+            self.start, self.end = _pieces(data, self.start, self.end, longest)
         self.first = np.searchsorted(self.start, offsets)
         self.hash = np.empty(len(self.start), np.uint64)
         lo = 0

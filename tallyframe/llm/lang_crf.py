@@ -25,8 +25,12 @@ from .labels import held_out, sample
 
 #: Bound of the training sample: rows per language, languages, characters read of a row.
 FIT_DOCS, FIT_LANGS, FIT_CHARS = 300, 200, 8000
-#: Words of a training chain, half of them from each of two documents so that chains switch.
+#: Most words of a training chain, half of them from each of two documents so that chains switch.
 CHAIN = 48
+#: Least runs of CHAIN / 2 words that an epoch draws of a row that has them; all are drawn over the epochs.
+RUNS = 6
+#: Bytes of a word; longer ones, as of scripts without blanks, are cut into pieces (32 CJK characters).
+LONGEST = 96
 EPOCHS, RATE = 6, 0.3
 #: Hashed n-gram weights; words of the sample seen at least twice form the lexicon.
 DIMS = 1 << 18
@@ -115,21 +119,29 @@ def _softmax(x: np.ndarray, axis: int = -1) -> np.ndarray:
 
 
 def fit(rows: list[tuple[str, str]], seed: int = 7) -> Model:
-    """Fit on (language, text) rows by minibatch gradient steps on the chains' log-likelihood."""
+    """Fit on (language, text) rows by minibatch gradient steps on the chains' log-likelihood.
+
+    Rows of any length teach the chain, with all their words; a language none of whose rows has a
+    letter is none of the model's.
+    """
     langs = sorted({lang for lang, _ in rows})
     if not langs:
         nothing = np.zeros((0, 0), np.float32)
         return Model([], nothing, np.zeros(0, np.uint64), np.zeros(0, np.int64), nothing, nothing)
-    rng, label = np.random.default_rng(seed), {x: i for i, x in enumerate(langs)}
-    words = Words(*texts(pa.array([t for _, t in rows], pa.large_string())), _word_table())
+    words = Words(*texts(pa.array([t for _, t in rows], pa.large_string())), _word_table(), LONGEST)
     distinct, sample_, which = np.unique(words.hash, return_index=True, return_inverse=True)
     plain = _letters(words, sample_)
     lettered = np.array([bool(p) for p in plain], bool)
-    of_row = np.repeat([label[x] for x, _ in rows], np.diff(words.first))
-    halves = [[] for _ in langs]  # runs of CHAIN / 2 words of one document
-    for (lang, _), lo, hi in zip(rows, words.first[:-1], words.first[1:]):
-        own = which[lo:hi][lettered[which[lo:hi]]]
-        halves[label[lang]] += [own[i:i + CHAIN // 2] for i in range(0, len(own) - CHAIN // 2 + 1, CHAIN // 2)][:6]
+    owns = [which[lo:hi][lettered[which[lo:hi]]] for lo, hi in zip(words.first[:-1], words.first[1:])]
+    langs = sorted({lang for (lang, _), own in zip(rows, owns) if len(own)})
+    if not langs:  # no labelled row has a letter
+        return fit([])
+    rng, label = np.random.default_rng(seed), {x: i for i, x in enumerate(langs)}
+    of_row = np.repeat([label.get(x, 0) for x, _ in rows], np.diff(words.first))
+    # each row's runs of up to CHAIN / 2 words, in random order
+    runs_of = [([own[i:i + CHAIN // 2] for i in range(0, len(own), CHAIN // 2)], label[lang])
+               for (lang, _), own in zip(rows, owns) if len(own)]
+    runs_of = [([runs[i] for i in rng.permutation(len(runs))], lang) for runs, lang in runs_of]
     n_lang, seen = len(langs), np.zeros((len(distinct), len(langs)))
     np.add.at(seen, (which, of_row), 1)
     in_lexicon = (seen.sum(axis=1) >= 2) & lettered
@@ -140,29 +152,37 @@ def fit(rows: list[tuple[str, str]], seed: int = 7) -> Model:
     order = order[cls[order] > 0]
     model = Model(langs, np.zeros((DIMS, n_lang), np.float32), hashes[order], cls[order],
                   np.zeros((n_lang + 1, n_lang), np.float32), np.zeros((n_lang, n_lang), np.float32))
-    runs = [(r, i) for i, h in enumerate(halves) for r in h]
-    if n_lang < 2 or not runs:
+    if n_lang < 2:
         return model
     feats, first = _ngrams(plain)
     spread = np.diff(np.append(first, len(feats)))
     g2 = [np.full(a.shape, 1e-6, np.float32) for a in (model.weights, model.lex_weights, model.transitions)]
-    for _ in range(EPOCHS):
+    for epoch in range(EPOCHS):
+        runs = []
+        for own, lang in runs_of:
+            n = min(len(own), max(RUNS, -(-len(own) // EPOCHS)))
+            runs += [(own[(epoch * n + i) % len(own)], lang) for i in range(n)]
         perm, other = rng.permutation(len(runs)), rng.permutation(len(runs))
         for at in range(0, len(runs), 64):
             pairs = [(runs[i], runs[j] if k % 2 else runs[i]) for k, (i, j) in enumerate(zip(perm[at:at + 64], other[at:at + 64]))]
-            x = np.array([np.concatenate([a[0], b[0]]) for a, b in pairs])
-            y = np.array([[a[1]] * (CHAIN // 2) + [b[1]] * (CHAIN // 2) for a, b in pairs])
+            size = np.array([len(a[0]) + len(b[0]) for a, b in pairs])
+            live = np.arange(size.max()) < size[:, None]
+            x = np.zeros(live.shape, np.int64)
+            x[live] = np.concatenate([r for a, b in pairs for r in (a[0], b[0])])
+            x = np.where(live, x, x[:, :1])  # shorter chains are filled up, and masked
+            y = np.zeros(live.shape, np.int64)
+            y[live] = np.repeat([r[1] for pair in pairs for r in pair], [len(r[0]) for pair in pairs for r in pair])
             used, back = np.unique(x, return_inverse=True)
             back = back.reshape(x.shape)
             take = np.concatenate([np.arange(first[u], first[u] + spread[u]) for u in used])
             e = _emissions(model.weights, feats[take], np.concatenate([[0], np.cumsum(spread[used])[:-1]]))
             e = (e + model.lex_weights[cls[used]])[back]
-            marginals, joint = _chains(e, model.transitions)
-            grad = np.eye(n_lang, dtype=np.float32)[y] - marginals
+            marginals, joint = _chains(e, model.transitions, live)
+            grad = (np.eye(n_lang, dtype=np.float32)[y] - marginals) * live[:, :, None]
             per_word = np.zeros((len(used), n_lang), np.float32)
             np.add.at(per_word, back.ravel(), grad.reshape(-1, n_lang))
             trans = -joint
-            np.add.at(trans, (y[:, :-1].ravel(), y[:, 1:].ravel()), 1)
+            np.add.at(trans, (y[:, :-1][live[:, 1:]], y[:, 1:][live[:, 1:]]), 1)
             touched, slot = np.unique(feats[take], return_inverse=True)
             gw = np.zeros((len(touched), n_lang), np.float32)
             np.add.at(gw, slot, np.repeat(per_word, spread[used], axis=0))
@@ -178,8 +198,9 @@ def fit(rows: list[tuple[str, str]], seed: int = 7) -> Model:
     return model
 
 
-def _chains(e: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Marginals of equally long chains and the expected transition counts (training)."""
+def _chains(e: np.ndarray, transitions: np.ndarray, live: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Marginals of chains and the expected transition counts (training); live: words of each chain,
+    the others are filling at its end."""
     x, a = np.exp(e - e.max(axis=2, keepdims=True)), np.exp(transitions - transitions.max())
     alpha, beta = np.empty_like(x), np.ones_like(x)
     now = x[:, 0] / x[:, 0].sum(axis=1, keepdims=True)
@@ -192,9 +213,9 @@ def _chains(e: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndar
     for t in range(x.shape[1] - 2, -1, -1):
         ahead = x[:, t + 1] * beta[:, t + 1]
         pair = alpha[:, t][:, :, None] * a[None] * ahead[:, None, :]
-        joint += (pair / pair.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+        joint += (pair / pair.sum(axis=(1, 2), keepdims=True))[live[:, t + 1]].sum(axis=0)
         now = ahead @ a.T
-        beta[:, t] = now / now.sum(axis=1, keepdims=True)
+        beta[:, t] = np.where(live[:, t + 1, None], now / now.sum(axis=1, keepdims=True), 1)
     gamma = alpha * beta
     return gamma / gamma.sum(axis=2, keepdims=True), joint
 
@@ -261,7 +282,7 @@ class Labeller:
 
     def label(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Word marginals of each text: (rows, first row of each text)."""
-        words = Words(*texts(column), self.table)
+        words = Words(*texts(column), self.table, LONGEST)
         distinct, some, which = np.unique(words.hash, return_index=True, return_inverse=True)
         if len(self.keys) > self.CACHE:
             self.clear()
@@ -328,7 +349,8 @@ def identify(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id"
 
     ``score`` is the mean marginal of the predicted language over the document's words, and
     ``n_switched`` counts the words whose likeliest language is another.  Words are runs of letters
-    (of ASCII letters and characters over 127 with their other characters taken out).
+    (of ASCII letters and characters over 127 with their other characters taken out); runs of more
+    than LONGEST bytes, as in scripts without blanks, count as several words.
 
     Defined results: a text that is null or has no letter is ``und`` with score 0, as is every text
     if no labelled row could be learned from; a null id is not held out; repeated rows are each

@@ -296,6 +296,25 @@ def test_code_switched_words():
     assert np.diff(first).tolist() == [8, 0, 0]
 
 
+def test_short_and_unsegmented_rows_teach():
+    rng = random.Random(3)
+    letters = {"aa": "abcdef", "bb": "ghijkl", "cc": "mnopqr", "dd": "stuvwx"}
+    letters["zh"], letters["ja"] = ("".join(chr(c + i) for i in range(60)) for c in (0x4E00, 0x3041))
+    write = {x: lambda x=x, n=3: " ".join("".join(rng.choices(letters[x], k=5)) for _ in range(n)) for x in ("aa", "bb", "cc", "dd")}
+    write |= {x: lambda x=x: "".join(rng.choices(letters[x], k=200)) for x in ("zh", "ja")}  # one run of letters
+    model = lang_crf.fit([(x, w()) for x, w in write.items() for _ in range(40)] + [("none", "12 34")])
+    assert model.langs == sorted(write)
+    want = [x for x in write for _ in range(10)]
+    p, first = lang_crf.Labeller(model).label(pa.array([write[x]() for x in want]))
+    mean = np.array([p[a:b].mean(axis=0) for a, b in zip(first[:-1], first[1:])])
+    assert [model.langs[i] for i in mean.argmax(axis=1)] == want and mean.max(axis=1).min() > 0.5
+    assert np.diff(first)[-1] == 7  # 600 bytes
+    assert lang_crf.fit([("aa", "12 34"), ("bb", "")]).langs == []
+    late = [("aa", write["aa"](n=150) + " " + write["dd"](n=900)), ("bb", write["bb"](n=150) + " " + write["cc"](n=900))] * 4
+    p, _ = lang_crf.Labeller(model := lang_crf.fit(late)).label(pa.array([write["cc"](n=20)]))
+    assert model.langs[p.mean(axis=0).argmax()] == "bb" and p.mean(axis=0).max() > 0.6
+
+
 def test_language_awkward(spark):
     got = {r["doc_id"]: r for r in lang_crf.identify(awkward(spark)).collect()}
     assert got[1]["lang_pred"] == got[2]["lang_pred"] == got[3]["lang_pred"] == "und" and got[1]["score"] == 0
