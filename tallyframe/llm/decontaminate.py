@@ -22,27 +22,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .hashing import Words, byte_table, mix64, slices, texts
+from .tables import written
 
 #: Items held by a task at once; a larger benchmark is gone through block by block.
 ITEM_BLOCK = 5000
 
 
 class _Items:
-    """One block of items: shingle weights and the items that hold each shingle."""
+    """One block of items ``(item, text, df)``: shingle weights and the items that hold each shingle.
+    df: by distinct shingle, in order of its hash, the items of the benchmark that hold it; count:
+    the benchmark's items with a shingle."""
 
-    def __init__(self, items: Sequence[tuple], k: int):
-        words = Words(*texts(pa.array([t for _, t in items], pa.large_string())), byte_table("space"))
+    def __init__(self, items: Sequence[tuple], count: int, k: int):
+        words = Words(*texts(pa.array([r[1] for r in items], pa.large_string())), byte_table("space"))
         grams, inside = words.grams(k)
-        self.k, bags, self.ids, self.size = k, [], [], []
-        for (key, _), lo, hi in zip(items, words.first[:-1], words.first[1:]):
+        self.k, bags, self.ids, self.size, dfs = k, [], [], [], []
+        for (key, _, df), lo, hi in zip(items, words.first[:-1], words.first[1:]):
             if hi - lo >= k:
                 self.ids.append(key)
                 self.size.append(int(hi - lo))
                 bags.append(np.unique(grams[lo:hi - k + 1], return_counts=True))
-        self.known, df = np.unique(np.concatenate([b[0] for b in bags]) if bags else np.zeros(0, np.uint64),
-                                   return_counts=True)
-        self.rare = float(np.log1p(len(bags)))  # weight of a shingle of no or one item
-        self.weight = np.log1p(len(bags) / df)
+                dfs.append(df)
+        self.known, some = np.unique(np.concatenate([b[0] for b in bags]) if bags else np.zeros(0, np.uint64),
+                                     return_index=True)
+        self.rare = float(np.log1p(count))  # weight of a shingle of no or one item
+        self.weight = np.log1p(count / (np.concatenate(dfs)[some] if bags else np.zeros(0)))
         self.bags = [(np.searchsorted(self.known, g), c) for g, c in bags]
         self.total = np.array([(self.weight[g] * c).sum() for g, c in self.bags])
         # items that hold each known shingle and how often: places first[x] to first[x + 1]
@@ -98,10 +102,10 @@ class _Items:
                 yield item, best[1], width + self.k - 1, int(distance), best[0]
 
 
-def _found(batches, items: Sequence[tuple], k: int, threshold: float, text_col: str):
+def _found(batches, items: tuple[Sequence[tuple], int], k: int, threshold: float, text_col: str):
     """(part of a batch, [(row, item, start, words, distance, similarity)]) with the best window of
     each item in each text."""
-    index, table = _Items(items, k), byte_table("space")
+    index, table = _Items(*items, k), byte_table("space")
     for whole in batches:
         for batch in slices(whole, text_col):
             words = Words(*texts(batch.column(text_col)), table)
@@ -136,13 +140,37 @@ def _clean(batches, items, k, threshold, text_col):
         yield batch.filter(pa.array(keep))
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple]]:
-    """The benchmark's items, ITEM_BLOCK at a time; one empty block if there are none."""
-    rows = (tuple(r) for r in benchmark.select(F.col(item_col).cast("bigint"), text_col).filter(
-        F.col(text_col).isNotNull()).toLocalIterator())
-    yield list(islice(rows, ITEM_BLOCK))
+def _shingles(batches, k: int):
+    for whole in batches:
+        for batch in slices(whole, "text"):
+            words = Words(*texts(batch.column("text")), byte_table("space"))
+            grams, _ = words.grams(k)
+            sets = [np.unique(grams[lo:max(lo, hi - k + 1)]) for lo, hi in zip(words.first[:-1], words.first[1:])]
+            yield pa.RecordBatch.from_arrays([
+                batch.column("row").take(pa.array(np.repeat(np.arange(len(sets)), [len(x) for x in sets]), pa.int64())),
+                pa.array(np.concatenate(sets).view(np.int64))], ["row", "shingle"])
+
+
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, k: int) -> Iterator[tuple[list[tuple], int]]:
+    """The benchmark's items, ITEM_BLOCK at a time, and the count of all; one empty block if there
+    are none.  The items that hold each shingle are counted over the whole benchmark."""
+    items = written(benchmark.select(
+        F.monotonically_increasing_id().alias("row"), F.col(item_col).cast("bigint").alias("item"),
+        F.col(text_col).alias("text")).filter("text is not null"), "items")
+    held = written(items.select("row", "text").mapInArrow(
+        lambda it: _shingles(it, k), "row bigint, shingle bigint"), "shingles")
+    count = held.select("row").distinct().count()
+    of = held.join(held.groupBy("shingle").agg(F.count("*").alias("df")), "shingle").groupBy("row").agg(
+        F.collect_list(F.struct("shingle", "df")).alias("df"))
+    rows = (_item(r) for r in items.join(of, "row").select("item", "text", "df").toLocalIterator())
+    yield list(islice(rows, ITEM_BLOCK)), count
     while block := list(islice(rows, ITEM_BLOCK)):
-        yield block
+        yield block, count
+
+
+def _item(row) -> tuple:
+    shingles, df = np.array(row["df"], np.int64).reshape(-1, 2).T
+    return row["item"], row["text"], df[np.argsort(shingles.view(np.uint64))]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -152,7 +180,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     item_col, start_word, n_words, distance, similarity`` (first window of the highest).
 
     Similarity is the weighted Jaccard similarity of the bags of ``words``-word shingles of window
-    and item; a shingle weighs log(1 + items / items that hold it).  Words are runs of anything but
+    and item; a shingle weighs log(1 + items / items that hold it), over the whole benchmark.  Words are runs of anything but
     ASCII white space with A-Z folded.
 
     Defined results: null, empty or short texts match nothing; a document shorter than an item is
@@ -164,7 +192,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     id_type = narrow.schema["id"].dataType.simpleString()
     schema = f"id {id_type}, item bigint, start_word bigint, n_words bigint, distance int, similarity double"
     found = None
-    for block in _blocks(benchmark, item_col, item_text_col):
+    for block in _blocks(benchmark, item_col, item_text_col, words):
         one = narrow.mapInArrow(lambda it, b=block: _matches(it, b, words, threshold), schema)
         found = one if found is None else found.unionByName(one)
     return found.withColumnsRenamed({"id": id_col, "item": item_col})
@@ -173,6 +201,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                   item_text_col: str = "text", words: int = 5, threshold: float = 0.8) -> DataFrame:
     """``docs`` without the documents in which ``contaminated`` finds an item; no shuffle."""
-    for block in _blocks(benchmark, item_col, item_text_col):
+    for block in _blocks(benchmark, item_col, item_text_col, words):
         docs = docs.mapInArrow(lambda it, b=block: _clean(it, b, words, threshold, text_col), docs.schema)
     return docs

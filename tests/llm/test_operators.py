@@ -213,6 +213,18 @@ def test_item_blocks_and_awkward_tables(spark, monkeypatch):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def test_item_blocks_give_equal_similarities(spark, monkeypatch):
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(900)]
+    prompt, body = rng.choices(words, k=20), [rng.choices(words, k=20) for _ in range(12)]
+    bench = spark.createDataFrame([(i, " ".join((prompt if i % 3 else []) + b)) for i, b in enumerate(body)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, " ".join(prompt + b[:-2])) for i, b in enumerate(body)], "doc_id long, text string")
+    found = lambda: {(r["doc_id"], r["item_id"]): round(r["similarity"], 9) for r in decontaminate.contaminated(docs, bench).collect()}
+    whole = found()
+    monkeypatch.setattr(decontaminate, "ITEM_BLOCK", 5)
+    assert found() == whole and len(whole) >= 8
+
+
 # 5 -------------------------------------------------------------------------------------
 def test_mix_targets_and_reruns(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn(
