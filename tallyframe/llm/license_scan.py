@@ -1,10 +1,11 @@
-"""License scan: winnowed fingerprints, inverted index, banded alignment (operator 3).
-
-The templates' word k-grams are winnowed (the smallest hash of every WINDOW consecutive ones) into
-an inverted index hash -> (template, position).  Texts are winnowed the same way, so every run of
-WINDOW + K - 1 words shared with a template meets in the index.  Hits of a template on close
-diagonals make a candidate; a banded alignment of its words with the template reports how many
-template words are matched, the coverage, and the span in the text.
+"""License scan: rare-word anchors, inverted index, banded alignment (operator 3).
+
+Where at least a share of a template's words align, at most the rest is missing.  So of any words of
+a template that are one more than the rest, one is matched there: the anchors, the words that the
+fewest templates hold, are looked up in an inverted index word -> (template, position).  Texts that
+hold enough of the template's words, close enough together, about an anchor make a candidate; a
+banded alignment of its words with the template reports how many template words are matched, the
+coverage, and the span in the text.
 """
 
 from __future__ import annotations
@@ -17,8 +18,9 @@ from pyspark.sql import DataFrame
 
 from .hashing import Words, byte_table, slices, texts
 
-K, WINDOW = 3, 3
-#: Words by which an alignment may leave its diagonal.
+#: Words of the shortest template that is looked for.
+LEAST_WORDS = 3
+#: Words by which an alignment may leave its diagonal at least; as many more as may be missing.
 BAND = 8
 #: Templates are a fixed parameter of bounded size, held by every task.
 MAX_TEMPLATES = 10_000
@@ -52,24 +54,15 @@ TEMPLATES = {
 }
 
 
-def _winnowed(grams: np.ndarray) -> np.ndarray:
-    """Positions of the smallest gram of each window (the last of equals; all of a short text)."""
-    w = min(WINDOW, len(grams))
-    if not w:
-        return np.zeros(0, np.int64)
-    views = np.lib.stride_tricks.sliding_window_view(grams, w)[:, ::-1]
-    return np.unique(np.arange(len(views)) + w - 1 - views.argmin(axis=1))
-
-
-def _align(template: np.ndarray, text: np.ndarray, shift: int) -> tuple[int, int, int]:
-    """Best local alignment within BAND of the diagonal text = template + shift: matched template
+def _align(template: np.ndarray, text: np.ndarray, shift: int, band: int) -> tuple[int, int, int]:
+    """Best local alignment within band of the diagonal text = template + shift: matched template
     words and the first and last matched word of the text.  A match scores 2, a mismatch or a gap
     -1; the band is advanced one template word at a time."""
     best = none = (0, 0, -1, -1)  # score, matches, first, last
     row: dict[int, tuple] = {}
     for i, t in enumerate(template.tolist()):
         now: dict[int, tuple] = {}
-        for j in range(max(0, i + shift - BAND), min(len(text), i + shift + BAND + 1)):
+        for j in range(max(0, i + shift - band), min(len(text), i + shift + band + 1)):
             cell = none
             score, n, first, last = row.get(j - 1, none)
             if int(text[j]) == t:
@@ -87,53 +80,92 @@ def _align(template: np.ndarray, text: np.ndarray, shift: int) -> tuple[int, int
 
 
 class _Index:
-    def __init__(self, templates: Mapping[str, str]):
+    def __init__(self, templates: Mapping[str, str], least: float):
         if len(templates) > MAX_TEMPLATES:
             raise ValueError(f"at most {MAX_TEMPLATES} templates")
         self.names = list(templates)
         words = Words(*texts(pa.array(list(templates.values()), pa.large_string())), byte_table("alnum"))
-        grams, _ = words.grams(K)
         self.words = [words.hash[a:b] for a, b in zip(words.first[:-1], words.first[1:])]
-        rows = [(grams[a + p], i, p) for i, (a, b) in enumerate(zip(words.first[:-1], words.first[1:]))
-                for p in _winnowed(grams[a:b - K + 1] if b - a >= K else grams[:0])]
-        rows.sort()
-        self.grams = np.array([r[0] for r in rows], np.uint64)
-        self.places = [r[1:] for r in rows]
-
-    def matches(self, words: np.ndarray, grams: np.ndarray, least: float) -> Iterator[tuple]:
+        bags = [np.unique(w, return_counts=True) for w in self.words]
+        self.known, self.df = np.unique(np.concatenate([np.zeros(0, np.uint64), *[g for g, _ in bags]]), return_counts=True)
+        # words that must be matched: the least n with n >= least * length
+        self.need = [next(n for n in range(len(w) + 2) if n >= least * len(w)) for w in self.words]
+        #: by known word: {template: (times, anchor positions)}
+        self.places: list[dict[int, tuple[int, list[int]]]] = [{} for _ in self.known]
+        for t, (own, (distinct, times)) in enumerate(zip(self.words, bags)):
+            if len(own) < LEAST_WORDS or self.need[t] > len(own):
+                continue
+            ids = np.searchsorted(self.known, own)
+            anchors = np.argsort(self.df[ids], kind="stable")[:len(own) - max(1, self.need[t]) + 1]
+            for x, n in zip(np.searchsorted(self.known, distinct).tolist(), times.tolist()):
+                self.places[x][t] = (n, [])
+            for p in sorted(anchors.tolist()):
+                self.places[ids[p]][t][1].append(p)
+        self.anchor = np.array([any(p for _, p in x.values()) for x in self.places], bool)
+
+    def of(self, words: np.ndarray) -> np.ndarray:
+        """Place of each word among the known ones, or -1."""
+        if not len(self.known):
+            return np.full(len(words), -1)
+        at = np.minimum(np.searchsorted(self.known, words), len(self.known) - 1)
+        return np.where(self.known[at] == words, at, -1)
+
+    def matches(self, words: np.ndarray, at: np.ndarray, least: float) -> Iterator[tuple]:
         """(template, matched, first, last) of one text, not overlapping for one template."""
-        at = _winnowed(grams)
-        lo, hi = (np.searchsorted(self.grams, grams[at], side=s) for s in ("left", "right"))
-        diagonals: dict[int, list[int]] = {}
-        for k in np.flatnonzero(hi > lo):
-            for template, place in self.places[lo[k]:hi[k]]:
-                diagonals.setdefault(template, []).append(int(at[k]) - place)
-        for template, shifts in diagonals.items():
-            own, done, end = self.words[template], -BAND, -1
-            for shift in sorted(shifts):
-                # the last alignment's band covers close diagonals, but for a repeat after its end
-                if shift - done <= BAND // 2 and not -1 < end < shift:
-                    continue
-                done, a = shift, max(0, shift - BAND, end + 1)
-                n, first, last = _align(own, words[a:shift + len(own) + BAND], shift - a)
-                if n >= least * len(own):
-                    yield template, n, first + a, last + a
-                    end = last + a
+        found, counts = np.unique(at[at >= 0], return_counts=True)
+        shared: dict[int, int] = {}
+        for x, n in zip(found.tolist(), counts.tolist()):
+            for t, (times, _) in self.places[x].items():
+                shared[t] = shared.get(t, 0) + min(n, times)
+        for t in sorted(t for t, n in shared.items() if n >= self.need[t]):
+            yield from self._of_template(t, words, at, least)
+
+    def _of_template(self, t: int, words: np.ndarray, at: np.ndarray, least: float) -> Iterator[tuple]:
+        own, need = self.words[t], max(1, self.need[t])
+        band = len(own) - need + BAND  # dropped words leave the anchor's diagonal
+        mine = np.array([t in x for x in self.places], bool)
+        hits = np.flatnonzero((at >= 0) & mine[at])
+        # an alignment spans no more words than the template and the band's width
+        close = np.flatnonzero(hits[need - 1:] - hits[:len(hits) - need + 1] < len(own) + 2 * band)
+        inside = np.zeros(len(hits) + 1, np.int64)
+        np.add.at(inside, close, 1)
+        np.add.at(inside, close + need, -1)
+        hits = hits[np.cumsum(inside)[:-1] > 0]
+        shifts = sorted({j - p for j, x in zip(hits.tolist(), at[hits].tolist()) for p in self.places[x][t][1]})
+        done, end = None, -1
+        for shift in shifts:
+            # the last alignment's band covers close diagonals, but for a repeat after its end
+            if done is not None and shift - done <= BAND // 2 and not -1 < end < shift:
+                continue
+            done = shift
+            for n, first, last in self._places(
+                    own, words, shift, max(0, shift - band, end + 1), shift + len(own) + band, band, least):
+                yield t, n, first, last
+                end = last
+
+    def _places(self, own, words, shift: int, lo: int, hi: int, band: int, least: float) -> Iterator[tuple]:
+        """Alignments about a diagonal in words lo to hi: the best one and those before and after it."""
+        n, first, last = _align(own, words[lo:max(lo, hi)], shift - lo, band)
+        if not n or n < least * len(own):
+            return
+        yield from self._places(own, words, shift, lo, lo + first, band, least)
+        yield n, lo + first, lo + last
+        yield from self._places(own, words, shift, lo + last + 1, hi, band, least)
 
 
 def _scan(batches, templates: Mapping[str, str], least: float):
-    index, table = _Index(templates), byte_table("alnum")
+    index, table = _Index(templates, least), byte_table("alnum")
     for whole in batches:
         for batch in slices(whole, "text"):
             words = Words(*texts(batch.column("text")), table)
-            grams, _ = words.grams(K)
-            # texts that hold any gram of the index at all
-            known = np.flatnonzero(np.isin(grams, index.grams))
+            at = index.of(words.hash)
+            # texts that hold any anchor at all
+            known = np.flatnonzero((at >= 0) & index.anchor[at]) if len(index.known) else np.zeros(0, np.int64)
             rows = []
             for d in np.unique(np.searchsorted(words.first, known, side="right") - 1):
                 lo, hi = words.first[d], words.first[d + 1]
                 begin = words.offsets[d]
-                for t, n, a, b in index.matches(words.hash[lo:hi], grams[lo:max(lo, hi - K + 1)], least):
+                for t, n, a, b in index.matches(words.hash[lo:hi], at[lo:hi], least):
                     chars = [len(words.data[begin:x].tobytes().decode()) for x in (words.start[lo + a], words.end[lo + b])]
                     rows.append((batch.column("id")[int(d)].as_py(), index.names[t], len(index.words[t]), n,
                                  n / len(index.words[t]), int(a), int(b) + 1, *chars))

@@ -121,6 +121,23 @@ def test_licenses(spark):
     assert license_scan.scan_licenses(empty(spark)).count() == 0
 
 
+def test_changed_and_dropped_license_words(spark):
+    texts = ["Released under MIT License", "Released under an MIT License", "Licensed under the MIT License",
+             "Released under MIT License. Released under the MIT License."]
+    want = [("MIT", 1), ("MIT", 1), ("MIT", 1), ("MIT", 2)]
+    for name, text in license_scan.TEMPLATES.items():
+        words = "".join(c if c.isalnum() else " " for c in text).split()
+        spare = len(words) - next(n for n in range(99) if n >= 0.8 * len(words))
+        for at in range(len(words)):
+            gone = {(at + i * len(words) // max(1, spare)) % len(words) for i in range(spare)}
+            for other in ([], ["otherword"]):  # dropped, changed
+                texts.append(" ".join(["before it"] + [w for i, x in enumerate(words) for w in (other if i in gone else [x])] + ["after"]))
+                want.append((name, 1))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = Counter((r["doc_id"], r["license"]) for r in license_scan.scan_licenses(docs).collect())
+    assert [(i, x, got[i, x[0]]) for i, x in enumerate(want) if got[i, x[0]] != x[1]] == []
+
+
 def test_licenses_equal_plain_search(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = Counter((r["doc_id"], r["license"]) for r in license_scan.scan_licenses(docs).collect() if r["coverage"] == 1.0)
