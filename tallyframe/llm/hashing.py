@@ -90,6 +90,20 @@ def _pieces(data: np.ndarray, start: np.ndarray, end: np.ndarray, longest: int)
     return begin, np.where(last, limit, np.append(begin[1:], 0))
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span of bytes; spans are ascending, and bytes between them hash to 0."""
+    out, lo = np.empty(len(start), np.uint64), 0
+    while lo < len(start):  # pieces of whole spans
+        hi = max(lo + 1, int(np.searchsorted(end, start[lo] + PIECE, side="right")))
+        a, b = int(start[lo]), int(end[hi - 1])
+        up, down = _POWERS.get(max(PIECE, b - a))
+        at = start[lo:hi] - a
+        total = np.add.reduceat(table[data[a:b]] * up[:b - a], at)
+        out[lo:hi] = mix64(total * down[at] + (end - start)[lo:hi].astype(np.uint64))
+        lo = hi
+    return out
+
+
 class Words:
     """The words of a run of texts: ``hash``, ``start`` and ``end`` (bytes in ``data``) by word;
     text i has words ``first[i]`` to ``first[i + 1]`` and begins at byte ``offsets[i]``.
@@ -101,16 +115,7 @@ class Words:
         if longest:
             self.start, self.end = _pieces(data, self.start, self.end, longest)
         self.first = np.searchsorted(self.start, offsets)
-        self.hash = np.empty(len(self.start), np.uint64)
-        lo = 0
-        while lo < len(self.start):  # pieces of whole words
-            hi = max(lo + 1, int(np.searchsorted(self.end, self.start[lo] + PIECE, side="right")))
-            a, b = int(self.start[lo]), int(self.end[hi - 1])
-            up, down = _POWERS.get(max(PIECE, b - a))
-            at = self.start[lo:hi] - a
-            total = np.add.reduceat(table[data[a:b]] * up[:b - a], at)
-            self.hash[lo:hi] = mix64(total * down[at] + (self.end - self.start)[lo:hi].astype(np.uint64))
-            lo = hi
+        self.hash = span_hashes(data, self.start, self.end, table)
 
     def grams(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Hash of the k words from each word on, and whether they lie in one text."""
@@ -133,13 +138,13 @@ def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that each part holds at most SLICE bytes of text, or one row."""
+def slices(batch: pa.RecordBatch, column: str, size: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """Cut a batch so that each part holds at most ``size`` bytes of text, or one row."""
     if not batch.num_rows:
         return
     _, offsets = texts(batch.column(column))
     lo = 0
     while lo < batch.num_rows:
-        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + SLICE, side="right")) - 1)
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + size, side="right")) - 1)
         yield batch.slice(lo, hi - lo)
         lo = hi

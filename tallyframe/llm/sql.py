@@ -95,4 +95,89 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM f
 """
 
-SQL = {"op1_chat_format": OP1, "op5_fair_mix": OP5, "op7_warc": OP7, "op8_near_dedup": OP8, "op10_quality_rules": OP10}
+def _crc32(code_points: str) -> str:
+    """Unsigned crc32 of a list of bytes, with the byte table ``tab`` of CRC_TABLE in scope."""
+    return (f"xor(list_reduce([4294967295::BIGINT] || {code_points}, "
+            "lambda c, b: xor(tab[(xor(c, b) & 255) + 1], c >> 8)), 4294967295)")
+
+
+CRC_TABLE = """
+crc AS (SELECT list_transform(range(256), lambda x: list_reduce([x] || [0, 0, 0, 0, 0, 0, 0, 0],
+  lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab)"""
+
+# The cheapest edits of each conversation row by row: the four states' least (cost, audit) and the text so far.
+OP11 = rf"""
+WITH RECURSIVE {CRC_TABLE},
+d AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: ord(c)::BIGINT)")} % 20 AS h
+  FROM conversations, crc),
+r AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+    CASE h WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM d, unnest(range(CASE h WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS u(copy)),
+n AS (SELECT *, row_number() OVER w AS i,
+    lag(role[1]) OVER w || role[1] AS pair, regexp_extract(text, '([^ 	-
+])[ 	-
+]*$', 1) AS final
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(text))),
+f AS (SELECT *, CASE WHEN final = '' THEN 'blank' WHEN i > min(i) OVER (PARTITION BY conv_id, role, text) THEN 'duplicate'
+    WHEN final NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM n),
+ins(state, edits, shown, place, cost) AS (VALUES
+  (0, '', '', 0, 0), (0, 'I', 'u', 2, 3), (0, 'II', 'ua', 3, 6), (1, '', '', 1, 0), (1, 'I', 'u', 2, 3), (1, 'II', 'ua', 3, 6),
+  (2, '', '', 2, 0), (2, 'I', 'a', 3, 3), (3, '', '', 3, 0), (3, 'I', 'u', 2, 3)),
+keep(place, initial, next) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+give(place, next) AS (VALUES (0, 2), (1, 2), (2, 3), (3, 2)),
+edge AS (
+  SELECT state, edits || 'D' AS edits, shown, place AS next, cost + 4 AS cost, '' AS initial, 'D' AS edit FROM ins
+  UNION ALL SELECT state, edits || 'K', shown, next, cost, initial, 'K' FROM ins JOIN keep USING (place)
+  UNION ALL SELECT state, edits || 'R', shown, next, cost + 3, '', 'R' FROM ins JOIN give USING (place)),
+p AS (
+  SELECT DISTINCT conv_id, 0 AS i, 0 AS state, 0 AS cost, '' AS audit, [] :: VARCHAR[] AS said FROM conversations
+  UNION ALL
+  SELECT conv_id, i, state, best.cost, best.audit, best.said FROM (
+    SELECT f.conv_id, f.i, e.next AS state, min({{'cost': p.cost + e.cost + CASE WHEN fault = 'truncated' AND edit <> 'D' THEN 3 ELSE 0 END,
+      'audit': p.audit || e.edits, 'said': p.said
+        || list_transform(string_split(e.shown, ''), lambda c: CASE c WHEN 'u' THEN 'user:' WHEN 'a' THEN 'assistant:' END)
+        || CASE edit WHEN 'K' THEN [f.role || ':' || f.text]
+          WHEN 'R' THEN [CASE e.next WHEN 2 THEN 'user:' ELSE 'assistant:' END || f.text] ELSE [] END}}) AS best
+    FROM p JOIN f ON f.conv_id IS NOT DISTINCT FROM p.conv_id AND f.i = p.i + 1 JOIN edge e ON e.state = p.state
+      AND (edit = 'D' OR fault IN ('', 'truncated')) AND (edit <> 'K' OR f.role[1] = e.initial)
+    GROUP BY f.conv_id, f.i, e.next)),
+total AS (SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) AS n_rows,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM f GROUP BY conv_id),
+done AS (SELECT p.conv_id, min({{'cost': p.cost + e.cost, 'audit': p.audit || e.edits, 'said': p.said
+      || list_transform(string_split(e.shown, ''), lambda c: CASE c WHEN 'u' THEN 'user:' WHEN 'a' THEN 'assistant:' END)}}) AS best
+  FROM p LEFT JOIN total t ON t.conv_id IS NOT DISTINCT FROM p.conv_id JOIN ins e ON e.state = p.state AND e.place IN (0, 3)
+  WHERE p.i = coalesce(n_rows, 0) GROUP BY p.conv_id)
+SELECT done.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(best.cost AS BIGINT) AS cost, best.audit AS audit,
+  sha256(array_to_string(list_filter(best.said, lambda x: x IS NOT NULL), chr(10))) AS repaired_sha256
+FROM done LEFT JOIN total t ON t.conv_id IS NOT DISTINCT FROM done.conv_id
+"""
+
+# Near words meet by what is left of them without one letter, or with a mark in its place.
+OP12 = rf"""
+WITH RECURSIVE {CRC_TABLE},
+w AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS word FROM documents),
+d AS (SELECT doc_id, word, count(*) AS c FROM w WHERE length(word) >= 6 GROUP BY ALL),
+h AS (SELECT word, c, {_crc32("""flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || word, ''),
+    lambda x: CASE WHEN ord(x) < 128 THEN [ord(x)::BIGINT] ELSE [195::BIGINT, ord(x)::BIGINT - 64] END))""")} AS h FROM d, crc),
+s AS (SELECT c, CASE WHEN h % 199 = 0 THEN substr(word, 1, h % length(word)) || substr(word, h % length(word) + 2) ELSE word END AS word FROM h),
+v AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM s WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+p AS (SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM v, unnest(range(1, length(word) + 1)) AS u(i)),
+near AS (
+  SELECT x.word, y.word AS other, y.n FROM p x JOIN p y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT v.word, p.word, p.n FROM v JOIN p ON v.word = p.a || p.b
+  UNION SELECT p.word, v.word, v.n FROM v JOIN p ON v.word = p.a || p.b),
+best AS (SELECT word, count(*) AS n_near, min({{'less': -n, 'other': other}}) AS top FROM near GROUP BY word),
+f AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -top.less >= 5 * n THEN top.other END AS form,
+    CASE WHEN -top.less >= 5 * n THEN -top.less END AS form_n FROM v LEFT JOIN best USING (word)),
+r AS (SELECT word, word AS root FROM f UNION ALL SELECT r.word, f.form FROM r JOIN f ON f.word = r.root WHERE form IS NOT NULL)
+SELECT f.word, f.form, r.root, f.n, f.n_near, CAST(f.form_n AS BIGINT) AS form_n
+FROM f JOIN r ON r.word = f.word JOIN f g ON g.word = r.root AND g.form IS NULL
+"""
+
+SQL = {"op1_chat_format": OP1, "op5_fair_mix": OP5, "op7_warc": OP7, "op8_near_dedup": OP8, "op10_quality_rules": OP10,
+       "op11_turn_repair": OP11, "op12_spelling_variants": OP12}
