@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.text import classify_change, millions_label
 from .filters import both_over_threshold, group_value_filter
 from ..session import materialise
+from .bootstrap import bootstrap_mean
 from .ranking import grouped_cumulative
 
 Z95 = 1.959963984540054  # two-sided 95% normal quantile
@@ -90,13 +91,15 @@ def vs_overall_mean(agg: DataFrame, value: str, flag: str = "flag",
 
 # A2 ------------------------------------------------------------------------------------
 def group_mean_ci(df: DataFrame, x: str, y: str, hue: str | None = None,
-                  z: float = Z95) -> DataFrame:
-    """Mean of ``y`` per ``x`` (or per ``x, hue``) with a normal 95% interval.
+                  z: float = Z95, row_key: Sequence[str] | None = None) -> DataFrame:
+    """Mean of ``y`` per ``x`` (or per ``x, hue``) with a 95% interval.
 
-    The plotting library draws a bootstrap interval; this is its deterministic
-    normal-approximation stand-in.
+    With ``row_key``, the columns that tell rows apart, the interval is a bootstrap's, as a
+    plotting library draws it; without, its normal approximation (and ``sd``).
     """
     keys = [x] + ([hue] if hue else [])
+    if row_key is not None:
+        return bootstrap_mean(df, keys, y, row_key)
     agg = _drop_null_keys(df, keys).groupBy(*keys).agg(
         F.avg(_num(y)).alias("mean"), F.stddev_samp(_num(y)).alias("sd"),
         F.count(_num(y)).alias("n"))
@@ -105,7 +108,12 @@ def group_mean_ci(df: DataFrame, x: str, y: str, hue: str | None = None,
 
 # A3-A5 ---------------------------------------------------------------------------------
 def _trend(df: DataFrame, key: Column, key_name: str, series: str, value: str,
-           extra: dict | None = None, z: float = Z95) -> DataFrame:
+           extra: dict | None = None, z: float = Z95, row_key: Sequence[str] | None = None) -> DataFrame:
+    if row_key is not None:
+        named = [F.col(c).alias(f"__r{i}") for i, c in enumerate(row_key)]
+        base = df.select(key.alias(key_name), F.col(series), F.col(value).alias("__v"), *named)
+        out = bootstrap_mean(base, [key_name, series], "__v", [f"__r{i}" for i in range(len(named))])
+        return out.withColumns(extra) if extra else out
     base = df.select(key.alias(key_name), F.col(series), _num(value).alias("__v"))
     agg = _drop_null_keys(base, [key_name, series]).groupBy(key_name, series).agg(
         F.avg("__v").alias("mean"), F.stddev_samp("__v").alias("sd"), F.count("__v").alias("n"))
@@ -115,20 +123,24 @@ def _trend(df: DataFrame, key: Column, key_name: str, series: str, value: str,
     return out
 
 
-def trend_daily(df: DataFrame, ts: str, series: str, value: str) -> DataFrame:
-    """Mean per (day, series) with interval; sort by ``day`` when drawing."""
-    return _trend(df, F.date_format(F.to_date(F.col(ts)), "yyyy-MM-dd"), "day", series, value)
+def trend_daily(df: DataFrame, ts: str, series: str, value: str,
+                row_key: Sequence[str] | None = None) -> DataFrame:
+    """Mean per (day, series) with interval (a bootstrap's with ``row_key``); sort by ``day`` when drawing."""
+    day = F.date_format(F.to_date(F.col(ts)), "yyyy-MM-dd")
+    return _trend(df, day, "day", series, value, row_key=row_key)
 
 
-def trend_weekly(df: DataFrame, ts: str, series: str, value: str) -> DataFrame:
+def trend_weekly(df: DataFrame, ts: str, series: str, value: str,
+                 row_key: Sequence[str] | None = None) -> DataFrame:
     """Mean per (ISO week start, series)."""
     wk = F.date_format(F.date_trunc("week", F.col(ts)), "yyyy-MM-dd")
-    return _trend(df, wk, "week_start", series, value)
+    return _trend(df, wk, "week_start", series, value, row_key=row_key)
 
 
-def trend_weekday(df: DataFrame, ts: str, series: str, value: str) -> DataFrame:
+def trend_weekday(df: DataFrame, ts: str, series: str, value: str,
+                  row_key: Sequence[str] | None = None) -> DataFrame:
     """Mean per (weekday 0=Monday, series) plus the weekday name."""
-    out = _trend(df, F.weekday(F.col(ts)), "weekday", series, value)
+    out = _trend(df, F.weekday(F.col(ts)), "weekday", series, value, row_key=row_key)
     names = F.element_at(F.array(*[F.lit(d) for d in (
         "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")]),
         F.col("weekday") + 1)

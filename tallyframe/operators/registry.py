@@ -6,11 +6,13 @@ names and "first wins" is ``min_by`` (an aggregate with map-side combine, not a
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialise
+from .bitmaps import missing_pairs, number_filesets, registry_bitmaps
 from .filters import is_active, version_ok
 
 
@@ -20,26 +22,19 @@ def system_pairs(systems: DataFrame) -> DataFrame:
         "system", "fileset", F.col("__fs.active").alias("pair_active"))
 
 
-#: Buckets that the filesets are dealt into when every system is paired with every fileset.
-SPREAD = 32
-
-
 # J1 ------------------------------------------------------------------------------------
 def fill_registry(pairs: DataFrame, filesets: DataFrame, systems: DataFrame | None = None) -> DataFrame:
     """Every system gets every known fileset; pairs it lacked are added as inactive.
 
     Existing pairs are kept as they are.  ``n_filesets`` counts the pairs per system.
-    The result is systems × filesets by definition.  It is built as an equality join: each
-    system stands once in every one of SPREAD buckets and each fileset in one, so neither side
-    is gathered or sent everywhere and the work is spread over system and bucket.
+    The result is systems x filesets by definition; what is added are the clear bits of the systems'
+    bitmaps (``bitmaps``), spelled out system by system, so the work is spread over the systems.
     """
-    names = filesets.select("fileset").distinct().withColumn("__b", F.pmod(F.xxhash64("fileset"), F.lit(SPREAD)).cast("int"))
+    numbered = materialise(number_filesets(filesets), "filesets")
     sys_names = pairs.select("system")
     if systems is not None:
         sys_names = sys_names.unionByName(systems.select("system"))
-    spread = sys_names.distinct().withColumn("__b", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
-    wanted = spread.join(names, "__b").select("system", "fileset")
-    missing = wanted.join(pairs.select("system", "fileset"), ["system", "fileset"], "left_anti") \
+    missing = missing_pairs(sys_names, registry_bitmaps(pairs, numbered), numbered) \
         .withColumn("pair_active", F.lit("False")).withColumn("added", F.lit(True))
     filled = pairs.withColumn("added", F.lit(False)).unionByName(missing, allowMissingColumns=True)
     # per-system row count as a partial-aggregated count joined back, so no system's rows
@@ -137,6 +132,41 @@ def resolve_layers(subs: DataFrame, target: Sequence[str] | str = "target") -> D
         F.col("key").alias("k"), F.col("w.value").alias("v")))).alias("pairs"))
 
 
+#: Layers of substitutions, the strongest first, and the keys of each that are registry entries or
+#: connection settings and never substituted (fixed values).
+LAYERS = ("system_fileset", "system", "application", "target_database", "file", "fileset")
+SKIPPED_KEYS = {
+    "system": ("filesets",),
+    "target_database": ("host", "username", "password", "logmech"),
+    "file": ("collection", "dbsversion", "gitfile"),
+    "fileset": ("files",),
+}
+
+
+def rank_layers(entries: DataFrame, layers: Sequence[str] = LAYERS,
+                skipped: Mapping[str, Sequence[str]] = SKIPPED_KEYS) -> DataFrame:
+    """``(..., layer, pos, key, value)`` with the layer's ``priority`` (1 = strongest), without the keys
+    that its layer skips.  A layer of another name is an error."""
+    rank = F.coalesce(*[F.when(F.col("layer") == name, i) for i, name in enumerate(layers, start=1)],
+                      F.raise_error(F.concat(F.lit("no such layer: "), F.coalesce("layer", F.lit("null")))).cast("int"))
+    skip = F.lit(False)
+    for name, keys in skipped.items():
+        skip = skip | ((F.col("layer") == name) & F.col("key").isin(*keys))
+    return entries.filter(~skip).withColumn("priority", rank)
+
+
+def ordered_layers(subs: DataFrame, target: Sequence[str] | str = "target") -> DataFrame:
+    """All substitutions of a target in the order in which they are made: layer by layer, and inside a
+    layer as its dictionary has them.
+
+    A placeholder goes to the strongest layer that knows it.  Unlike in ``resolve_layers``, weaker entries
+    of a key stay in the list: they fill in what values of their own layer, or of weaker ones, bring in.
+    """
+    target = [target] if isinstance(target, str) else list(target)
+    return subs.groupBy(*target).agg(F.array_sort(F.collect_list(F.struct(
+        "priority", "pos", F.col("key").alias("k"), F.col("value").alias("v")))).alias("pairs"))
+
+
 # T18 -----------------------------------------------------------------------------------
 def fill_defaults(settings: DataFrame, required: DataFrame) -> DataFrame:
     """Required keys with their value, else the key's default, else ''; flag the misses.

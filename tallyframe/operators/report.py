@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import PLACEHOLDER_PATTERN
+from ..session import materialise
 from .ranking import grouped_row_number
 
 # Known tags and the two specification forms.
@@ -75,6 +76,45 @@ def extract_placeholders(items: DataFrame, carry: Sequence[str] = (), outer: boo
          .otherwise(F.lit("ok")).alias("status"))
 
 
+#: Digits of a position in a path, so that paths sort as their positions do.
+_POSITION_DIGITS = 6
+
+
+def flatten_shapes(shapes: DataFrame) -> DataFrame:
+    """Shapes in groups in groups → template items, each with its path: ``template, item_no, kind, row_no,
+    col_no, text, status``.
+
+    ``shapes``: (template, shape_no, parent_no, position, kind, row_no, col_no, text), where kind is
+    ``group``, ``text`` or ``cell`` (a table has one row per cell) and a shape at the top has no parent.  ``item_no``
+    is the path of positions from the top, as text that sorts in the order in which a reader meets
+    the shapes: by position, a group's members where the group stands.  Empty groups give no item.  An
+    item whose chain of groups does not lead to the top has no path and the status ``orphan``.
+
+    A recursive query walks the groups alone; items are joined to their group once.
+    """
+    spark = shapes.sparkSession
+    place = F.lpad(F.col("position").cast("string"), _POSITION_DIGITS, "0")
+    placed = shapes.withColumn("place", place)
+    groups = placed.filter("kind = 'group'").select("template", "shape_no", "parent_no", "place")
+    limit = spark.conf.get("spark.sql.cteRecursionRowLimit")
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")  # as many groups as there are
+    try:
+        paths = materialise(spark.sql("""
+            WITH RECURSIVE walked(template, shape_no, path) AS (
+              SELECT template, shape_no, place FROM {groups} WHERE parent_no IS NULL
+              UNION ALL
+              SELECT g.template, g.shape_no, concat(w.path, '.', g.place)
+              FROM walked w JOIN {groups} g ON g.template = w.template AND g.parent_no = w.shape_no)
+            SELECT template, shape_no AS parent_no, path FROM walked""", groups=groups), "paths")
+    finally:
+        spark.conf.set("spark.sql.cteRecursionRowLimit", limit)
+    items = placed.filter("kind <> 'group'").join(paths, ["template", "parent_no"], "left")
+    path = F.when(F.col("parent_no").isNull(), F.col("place")).otherwise(F.concat_ws(".", "path", "place"))
+    top = F.col("parent_no").isNull() | F.col("path").isNotNull()
+    return items.select("template", F.when(top, path).alias("item_no"), "kind", "row_no", "col_no", "text",
+                        F.when(top, "ok").otherwise("orphan").alias("status"))
+
+
 # J6 ------------------------------------------------------------------------------------
 def bind_values(items: DataFrame, cells: DataFrame) -> DataFrame:
     """Replace each ``{{val:file[row:col]}}`` in its text by that cell.

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,9 @@ from ..functions.text import directives, strip_directives, strip_ws
 from ..operators import registry as RG
 from ..operators import report as RP
 from ..operators import template as TP
+from ..operators.filters import runnable_sets
 from ..operators.frames import default_output_name_py
+from ..session import scratch_dir
 
 
 # prepare_scripts -----------------------------------------------------------------------
@@ -77,29 +80,81 @@ def prepare_scripts(scripts: DataFrame, keys: Sequence[str], substitutions: Data
 # prepare_runs ----------------------------------------------------------------------------
 def prepare_runs(pairs: DataFrame, systems: DataFrame, filesets: DataFrame, files: DataFrame,
                  scripts: DataFrame, overrides: DataFrame, params: DataFrame,
-                 layers: DataFrame, **options) -> DataFrame:
+                 layers: DataFrame, run_unknown: bool = False, **options) -> DataFrame:
     """The whole prepare chain, from registries to prepared statements.
 
     Runnable sets and their eligible files (F6, J2) → each file's text, overlaid by overrides
-    (J5) → the file's own parameters (J3) → one ordered list of substitutions per run, strongest
-    layer first (W4) → substituted and prepared statements (T1, ``prepare_scripts`` with
-    ``options``), keyed by (system, fileset, file).
+    (J5) → the file's own parameters (J3) → the substitutions of each run in the order of the
+    layers (W4, ``registry.LAYERS``) → substituted and prepared statements (T1, ``prepare_scripts``
+    with ``options``), keyed by (system, fileset, file).
 
     ``files``: flat file table of J2; ``scripts``, ``overrides``: (folder, name, body) with the
-    fileset as folder; ``params``: (path, pos, params map) of J3; ``layers``: (system, priority,
-    pos, key, value), whose priorities rank against 1 for the file's own parameters.
+    fileset as folder; ``params``: (path, pos, params map) of J3, the layer ``file`` in the order of the
+    map; ``layers``: (layer, system, fileset, pos, key, value), where a null system or fileset stands
+    for all of them.  With ``run_unknown`` a pair whose fileset is not in the master list runs all
+    scripts of its folder.  An eligible file without a text comes back as one row (statement 0) with
+    the status ``error: no text``.
     """
     keys = ["system", "fileset", "file"]
-    runs = RG.eligible_files(pairs, systems, filesets, files=files)
-    runs = runs.withColumn("file", RG.basename("gitfile"))
+    runs = RG.eligible_files(pairs, systems, filesets, files=files).withColumn("file", RG.basename("gitfile"))
+    runs = runs.select(*keys, "gitfile")
     texts = RG.layered_overlay(scripts, overrides).select(
         F.col("folder").alias("fileset"), F.col("name").alias("file"), F.col("body").alias("text"))
-    runs = runs.select(*keys, "gitfile").join(texts, ["fileset", "file"])
-    own = RG.file_params(runs.select(*keys, "gitfile"), params).select(
-        *keys, F.explode("file_params").alias("key", "value"), F.lit(1).alias("priority"), F.lit(0).alias("pos"))
-    shared = runs.select(*keys).join(layers, "system").select(*keys, "key", "value", "priority", "pos")
-    pairs_of = RG.resolve_layers(own.unionByName(shared), keys)
-    return prepare_scripts(runs.select(*keys, "text"), keys, substitutions=pairs_of, **options)
+    if run_unknown:
+        strays = RG.unknown_filesets(runnable_sets(
+            pairs, systems.select("system", "active"), filesets.select("fileset", "active"), run_unknown=True), filesets)
+        runs = runs.unionByName(strays.select("system", "fileset").distinct().join(
+            texts.select("fileset", "file"), "fileset").select(*keys, F.col("file").alias("gitfile")))
+    runs = runs.dropDuplicates(keys).join(texts, ["fileset", "file"], "left")
+    there = runs.filter("text is not null")
+    own = RG.file_params(there.select(*keys, "gitfile"), params).select(
+        *keys, F.lit("file").alias("layer"), F.posexplode("file_params").alias("pos", "key", "value"))
+    entries = [own]
+    given, narrow = layers.select("layer", "system", "fileset", "pos", "key", "value"), there.select(*keys)
+    for by in (["system", "fileset"], ["system"], ["fileset"]):
+        some = given
+        for c in ("system", "fileset"):
+            some = some.filter(F.col(c).isNotNull() if c in by else F.col(c).isNull())
+        some = some.drop(*[c for c in ("system", "fileset") if c not in by])
+        entries.append(narrow.join(some, by).select(*keys, "layer", "pos", "key", "value"))
+    # what holds for all runs is a configuration's list, attached as one value
+    common = given.filter("system is null and fileset is null").agg(F.collect_list(F.struct(
+        "layer", "pos", "key", "value"))).scalar()
+    entries.append(narrow.select(*keys, F.inline(common)))
+    subs = reduce(lambda a, b: a.unionByName(b), entries)
+    ordered = RG.ordered_layers(RG.rank_layers(subs), keys)
+    prepared = prepare_scripts(there.select(*keys, "text"), keys, substitutions=ordered, **options)
+    kinds = {f.name: f.dataType for f in prepared.schema.fields}
+    fixed = {"stmt_no": F.lit(0), "sub_no": F.lit(0), "row_no": F.lit(0), "status": F.lit("error: no text")}
+    lost = runs.filter("text is null").select(*keys, *[
+        fixed.get(c, F.lit(None)).cast(kinds[c]).alias(c) for c in prepared.columns if c not in keys])
+    return prepared.unionByName(lost)
+
+
+#: Lines of a job's log that the driver holds before they are written.
+LOG_BATCH = 1000
+
+
+class _Log:
+    """A job's log as a written table, appended to in batches."""
+
+    def __init__(self, spark: SparkSession, schema: str):
+        self.spark, self.schema, self.path, self.lines = spark, schema, scratch_dir(spark, "log"), []
+        self.flush()
+
+    def add(self, line: tuple) -> None:
+        self.lines.append(line)
+        if len(self.lines) >= LOG_BATCH:
+            self.flush()
+
+    def flush(self) -> None:
+        self.spark.createDataFrame(self.lines, self.schema).coalesce(1).write.mode("append").parquet(self.path)
+        self.lines = []
+
+    def read(self) -> DataFrame:
+        if self.lines:
+            self.flush()
+        return self.spark.read.schema(self.schema).parquet(self.path)
 
 
 # export_results ------------------------------------------------------------------------
@@ -126,17 +181,24 @@ def export_results(spark: SparkSession, prepared: DataFrame, out_dir: str,
     named by their ``save`` directive or by their number in execution order, a repeated name
     gets a counter.  A failing statement is logged and the run goes on.  ``manifest`` writes
     the load manifest of the exported results there.
-    Returns the log: keys, ``stmt_no`` (execution order), output, written, load, call, status.
+    Every statement runs once: its rows are counted while they are written, and ``on_result`` gets the
+    written result.  Returns the log: keys, ``stmt_no`` (execution order), output, written, load, call,
+    status; it is written LOG_BATCH lines at a time, so the driver holds no more of it.
     """
-    from ..sources.sinks import manifest_write, result_export
+    from ..sources.sinks import exported, manifest_write, result_export
     from ..sources.sql import sql_query
 
     keys = list(keys)
     run = run or sql_query
-    log, used, numbers = [], Counter(), Counter()
+    schema = ", ".join(f"{k} string" for k in keys) + (
+        ", stmt_no int, output string, written boolean, load string, call string, status string")
+    log, used, numbers = _Log(spark, schema), Counter(), Counter()
     parts = execution_parts(prepared, keys).orderBy(*keys, "stmt_no", "sub_no", "row_no", "part")
+    current = None
     for r in parts.toLocalIterator():
         own = tuple(r[k] for k in keys)
+        if own != current:  # statements come script by script
+            current, numbers = own, Counter()
         numbers[own] += 1
         rt = r["runtime"] or {}
         name = rt.get("save") or default_output_name_py(*own[:3], numbers[own])
@@ -149,13 +211,11 @@ def export_results(spark: SparkSession, prepared: DataFrame, out_dir: str,
                 used[name] += 1
                 name = target
                 if on_result is not None:
-                    on_result(name, df)
+                    on_result(name, exported(spark, f"{out_dir.rstrip('/')}/{name}", df.schema))
         except Exception as exc:  # noqa: BLE001 - logged per statement, the run continues
             status = f"failed: {type(exc).__name__}: {str(exc)[:500]}"
-        log.append((*map(str, own), numbers[own], name, written, rt.get("load", ""), rt.get("call", ""), status))
-    schema = ", ".join(f"{k} string" for k in keys) + (
-        ", stmt_no int, output string, written boolean, load string, call string, status string")
-    done = spark.createDataFrame(log, schema)
+        log.add((*map(str, own), numbers[own], name, written, rt.get("load", ""), rt.get("call", ""), status))
+    done = log.read()
     if manifest is not None:
         manifest_write(done.select(F.col("output").alias("file"), F.col("load").alias("table"), "call", "written"), manifest)
     return done

@@ -1,7 +1,7 @@
 """Session construction and the few session-level helpers every module shares.
 
 Nothing here holds data on the driver: scratch space lives under the cluster's shared
-``spark.checkpoint.dir`` and broadcasts are only issued after a size check.
+``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -11,12 +11,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-# Rows a "registry-sized" side may hold before we stop broadcasting it.  Registries
-# (systems, filesets, parameter files, secrets, pivot axes) are configuration, so the
-# bound is generous; anything larger takes the ordinary shuffle join.
-BROADCAST_ROW_LIMIT = 200_000
 
 
 def get_session(app: str = "tallyframe", cpus: int | None = None,
@@ -79,13 +73,3 @@ def materialise(df: DataFrame, name: str = "table") -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast ``df`` only when a count proves it small; otherwise leave it to a shuffle.
-
-    The count is one cheap job over a registry-sized input.  Beyond the bound the plain
-    frame is returned and Catalyst/AQE plan a shuffle join instead.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

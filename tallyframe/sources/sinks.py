@@ -46,23 +46,31 @@ def publish_single_file(spark: SparkSession, written_dir: str, target: str, suff
 def result_export(df: DataFrame, out_dir: str, name: str, single_file: bool = False) -> bool:
     """Write ``df`` as header CSV named ``name`` under ``out_dir`` only if it has rows.
 
-    Emptiness is one short job (``isEmpty`` stops at the first row).  By default the
-    result is a partitioned CSV directory called ``name``; ``single_file`` produces one
-    file of that name (one writer task — for report-sized results only).
+    The query runs once: its rows are counted while they are written, and an empty output is
+    withdrawn (an earlier output of that name is gone then, too).  By default the result is a
+    partitioned CSV directory called ``name``; ``single_file`` produces one file of that name
+    (one writer task - for report-sized results only).
     """
-    if df.isEmpty():
-        return False
+    from ..plans.observed import write_if_any
+
     target = f"{out_dir.rstrip('/')}/{name}"
-    w = df.write.mode("overwrite").option("header", True).option("escape", '"')
-    if single_file:
-        tmp = target + ".__tmp"
-        df.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(tmp)
-        publish_single_file(df.sparkSession, tmp, target)
-    else:
-        w.csv(target)
+
+    def write(rows: DataFrame, path: str) -> None:
+        rows.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+
+    if not single_file:
+        return write_if_any(df, target, write) > 0
+    if not write_if_any(df.coalesce(1), target + ".__tmp", write):
+        return False
+    publish_single_file(df.sparkSession, target + ".__tmp", target)
     return True
 
 
+def exported(spark: SparkSession, path: str, schema) -> DataFrame:
+    """An exported result, read back with the types it had."""
+    return spark.read.option("header", True).option("escape", '"').schema(schema).csv(path)
+
+
 # S11 -----------------------------------------------------------------------------------
 def manifest_write(entries: DataFrame, path: str) -> DataFrame:
     """One manifest entry per exported, load-flagged result: {"entries": [{file,table,call}]}.

@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from ..operators import charts as C
 from ..operators import clean as P
+from ..operators import sketches as SK
+from ..operators.bootstrap import poisson_thresholds
+from ..session import materialise, scratch_dir
 from .tables import r6, table
 
 Q: dict = {}
@@ -167,6 +170,59 @@ def q_trend_weekday(spark, sf):
     return r6(C.trend_weekday(_hourly(spark, sf), "bucket", "event_type", "value"))
 
 
+def _bootstrap_sql(source, keys, value, row_key, out, replicas=200):
+    """Poisson counts from the same md5 as the Spark side; ``out`` selects from the groups g."""
+    steps = " + ".join(f"CAST(draw >= '{t}' AS INTEGER)" for t in poisson_thresholds())
+    names = ", ".join(keys)
+    name = " || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in row_key)
+    null = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    return f"""
+WITH src AS ({source}),
+src_rows AS (SELECT {names}, {value} AS v, {name} AS row_name FROM src WHERE {null}),
+drawn AS (SELECT {names}, v, replica, substr(md5(row_name || '#' || CAST(replica // 8 AS VARCHAR)), CAST(replica % 8 * 4 + 1 AS INT), 4) AS draw
+  FROM src_rows, unnest(range({replicas})) AS u(replica)),
+r AS (SELECT {names}, replica, sum(v * ({steps})) / sum({steps}) AS m FROM drawn WHERE v IS NOT NULL
+  GROUP BY {names}, replica HAVING sum({steps}) > 0),
+b AS (SELECT {names}, quantile_cont(m, 0.025) AS ci_lo, quantile_cont(m, 0.975) AS ci_hi FROM r GROUP BY {names}),
+g AS (SELECT {names}, avg(v) AS mean, count(v) AS n FROM src_rows GROUP BY {names})
+SELECT {out}, round(mean, 6) AS mean, n, round(ci_lo, 6) AS ci_lo, round(ci_hi, 6) AS ci_hi
+FROM g LEFT JOIN b USING ({names})"""
+
+
+def _trend_bootstrap_sql(key_expr, key_name, extra=""):
+    source = _HOURLY.strip().removeprefix("WITH hm AS (").removesuffix(")")
+    return _bootstrap_sql(f"SELECT *, {key_expr} AS {key_name} FROM ({source})", [key_name, "event_type"], "value",
+                          ["strftime(bucket, '%Y-%m-%d %H:%M:%S')", "event_type"], f"{key_name}, event_type{extra}")
+
+
+@reg("group_mean_bootstrap", _bootstrap_sql(
+    "SELECT * FROM orders", ["o_orderstatus", "o_orderpriority"], "o_totalprice", ["o_orderkey"], "o_orderstatus, o_orderpriority"))
+def q_group_mean_bootstrap(spark, sf):
+    return r6(C.group_mean_ci(table(spark, sf, "orders"), "o_orderstatus", "o_totalprice", hue="o_orderpriority",
+                              row_key=["o_orderkey"]))
+
+
+def _hourly_named(spark, sf):
+    return _hourly(spark, sf).withColumn("hour", F.date_format("bucket", "yyyy-MM-dd HH:mm:ss"))
+
+
+@reg("trend_daily_bootstrap", _trend_bootstrap_sql("strftime(bucket, '%Y-%m-%d')", "day"))
+def q_trend_daily_bootstrap(spark, sf):
+    return r6(C.trend_daily(_hourly_named(spark, sf), "bucket", "event_type", "value", row_key=["hour", "event_type"]))
+
+
+@reg("trend_weekly_bootstrap", _trend_bootstrap_sql("strftime(date_trunc('week', bucket), '%Y-%m-%d')", "week_start"))
+def q_trend_weekly_bootstrap(spark, sf):
+    return r6(C.trend_weekly(_hourly_named(spark, sf), "bucket", "event_type", "value", row_key=["hour", "event_type"]))
+
+
+@reg("trend_weekday_bootstrap", _trend_bootstrap_sql(
+    "CAST(isodow(bucket) - 1 AS INTEGER)", "weekday",
+    ", ['Monday', 'Tuesday', 'Wednesday', 'Thursday', 'Friday', 'Saturday', 'Sunday'][weekday + 1] AS weekday_name"))
+def q_trend_weekday_bootstrap(spark, sf):
+    return r6(C.trend_weekday(_hourly_named(spark, sf), "bucket", "event_type", "value", row_key=["hour", "event_type"]))
+
+
 @reg("distinct_sorted", """
 SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS day FROM events ORDER BY 1""")
 def q_distinct_sorted(spark, sf):
@@ -290,3 +346,29 @@ SELECT round(l_quantity, 6) AS "l quantity", round(l_extendedprice, 6) AS "l ext
 def q_scatter_points(spark, sf):
     return r6(P.scatter_points(table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice",
                                "l_returnflag", "l_linestatus"))
+
+
+# Quantiles of a range of days from stored sketches; the base rows are read again here only to hold the
+# ranks of what was found against the stated bound.
+_RANGE = ("2024-01-05", "2024-01-20")
+
+
+@reg("sketched_box", f"""
+SELECT event_type, count(*) AS n, round(min(value), 6) AS smallest, round(max(value), 6) AS largest, CAST(p AS DOUBLE) AS p, true AS within_bound
+FROM events, (VALUES (0.25), (0.5), (0.75)) AS t(p)
+WHERE strftime(ts, '%Y-%m-%d') BETWEEN '{_RANGE[0]}' AND '{_RANGE[1]}' AND event_type IS NOT NULL AND value IS NOT NULL
+GROUP BY event_type, p""")
+def q_sketched_box(spark, sf):
+    path = scratch_dir(spark, "sketches")
+    ev = table(spark, sf, "events").withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    SK.store_sketches(SK.sketch_days(ev, "day", "event_type", "value"), path)
+    box = SK.range_box(spark.read.parquet(path), *_RANGE)
+    found = materialise(box.select(F.col("group").alias("event_type"), "n", "smallest", "largest", F.inline(F.array(*[
+        F.struct(F.lit(p).alias("p"), F.col(c).alias("q")) for p, c in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))]))), "box")
+    days = ev.filter(F.col("day").between(*_RANGE)).select("event_type", "value")
+    ranks = days.join(found.select("event_type", "p", "q"), "event_type").groupBy("event_type", "p").agg(
+        F.avg((F.col("value") < F.col("q")).cast("double")).alias("below"),
+        F.avg((F.col("value") <= F.col("q")).cast("double")).alias("upto"))
+    err = SK.rank_error()
+    ok = (F.col("below") - err <= F.col("p")) & (F.col("upto") + err >= F.col("p"))
+    return r6(found.join(ranks, ["event_type", "p"]).select("event_type", "n", "smallest", "largest", "p", ok.alias("within_bound")))

@@ -15,6 +15,7 @@ from ..plans import hooks as H
 from ..plans import jobs
 from ..session import materialise, scratch_dir
 from ..sources import files as S
+from ..sources import ledger as L
 from ..sources import sinks as K
 from .tables import r6, table
 
@@ -420,3 +421,63 @@ def q_post_work(spark, sf):
     out = H.post_work(results, {"n1": lambda df: df.withColumn("balance", -F.col("balance")),
                                 "n2": lambda df: df.filter("balance > 0")}, script="nation_script")
     return r6(out.select("script", "nation", "balance"))
+
+
+@reg("grouped_post_work", """
+WITH r AS (SELECT 'n' || CAST(s_nationkey AS VARCHAR) AS nation_script, s_name AS script, s_nationkey AS nation, s_acctbal AS balance FROM supplier)
+SELECT nation_script, script, CAST(nation AS INTEGER) AS nation, round(CASE WHEN nation = 1 THEN -balance ELSE balance END, 6) AS balance
+FROM r WHERE nation <> 3 AND (nation <> 2 OR balance > 0)
+UNION ALL SELECT nation_script, max(script), CAST(3 AS INTEGER), round(max(balance), 6) FROM r WHERE nation = 3 GROUP BY 1
+UNION ALL SELECT NULL, s_name, CAST(s_nationkey AS INTEGER), round(s_acctbal, 6) FROM supplier""")
+def q_grouped_post_work(spark, sf):
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    sp = table(spark, sf, "supplier")
+    cols = [F.col("s_name").alias("script"), F.col("s_nationkey").alias("nation"), F.col("s_acctbal").alias("balance")]
+    results = sp.select(F.concat(F.lit("n"), F.col("s_nationkey").cast("string")).alias("nation_script"), *cols).unionByName(
+        sp.select(F.lit(None).cast("string").alias("nation_script"), *cols))
+
+    def negated(t: pa.Table) -> pa.Table:
+        return t.set_column(t.column_names.index("balance"), "balance", pc.negate(t.column("balance")))
+
+    def largest(t: pa.Table) -> pa.Table:
+        one = t.slice(0, 1)
+        for c in ("script", "balance"):
+            one = one.set_column(one.column_names.index(c), c, pa.array([pc.max(t.column(c)).as_py()], t.schema.field(c).type))
+        return one
+
+    out = H.grouped_post_work(results, {
+        "n1": H.GroupHandler(negated), "n2": H.GroupHandler(lambda t: t.filter(pc.greater(t.column("balance"), 0))),
+        "n3": H.GroupHandler(largest, merge=largest)}, script="nation_script")
+    return r6(out)
+
+
+@reg("exactly_once_load", """
+SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, s_name, 'loaded' AS note, CAST(s_nationkey AS INTEGER) AS s_nationkey,
+  CAST(2 AS BIGINT) AS n_hook_runs, 'failed|ok|done before' AS statuses FROM supplier""")
+def q_exactly_once_load(spark, sf):
+    d = scratch_dir(spark, "once")
+    K.result_export(_suppliers(spark, sf), d + "/files", "supplier.csv")
+    tail = uuid.uuid4().hex[:8]
+    target, ledger = f"tf_once_{tail}", L.create_ledger(spark, f"tf_ledger_{tail}", d + "/ledger")
+    spark.sql(f"CREATE TABLE {target} (s_suppkey BIGINT, s_name STRING, note STRING DEFAULT 'loaded', s_nationkey INT, "
+              f"load_id STRING) USING parquet PARTITIONED BY (load_id) LOCATION '{d}/t'")
+    manifest = spark.createDataFrame([("supplier.csv", "", target, "merge_proc")],
+                                     "file string, schema string, table string, call string")
+    runs = []
+
+    def merge_proc(session, name):
+        runs.append(name)
+        if len(runs) == 1:
+            raise RuntimeError("the hook fails the first time")
+
+    # a load whose hook fails, the rerun, and a rerun of what is done
+    statuses = [L.exactly_once_load(spark, manifest, d + "/files", ledger, "m1", {"merge_proc": merge_proc}).first()["status"]
+                for _ in range(3)]
+    # a load that was cut short after its rows were written, and forgotten by the ledger
+    key = spark.table(ledger).first()["load_id"]
+    spark.sql(f"ALTER TABLE {ledger} DROP PARTITION (load_id = '{key}', step = 'loaded')")
+    L.exactly_once_load(spark, manifest, d + "/files", ledger, "m1", {"merge_proc": merge_proc})
+    rows = _read_and_drop(spark, target, ledger).drop("load_id")
+    return rows.withColumns({"n_hook_runs": F.lit(len(runs)).cast("long"), "statuses": F.lit("|".join(statuses))})

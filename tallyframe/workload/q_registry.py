@@ -6,8 +6,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.text import substitute
+from ..operators import bitmaps as BM
+from ..operators import containment as CJ
 from ..operators import filters as FL
+from ..operators import placeholders as PH
 from ..operators import registry as R
+from ..session import materialise
 from .tables import table
 
 Q: dict = {}
@@ -279,32 +283,131 @@ def q_unknown_filesets(spark, sf):
     return R.unknown_filesets(pairs(spark, sf), filesets(spark, sf))
 
 
-# The whole prepare chain on the J2 registry: one script per file, overridden for every 50th
-# part, its own brand for parts of some size, else that of its system's layer.
-@reg("prepare_runs", _J2_SQL + """
-SELECT p.system, p.fileset, f.file_key || '.q.sql' AS file, CAST(1 AS INTEGER) AS stmt_no,
-  'SELECT ''' || CASE WHEN p_size >= 5 THEN p_brand ELSE 'shared' END || ''' AS b, ''' || p.system || ''' AS w'
-  || CASE WHEN p_partkey % 50 = 0 THEN ' /* override */' ELSE '' END || chr(10) || ';' || chr(10) || chr(10) AS sql, 'ok' AS status
-FROM pairs p JOIN systems s ON p.system = s.system JOIN filesets fs ON p.fileset = fs.fileset
-JOIN files f ON f.fileset = p.fileset JOIN part ON f.file_key = 'p' || p_partkey
+# Filesets of each system as bitmaps: every part is a fileset, a supplier's are the parts it sells,
+# built by line status and merged.  Only the counts are asked for, no missing pair is spelled out.
+@reg("registry_counts", """
+WITH have AS (SELECT l_suppkey, count(DISTINCT l_partkey) AS n FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM part) GROUP BY 1)
+SELECT s_name AS system, coalesce(n, 0) AS n_known, (SELECT count(*) FROM part) - coalesce(n, 0) AS n_missing
+FROM supplier LEFT JOIN have ON l_suppkey = s_suppkey""")
+def q_registry_counts(spark, sf):
+    li, sp = table(spark, sf, "lineitem"), table(spark, sf, "supplier")
+    numbered = materialise(BM.number_filesets(table(spark, sf, "part").select(
+        F.lpad(F.col("p_partkey").cast("string"), 12, "0").alias("fileset"))), "filesets")
+    sold = li.join(sp, li.l_suppkey == sp.s_suppkey).select(
+        F.col("s_name").alias("system"), F.lpad(F.col("l_partkey").cast("string"), 12, "0").alias("fileset"), "l_linestatus")
+    parts = [BM.registry_bitmaps(sold.filter(F.col("l_linestatus") == x), numbered) for x in ("O", "F")]
+    return BM.fileset_counts(sp.select(F.col("s_name").alias("system")), BM.merge_bitmaps(*parts), numbered)
+
+
+# J2 as a containment join: the registry of eligible_files, and one fileset that all systems share.
+_SHARED_SQL = """
+, shared AS (
+  SELECT 'shared' AS fileset, 'n' || n_nationkey AS file_key, 'sql/n' || n_nationkey || '.sql' AS gitfile,
+         CASE n_regionkey WHEN 0 THEN NULL WHEN 1 THEN ['16.20'] WHEN 2 THEN ['16.20', '17.10'] WHEN 3 THEN [] ELSE ['15.00', NULL] END AS versions,
+         CASE WHEN n_nationkey % 2 = 0 THEN ['daily', 'daily'] END AS collections FROM nation),
+all_pairs AS (SELECT * FROM pairs UNION ALL SELECT system, 'shared', 'True' FROM systems),
+all_sets AS (SELECT * FROM filesets UNION ALL SELECT 'shared', 'true'),
+all_files AS (SELECT * FROM files UNION ALL SELECT * FROM shared)
+"""
+
+
+@reg("admitted_files", _J2_SQL + _SHARED_SQL + """
+SELECT p.system, p.fileset, f.file_key, f.gitfile
+FROM all_pairs p JOIN systems s ON p.system = s.system
+JOIN all_sets fs ON p.fileset = fs.fileset JOIN all_files f ON f.fileset = fs.fileset
 WHERE lower(s.active) = 'true' AND lower(p.pair_active) = 'true' AND lower(fs.active) = 'true'
-  AND (versions IS NULL OR list_contains(versions, dbsversion)) AND (collections IS NULL OR list_contains(collections, collection))""")
+  AND (versions IS NULL OR list_contains(versions, dbsversion) OR len(versions) > list_count(versions))
+  AND (collections IS NULL OR list_contains(collections, collection))""")
+def q_admitted_files(spark, sf):
+    pairs2, filesets2, files2 = j2_registry(spark, sf)
+    every = systems(spark, sf)
+    n = table(spark, sf, "nation")
+    text = lambda *xs: F.array(*[F.lit(x).cast("string") for x in xs])
+    key = F.concat(F.lit("n"), F.col("n_nationkey").cast("string"))
+    versions = F.when(F.col("n_regionkey") == 1, text("16.20")).when(F.col("n_regionkey") == 2, text("16.20", "17.10")).when(
+        F.col("n_regionkey") == 3, F.array().cast("array<string>")).when(F.col("n_regionkey") == 4, text("15.00", None))
+    shared = n.select(F.lit("shared").alias("fileset"), key.alias("file_key"), F.concat(F.lit("sql/"), key, F.lit(".sql")).alias("gitfile"),
+                      versions.alias("dbsversion"), F.when(F.col("n_nationkey") % 2 == 0, text("daily", "daily")).alias("collection"),
+                      F.lit(None).cast("map<string,string>").alias("params"))
+    one = F.lit("shared").alias("fileset")
+    out = CJ.admitted_files(pairs2.unionByName(every.select("system", one, F.lit("True").alias("pair_active"))), every,
+                            filesets2.unionByName(spark.range(1).select(one, F.lit("true").alias("active"))),
+                            files2.unionByName(shared))
+    return out.select("system", "fileset", "file_key", "gitfile")
+
+
+# A chain of nine keys whose order is the wrong way round, an unknown key, and a cycle for some systems.
+@reg("close_placeholders", """
+WITH s AS (SELECT s_suppkey AS target, s_name, s_nationkey < 12 AS loops FROM supplier),
+chain AS (
+  SELECT target, 'k' || i AS key, s_name || array_to_string(list_transform(range(7, i - 1, -1), lambda x: '-' || x), '') AS value,
+    'ok' AS status, 8 - i AS depth, [] :: VARCHAR[] AS unresolved FROM s, range(9) r(i)),
+rest AS (
+  SELECT s.target, 'greeting' AS key, 'Hi ' || c.value || ' from {nope} {k8x}' AS value,
+    'unresolved' AS status, 9 AS depth, ['k8x', 'nope'] AS unresolved FROM s JOIN chain c ON c.target = s.target AND c.key = 'k0'
+  UNION ALL SELECT target, 'p', CASE WHEN loops THEN '{q}' ELSE s_name END, CASE WHEN loops THEN 'cycle' ELSE 'ok' END,
+    CASE WHEN loops THEN 2 ELSE 1 END, [] FROM s
+  UNION ALL SELECT target, 'q', CASE WHEN loops THEN '{p}' ELSE s_name || s_name END, CASE WHEN loops THEN 'cycle' ELSE 'ok' END, 2, [] FROM s
+  UNION ALL SELECT target, 'r', CASE WHEN loops THEN 'see {p} {gone}' ELSE 'see ' || s_name || ' {gone}' END,
+    CASE WHEN loops THEN 'cycle' ELSE 'unresolved' END, 2, ['gone'] FROM s)
+SELECT target, key, value, status, CAST(depth AS BIGINT) AS depth, array_to_string(unresolved, ',') AS unresolved FROM chain
+UNION ALL SELECT target, key, value, status, CAST(depth AS BIGINT), array_to_string(unresolved, ',') FROM rest""")
+def q_close_placeholders(spark, sf):
+    name, loops = F.col("s_name"), F.col("s_nationkey") < 12
+    pair = lambda k, v: F.struct(F.lit(k).alias("key"), v.alias("value"))
+    chain = [pair(f"k{i}", F.lit(f"{{k{i + 1}}}-{i}")) for i in range(8)]
+    entries = F.array(*chain, pair("k8", name), pair("greeting", F.lit("Hi {k0} from {nope} {k8x}")),
+                      pair("p", F.when(loops, "{q}").otherwise("{k8}")),
+                      pair("q", F.when(loops, "{p}").otherwise("{p}{k8}")),
+                      pair("r", F.lit("see {p} {gone}")))
+    pairs_ = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("target"), F.inline(entries))
+    return PH.close_placeholders(pairs_).withColumn("unresolved", F.array_join("unresolved", ","))
+
+
+# The whole prepare chain on the J2 registry: one script per file, overridden for every 50th part and missing
+# for parts of size 50, a fileset outside of the list, and every layer of substitutions.
+@reg("prepare_runs", _J2_SQL + """
+, runs AS (
+  SELECT p.system, p.fileset, f.file_key || '.q.sql' AS file, p_size, p_brand, p_partkey % 50 = 0 AS over
+  FROM pairs p JOIN systems s ON p.system = s.system JOIN filesets fs ON p.fileset = fs.fileset
+  JOIN files f ON f.fileset = p.fileset JOIN part ON f.file_key = 'p' || p_partkey
+  WHERE lower(s.active) = 'true' AND lower(p.pair_active) = 'true' AND lower(fs.active) = 'true'
+    AND (versions IS NULL OR list_contains(versions, dbsversion)) AND (collections IS NULL OR list_contains(collections, collection)))
+SELECT system, fileset, file, CAST(1 AS INTEGER) AS stmt_no,
+  'SELECT ''' || CASE WHEN p_size >= 5 THEN p_brand ELSE 'shared' END || ''' AS b, ''' || system || ''' AS w, ''app'' AS o, ''done'' AS c, ''{password}{gitfile}'' AS p, '''
+  || CASE WHEN p_size >= 5 THEN 'set of ' || fileset ELSE '{first}' END || ''' AS f'
+  || CASE WHEN over THEN ' /* override */' ELSE '' END || chr(10) || ';' || chr(10) || chr(10) AS sql, 'ok' AS status FROM runs WHERE p_size <> 50
+UNION ALL SELECT system, fileset, file, 0, NULL, 'error: no text' FROM runs WHERE p_size = 50
+UNION ALL SELECT system, 'stray', 'x.q.sql', 1, 'SELECT ''' || system || ''' AS w' || chr(10) || ';' || chr(10) || chr(10), 'ok'
+FROM systems WHERE lower(active) = 'true'""")
 def q_prepare_runs(spark, sf):
     from ..plans import jobs
 
     p2, fs2, files2 = j2_registry(spark, sf)
-    part = table(spark, sf, "part")
+    part, every = table(spark, sf, "part"), systems(spark, sf)
     name = F.concat(F.lit("p"), F.col("p_partkey").cast("string"), F.lit(".q.sql"))
-    text = "SELECT '{brand}' AS b, '{who}' AS w"
-    scripts = files2.select(F.col("fileset").alias("folder"), R.basename("gitfile").alias("name"), F.lit(text + ";").alias("body"))
+    text = "SELECT '{brand}' AS b, '{who}' AS w, '{owner}' AS o, '{z}' AS c, '{password}{gitfile}' AS p, '{first}' AS f"
+    written = part.filter("p_size <> 50").select(name.alias("name"))
+    scripts = files2.select(F.col("fileset").alias("folder"), R.basename("gitfile").alias("name")).join(
+        written, "name").select("folder", "name", F.lit(text + ";").alias("body")).unionByName(spark.range(1).select(
+            F.lit("stray").alias("folder"), F.lit("x.q.sql").alias("name"), F.lit("SELECT '{who}' AS w;").alias("body")))
     overrides = part.filter(F.col("p_partkey") % 50 == 0).select(
         F.lit("").alias("folder"), name.alias("name"), F.lit(text + " /* override */;").alias("body"))
-    params = part.filter("p_size >= 5").select(F.concat(F.lit("params/"), name).alias("path"), F.lit(0).alias("pos"),
-                                               F.create_map(F.lit("brand"), "p_brand").alias("params"))
-    both = F.array(F.struct(F.lit(2).alias("priority"), F.lit(0).alias("pos"), F.lit("brand").alias("key"),
-                            F.lit("shared").alias("value")),
-                   F.struct(F.lit(3).alias("priority"), F.lit(0).alias("pos"), F.lit("who").alias("key"),
-                            F.col("system").alias("value")))
-    layers = systems(spark, sf).select("system", F.inline(both))
-    out = jobs.prepare_runs(p2, systems(spark, sf), fs2, files2, scripts, overrides, params, layers)
+    # the file's owner loses to the application's, its gitfile is no substitution, its values keep their order
+    params = part.filter("p_size >= 5").select(F.concat(F.lit("params/"), name).alias("path"), F.lit(0).alias("pos"), F.create_map(
+        F.lit("first"), F.lit("{second}"), F.lit("brand"), "p_brand", F.lit("owner"), F.lit("file"), F.lit("gitfile"), F.lit("hidden"),
+        F.lit("second"), F.lit("set of {set}")).alias("params"))
+    fixed = [("application", 0, "owner", "app"), ("application", 1, "z", "{a}"), ("application", 2, "a", "done"),
+             ("target_database", 0, "password", "secret")]
+    layer = lambda rows: F.array(*[F.struct(
+        F.lit(a).alias("layer"), F.lit(i).alias("pos"), F.lit(k).alias("key"), (F.lit(v) if isinstance(v, str) else v).alias("value"))
+        for a, i, k, v in rows])
+    none = F.lit(None).cast("string")
+    layers = spark.range(1).select(none.alias("system"), none.alias("fileset"), F.inline(layer(fixed))).unionByName(
+        every.select("system", none.alias("fileset"), F.inline(layer([
+            ("system", 0, "who", F.col("system")), ("system", 1, "filesets", "hidden")])))).unionByName(
+        fs2.select(none.alias("system"), "fileset", F.inline(layer([
+            ("fileset", 0, "brand", "shared"), ("fileset", 1, "owner", "set"), ("fileset", 2, "set", F.col("fileset"))]))))
+    strays = every.select("system", F.lit("stray").alias("fileset"), F.lit("False").alias("pair_active"))
+    out = jobs.prepare_runs(p2.unionByName(strays), every, fs2, files2, scripts, overrides, params, layers, run_unknown=True)
     return out.select("system", "fileset", "file", "stmt_no", "sql", "status")

@@ -4,6 +4,7 @@ CSV cell grid (the lookup side)."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import report as RP
@@ -147,3 +148,30 @@ SELECT b.template, b.item_no, b.row_no, b.col_no, b.kind, coalesce(c.text, b.tex
 FROM bound_text b LEFT JOIN colfill c USING (template, item_no, row_no, col_no)""")
 def q_fill_report(spark, sf):
     return jobs.fill_report(items(spark, sf), cells(spark, sf))
+
+
+# Three levels of groups, an empty group at two places and a shape whose group is missing, per supplier.
+_SHAPES = [
+    (1, None, 2, "group", 0, 0, None), (2, 1, 1, "group", 0, 0, None), (3, 2, 1, "group", 0, 0, None),
+    (4, 3, 1, "text", 0, 0, "deep {{val:a.csv[1:1]}}"), (5, 3, 0, "text", 0, 0, "{{pic:x.png}}"),
+    (6, 1, 0, "group", 0, 0, None), (7, 1, 2, "cell", 0, 0, "{{col:d.csv[1]}}  "), (7, 1, 2, "cell", 0, 1, "{{col:d.csv[2]}}"),
+    (8, None, 1, "text", 0, 0, "first {{val:b.csv[1:2]}} and {{val:b.csv[2:2]}}"),
+    (9, 99, 0, "text", 0, 0, "{{pic:lost.png}}"), (10, None, 3, "group", 0, 0, None)]
+
+
+@reg("nested_placeholders", """
+SELECT s_name AS template, CAST(n AS INTEGER) AS n, item_no, pat, file FROM supplier, (VALUES
+  (1, '000001', '{{val:b.csv[1:2]}}', 'b.csv'), (2, '000001', '{{val:b.csv[2:2]}}', 'b.csv'),
+  (3, '000002.000001.000001.000000', '{{pic:x.png}}', 'x.png'), (4, '000002.000001.000001.000001', '{{val:a.csv[1:1]}}', 'a.csv'),
+  (5, '000002.000002', '{{col:d.csv[1]}}', 'd.csv'), (6, '000002.000002', '{{col:d.csv[2]}}', 'd.csv')) AS t(n, item_no, pat, file)
+UNION ALL SELECT s_name, NULL, NULL, '{{pic:lost.png}}', 'lost.png' FROM supplier""")
+def q_nested_placeholders(spark, sf):
+    shape = F.array(*[F.struct(*[F.lit(v).cast(kind).alias(c) for v, (c, kind) in zip(row, (
+        ("shape_no", "long"), ("parent_no", "long"), ("position", "int"), ("kind", "string"), ("row_no", "long"),
+        ("col_no", "long"), ("text", "string")))]) for row in _SHAPES])
+    shapes = table(spark, sf, "supplier").select(F.col("s_name").alias("template"), F.inline(shape))
+    found = RP.extract_placeholders(RP.flatten_shapes(shapes))
+    # a template's placeholders, in the order in which a reader meets them
+    order = Window.partitionBy("template").orderBy(F.col("item_no").asc_nulls_last(), "row_no", "col_no", "ph_no")
+    return found.select("template", F.when(F.col("item_no").isNotNull(), F.row_number().over(order)).alias("n"),
+                        "item_no", "pat", "file")

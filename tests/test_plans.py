@@ -55,16 +55,3 @@ def test_global_statistics_run_once(spark, key):
     plan = plan_of(df)
     assert plan.count("Subquery:") == 1
     assert len(re.findall(r"^\(\d+\) Scan parquet", plan, re.M)) <= 2
-
-
-def test_bounded_broadcast_only_below_the_bound(spark):
-    from tallyframe.session import bounded_broadcast
-    big = spark.range(5000).withColumnRenamed("id", "k")
-    small = spark.range(10).withColumnRenamed("id", "k")
-    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" in plan_of(big.join(bounded_broadcast(small, max_rows=100), "k"))
-        assert "BroadcastHashJoin" not in plan_of(small.join(bounded_broadcast(big, max_rows=100), "k"))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
