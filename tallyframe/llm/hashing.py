@@ -14,7 +14,7 @@ import pyarrow as pa
 
 #: Bytes of text hashed at a time, and bytes of text per slice of a batch.
 PIECE = 1 << 20
-SLICE = 4 << 20
+SLICE = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _U = np.uint64

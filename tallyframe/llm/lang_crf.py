@@ -6,8 +6,9 @@ transitions between neighbouring words are learned with them.  Forward-backward
 its marginal probabilities, also in code-switched text; a document gets the language with the
 highest mean marginal.
 
-The model is fitted on the driver, on a bounded sample of labelled rows (FIT_DOCS per language).
-Prediction is one pass over the texts without a shuffle.
+The model is fitted on the driver, on a bounded sample of labelled rows (FIT_DOCS per language, and of a
+text with more than FIT_CHARS characters as many in FIT_PIECES runs spread over all of it).  Prediction
+is one pass over the whole texts without a shuffle.
 """
 
 from __future__ import annotations
@@ -21,10 +22,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .hashing import Words, byte_table, mix64, slices, texts
-from .labels import held_out, sample
+from .labels import held_out, sample, sampled_texts
 
-#: Bound of the training sample: rows per language, languages, characters read of a row.
-FIT_DOCS, FIT_LANGS, FIT_CHARS = 300, 200, 8000
+#: Bound of the training sample: rows of a language, languages (the most frequent), and characters of a row, in
+#: so many runs spread over all of it.
+FIT_DOCS, FIT_LANGS, FIT_CHARS, FIT_PIECES = 300, 200, 8000, 8
 #: Most words of a training chain, half of them from each of two documents so that chains switch.
 CHAIN = 48
 #: Least runs of CHAIN / 2 words that an epoch draws of a row that has them; all are drawn over the epochs.
@@ -34,8 +36,8 @@ LONGEST = 96
 EPOCHS, RATE = 6, 0.3
 #: Hashed n-gram weights; words of the sample seen at least twice form the lexicon.
 DIMS = 1 << 18
-#: Words per block of the chain recursion.
-BLOCK = 128
+#: Words per block of the chain recursion, and numbers that are worked on at a time.
+BLOCK, WORKING = 128, 1 << 21
 
 UNKNOWN = "und"
 #: Columns that labelling adds.
@@ -122,7 +124,7 @@ def fit(rows: list[tuple[str, str]], seed: int = 7) -> Model:
     """Fit on (language, text) rows by minibatch gradient steps on the chains' log-likelihood.
 
     Rows of any length teach the chain, with all their words; a language none of whose rows has a
-    letter is none of the model's.
+    letter is none of the model's.  (``train`` gives it excerpts of long rows.)
     """
     langs = sorted({lang for lang, _ in rows})
     if not langs:
@@ -223,23 +225,47 @@ def _chains(e: np.ndarray, transitions: np.ndarray, live: np.ndarray) -> tuple[n
 def marginals(e: np.ndarray, first: np.ndarray, transitions: np.ndarray) -> np.ndarray:
     """Marginals of chains of any length (chain i: rows first[i] to first[i + 1]), exactly.
 
-    Chains are cut into blocks.  Each block's transfer matrix is formed for all blocks at once,
+    Chains are taken by length, as many at a time as keep WORKING numbers within bounds: short ones
+    in narrow blocks, so memory follows words and languages, not the number of texts.
+    """
+    length, n = np.diff(first), e.shape[1]
+    out = np.empty((len(e), n))
+    order = np.argsort(length, kind="stable")
+    order = order[length[order] > 0]
+    width = np.minimum(length[order], BLOCK)
+    cost = -(-length[order] // width) * (3 * n * n + width * n)
+    lo = 0
+    while lo < len(order):
+        # a chain's blocks are as wide as the widest of its group
+        upto = np.cumsum(cost[lo:lo + WORKING])
+        hi = lo + max(1, int(np.searchsorted(upto, WORKING, side="right")))
+        hi = lo + max(1, int(np.searchsorted(width[lo:hi], 2 * width[lo], side="right")))
+        chains = order[lo:hi]
+        size = length[chains]
+        rows = np.repeat(first[chains] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        out[rows] = _marginals(e[rows], np.concatenate([[0], np.cumsum(size)]), transitions, int(width[hi - 1]))
+        lo = hi
+    return out
+
+
+def _marginals(e: np.ndarray, first: np.ndarray, transitions: np.ndarray, block: int) -> np.ndarray:
+    """Chains are cut into blocks.  Each block's transfer matrix is formed for all blocks at once,
     the matrices are chained, and a second sweep fills in the words: the number of numpy steps is
     that of a block, not that of the longest text.
     """
     n = e.shape[1]
     a = np.exp(transitions - transitions.max()).astype(np.float64)
     length = np.diff(first)
-    blocks = -(-length // BLOCK)
+    blocks = -(-length // block)
     base = np.concatenate([[0], np.cumsum(blocks)])
     chain = np.repeat(np.arange(len(length)), length)
     at = np.arange(len(e)) - first[chain]
-    row, col = base[chain] + at // BLOCK, at % BLOCK
-    x = np.ones((base[-1], BLOCK, n))
+    row, col = base[chain] + at // block, at % block
+    x = np.ones((base[-1], block, n))
     x[row, col] = np.exp(e - e.max(axis=1, keepdims=True))
-    live = np.zeros((base[-1], BLOCK), bool)
+    live = np.zeros((base[-1], block), bool)
     live[row, col] = True
-    width = np.minimum(BLOCK, live.sum(axis=1).max(initial=0))
+    width = live.sum(axis=1).max(initial=0)
     through = np.broadcast_to(np.eye(n), (base[-1], n, n)).copy()
     for t in range(width):
         step = (through @ a) * x[:, t, None, :]
@@ -301,7 +327,7 @@ class Labeller:
         return marginals(self.e[index[keep]], first, self.model.transitions), first
 
 
-def _predict(batches, model: Model, text_col: str):
+def _predict(batches, model: Model, text_col: str, prefix: str):
     labeller = Labeller(model)
     names = np.array([*model.langs, UNKNOWN], object)
     for whole in batches:
@@ -324,23 +350,26 @@ def _predict(batches, model: Model, text_col: str):
                 switched = np.diff(np.concatenate([[0], np.cumsum(other)])[first])
             yield pa.RecordBatch.from_arrays([
                 *batch.columns, pa.array(names[best], pa.string()), pa.array(score), pa.array(n), pa.array(switched)],
-                [*batch.schema.names, *(f"crf_{c}" for c in FOUND)])
+                [*batch.schema.names, *(f"{prefix}{c}" for c in FOUND)])
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Fit on at most FIT_DOCS rows of each of at most FIT_LANGS languages, none of them held out."""
     known = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter(
         ~held_out("id") & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    chosen = sample(known, "id", "lang", FIT_DOCS, FIT_LANGS)
-    rows = known.select("id", F.substring("text", 1, FIT_CHARS).alias("text")).join(
-        F.broadcast(chosen), "id").orderBy("lang", "id", "text").select("lang", "text")
-    return fit([tuple(r) for r in rows.limit(FIT_DOCS * FIT_LANGS).collect()])
+    # one row of an id, so that the sample has the rows that it is bounded by
+    ids = known.groupBy("id").agg(F.min("lang").alias("lang"))
+    chosen = sample(ids, "id", "lang", FIT_DOCS, FIT_LANGS)
+    of = chosen.withColumnRenamed("lang", "of")
+    own = known.join(F.broadcast(of), "id").filter("lang = of").drop("of", "lang")
+    rows = sampled_texts(own, chosen, "id", "text", FIT_CHARS, FIT_PIECES).orderBy("lang", "id").select("lang", "text")
+    return fit([tuple(r) for r in rows.toLocalIterator()])
 
 
-def label_documents(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with the columns of FOUND, each name after a ``crf_``; one pass, no shuffle."""
-    fields = [T.StructField(f"crf_{c}", kind) for c, kind in FOUND.items()]
-    return docs.mapInArrow(lambda it: _predict(it, model, text_col), T.StructType(docs.schema.fields + fields))
+def label_documents(docs: DataFrame, model: Model, text_col: str = "text", prefix: str = "crf_") -> DataFrame:
+    """``docs`` with the columns of FOUND, each name after ``prefix``; one pass, no shuffle."""
+    fields = [T.StructField(f"{prefix}{c}", kind) for c, kind in FOUND.items()]
+    return docs.mapInArrow(lambda it: _predict(it, model, text_col, prefix), T.StructType(docs.schema.fields + fields))
 
 
 def identify(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text",
@@ -365,8 +394,12 @@ def identify(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id"
 
 def reject_unidentified(docs: DataFrame, least: float = 0.3, model: Model | None = None,
                         id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``docs`` without the documents that are ``und`` or whose language scores below ``least``."""
+    """``docs`` without the documents that are ``und`` or whose language scores below ``least``.  Columns
+    of any name stay as they are."""
     model = model or train(docs, id_col, text_col, lang_col)
-    found = label_documents(docs, model, text_col)
-    return found.filter((F.col("crf_lang_pred") != UNKNOWN) & (F.col("crf_score") >= least)).select(
+    prefix = "crf_"
+    while any(c.lower().startswith(prefix) for c in docs.columns):
+        prefix = f"_{prefix}"
+    found = label_documents(docs, model, text_col, prefix)
+    return found.filter((F.col(f"{prefix}lang_pred") != UNKNOWN) & (F.col(f"{prefix}score") >= least)).select(
         *[F.col(f"`{c}`") for c in docs.columns])

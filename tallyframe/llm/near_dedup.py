@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .hashing import Words, byte_table, mix64, slices, texts
-from .tables import written
+from .tables import free_name, written
 
 #: A pair at the similarity asked for misses every bucket with at most this probability; ``_bands``
 #: derives the bands from it: 32 of 8 registers at 0.85 (3.8e-5), 56 of 8 at 0.80 (3.4e-5).
@@ -40,6 +40,8 @@ BINS = BANDS * ROWS
 CHECK_BINS, CHECK_BITS = 1024, 4
 #: Star rounds with different centres before what is left is settled exactly.
 STAR_ROUNDS = 2
+#: Parts that the members of a bucket are dealt into when it is settled.
+SALTS = 8
 
 
 def _sets(column: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -154,8 +156,10 @@ class _Graph:
         self.rows = written(narrow.withColumn("hash", F.xxhash64("text")).mapInArrow(
             lambda it: _sketch_batches(it, k, *bands),
             f"id {id_type}, hash bigint, n bigint, key binary, checks array<bigint>, bands array<bigint>"), "sketches")
+        # a class is fetched by one of its rows: the smallest id, a null one only if there is no other
         classes = self.rows.filter("n > 0").groupBy("key").agg(
-            F.min("id").alias("low"), F.first("n").alias("n"), F.first("checks").alias("checks"),
+            F.min("id").alias("low"), F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "hash")).alias("one"),
+            F.first("n").alias("n"), F.first("checks").alias("checks"),
             F.first("bands").alias("bands"))
         # written once, so the generated numbers stay
         self.nodes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
@@ -164,7 +168,9 @@ class _Graph:
         self.members = written(spread.join(shared.select("bucket"), "bucket", "left_semi"), "members")
         wanted = self.nodes.join(self.members.select("node").distinct(), "node", "left_semi")
         self.checks = written(wanted.select("node", "n", "checks"), "checks")
-        texts_of = narrow.join(wanted.select(F.col("low").alias("id")).distinct(), "id", "left_semi").select("text")
+        ones = wanted.select(F.col("one.id").alias("one_id"), F.col("one.hash").alias("one_hash")).distinct()
+        texts_of = narrow.join(ones, F.col("id").eqNullSafe(F.col("one_id")) & (
+            F.xxhash64("text") == F.col("one_hash")), "left_semi").select("text")
         sets = texts_of.mapInArrow(lambda it: _set_batches(it, "text", k), "key binary, shingles array<bigint>")
         self.sets = written(wanted.select("key", "node").join(sets, "key").groupBy("node").agg(
             F.first("shingles").alias("shingles")), "sets")
@@ -222,16 +228,21 @@ class _Graph:
             return
         main = m.groupBy("bucket", "comp").count().groupBy("bucket").agg(
             F.max_by("comp", F.struct("count", "comp")).alias("main"))
-        a = m.select("bucket", F.col("node").alias("a"), F.col("comp").alias("a_comp")).join(self.checks_of("a"), "a")
+        a = m.select("bucket", F.col("node").alias("a"), F.col("comp").alias("a_comp"), F.pmod(
+            F.xxhash64("node"), F.lit(SALTS)).alias("salt")).join(self.checks_of("a"), "a")
+        # a bucket's members are dealt out, and the few outside its main component meet each part
         b = (m.join(main, "bucket").filter("comp != main").select(
-            "bucket", F.col("node").alias("b"), F.col("comp").alias("b_comp")).join(self.checks_of("b"), "b"))
+            "bucket", F.col("node").alias("b"), F.col("comp").alias("b_comp")).join(self.checks_of("b"), "b")
+            .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))))
         keep = [F.col(c) for c in ("a", "b", "a_n", "b_n")]
-        here = (a["bucket"] == b["bucket"]) & (F.col("a_comp") != F.col("b_comp")) & self.could_link()
+        here = (a["bucket"] == b["bucket"]) & (a["salt"] == b["salt"]) & (
+            F.col("a_comp") != F.col("b_comp")) & self.could_link()
         self.link(a.join(b, here).select(*keep))
 
 
 def _components(docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
-    """``(id, hash, n, component_id)`` of every row, hash that of its text."""
+    """``(id, hash, n, comp, component_id)`` of every row: hash is that of its text, comp a number of its
+    component (null without shingles)."""
     g = _Graph(docs, id_col, text_col, words, percent)
     for number in range(STAR_ROUNDS):
         if not g.star_round(number):
@@ -242,9 +253,9 @@ def _components(docs: DataFrame, id_col: str, text_col: str, words: int, percent
     node_comp = g.nodes.select("node", "key", "low").join(g.comp, "node", "left").withColumn(
         "comp", F.coalesce("comp", "node"))
     lowest = node_comp.groupBy("comp").agg(F.min("low").alias("component_id"))
-    of_key = node_comp.join(lowest, "comp").select("key", "component_id")
+    of_key = node_comp.join(lowest, "comp").select("key", "comp", "component_id")
     return g.rows.select("id", "hash", "n", "key").join(of_key, "key", "left").select(
-        "id", "hash", "n", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+        "id", "hash", "n", "comp", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -258,8 +269,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Defined results: null, empty or blank text has no shingle, links with nothing and is kept.
     Rows that repeat a document id with the same text are one node; each row comes back.  Rows
-    of one id with different texts are nodes of their own.  A null id sorts after all others; a
-    component of null ids only has a null component id and is kept.  Other columns are ignored.
+    of one id with different texts are nodes of their own.  A null id sorts after all others and links
+    like any other; a component of null ids only has a null component id, and its rows are marked as
+    kept.  Other columns are ignored.
     """
     found = _components(docs, id_col, text_col, words, percent)
     return found.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
@@ -268,8 +280,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with the one document kept of each component.  Rows are told apart by id and text."""
-    found = _components(docs, id_col, text_col, words, percent)
-    gone = found.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select("id", "hash").distinct()
-    here = F.col(id_col).eqNullSafe(F.col("__gone.id")) & (F.xxhash64(text_col) == F.col("__gone.hash"))
-    return docs.join(gone.alias("__gone"), here, "left_anti")
+    """``docs`` with exactly one row of each component: that of its smallest id (of one id, of the text
+    with the smallest hash; a null id only if there is no other).
+
+    Rows that repeat id and text are one document, whatever their other columns, and one of them
+    stays.  Rows without shingles are components of their own and all stay.  Columns of any name
+    stay as they are.
+    """
+    found = written(_components(docs, id_col, text_col, words, percent).filter("n > 0"), "components")
+    place = F.struct(F.col("id").isNull().alias("no_id"), "id", "hash")
+    first = found.groupBy("comp").agg(F.min(place).alias("first"))
+    ranked = found.join(first, "comp").select("id", "hash", (place == F.col("first")).alias("kept"))
+    gone_id, gone_hash = (free_name(docs.columns, c) for c in ("gone_id", "gone_hash"))
+    own_hash = F.xxhash64(F.col(f"`{text_col}`"))
+
+    def keys(rows: DataFrame) -> DataFrame:
+        return rows.select(F.col("id").alias(gone_id), F.col("hash").alias(gone_hash))
+
+    here = F.col(f"`{id_col}`").eqNullSafe(F.col(gone_id)) & (own_hash == F.col(gone_hash))
+    left = docs.join(keys(ranked.filter("not kept")).distinct(), here, "left_anti")
+    # rows that repeat a kept document: one of each goes on
+    repeated = written(keys(ranked.filter("kept").groupBy("id", "hash").count().filter("count > 1")), "repeated")
+    if repeated.isEmpty():
+        return left
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = left.join(repeated, here).groupBy(gone_id, gone_hash).agg(
+        F.min_by(row, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns if c != text_col])).alias("row")).select("row.*")
+    return left.join(repeated, here, "left_anti").unionByName(one)

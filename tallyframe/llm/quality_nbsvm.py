@@ -6,12 +6,16 @@ ratio of its smoothed frequencies in the two classes, and a linear hinge-loss mo
 the scaled indicators by dual coordinate descent.  A logistic curve fitted to the margins of
 sample rows that the model did not see turns margins into scores.
 
-Fitting works on the driver, on a bounded sample of labelled rows (FIT_DOCS per class, FIT_CHARS
-of each); scoring is one pass over the texts without a shuffle.
+Fitting works on the driver, on a bounded sample of labelled rows: FIT_DOCS per class, and of a text
+with more than FIT_CHARS characters as many in FIT_PIECES runs spread over all of it.  Executors turn the
+sample into feature numbers, so the driver holds these alone: at most about FIT_CHARS / 6 words with
+four numbers of 4 bytes each a row, some 130 MB at the bound.  Scoring is one pass over the whole texts
+without a shuffle.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,9 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .hashing import Words, byte_table, mix64, slices, texts
-from .labels import held_out, sample
+from .labels import held_out, sample, sampled_texts
+from .tables import written
 
-FIT_DOCS, FIT_CHARS = 3000, 20_000
+#: Rows of each class and characters of a row that are learned from, and the runs that they are taken in.
+FIT_DOCS, FIT_CHARS, FIT_PIECES = 3000, 8000, 8
 DIMS = 1 << 20
 #: Cost of a margin error, passes over the sample, smoothing of the class counts.
 COST, EPOCHS, SMOOTH = 0.1, 12, 1.0
@@ -87,20 +93,22 @@ class Model:
 
 
 def _descend(rows: list[np.ndarray], y: np.ndarray, ratio: np.ndarray, share: float, rng) -> tuple[np.ndarray, float]:
-    """Dual coordinate descent for min |w|^2 / 2 + sum cost_i * hinge(y_i (w x_i + bias)); the
+    """Dual coordinate descent for min (|w|^2 + bias^2) / 2 + sum cost_i * hinge(y_i (w x_i + bias)); the
     classes weigh what they do among all labelled rows."""
     cost = COST * np.where(y > 0, share / (y > 0).mean(), (1 - share) / (y < 0).mean())
-    values = [ratio[x] / max(1.0, np.sqrt(len(x))) for x in rows]
-    norm = np.array([float(v @ v) + 1 for v in values])
-    w, bias, dual = np.zeros(DIMS, np.float64), 0.0, np.zeros(len(rows))
+    scale = np.array([1 / max(1.0, np.sqrt(len(x))) for x in rows])
+    squares = ratio * ratio
+    norm = np.array([float(squares[x].sum()) * s * s + 1 for x, s in zip(rows, scale)])
+    # w is kept times the ratios, as the rows' values are these by a factor each
+    w, bias, dual = np.zeros(len(ratio), np.float64), 0.0, np.zeros(len(rows))
     for _ in range(EPOCHS):
         for i in rng.permutation(len(rows)):
-            x, v = rows[i], values[i]
-            slack = 1 - y[i] * (float(w[x] @ v) + bias)
+            x = rows[i]
+            slack = 1 - y[i] * (float(w[x].sum()) * scale[i] + bias)
             step = min(max(dual[i] + slack / norm[i], 0.0), cost[i]) - dual[i]
             if step:
                 dual[i] += step
-                w[x] += step * y[i] * v
+                w[x] += step * y[i] * scale[i] * squares[x]
                 bias += step * y[i]
     return w, bias
 
@@ -120,9 +128,19 @@ def _logistic(margin: np.ndarray, y: np.ndarray, share: float) -> tuple[float, f
     return float(max(theta[0], 1e-3)), float(theta[1])
 
 
-def fit(texts_: list[str], labels: list[int], share: float | None = None, seed: int = 7) -> Model:
-    """Model of texts labelled 1 or 0, of which ``share`` are 1 in general (default: as given);
-    without texts of both classes every score is the share of 1s."""
+def class_ratios(rows: list[np.ndarray], y: np.ndarray, dims: int = DIMS) -> np.ndarray:
+    """Log ratio of each indicator's smoothed share in class 1 to that in class 0; 0 if never seen."""
+    counts = np.full((2, dims), SMOOTH)
+    for x, label in zip(rows, y):
+        counts[int(label > 0), x] += 1
+    ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
+    ratio[(counts == SMOOTH).all(axis=0)] = 0
+    return ratio
+
+
+def fit_features(rows: list[np.ndarray], labels: list[int], share: float | None = None, seed: int = 7) -> Model:
+    """Model of rows of feature numbers labelled 1 or 0, of which ``share`` are 1 in general (default:
+    as given); without rows of both classes every score is the share of 1s."""
     y = np.where(np.array(labels, int) == 1, 1.0, -1.0)
     if share is None:
         share = float((y > 0).mean()) if len(y) else 0.5
@@ -130,22 +148,31 @@ def fit(texts_: list[str], labels: list[int], share: float | None = None, seed:
     if not len(y) or len(set(y)) < 2:
         return Model(np.zeros(DIMS, np.float32), 0.0, 1.0, float(np.log(share / (1 - share))))
     rng = np.random.default_rng(seed)
-    rows = features(pa.array(texts_, pa.large_string()))
     order = rng.permutation(len(rows))
     kept, learn = order[::FOLD], np.array([i for k, i in enumerate(order) if k % FOLD])
     if len(set(y[learn])) < 2 or len(set(y[kept])) < 2:
         kept = learn = order
-    counts = np.full((2, DIMS), SMOOTH)
-    for i in learn:
-        counts[int(y[i] > 0), rows[i]] += 1
-    ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
-    ratio[(counts == SMOOTH).all(axis=0)] = 0  # never seen
-    w, bias = _descend([rows[i] for i in learn], y[learn], ratio, share, rng)
-    model = Model((w * ratio).astype(np.float32), bias, 1.0, 0.0)
+    own = [rows[i] for i in learn]
+    ratio = class_ratios(own, y[learn])
+    weights, bias = _descend(own, y[learn], ratio, share, rng)
+    model = Model(weights.astype(np.float32), bias, 1.0, 0.0)
     model.slope, model.shift = _logistic(np.array([model.margin(rows[i]) for i in kept]), y[kept], share)
     return model
 
 
+def fit(texts_: list[str], labels: list[int], share: float | None = None, seed: int = 7) -> Model:
+    """``fit_features`` on whole texts, a few at a time."""
+    rows = [x for lo in range(0, len(texts_), 64) for x in features(pa.array(texts_[lo:lo + 64], pa.large_string()))]
+    return fit_features(rows, labels, share, seed)
+
+
+def _numbered(batches) -> Iterator[pa.RecordBatch]:
+    for whole in batches:
+        for batch in slices(whole, "text"):
+            rows = pa.array([x.tobytes() for x in features(batch.column("text"))], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("label"), rows], ["id", "label", "numbers"])
+
+
 def _predict(batches, model: Model):
     for whole in batches:
         for batch in slices(whole, "text"):
@@ -156,15 +183,17 @@ def _predict(batches, model: Model):
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality") -> Model:
     """Fit on at most FIT_DOCS rows of each class, none of them held out.  Ids with both labels,
-    null labels and null texts teach nothing."""
+    null labels and null texts teach nothing; an id that stands for several texts teaches one."""
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter(
         F.col("label").isin(0, 1) & F.col("id").isNotNull() & ~held_out("id"))
     marks = marks.groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("top")).filter("label = top")
-    known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("text is not null")
     chosen = sample(marks, "id", "label", FIT_DOCS, 2)
-    rows = known.select("id", F.substring("text", 1, FIT_CHARS).alias("text")).join(
-        F.broadcast(chosen), "id").orderBy("id", "text").select("text", "label").limit(2 * FIT_DOCS).collect()
-    return fit([r[0] for r in rows], [r[1] for r in rows], marks.agg(F.avg("label")).first()[0])
+    rows = sampled_texts(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), chosen, "id", "text",
+                         FIT_CHARS, FIT_PIECES).select("id", "label", "text")
+    id_type = rows.schema["id"].dataType.simpleString()
+    numbers = written(rows.mapInArrow(_numbered, f"id {id_type}, label int, numbers binary"), "sample").orderBy("id")
+    found = [(r["label"], np.frombuffer(r["numbers"], np.int32)) for r in numbers.toLocalIterator()]
+    return fit_features([x for _, x in found], [y for y, _ in found], marks.agg(F.avg("label")).first()[0])
 
 
 def score_quality(docs: DataFrame, labels: DataFrame | None = None, model: Model | None = None,

@@ -35,6 +35,7 @@ RULES = (
     Rule("word_length", "word_chars < 2 * n_words or word_chars > 20 * n_words"),
 )
 
+MEASUREMENTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 #: Rules of each policy version.
 POLICIES = {
     "base": ("too_few_words", "repeated_windows"),
@@ -58,7 +59,10 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
     n_repeat_words`` (long) instead of its text.
 
     A repeated window costs a sort of the text's window hashes, and only in texts that have one.
+    Columns of ``docs`` that are called like a measurement give way to it.
     """
+    taken = (*MEASUREMENTS, "fail_bits")
+    docs = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c == text_col or c.lower() not in taken])
     kept = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
     step = docs.select(*kept, F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__t"))
     lines = F.filter(F.split("__t", "\n"), lambda x: F.trim(x, F.lit(" " + SPACES)) != "")
@@ -70,7 +74,7 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
         (F.octet_length("__t") - F.octet_length(_replaced(F.col("__t"), SYMBOLS, ""))).cast("long").alias("n_symbols"),
         F.size("__l").cast("long").alias("n_lines"),
         (F.size("__l") - F.size(F.array_distinct("__l"))).cast("long").alias("n_dup_lines"))
-    measured = [c for c in step.columns if c not in docs.columns and not c.startswith("__")]
+    measured = [c for c in MEASUREMENTS if c in step.columns]
     first = F.slice("__w", F.lit(1), F.greatest(F.size("__w") - 2, F.lit(0)))
     step = step.select(*kept, *measured, F.transform(first, lambda w, i: F.xxhash64(
         w, F.get("__w", i + 1), F.get("__w", i + 2))).alias("__h"))
@@ -90,7 +94,7 @@ def ledger(docs: DataFrame, text_col: str = "text", rules: Sequence[Rule] = RULE
 
     Defined results: null or empty text has no words and no lines (all measurements 0, so it fails
     ``too_few_words`` only); rows that repeat are measured each; an empty table gives an empty
-    ledger.  Columns of ``docs`` named like a measurement must be dropped or renamed before.
+    ledger; columns of ``docs`` called like a measurement or ``fail_bits`` give way to these.
     """
     measured = measure(docs, text_col)
     bits = F.lit(0).cast("long")

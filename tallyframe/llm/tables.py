@@ -16,3 +16,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with as many underscores before it as it takes not to be one of ``columns``."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

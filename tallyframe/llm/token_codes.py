@@ -31,7 +31,7 @@ RANK_BITS = 512
 #: Ids after which a segment is closed (at the next document's end).
 SEGMENT_IDS = 1 << 20
 #: Distinct words whose ids a worker keeps.
-CACHE_WORDS = 1 << 20
+CACHE_WORDS = 1 << 19
 END_ID = 1
 
 
@@ -179,13 +179,15 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
     """Encode all documents in ascending ``id_col`` order and write their segments to ``path``.
 
     Documents are range-partitioned by id, so a shard is a task; rows of one id keep the order of
-    their text.  Defined results: null text is empty (its only id is the end id); a null id sorts
-    first; repeated ids and rows are documents of their own; an empty table writes no segment;
-    other columns are ignored.  A document's ids fit a segment, whatever its length.
+    their text.  Document ids that are no whole numbers are kept as text.  Defined results: null text is
+    empty (its only id is the end id); a null id sorts first; repeated ids and rows are documents of
+    their own; an empty table writes no segment; other columns are ignored.  A document's ids fit a
+    segment, whatever its length.
     """
     n = shards or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    id_type = narrow.schema["id"].dataType.simpleString()
+    whole = narrow.schema["id"].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint")
+    id_type, arrow_type = ("bigint", pa.int64()) if whole else ("string", pa.string())
 
     def segments(batches):
         number, before, docs_, runs, size = 0, 0, [], [], 0
@@ -198,7 +200,6 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
                 pa.array([np.cumsum([0] + [len(r) for r in runs])], pa.list_(pa.int64())),
                 pa.array([encode(ids)], _LEVELS)], ["segment", "ids_before", "n_ids", "ids", "starts", "levels"])
 
-        arrow_type = pa.int64()
         for key, ids in _encoded(batches, tokenizer, end_id):
             docs_.append(key)
             runs.append(ids)
@@ -209,10 +210,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
         if runs:
             yield segment()
 
-    if id_type != "bigint":
-        narrow = narrow.withColumn("id", F.col("id").cast("bigint"))
+    narrow = narrow.withColumn("id", F.col("id").cast(id_type))
     (narrow.repartitionByRange(n, "id").sortWithinPartitions("id", "text").mapInArrow(
-        segments, f"segment int, ids_before bigint, n_ids bigint, ids array<bigint>, starts array<bigint>, levels {LEVELS}")
+        segments, f"segment int, ids_before bigint, n_ids bigint, ids array<{id_type}>, starts array<bigint>, levels {LEVELS}")
      .withColumn("shard", F.spark_partition_id()).write.parquet(path))
 
 
@@ -226,6 +226,8 @@ def _bases(segments: DataFrame) -> DataFrame:
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """``(doc_id, start, n_tokens, ids_crc32)`` of each document, decoded from the files."""
     segments = spark.read.parquet(path)
+    id_type = segments.schema["ids"].dataType.elementType.simpleString()
+    arrow_type = pa.int64() if id_type == "bigint" else pa.string()
 
     def rows(batches):
         for batch in batches:
@@ -235,13 +237,13 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
                 before = batch.column("ids_before")[s].as_py()
                 keys = batch.column("ids")[s].values
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([batch.column("shard")[s].as_py()] * len(keys), pa.int32()), keys.cast(pa.int64()),
+                    pa.array([batch.column("shard")[s].as_py()] * len(keys), pa.int32()), keys.cast(arrow_type),
                     pa.array(before + starts[:-1]), pa.array(np.diff(starts)),
                     pa.array([zlib.crc32(ids[a:b].tobytes()) for a, b in zip(starts[:-1], starts[1:])], pa.int64())],
                     ["shard", "doc_id", "at", "n_tokens", "ids_crc32"])
 
     found = segments.select("shard", "ids_before", "ids", "starts", "levels").mapInArrow(
-        rows, "shard int, doc_id bigint, at bigint, n_tokens bigint, ids_crc32 bigint")
+        rows, f"shard int, doc_id {id_type}, at bigint, n_tokens bigint, ids_crc32 bigint")
     return found.join(_bases(segments), "shard").select(
         "doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 

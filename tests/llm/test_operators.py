@@ -127,7 +127,7 @@ def test_changed_and_dropped_license_words(spark):
     want = [("MIT", 1), ("MIT", 1), ("MIT", 1), ("MIT", 2)]
     for name, text in license_scan.TEMPLATES.items():
         words = "".join(c if c.isalnum() else " " for c in text).split()
-        spare = len(words) - next(n for n in range(99) if n >= 0.8 * len(words))
+        spare = len(words) - next(n for n in range(999) if n >= 0.8 * len(words))
         for at in range(len(words)):
             gone = {(at + i * len(words) // max(1, spare)) % len(words) for i in range(spare)}
             for other in ([], ["otherword"]):  # dropped, changed
@@ -215,6 +215,52 @@ def test_decontamination_of_items_with_a_shared_prompt(spark):
     assert len(want) == 10 and all(abs(got[k][0] - want[k][0]) < 1e-4 and got[k][1] == want[k][1] for k in want)
 
 
+def test_radii_hold_what_reaches_the_threshold():
+    """Of windows at or a little above the threshold, at least 99 in 100 lie within their item's radius,
+    whichever words are changed and however uneven the weights; all within it are found."""
+    rng = np.random.default_rng(3)
+    words = [f"w{i}" for i in range(5000)]
+    prompt = list(rng.choice(words, 60))
+    items = [(i, " ".join((prompt if i % 2 else []) + list(rng.choice(words, int(rng.integers(12, 60)))))) for i in range(60)]
+    df = Counter(s for _, t in items for s in set(zip(*[t.split()[j:] for j in range(5)])))
+    rows = []
+    for i, t in items:
+        words_ = decontaminate.Words(*decontaminate.texts(pa.array([t], pa.large_string())), decontaminate.byte_table("space"))
+        grams, _ = words_.grams(5)
+        names = list(zip(*[t.split()[j:] for j in range(5)]))
+        of = dict(zip(grams.tolist(), names))
+        rows.append((i, t, np.array([df[of[g]] for g in np.unique(grams).tolist()])))
+    index = decontaminate._Items(rows, len(items), 5, 0.8)
+    near = within = 0
+    for i, t in items:
+        for _ in range(200):
+            w = t.split()
+            first = 0 if rng.random() < 0.5 else len(w) - int(rng.integers(3, 12))
+            for j in range(int(rng.integers(1, 7))):
+                w[(first + j) % len(w)] = str(rng.choice(words))
+            grams, _ = decontaminate.Words(*decontaminate.texts(pa.array([" ".join(w)], pa.large_string())),
+                                           decontaminate.byte_table("space")).grams(5)
+            at = np.searchsorted(index.known, grams)
+            at = np.where(index.known[np.minimum(at, len(index.known) - 1)] == grams, at, -1)
+            weight = np.where(at >= 0, index.weight[at], index.rare)
+            if 0.8 <= index._similarity(i, at, float(weight.sum())) < 0.86:
+                near += 1
+                finger = index.fingerprint(grams, weight)[None]
+                hit = int((finger[0] != index.finger[i]).sum()) <= index.radius[i]
+                within += hit
+                assert hit == (i in [x[1] for x in index._within(finger, index.size[i])])
+    assert near > 300 and within >= 0.99 * near
+
+
+def test_text_ids_of_items(spark):
+    text = " ".join(f"x{i}" for i in range(30))
+    bench = spark.createDataFrame([("item-a", text)], "item_id string, text string")
+    docs = spark.createDataFrame([("doc-1", "before " + text, "q"), (None, text, "q"), ("doc-2", "other", "q")], "doc_id string, text string, item string")
+    got = {(r["doc_id"], r["item_id"], r["start_word"]) for r in decontaminate.contaminated(docs, bench).collect()}
+    assert got == {("doc-1", "item-a", 1), (None, "item-a", 0)}
+    assert [r["doc_id"] for r in decontaminate.decontaminate(docs, bench).collect()] == ["doc-2"]
+
+
 def test_item_blocks_and_awkward_tables(spark, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     bench = spark.read.parquet(f"{SF}/benchmark.parquet")
@@ -555,3 +601,57 @@ def test_native_queries_run_no_python(spark, name):
 def test_schema_of_awkward_types(spark):
     docs = awkward(spark).withColumn("d", F.lit("1.5").cast(T.DecimalType(10, 2))).withColumn("a", F.array(F.lit(1)))
     assert lang_crf.reject_unidentified(docs).schema.names == docs.schema.names
+
+
+def shingled(n, extra=""):
+    return " ".join(f"v{i}" for i in range(n)) + extra
+
+
+def test_null_ids_link_like_others(spark):
+    rows = [(None, shingled(300)), (None, shingled(300, " one")), (5, shingled(300, " one two")), (None, "other text of a null id")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in near_dedup.near_duplicates(df).collect()), key=repr)
+    assert got == sorted([(None, 5, False), (None, 5, False), (5, 5, True), (None, None, True)], key=repr)
+    kept = near_dedup.drop_near_duplicates(df).collect()
+    assert sorted((r["doc_id"] or -1 for r in kept)) == [-1, 5]
+
+
+def test_one_row_of_each_component_stays(spark):
+    text = shingled(60)
+    rows = [(7, text, "a"), (7, text, "b"), (7, text, "a"), (7, shingled(60, " x"), "a"), (9, text.upper(), "a"), (None, text, "a"),
+            (None, "lonely words here", "a"), (None, "lonely words here", "c"), (3, "", "a"), (3, "", "a"), (4, None, "a"), (8, "alone too", "a")]
+    df = spark.createDataFrame([(*r, 1, "h") for r in rows], "id long, text string, hash string, gone_id int, GONE_HASH string").repartition(4)
+    kept = near_dedup.drop_near_duplicates(df, id_col="id")
+    assert kept.columns == df.columns
+    got = Counter((r["id"], (r["text"] or "")[:6]) for r in kept.collect())
+    assert got == {(7, "v0 v1 "): 1, (None, "lonely"): 1, (3, ""): 2, (4, ""): 1, (8, "alone "): 1}
+
+
+def test_settled_buckets_equal_brute_force(spark, monkeypatch):
+    """Many documents that are all alike, a little below and above the threshold."""
+    monkeypatch.setattr(near_dedup, "STAR_ROUNDS", 1)
+    rng = random.Random(12)
+    base = [f"b{i}" for i in range(60)]
+    rows = []
+    for d in range(70):
+        w = list(base)
+        for _ in range(rng.randint(0, 4)):
+            w[rng.randrange(60)] = f"x{rng.randint(0, 3)}"
+        rows.append((d, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dedup.near_duplicates(df, words=3, percent=85).collect()}
+    assert got == brute_components(rows, 3, 85)
+
+
+def test_ledger_with_columns_called_like_measurements(spark):
+    docs = spark.createDataFrame([(1, "some words here", 99, 5, "k")], "doc_id long, text string, n_words long, Fail_bits int, other string")
+    row = quality_rules.ledger(docs).first()
+    assert (row["n_words"], row["fail_bits"], row["other"]) == (3, 1, "k")
+
+
+def test_tokens_of_text_ids(spark, tmp_path):
+    docs = spark.createDataFrame([("b", "two words", 1), ("a", None, 1), (None, "x", 1), ("b", "two words", 1)], "doc_id string, text string, id int")
+    token_codes.write_tokens(docs, str(tmp_path / "t"), queries.tokenizer_path())
+    got = token_codes.read_documents(spark, str(tmp_path / "t")).orderBy("start").collect()
+    ids = library_ids(["x", None, "two words"])
+    assert [(r["doc_id"], r["n_tokens"]) for r in got] == [(None, len(ids[0])), ("a", 1), ("b", len(ids[2])), ("b", len(ids[2]))]
