@@ -342,6 +342,10 @@ def box_stats(df: DataFrame, group: str, measures: Sequence[str] | str, whis: fl
              F.greatest("q3", "__most").alias("whisker_hi"), "n_outliers")
 
 
+#: Sums of one generated aggregate (with keys, below spark.sql.codegen.maxFields).
+GRID_SUMS = 50
+
+
 # A10 -----------------------------------------------------------------------------------
 def violin_density(df: DataFrame, group: str, value: str, gridsize: int = 100,
                    cut: float = 2.0, prebin: int | None = None) -> DataFrame:
@@ -352,8 +356,8 @@ def violin_density(df: DataFrame, group: str, value: str, gridsize: int = 100,
     without spread (one row, or all values equal) is one point of full width at its value,
     with no density.
 
-    The grid is a set of sums per group, so rows are never multiplied and all of it combines
-    before the shuffle.  The per-group statistics are written once; the join with them
+    The grid is a set of sums per group, so all of it combines before the shuffle; a row comes once for
+    every GRID_SUMS points, as wider aggregates fall out of generated code.  The per-group statistics are written once; the join with them
     broadcasts if their bytes allow it.  ``prebin`` (optional) snaps values onto that many bins
     per group first, an approximation for very wide value sets, off by default.
     """
@@ -372,9 +376,15 @@ def violin_density(df: DataFrame, group: str, value: str, gridsize: int = 100,
                .withColumn("__v", F.when(pw > 0, F.col("__min") + (F.floor((F.col("__v") - F.col("__min")) / pw) + 0.5) * pw)
                            .otherwise(F.col("__v"))).select(group, "__v"))
     spread = stats.filter("bandwidth > 0").select(group, F.col("n").alias("__n"), "bandwidth", "__glo", "__step")
-    at = [F.col("__glo") + i * F.col("__step") for i in range(gridsize)]
-    sums = pts.join(spread, group).groupBy(group).agg(
-        F.array(*[F.sum(F.exp(-0.5 * F.pow((x - F.col("__v")) / F.col("bandwidth"), 2))) for x in at]).alias("__k"))
+    parts = -(-gridsize // GRID_SUMS)
+    size = -(-gridsize // parts)
+    at = [F.col("__glo") + (F.col("__part") * size + i) * F.col("__step") for i in range(size)]
+    rows = pts.join(spread, group).withColumn("__part", F.explode(F.array(*[F.lit(i) for i in range(parts)])))
+    sums = rows.groupBy(group, "__part").agg(*[
+        F.sum(F.exp(-0.5 * F.pow((x - F.col("__v")) / F.col("bandwidth"), 2))).alias(f"__k{i}") for i, x in enumerate(at)])
+    # the parts of a group, a handful of rows, side by side
+    sums = sums.groupBy(group).agg(F.slice(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct(
+        "__part", F.array(*[f"__k{i}" for i in range(size)]).alias("__k")))), lambda x: x["__k"])), 1, gridsize).alias("__k"))
     norm = F.col("__n") * F.col("bandwidth") * math.sqrt(2 * math.pi)
     dens = sums.join(spread, group).select(group, F.posexplode("__k").alias("grid_idx", "__d"), (
         F.array_max("__k") / norm).alias("__peak"), "__glo", "__step", norm.alias("__norm")).select(

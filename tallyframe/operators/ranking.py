@@ -3,25 +3,32 @@
 A window ``row_number() over (partition by g order by o)`` sends a whole group to one
 task.  When one group may hold a third of the table that task is the job.  Here the
 ordered table is cut into slices at split points taken from a bounded random sample.  The
-split points are literals, so a row's slice is a plain column of that row: every scan, every
-retry and every plan sees the same slice, whichever exchange Spark reuses.
+split points are fixed before the numbering, so a row's slice is a plain column of that row: every
+scan, every retry and every plan sees the same slice, whichever exchange Spark reuses.
 
 A group that lies inside one slice needs no correction.  Only the groups that a split point
 cuts do, and there are at most as many as split points, so their per-slice sums are a small
-table of proven size (two rows a slice at most) that becomes literals as well: no join.
+table of proven size (two rows a slice at most).  Few split points and sums are literals of the
+plan; more of them are one value that a scalar subquery brings, so the plan does not grow with the
+number of slices.  No join either way.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Sampled rows per slice; the sample is the only thing gathered (slices × this many keys).
-SAMPLE_PER_SLICE = 40
-TREE_SLICES = 256
+from ..session import materialise
+
+#: Sampled rows per slice, and in all, but for MANY_SLICES a slice; the sample's keys are gathered.
+SAMPLE_PER_SLICE, SAMPLE, MANY_SLICES = 40, 10_000, 4
+#: Split points up to which they are literals, searched by compiled comparisons.
+TREE_SLICES = 64
 
 _B = "__tf_slice"
 _TIE = "__tf_tie"
@@ -57,30 +64,60 @@ class _Sliced:
                                    for c, a in zip(group + order, self.g + self.o)],
                           F.xxhash64(*cols).alias(_TIE))
         self.keys = [*self.g, *self.o, _TIE]
-        picked = (keyed.select(*self.keys).orderBy(F.rand(17)).limit(SAMPLE_PER_SLICE * n)
-                  .orderBy(*self.keys).collect()) if n > 1 else []
+        picked = self._sample(keyed, n) if n > 1 else []
         step = max(1, len(picked) // n)
-        splits = list(dict.fromkeys(tuple(r) for r in picked[step::step]))[:n - 1]
-        self.splits = splits
-        types = {f.name: f.dataType for f in keyed.schema.fields}
-
-        def literal(row, names):
-            return F.struct(*[F.lit(v).cast(types[c]).alias(c) for v, c in zip(row, names)])
-
-        self.df = keyed.withColumn(_B, self._slice([literal(x, self.keys) for x in splits]))
+        self.splits = list(dict.fromkeys(tuple(r) for r in picked[step::step]))[:n - 1]
+        self.spark, self.many = df.sparkSession, len(self.splits) > TREE_SLICES
+        self.types = {f.name: f.dataType for f in keyed.schema.fields}
         ng = len(self.g)
-        self.edges = [s[:ng] for s in splits]
-        self._edge_groups = [literal(e, self.g) for e in dict.fromkeys(self.edges)]
-        self._edge_array = F.array(*[literal(e, self.g) for e in self.edges]) if ng and splits else None
-
-    def _slice(self, bounds: list[Column]) -> Column:
-        """The number of split points <= the row's key, by binary search: up to TREE_SLICES as
-        nested comparisons, which compile to plain code, beyond that over an array literal."""
+        self.edges = [s[:ng] for s in self.splits]
+        self.df = self._sliced(keyed)
+        self._edge_array = self._array(self.edges, self.g) if ng and self.splits else None
+
+    def _sample(self, keyed: DataFrame, n: int) -> list:
+        """Keys of random rows, sorted.  The rows are counted first (Spark counts a table without
+        reading a column), so a share of them is drawn where they are: no task gathers more
+        than the sample."""
+        wanted = min(SAMPLE_PER_SLICE * n, max(SAMPLE, MANY_SLICES * n))
+        total = keyed.count()
+        drawn = keyed.filter(F.rand(17) < wanted / total) if total > wanted else keyed
+        return drawn.select(*self.keys).repartition(1).sortWithinPartitions(*self.keys).collect()
+
+    def _struct(self, row, names: list[str]) -> Column:
+        return F.struct(*[F.lit(v).cast(self.types[c]).alias(c) for v, c in zip(row, names)])
+
+    def _array(self, rows: Sequence[tuple], names: list[str]) -> Column:
+        """An array of keys, as literals or as the value of a scalar subquery."""
+        if not self.many:
+            return F.array(*[self._struct(r, names) for r in rows])
+        kind = T.ArrayType(T.StructType([T.StructField(c, self.types[c]) for c in names]))
+        return self._value([tuple(r) for r in rows], kind)
+
+    def _value(self, value: list, kind: T.DataType) -> Column:
+        schema = T.StructType([T.StructField("__table", kind)])
+        # written, so that the plan holds a file and not the rows
+        return materialise(self.spark.createDataFrame([(value,)], schema), "bounds").scalar()
+
+    def _numbers(self, values: list) -> Column:
+        if not self.many:
+            return F.array(*[F.lit(v) for v in values])
+        # exact types: whole sums stay whole, decimals stay decimals
+        kind = (T.DoubleType() if any(isinstance(v, float) for v in values) else T.DecimalType(38, 18)
+                if any(isinstance(v, Decimal) for v in values) else T.LongType())
+        same = [float(v) if isinstance(kind, T.DoubleType) else Decimal(v) if isinstance(kind, T.DecimalType) else v for v in values]
+        return self._value(same, T.ArrayType(kind))
+
+    def _sliced(self, keyed: DataFrame) -> DataFrame:
+        """``keyed`` with the number of split points <= the row's key, by binary search: over few of them
+        as nested comparisons, which compile to plain code, over more a step a projection."""
         key = F.struct(*self.keys)
-        if len(bounds) > TREE_SLICES:
-            table, jumps = F.array(*bounds), [1 << i for i in reversed(range(len(bounds).bit_length()))]
-            return F.aggregate(F.array(*[F.lit(j) for j in jumps]), F.lit(0), lambda b, j: F.when(
-                F.get(table, b + j - 1) <= key, b + j).otherwise(b))
+        if self.many:
+            table, at = self._array(self.splits, self.keys), F.col(_B)
+            rows = keyed.withColumn(_B, F.lit(0))
+            for i in reversed(range(len(self.splits).bit_length())):
+                rows = rows.withColumn(_B, F.when(F.get(table, at + ((1 << i) - 1)) <= key, at + (1 << i)).otherwise(at))
+            return rows
+        bounds = [self._struct(x, self.keys) for x in self.splits]
 
         def search(lo: int, hi: int) -> Column:
             if lo == hi:
@@ -88,7 +125,7 @@ class _Sliced:
             mid = (lo + hi) // 2
             return F.when(bounds[mid] <= key, search(mid + 1, hi)).otherwise(search(lo, mid))
 
-        return search(0, len(bounds))
+        return keyed.withColumn(_B, search(0, len(bounds)))
 
     def at_edge(self, below: bool) -> Column:
         """Whether the row's group is the one cut by the split point below (above) its slice."""
@@ -108,7 +145,9 @@ class _Sliced:
             return F.lit(zero), F.lit(zero), F.lit(zero)
         rows = self.df
         if self._edge_array is not None:  # tested on the group alone, before any slice is computed
-            rows = rows.filter(F.struct(*self.g).isin(*self._edge_groups))
+            groups = list(dict.fromkeys(self.edges))
+            rows = rows.filter(F.array_contains(self._array(groups, self.g), F.struct(*self.g)) if self.many else F.struct(
+                *self.g).isin(*[self._struct(e, self.g) for e in groups]))
         rows = rows.groupBy(_B, *self.g).agg(F.sum(weight).alias("__w")).collect()
         part, total = defaultdict(dict), defaultdict(lambda: zero)
         for r in rows:
@@ -121,7 +160,7 @@ class _Sliced:
             g = repr(tuple(edge))
             before.append(sum((w for s, w in part[g].items() if s < b), zero))
             tot.append(total[g])
-        at = lambda vals, i: F.get(F.array(*[F.lit(v) for v in vals]), i)
+        at = lambda vals, i: F.get(self._numbers(vals), i)
         return (F.when(self.at_edge(True), at(before, F.col(_B))).otherwise(F.lit(zero)),
                 at(tot, F.col(_B) - 1), at(tot, F.col(_B)))
 
@@ -135,8 +174,8 @@ def grouped_row_number(df: DataFrame, group_cols, order_cols, out: str = "rn",
 
     Equal to ``row_number() over (partition by group order by order)`` (order ascending,
     nulls first, ties broken by a hash of the row), without ever putting one group into one
-    task.  With no group columns this is a global, gap-free row number.  The input is read
-    three times (sample, counts at the cuts, numbering) and shuffled once.
+    task.  With no group columns this is a global, gap-free row number.  The input is counted,
+    read three times (sample, counts at the cuts, numbering) and shuffled once.
     """
     s = _Sliced(df, _cols(group_cols), _cols(order_cols), _num_partitions(df, num_partitions))
     before, _, _ = s.carried(F.lit(1), 0)

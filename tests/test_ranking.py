@@ -68,3 +68,32 @@ def test_nulls_ties_and_empty(spark):
     got = sorted((str(r["g"]), r["rn"]) for r in grouped_row_number(df, ["g"], ["o"], num_partitions=4).collect())
     assert got == [("None", 1), ("None", 2), ("a", 1), ("a", 2), ("b", 1)]
     assert grouped_row_number(df.limit(0), ["g"], ["o"], num_partitions=4).count() == 0
+
+
+@pytest.mark.parametrize("slices", [3, 300])
+def test_many_slices_number_alike(spark, slices):
+    """Split points as literals and as a table; groups cut by many of them, nulls, decimals and doubles as weights."""
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 50 > 0, F.concat(F.lit("g"), F.col("id") % 400)).alias("g"),
+        (F.col("id") * 7919 % 10_007).alias("o"), (F.col("id") % 13).cast("decimal(10,2)").alias("d"), (F.col("id") % 7 / 4).alias("x"), "id")
+    got = grouped_row_number(df, ["g"], ["o", "id"], num_partitions=slices)
+    w = Window.partitionBy("g").orderBy("o", "id")
+    assert got.withColumn("e", F.row_number().over(w)).filter("rn <> e").count() == 0
+    upto = w.rowsBetween(Window.unboundedPreceding, -1)
+    for weight in ("d", "x", "id"):
+        got = grouped_cumulative(df, ["g"], ["o", "id"], weight, before="b", total="n", num_partitions=slices)
+        both = got.withColumns({"eb": F.coalesce(F.sum(weight).over(upto), F.lit(0)), "en": F.sum(weight).over(Window.partitionBy("g"))})
+        assert both.count() == 20_000
+        assert both.filter("abs(b - eb) > 1e-6 or abs(n - en) > 1e-6").count() == 0
+    got = grouped_row_number(df, [], ["o", "id"], num_partitions=slices)
+    assert got.withColumn("e", F.row_number().over(Window.orderBy("o", "id"))).filter("rn <> e").count() == 0
+
+
+def test_sampling_gathers_in_no_single_task_and_plans_stay_small(spark):
+    df = spark.range(200_000).withColumn("g", F.col("id") % 5)
+    sizes = {}
+    for n in (100, 3000):
+        plan = grouped_row_number(df, ["g"], ["id"], num_partitions=n)._jdf.queryExecution().analyzed().toString()
+        assert "GlobalLimit" not in plan
+        sizes[n] = len(plan)
+    assert sizes[3000] < 1.6 * sizes[100]
