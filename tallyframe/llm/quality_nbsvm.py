@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 
 from .hashing import Words, byte_table, mix64, slices, texts
 from .labels import held_out, sample, sampled_texts
-from .tables import written
 
 #: Rows of each class and characters of a row that are learned from, and the runs that they are taken in.
 FIT_DOCS, FIT_CHARS, FIT_PIECES = 3000, 8000, 8
@@ -191,9 +190,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = sampled_texts(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), chosen, "id", "text",
                          FIT_CHARS, FIT_PIECES).select("id", "label", "text")
     id_type = rows.schema["id"].dataType.simpleString()
-    numbers = written(rows.mapInArrow(_numbered, f"id {id_type}, label int, numbers binary"), "sample").orderBy("id")
-    found = [(r["label"], np.frombuffer(r["numbers"], np.int32)) for r in numbers.toLocalIterator()]
-    return fit_features([x for _, x in found], [y for y, _ in found], marks.agg(F.avg("label")).first()[0])
+    found = rows.mapInArrow(_numbered, f"id {id_type}, label int, numbers binary").collect()
+    found.sort(key=lambda r: r["id"])
+    numbers = [np.frombuffer(r["numbers"], np.int32) for r in found]
+    return fit_features(numbers, [r["label"] for r in found], marks.agg(F.avg("label")).first()[0])
 
 
 def score_quality(docs: DataFrame, labels: DataFrame | None = None, model: Model | None = None,
