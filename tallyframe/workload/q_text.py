@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..operators import secret_table as SE
 from .tables import r6, table
 
 Q: dict = {}
@@ -297,3 +298,17 @@ def q_normalise_category(spark, sf):
 
 
 _ = r6
+
+
+# Secrets from tables: the words of the benchmark and all customers' names, in the order of their text.
+@reg("mask_secret_table", """
+WITH s AS (SELECT DISTINCT w AS secret FROM (SELECT unnest(string_split(text, ' ')) AS w FROM benchmark) WHERE length(w) >= 5
+  UNION SELECT c_name FROM customer),
+l AS (SELECT list(secret ORDER BY secret) AS secrets FROM s)
+SELECT doc_id, list_reduce([text] || secrets, lambda acc, s: replace(acc, s, s[1] || repeat('*', length(s) - 2) || s[-1])) AS text
+FROM documents, l""")
+def q_mask_secret_table(spark, sf):
+    words = table(spark, sf, "benchmark").select(F.explode(F.split("text", " ")).alias("secret")).filter("length(secret) >= 5")
+    secrets = words.unionByName(table(spark, sf, "customer").select(F.col("c_name").alias("secret"))).distinct()
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return SE.mask_by_table(docs, secrets.withColumn("pos", F.lit(0)))
