@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import directives, strip_directives, strip_ws
+from ..functions.text import directives, strip_directives, strip_ws, substitute
 from ..operators import registry as RG
 from ..operators import report as RP
 from ..operators import template as TP
@@ -40,8 +40,6 @@ def prepare_scripts(scripts: DataFrame, keys: Sequence[str], substitutions: Data
     Output: (keys…, stmt_no, sub_no, row_no, sql, status, runtime) — ``row_no`` is 0 for
     statements that are not loops.
     """
-    from ..functions.text import substitute
-
     src = scripts
     if substitutions is not None:
         src = src.join(substitutions, list(keys), "left").withColumn(
@@ -236,22 +234,46 @@ def fill_report(items: DataFrame, cells: DataFrame) -> DataFrame:
     return out.select(*keys, "kind", F.coalesce("__col_text", "text").alias("text"), "status")
 
 
+# Manifest of directives ---------------------------------------------------------------------
+def statement_entries(prepared: DataFrame, keys: Sequence[str] = ("system", "fileset", "file"),
+                      pairs: DataFrame | None = None) -> DataFrame:
+    """``(file, table, call)`` of every statement that is to be loaded: its ``save``, ``load`` and
+    ``call`` directives, a missing one empty; before them the keys, each after ``of_``.
+
+    ``pairs`` (keys..., pairs: ordered substitutions as ``resolve_layers`` and ``ordered_layers`` give them)
+    are filled into all three, in their order.
+    """
+    keys = list(keys)
+    parts = execution_parts(prepared, keys)
+    named = [F.coalesce(F.col("runtime")[k], F.lit("")).alias(c) for k, c in (("save", "file"), ("load", "table"), ("call", "call"))]
+    own = [f"of_{k}" for k in keys]
+    entries = parts.select(*[F.col(k).alias(o) for k, o in zip(keys, own)], *named).filter("`table` <> '' or call <> ''")
+    if pairs is None:
+        return entries
+    none = F.array().cast("array<struct<priority:int,pos:int,k:string,v:string>>")
+    given = pairs.select(*[F.col(k).alias(o) for k, o in zip(keys, own)], "pairs")
+    filled = entries.join(given, own, "left").withColumn("pairs", F.coalesce("pairs", none))
+    return filled.select(*own, *[substitute(F.col(c), F.col("pairs")).alias(c) for c in ("file", "table", "call")])
+
+
 # return_data -----------------------------------------------------------------------------
 def return_data(spark: SparkSession, in_dir: str, out_dir: str,
                 on_result: Callable[[str, DataFrame], None] | None = None,
                 handlers: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None,
-                manifest: str | None = None) -> DataFrame:
+                manifest: str | None = None, entries: DataFrame | None = None) -> DataFrame:
     """Returned result files → separator sniffed per file → stripped comma CSV per folder and separator.
 
     The sniffing is one distributed aggregation over all files.  Files of one folder with one
     separator are one distributed read and write, so the driver walks folders, not files.
     ``handlers`` run on non-empty results by folder name, ``on_result`` on every one;
-    ``manifest`` writes a manifest whose table is the folder's name.  Returns (folder,
-    delimiter, n_files, output, written).
+    ``manifest`` writes the load manifest: table and call of a result are those of the entry (file, table,
+    call) of ``entries`` (``statement_entries``) that is called like it, without one the folder's name and
+    nothing.  Each result is read and written once, and counted meanwhile.  Returns (folder, delimiter,
+    n_files, output, written).
     """
-    from ..sources.files import delimited_normalise, delimiter_sniff
-    from ..sources.sinks import manifest_write
-    from .hooks import report_frame
+    from ..sources.files import delimited_rows, delimiter_sniff
+    from ..sources.sinks import exported, manifest_write
+    from .observed import counted
 
     sniffed = delimiter_sniff(spark, in_dir).withColumn("folder", F.regexp_replace("path", "/[^/]*$", ""))
     groups = sniffed.groupBy("folder", "delimiter").agg(F.collect_list("path").alias("paths")).orderBy("folder", "delimiter")
@@ -260,15 +282,26 @@ def return_data(spark: SparkSession, in_dir: str, out_dir: str,
         name = r["folder"].rstrip("/").split("/")[-1]
         used[name] += 1
         out = f"{out_dir.rstrip('/')}/{name}" + (f".{used[name] - 1:03d}" if used[name] > 1 else "") + ".csv"
-        df = delimited_normalise(spark, r["paths"], out, sep=r["delimiter"])
-        done = [report_frame(df, fn) is not None for fn in (
-            *([(lambda d, o=out: on_result(o, d) or d)] if on_result else []),
-            *([handlers[name]] if handlers and name in handlers else []))]
-        log.append((r["folder"], name, r["delimiter"], len(r["paths"]), out, all(done) and not df.isEmpty()))
+        df = delimited_rows(spark, r["paths"], sep=r["delimiter"])
+        rows, count = counted(df)
+        rows.write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"').csv(out)
+        n = count()
+        if n:
+            written = exported(spark, out, df.schema)
+            if on_result is not None:
+                on_result(out, written)
+            if handlers and name in handlers:
+                handlers[name](written)
+        log.append((r["folder"], name, r["delimiter"], len(r["paths"]), out, n > 0))
     found = spark.createDataFrame(log, "folder string, name string, delimiter string, n_files int, output string, written boolean")
     if manifest is not None:
-        manifest_write(found.select(F.element_at(F.split("output", "/"), -1).alias("file"), F.col("name").alias("table"),
-                                    F.lit("").alias("call"), "written"), manifest)
+        listed = found.select(F.element_at(F.split("output", "/"), -1).alias("file"), "name", "written")
+        none = spark.createDataFrame([], "file string, `table` string, call string")
+        named = (none if entries is None else entries.select("file", "table", "call")).groupBy("file").agg(
+            F.min(F.struct("table", "call")).alias("entry"))
+        manifest_write(listed.join(named, "file", "left").select(
+            "file", F.coalesce(F.nullif("entry.table", F.lit("")), "name").alias("table"),
+            F.coalesce("entry.call", F.lit("")).alias("call"), "written"), manifest)
     return found.drop("name")
 
 

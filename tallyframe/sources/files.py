@@ -112,11 +112,16 @@ def delimiter_sniff(spark: SparkSession, path: str, start: str = DEFAULT_DELIMIT
 
 
 # S4 ------------------------------------------------------------------------------------
-def delimited_normalise(spark: SparkSession, path: str | list[str], out: str, sep: str = DEFAULT_DELIMITER) -> DataFrame:
-    """Re-read with ``sep``, strip strings and headers, NaN → null, write quoted comma CSV."""
+def delimited_rows(spark: SparkSession, path: str | list[str], sep: str = DEFAULT_DELIMITER) -> DataFrame:
+    """Files read with ``sep``, strings and headers stripped, NaN → null."""
     df = spark.read.option("header", True).option("sep", sep).option("escape", '"').option(
         "inferSchema", True).csv(path)
-    df = clean.nan_to_null(clean.trim_all(df))
+    return clean.nan_to_null(clean.trim_all(df))
+
+
+def delimited_normalise(spark: SparkSession, path: str | list[str], out: str, sep: str = DEFAULT_DELIMITER) -> DataFrame:
+    """Re-read with ``sep``, strip strings and headers, NaN → null, write quoted comma CSV."""
+    df = delimited_rows(spark, path, sep)
     df.write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"').csv(out)
     return csv_scan(spark, out)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import charts as C
 from ..operators import clean as P
+from ..operators import registry as RG
 from ..operators import template as TP
 from ..plans import hooks as H
 from ..plans import jobs
@@ -378,21 +379,28 @@ def q_export_results(spark, sf):
         F.coalesce("__in", F.lit(False)).alias("in_manifest")))
 
 
-@reg("return_data", f"SELECT {_CUST_SQL}, c_custkey % 2 AS part FROM customer")
+@reg("return_data", f"SELECT {_CUST_SQL}, c_custkey % 2 AS part, CASE c_custkey % 2 WHEN 0 THEN 'stage.customers' ELSE 'part1' END AS target, "
+     "CASE c_custkey % 2 WHEN 0 THEN 'merge_customers()' ELSE '' END AS call FROM customer")
 def q_return_data(spark, sf):
     d = scratch_dir(spark, "return")
     c = table(spark, sf, "customer").select(
         "c_custkey", F.concat(F.lit(" "), "c_name").alias("c_name"), "c_nationkey", "c_acctbal", "c_mktsegment")
     for part, sep in ((0, "|~|"), (1, ";")):
         _csv(c.filter(F.col("c_custkey") % 2 == part), f"{d}/in/part{part}", sep=sep)
+    # the statement behind the first result says where it is loaded, with a placeholder to fill in
+    script = spark.range(1).select(F.lit("s").alias("system"), F.lit("f").alias("fileset"), F.lit("q.sql").alias("file"), F.lit(
+        "SELECT 1 /*{{save:part0.csv}}*/ /*{{load:{db}.customers}}*/ /*{{call:merge_customers()}}*/; SELECT 2 /*{{save:part1.csv}}*/;").alias("text"))
+    keys = ["system", "fileset", "file"]
+    subs = script.select(*keys, F.lit(1).alias("priority"), F.lit(0).alias("pos"), F.lit("db").alias("key"), F.lit("stage").alias("value"))
+    entries = jobs.statement_entries(jobs.prepare_scripts(script, keys), keys, RG.ordered_layers(subs, keys))
     seen = []
     jobs.return_data(spark, d + "/in", d + "/out", on_result=lambda name, df: seen.append(name),
-                     handlers={"part1": lambda df: df}, manifest=d + "/manifest")
-    listed = {r["file"] for r in S.manifest_read(spark, d + "/manifest").collect()}
-    if listed != {"part0.csv", "part1.csv"} or len(seen) != 2:
-        raise RuntimeError(f"expected two converted results, got {seen} and manifest {listed}")
+                     handlers={"part1": lambda df: df}, manifest=d + "/manifest", entries=entries)
+    listed = spark.read.schema(S.MANIFEST_SCHEMA).json(d + "/manifest").select(F.inline("entries")).select(
+        F.substring_index("file", ".", 1).alias("of"), F.col("table").alias("target"), "call")
     both = [S.csv_scan(spark, x).withColumn("part", F.lit(i)) for i, x in enumerate(sorted(seen))]
-    return r6(both[0].unionByName(both[1]))
+    rows = both[0].unionByName(both[1])
+    return r6(rows.join(listed, F.concat(F.lit("part"), "part") == F.col("of")).drop("of"))
 
 
 @reg("drop_folder_stream", """

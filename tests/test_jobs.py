@@ -125,3 +125,39 @@ def test_failed_append_leaves_no_view_and_reports_rows(spark, tmp_path):
     entries = spark.createDataFrame([("f.csv", "", "no_such_table_here", "")], "file string, schema string, `table` string, call string")
     r = K.staged_load(spark, entries, str(tmp_path)).first()
     assert r["status"] == "failed" and 'first rows: [{"a": 1, "b": "x"}]' in r["detail"]
+
+
+def test_manifest_of_returned_results_follows_the_directives(spark, tmp_path):
+    sc = scripts(spark, "SELECT 1 AS a /*{{save:{x}.csv}}*/ /*{{load:{db}.t}}*/; SELECT 2 AS a /*{{save:b.csv}}*/ /*{{call:p({x})}}*/;"
+                        "SELECT 3 AS a /*{{save:c.csv}}*/;")
+    pairs = spark.createDataFrame([("s", "f", "a.sql", [(1, 0, "x", "{db}"), (2, 0, "db", "stage")])],
+                                  "system string, fileset string, file string, pairs array<struct<priority:int,pos:int,k:string,v:string>>")
+    entries = jobs.statement_entries(jobs.prepare_scripts(sc, KEYS), KEYS, pairs)
+    assert sorted(map(tuple, entries.select("file", "table", "call").collect())) == [
+        ("b.csv", "", "p(stage)"), ("stage.csv", "stage.t", "")]
+
+
+def test_entry_survives_a_missing_library(monkeypatch):
+    import importlib
+    import sys
+
+    import __spark_entry__ as entry
+
+    real = importlib.import_module
+
+    def missing(name, *a):
+        if name == "tallyframe.llm.queries":
+            raise ModuleNotFoundError("no", name="public_tokenizers")
+        return real(name, *a)
+
+    monkeypatch.setattr(importlib, "import_module", missing)
+    with pytest.warns(UserWarning, match="public_tokenizers"):
+        assert entry._optional("tallyframe.llm.queries") is None
+
+    def broken(name, *a):
+        raise ModuleNotFoundError("no", name="tallyframe.operators.gone")
+
+    monkeypatch.setattr(importlib, "import_module", broken)
+    with pytest.raises(ModuleNotFoundError):
+        entry._optional("tallyframe.llm.queries")
+    assert "tallyframe" in sys.modules
