@@ -138,8 +138,9 @@ def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, size: int = SLICE) -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that each part holds at most ``size`` bytes of text, or one row."""
+def slices(batch: pa.RecordBatch, column: str, size: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Cut a batch so that each part holds at most ``size`` (SLICE) bytes of text, or one row."""
+    size = size or SLICE
     if not batch.num_rows:
         return
     _, offsets = texts(batch.column(column))
