@@ -326,11 +326,13 @@ def q_admitted_files(spark, sf):
     key = F.concat(F.lit("n"), F.col("n_nationkey").cast("string"))
     versions = F.when(F.col("n_regionkey") == 1, text("16.20")).when(F.col("n_regionkey") == 2, text("16.20", "17.10")).when(
         F.col("n_regionkey") == 3, F.array().cast("array<string>")).when(F.col("n_regionkey") == 4, text("15.00", None))
-    shared = n.select(F.lit("shared").alias("fileset"), key.alias("file_key"), F.concat(F.lit("sql/"), key, F.lit(".sql")).alias("gitfile"),
+    # not a constant, which would turn the join on it into a nested loop
+    shared = n.select(F.when(F.col("n_nationkey") >= 0, "shared").alias("fileset"), key.alias("file_key"), F.concat(F.lit("sql/"), key, F.lit(".sql")).alias("gitfile"),
                       versions.alias("dbsversion"), F.when(F.col("n_nationkey") % 2 == 0, text("daily", "daily")).alias("collection"),
                       F.lit(None).cast("map<string,string>").alias("params"))
     one = F.lit("shared").alias("fileset")
-    out = CJ.admitted_files(pairs2.unionByName(every.select("system", one, F.lit("True").alias("pair_active"))), every,
+    own = F.when(F.col("system").isNotNull(), "shared").alias("fileset")
+    out = CJ.admitted_files(pairs2.unionByName(every.select("system", own, F.lit("True").alias("pair_active"))), every,
                             filesets2.unionByName(spark.range(1).select(one, F.lit("true").alias("active"))),
                             files2.unionByName(shared))
     return out.select("system", "fileset", "file_key", "gitfile")
