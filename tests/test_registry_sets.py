@@ -129,3 +129,14 @@ def test_layers_are_ranked_skipped_and_ordered(spark):
         (1, "password", "own"), (3, "z", "{a}"), (3, "a", "late"), (4, "db", "d"), (5, "a", "file"), (6, "a", "weak")]
     with pytest.raises(Exception, match="no such layer"):
         R.rank_layers(entries.withColumn("layer", F.lit("other"))).collect()
+
+
+def test_bitmaps_of_few_filesets_are_small(spark):
+    sets = spark.range(5000).select(F.format_string("f%05d", "id").alias("fileset"))
+    pairs = spark.range(40).select(F.format_string("s%d", F.col("id") % 20).alias("system"),
+                                   F.format_string("f%05d", F.col("id") * 100 + 63).alias("fileset"))
+    numbered = BM.number_filesets(sets)
+    maps = BM.registry_bitmaps(pairs, numbered)
+    assert all(len(repr(r["bits"])) < 500 for r in maps.collect())
+    got = BM.fileset_counts(pairs.select("system"), maps, numbered).collect()
+    assert {tuple(r) for r in got} == {(f"s{i}", 2, 4998) for i in range(20)}
