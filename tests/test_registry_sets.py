@@ -140,3 +140,23 @@ def test_bitmaps_of_few_filesets_are_small(spark):
     assert all(len(repr(r["bits"])) < 500 for r in maps.collect())
     got = BM.fileset_counts(pairs.select("system"), maps, numbered).collect()
     assert {tuple(r) for r in got} == {(f"s{i}", 2, 4998) for i in range(20)}
+
+
+def test_containment_join_repeats_no_files(spark):
+    d = spark.createDataFrame
+    out = CJ.admitted_files(
+        d([("s", "a", "True")], PAIRS), d([("s", "True", "16.20", "daily")], "system string, active string, dbsversion string, collection string"),
+        d([("a", "True")], "fileset string, active string"),
+        d([("a", f"k{i}", "g", ["16.20", "17.10"], None, None) for i in range(3)] * 2,
+          "fileset string, file_key string, gitfile string, dbsversion array<string>, collection array<string>, params map<string,string>"))
+    assert sorted(r["file_key"] for r in out.collect()) == ["k0", "k0", "k1", "k1", "k2", "k2"]
+    lines = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    for i, line in enumerate(lines):
+        if "Generate explode" in line:
+            below = []
+            for other in lines[i + 1:]:
+                if depth(other) <= depth(line):
+                    break
+                below.append(other)
+            assert not any("Project" in x and "file_key" in x for x in below)
