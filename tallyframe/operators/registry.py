@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise
@@ -81,15 +81,15 @@ def basename(path) -> F.Column:
     return F.element_at(F.split(F.col(path) if isinstance(path, str) else path, "/"), -1)
 
 
-def file_params(files: DataFrame, params: DataFrame, order: str = "pos") -> DataFrame:
+def file_params(files: DataFrame, params: DataFrame, order: str = "pos", path: str = "gitfile") -> DataFrame:
     """Attach each script's own parameter map by file basename; first entry wins.
 
-    ``params``: (path, ``order``, params map).  ``min_by`` keeps the first entry per
+    ``params``: (path, ``order``, params map); the scripts' paths are in the column ``path``.  ``min_by`` keeps the first entry per
     basename with partial aggregation, so duplicates never meet in one task.
     """
     first = params.groupBy(basename("path").alias("__base")).agg(
         F.min_by("params", F.col(order)).alias("file_params"))
-    return files.join(first, basename("gitfile") == F.col("__base"), "left").drop("__base")
+    return files.join(first, basename(path) == F.col("__base"), "left").drop("__base")
 
 
 # J5 ------------------------------------------------------------------------------------
@@ -167,6 +167,24 @@ def ordered_layers(subs: DataFrame, target: Sequence[str] | str = "target") -> D
         "priority", "pos", F.col("key").alias("k"), F.col("value").alias("v")))).alias("pairs"))
 
 
+def entries_of_map(entries, layer: str) -> Column:
+    """A layer's map as ``ordered_layers`` lists it: ``(priority, pos, k, v)`` in the order of the map, without the
+    keys that the layer skips."""
+    priority, skip = LAYERS.index(layer) + 1, list(SKIPPED_KEYS.get(layer, ()))
+    listed = F.transform(F.map_entries(entries), lambda e, i: F.struct(
+        F.lit(priority).alias("priority"), i.cast("long").alias("pos"), e["key"].alias("k"), e["value"].alias("v")))
+    return F.filter(listed, lambda e: ~e["k"].isin(skip)) if skip else listed
+
+
+def merged_layers(lists: Sequence[str], times: str) -> Column:
+    """The lists of ``ordered_layers`` (null: empty) in columns of a row as one such list, in which each entry
+    stands ``times`` times."""
+    none = F.array().cast("array<struct<priority:int,pos:bigint,k:string,v:string>>")
+    every = F.concat(*[F.coalesce(F.col(c), none) for c in lists])
+    # no entry is null, and so this is the order of array_sort without a comparator called per pair
+    return F.sort_array(F.when(F.col(times) > 1, F.flatten(F.array_repeat(every, F.col(times).cast("int")))).otherwise(every))
+
+
 # T18 -----------------------------------------------------------------------------------
 def fill_defaults(settings: DataFrame, required: DataFrame) -> DataFrame:
     """Required keys with their value, else the key's default, else ''; flag the misses.

@@ -10,7 +10,7 @@ from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import directives, strip_directives, strip_ws, substitute
@@ -19,7 +19,7 @@ from ..operators import report as RP
 from ..operators import template as TP
 from ..operators.filters import runnable_sets
 from ..operators.frames import default_output_name_py
-from ..session import scratch_dir
+from ..session import materialise, scratch_dir
 
 
 # prepare_scripts -----------------------------------------------------------------------
@@ -61,12 +61,14 @@ def prepare_scripts(scripts: DataFrame, keys: Sequence[str], substitutions: Data
     itself = F.col("sub_no") == F.greatest(F.lit(1), n_files) if library is not None else F.lit(True)
     inc = inc.withColumn("__loop", F.col("loop_file").isNotNull() & itself)
     zero = F.lit(0).cast("long")
-    plain = inc.filter(~F.col("__loop")).withColumn("row_no", zero)
-    loops = inc.filter("__loop")
     out = [*keys, "stmt_no", "sub_no", "row_no", "sql", "status", "runtime"]
     missing = {"row_no": zero, "status": F.lit("warning: loop file missing")}
     if loop_params is None:
-        return plain.select(*out).unionByName(loops.withColumns(missing).select(*out))
+        # one pass: the loops differ in nothing but their status
+        return inc.withColumns({"row_no": zero, "status": F.when(F.col("__loop"), missing["status"]).otherwise(
+            F.col("status"))}).select(*out)
+    plain = inc.filter(~F.col("__loop")).withColumn("row_no", zero)
+    loops = inc.filter("__loop")
     rows = TP.param_rows(loop_params, "file", list(loop_order))
     fanned = TP.param_fanout(loops, rows, loop_key="loop_key")
     # a loop whose parameter file is missing keeps its template statement, with a warning
@@ -94,34 +96,37 @@ def prepare_runs(pairs: DataFrame, systems: DataFrame, filesets: DataFrame, file
     the status ``error: no text``.
     """
     keys = ["system", "fileset", "file"]
-    runs = RG.eligible_files(pairs, systems, filesets, files=files).withColumn("file", RG.basename("gitfile"))
-    runs = runs.select(*keys, "gitfile")
-    texts = RG.layered_overlay(scripts, overrides).select(
-        F.col("folder").alias("fileset"), F.col("name").alias("file"), F.col("body").alias("text"))
+    runs = RG.eligible_files(pairs, systems, filesets, files=files).select(
+        "system", "fileset", RG.basename("gitfile").alias("file"))
     if run_unknown:
-        strays = RG.unknown_filesets(runnable_sets(
-            pairs, systems.select("system", "active"), filesets.select("fileset", "active"), run_unknown=True), filesets)
-        runs = runs.unionByName(strays.select("system", "fileset").distinct().join(
-            texts.select("fileset", "file"), "fileset").select(*keys, F.col("file").alias("gitfile")))
-    runs = runs.dropDuplicates(keys).join(texts, ["fileset", "file"], "left")
-    there = runs.filter("text is not null")
-    own = RG.file_params(there.select(*keys, "gitfile"), params).select(
-        *keys, F.lit("file").alias("layer"), F.posexplode("file_params").alias("pos", "key", "value"))
-    entries = [own]
-    given, narrow = layers.select("layer", "system", "fileset", "pos", "key", "value"), there.select(*keys)
+        strays = materialise(RG.unknown_filesets(runnable_sets(
+            pairs, systems.select("system", "active"), filesets.select("fileset", "active"), run_unknown=True),
+            filesets).select("system", "fileset").distinct(), "strays")
+        own = scripts.join(strays.select(F.col("fileset").alias("folder")).distinct(), "folder", "left_semi")
+        runs = runs.unionByName(strays.join(RG.layered_overlay(own, overrides).select(
+            F.col("folder").alias("fileset"), F.col("name").alias("file")), "fileset").select(*keys))
+    # a text that stands there several times gets its entries as many times
+    texts = RG.layered_overlay(scripts, overrides).select(
+        F.col("folder").alias("fileset"), F.col("name").alias("file"), F.col("body").alias("text")).withColumn(
+        "__times", F.count("text").over(Window.partitionBy("fileset", "file")))
+    # read by two steps below
+    runs = materialise(runs.distinct().join(texts, ["fileset", "file"], "left").select(*keys, "text", "__times"), "runs")
+    there = RG.file_params(runs.filter("text is not null"), params.withColumn(
+        "params", RG.entries_of_map("params", "file")), path="file").withColumnRenamed("file_params", "__file")
+    # each layer's entries are one list of what they hold for, so that a run brings lists and no rows
+    given, lists = RG.rank_layers(layers.select(
+        "layer", "system", "fileset", F.col("pos").cast("long").alias("pos"), "key", "value")), ["__file"]
     for by in (["system", "fileset"], ["system"], ["fileset"]):
-        some = given
+        some, name = given, "__" + "_".join(by)
         for c in ("system", "fileset"):
             some = some.filter(F.col(c).isNotNull() if c in by else F.col(c).isNull())
-        some = some.drop(*[c for c in ("system", "fileset") if c not in by])
-        entries.append(narrow.join(some, by).select(*keys, "layer", "pos", "key", "value"))
+        there = there.join(RG.ordered_layers(some, by).withColumnRenamed("pairs", name), by, "left")
+        lists.append(name)
     # what holds for all runs is a configuration's list, attached as one value
-    common = given.filter("system is null and fileset is null").agg(F.collect_list(F.struct(
-        "layer", "pos", "key", "value"))).scalar()
-    entries.append(narrow.select(*keys, F.inline(common)))
-    subs = reduce(lambda a, b: a.unionByName(b), entries)
-    ordered = RG.ordered_layers(RG.rank_layers(subs), keys)
-    prepared = prepare_scripts(there.select(*keys, "text"), keys, substitutions=ordered, **options)
+    common = RG.ordered_layers(given.filter("system is null and fileset is null"), []).select("pairs").scalar()
+    there = there.withColumn("__common", common)
+    src = there.select(*keys, substitute(F.col("text"), RG.merged_layers([*lists, "__common"], "__times")).alias("text"))
+    prepared = prepare_scripts(src, keys, **options)
     kinds = {f.name: f.dataType for f in prepared.schema.fields}
     fixed = {"stmt_no": F.lit(0), "sub_no": F.lit(0), "row_no": F.lit(0), "status": F.lit("error: no text")}
     lost = runs.filter("text is null").select(*keys, *[

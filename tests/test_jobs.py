@@ -161,3 +161,33 @@ def test_entry_survives_a_missing_library(monkeypatch):
     with pytest.raises(ModuleNotFoundError):
         entry._optional("tallyframe.llm.queries")
     assert "tallyframe" in sys.modules
+
+
+def test_prepare_runs_moves_lists_not_entries(spark):
+    import re
+    d = spark.createDataFrame
+    layers = [("system", "s", None, 1, "who", "{x}"), ("system", "s", None, 0, "filesets", "hidden"), ("application", None, None, 0, "x", "app {y}"),
+              ("fileset", None, "f", 0, "y", "set"), ("fileset", None, "f", 1, "own", "weak"), ("system_fileset", "s", "f", 0, "both", "{own}"),
+              ("system", "other", None, 0, "who", "nobody")]
+    out = jobs.prepare_runs(
+        d([("s", "f", "True"), ("s", "f", "True"), ("s", "stray", "False")], "system string, fileset string, pair_active string"),
+        d([("s", "True", "16.20", "daily")], "system string, active string, dbsversion string, collection string"),
+        d([("f", "True")], "fileset string, active string"),
+        d([("f", "k1", "sql/a.sql", None, None, None), ("f", "k2", "sql/b.sql", None, None, None), ("f", "k3", "sql/c.sql", None, None, None)],
+          "fileset string, file_key string, gitfile string, dbsversion array<string>, collection array<string>, params map<string,string>"),
+        d([("f", "a.sql", "{who} {both} {gitfile};{y}"), ("f", "c.sql", "{again}"), ("f", "c.sql", "{again}"), ("stray", "x.sql", "{who}"),
+           ("unused", "z.sql", "z")], "folder string, name string, body string"),
+        d([("", "x.sql", "root {who}")], "folder string, name string, body string"),
+        d([("p/a.sql", 1, {"own": "late"}), ("p/a.sql", 0, {"gitfile": "no", "own": "mine"}), ("p/c.sql", 0, {"again": "+{again}"})],
+          "path string, pos int, params map<string,string>"),
+        d(layers, "layer string, system string, fileset string, pos int, key string, value string"), run_unknown=True)
+    got = sorted(((r["fileset"], r["file"], r["stmt_no"], r["sql"], r["status"]) for r in out.collect()), key=str)
+    end = "\n;\n\n"
+    # a text that stands there twice has its entries twice, as one list
+    assert got == sorted([
+        ("f", "a.sql", 1, "app set mine {gitfile}" + end, "ok"), ("f", "a.sql", 2, "set" + end, "ok"), ("f", "c.sql", 1, "++{again}" + end, "ok"),
+        ("f", "c.sql", 1, "++{again}" + end, "ok"), ("stray", "x.sql", 1, "root app {y}" + end, "ok"), ("f", "b.sql", 0, None, "error: no text")],
+        key=str)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode(file_params" not in plan
+    assert not re.search(r"Aggregate \[system#\d+, fileset#\d+, file#\d+\].*collect_list", plan)
