@@ -2,6 +2,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from tallyframe.functions.text import mask_secret_literal
 from tallyframe.operators import secret_table as S
@@ -57,3 +58,17 @@ def test_empty_tables(spark):
     check(spark, ["text"], [(1, None)])
     docs = spark.createDataFrame([], "pos int, text string")
     assert S.mask_by_table(docs, spark.createDataFrame([(1, "a")], "pos int, secret string")).count() == 0
+
+
+def test_filter_grows_with_the_list(spark):
+    known = spark.range(300_000).selectExpr("0 as pos", "concat('Customer#', lpad(id, 9, '0')) as secret").unionByName(
+        spark.createDataFrame([(1, "hunter2")], "pos int, secret string"))
+    known = known.mapInArrow(S._hashed, "pos int, secret string, size bigint, hash bigint").cache()
+    filters = S._filter_sizes({18: 300_000, 7: 1})
+    bitmap = S._bitmap(known, filters)
+    rng = np.random.default_rng(3)
+    text = rng.integers(97, 123, 400_000).astype(np.uint8).tobytes().decode() + " Customer#000012345 hunter2"
+    batch = pa.RecordBatch.from_arrays([pa.array([b"t"]), pa.array([text])], ["key", "text"])
+    found = [x["size"] for out in S._windows([batch], filters, bitmap) for row in out.column("found").to_pylist() for x in row]
+    assert 1 <= found.count(7) < 400 and 1 <= found.count(18) < 400  # of 400,000 windows each
+    assert sum(n for _, n in S._filter_sizes({18: 1 << 30, 5: 9}).values()) <= S.MOST_FILTER_BITS
